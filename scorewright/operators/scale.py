@@ -29,13 +29,30 @@ def scale(df: DataFrame, card: Scorecard, name: str = "score_pos") -> DataFrame:
     return replace_columns(df, {name: final})
 
 
-def band_expr(card: Scorecard, score: str = "score_pos") -> Column:
-    c = F.col(score)
-    out = None
+def band_letter(card: Scorecard, score: int):
+    """Band of one integer score: ``above < score <= up_to``; the knock-out score -> knock-out band."""
+    if score == card.scaling.knockout_score:
+        return card.knockout_band
     for b in card.bands:
-        cond = (c > F.lit(b.above)) & (c <= F.lit(b.up_to))
-        out = F.when(cond, F.lit(b.letter)) if out is None else out.when(cond, F.lit(b.letter))
-    return out.when(c == F.lit(card.scaling.knockout_score), F.lit(card.knockout_band))
+        if b.above < score <= b.up_to:
+            return b.letter
+    return None
+
+
+def band_table(card: Scorecard) -> tuple[int, list]:
+    """Letters for every integer score from the lowest possible (knock-out or ``lo``) to ``hi``,
+    built from the band rule.  Returns (first score, letters)."""
+    first = int(min(card.scaling.knockout_score, card.scaling.lo))
+    return first, [band_letter(card, s) for s in range(first, int(card.scaling.hi) + 1)]
+
+
+def band_expr(card: Scorecard, score: str = "score_pos") -> Column:
+    """One array lookup by integer score.  A CASE chain would read the score 28 times, and a
+    filter on the band pushed below the scoring projections would inline the whole score
+    computation that often; the lookup reads it once.  Out-of-range or null score -> null."""
+    first, letters = band_table(card)
+    table = F.array(*[F.lit(x).cast("string") for x in letters])
+    return F.try_element_at(table, F.col(score) - F.lit(first - 1))
 
 
 def band(df: DataFrame, card: Scorecard, name: str = "flow_pos") -> DataFrame:

@@ -26,6 +26,7 @@ def build_session(master: str = "local[*]", app: str = "scorewright",
     and call :func:`apply_engine_conf` on it instead."""
     builder = (SparkSession.builder.master(master).appName(app)
                .config("spark.ui.enabled", "false")
+               .config("spark.ui.showConsoleProgress", "false")
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions)))
     for k, v in {**ENGINE_CONF, **(extra or {})}.items():
         builder = builder.config(k, v)
