@@ -2,24 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from scorewright.functions.columns import compare, replace_columns
+from scorewright.functions.columns import compare, ident, num, replace_columns, selector_is, when_chain
 from scorewright.spec import Cap, Scorecard
 
 
-def cap_expr(cap: Cap, selector: str) -> Column:
-    c = F.col(cap.column)
-    out = None
+def cap_sql(cap: Cap, selector: str) -> str:
+    c = ident(cap.column)
+    arms = []
     for arm in cap.arms:
-        cond = compare(c, arm.op, float(arm.bound))
+        cond = compare(c, arm.op, arm.bound)
         if arm.scorecard is not None:
-            cond = (F.col(selector) == F.lit(float(arm.scorecard))) & cond
-        out = (F.when(cond, F.lit(float(arm.value))) if out is None
-               else out.when(cond, F.lit(float(arm.value))))
-    return out.otherwise(c)
+            cond = f"{selector_is(selector, arm.scorecard)} AND {cond}"
+        arms.append((cond, num(arm.value)))
+    return when_chain(arms, c)
 
 
 def cap(df: DataFrame, card: Scorecard) -> DataFrame:
-    return replace_columns(df, {k.column: cap_expr(k, card.selector) for k in card.caps})
+    return replace_columns(df, {k.column: cap_sql(k, card.selector) for k in card.caps})

@@ -9,23 +9,22 @@ single scalar -- no join.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scorewright.functions.columns import flag, replace_columns
+from scorewright.functions.columns import flag, ident, num, replace_columns, text
 from scorewright.spec import InSetFlag, Scorecard, SecondsBetween
 
 
-def raw_seconds(spec: SecondsBetween) -> Column:
-    fmt = F.lit(spec.fmt)
-    end = F.try_to_timestamp(F.col(spec.end), fmt)
-    start = F.try_to_timestamp(F.col(spec.start), fmt)
-    return (F.unix_seconds(end) - F.unix_seconds(start)).cast("double")
+def raw_seconds_sql(spec: SecondsBetween) -> str:
+    fmt = text(spec.fmt)
+    return (f"CAST(unix_seconds(try_to_timestamp({ident(spec.end)}, {fmt})) - "
+            f"unix_seconds(try_to_timestamp({ident(spec.start)}, {fmt})) AS DOUBLE)")
 
 
 def batch_unit_seconds(df: DataFrame, spec: SecondsBetween) -> float:
     """Divisor R's ``difftime(units='auto')`` would pick for this batch."""
-    smallest = df.agg(F.min(F.abs(raw_seconds(spec))).alias("m")).first()["m"]
+    smallest = df.agg(F.expr(f"min(abs({raw_seconds_sql(spec)}))").alias("m")).first()["m"]
     if smallest is None or smallest < 60:
         return 1.0
     if smallest < 3600:
@@ -35,15 +34,18 @@ def batch_unit_seconds(df: DataFrame, spec: SecondsBetween) -> float:
     return 86400.0
 
 
-def in_set_flag(f: InSetFlag) -> Column:
-    return flag(F.coalesce(F.col(f.column), F.lit(f.null_as)).isin(*f.values))
+def in_set_flag_sql(f: InSetFlag) -> str:
+    return flag(f"coalesce({ident(f.column)}, {text(f.null_as)}) IN ({', '.join(text(v) for v in f.values)})")
+
+
+def consult_age_sql(spec: SecondsBetween, unit: float = 1.0) -> str:
+    diff = raw_seconds_sql(spec) if unit == 1.0 else f"{raw_seconds_sql(spec)} / {num(unit)}"
+    return f"CASE WHEN {ident(spec.start)} IS NULL THEN {num(spec.missing)} ELSE {diff} END"
 
 
 def consult_age(df: DataFrame, card: Scorecard, auto_units: bool = False) -> DataFrame:
     spec = card.consult_age
     unit = batch_unit_seconds(df, spec) if auto_units else 1.0
-    diff = raw_seconds(spec) if unit == 1.0 else raw_seconds(spec) / F.lit(unit)
-    age = F.when(F.col(spec.start).isNull(), F.lit(spec.missing)).otherwise(diff)
-    add = {f.name: in_set_flag(f) for f in card.flags_before_impute}
-    add[spec.name] = age
+    add = {f.name: in_set_flag_sql(f) for f in card.flags_before_impute}
+    add[spec.name] = consult_age_sql(spec, unit)
     return replace_columns(df, {}, add)

@@ -2,27 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from scorewright.functions.columns import any_of, compare, flag, replace_columns
+from scorewright.functions.columns import any_of, compare, flag, ident, num, replace_columns, when_chain
 from scorewright.spec import AnyPositiveFlag, CompareFlag, Recode, Scorecard
 
 
-def derived_expr(d) -> Column:
+def derived_sql(d) -> str:
     if isinstance(d, CompareFlag):
-        return flag(compare(F.col(d.column), d.op, float(d.value)))
+        return flag(compare(ident(d.column), d.op, d.value))
     if isinstance(d, AnyPositiveFlag):
-        return flag(any_of(F.coalesce(F.col(c), F.lit(0.0)) > F.lit(0.0) for c in d.columns))
+        return flag(any_of(f"coalesce({ident(c)}, 0.0D) > 0.0D" for c in d.columns))
     if isinstance(d, Recode):
-        c = F.col(d.column)
-        out = None
-        for frm, to in d.mapping:
-            cond = c == F.lit(float(frm))
-            out = F.when(cond, F.lit(float(to))) if out is None else out.when(cond, F.lit(float(to)))
-        return out.otherwise(c if d.default is None else F.lit(float(d.default)))
+        c = ident(d.column)
+        return when_chain(((f"{c} = {num(frm)}", num(to)) for frm, to in d.mapping),
+                          c if d.default is None else num(d.default))
     raise TypeError(f"unknown derived step {d!r}")
 
 
 def derive(df: DataFrame, card: Scorecard) -> DataFrame:
-    return replace_columns(df, {}, {d.name: derived_expr(d) for d in card.derived})
+    return replace_columns(df, {}, {d.name: derived_sql(d) for d in card.derived})

@@ -2,30 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from scorewright.functions.columns import replace_columns
+from scorewright.functions.columns import ident, num, replace_columns, selector_is, value, when_chain
 from scorewright.spec import Impute, Scorecard
 
 
 def impute_selector(df: DataFrame, card: Scorecard) -> DataFrame:
-    return replace_columns(df, {card.selector: F.coalesce(F.col(card.selector),
-                                                          F.lit(float(card.selector_default)))})
+    return replace_columns(df, {card.selector: f"coalesce({ident(card.selector)}, {num(card.selector_default)})"})
 
 
-def _value(v) -> Column:
-    return F.lit(v if isinstance(v, str) else float(v))
-
-
-def impute_expr(i: Impute, selector: str) -> Column:
-    fill = _value(i.value)
-    for card_value, v in reversed(i.per_scorecard):
-        fill = F.when(F.col(selector) == F.lit(float(card_value)), _value(v)).otherwise(fill)
-    return F.coalesce(F.col(i.column), fill)
+def impute_sql(i: Impute, selector: str) -> str:
+    fill = value(i.value)
+    if i.per_scorecard:
+        fill = when_chain(((selector_is(selector, k), value(v)) for k, v in i.per_scorecard), fill)
+    return f"coalesce({ident(i.column)}, {fill})"
 
 
 def impute(df: DataFrame, card: Scorecard) -> DataFrame:
     """Both layers: selector, then every other imputation reading the imputed selector."""
     df = impute_selector(df, card)
-    return replace_columns(df, {i.column: impute_expr(i, card.selector) for i in card.imputes})
+    return replace_columns(df, {i.column: impute_sql(i, card.selector) for i in card.imputes})

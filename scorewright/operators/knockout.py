@@ -2,24 +2,22 @@
 
 from __future__ import annotations
 
-from functools import reduce
+from pyspark.sql import DataFrame
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
-
-from scorewright.functions.columns import any_of, flag, replace_columns, zero_if_null
+from scorewright.functions.columns import any_of, flag, num, replace_columns, zero_if_null
 from scorewright.spec import KnockoutTest, Scorecard
 
 
-def knockout_test(t: KnockoutTest) -> Column:
-    acc = reduce(lambda a, c: a + zero_if_null(c), t.plus[1:], zero_if_null(t.plus[0]))
-    acc = reduce(lambda a, c: a - zero_if_null(c), t.minus, acc)
-    return acc >= F.lit(float(t.at_least))
+def knockout_test_sql(t: KnockoutTest) -> str:
+    s = " + ".join(zero_if_null(c) for c in t.plus)
+    for c in t.minus:
+        s += f" - {zero_if_null(c)}"
+    return f"{s} >= {num(t.at_least)}"
 
 
-def knockout_flag(card: Scorecard) -> Column:
-    return flag(any_of(knockout_test(t) for t in card.knockout))
+def knockout_flag_sql(card: Scorecard) -> str:
+    return flag(any_of(knockout_test_sql(t) for t in card.knockout))
 
 
 def knockout(df: DataFrame, card: Scorecard, name: str = "flow_x") -> DataFrame:
-    return replace_columns(df, {}, {name: knockout_flag(card)})
+    return replace_columns(df, {}, {name: knockout_flag_sql(card)})

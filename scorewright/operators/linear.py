@@ -2,28 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from scorewright.functions.columns import replace_columns
+from scorewright.functions.columns import ident, num, replace_columns, selector_is, when_chain
 from scorewright.spec import LinearModel, Scorecard
 
 
-def linear_expr(m: LinearModel) -> Column:
-    # Left-to-right fold in the listed order: double addition is not associative.
-    acc = F.lit(float(m.intercept))
-    for t in m.terms:
-        acc = acc + F.lit(float(t.weight)) * F.col(t.column)
-    return acc
+def linear_sql(m: LinearModel) -> str:
+    # Left-associative sum in the listed order: double addition is not associative.
+    return " + ".join([num(m.intercept), *(f"{num(t.weight)} * {ident(t.column)}" for t in m.terms)])
 
 
-def logodds_expr(card: Scorecard) -> Column:
-    out = None
-    for m in card.models:
-        arm = F.col(card.selector) == F.lit(float(m.scorecard))
-        out = F.when(arm, linear_expr(m)) if out is None else out.when(arm, linear_expr(m))
-    return out
+def logodds_sql(card: Scorecard) -> str:
+    return when_chain((selector_is(card.selector, m.scorecard), linear_sql(m)) for m in card.models)
 
 
 def linear(df: DataFrame, card: Scorecard, name: str = "logodds") -> DataFrame:
-    return replace_columns(df, {}, {name: logodds_expr(card)})
+    return replace_columns(df, {}, {name: logodds_sql(card)})

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from scorewright.functions.columns import replace_columns
+from scorewright.functions.columns import num, replace_columns, selector_is, when_chain
 from scorewright.spec import Lookup, Scorecard
 
 MAX_BROADCAST_ROWS = 200_000
@@ -44,19 +44,18 @@ def lookup_table(spark: SparkSession, lk: Lookup) -> DataFrame:
     return spark.createDataFrame(list(lookup_rows(lk.table, lk.key)), schema)
 
 
+def lookup_default_sql(card: Scorecard, lk: Lookup) -> str:
+    return when_chain((selector_is(card.selector, sc), num(w)) for sc, w in lk.default_per_scorecard)
+
+
 def lookup(df: DataFrame, card: Scorecard) -> DataFrame:
     spark = df.sparkSession
     for lk in card.lookups:
         table = lookup_table(spark, lk)
-        n_rows = len(lookup_rows(lk.table, lk.key))
-        if n_rows <= MAX_BROADCAST_ROWS:
+        if len(lookup_rows(lk.table, lk.key)) <= MAX_BROADCAST_ROWS:
             table = F.broadcast(table)
         cond = (F.col(card.selector) == F.col("__lk_sc")) & (F.col(lk.key) == F.col("__lk_key"))
         joined = df.join(table, cond, "left")
-        default = None
-        for sc, w in lk.default_per_scorecard:
-            arm = F.col(card.selector) == F.lit(float(sc))
-            default = F.when(arm, F.lit(float(w))) if default is None else default.when(arm, F.lit(float(w)))
-        weight = F.coalesce(F.col("__lk_w"), default)
+        weight = f"coalesce(__lk_w, {lookup_default_sql(card, lk)})"
         df = replace_columns(joined, {}, {lk.name: weight}).drop("__lk_sc", "__lk_key", "__lk_w")
     return df

@@ -3,21 +3,29 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from scorewright.functions.columns import replace_columns
+from scorewright.functions.columns import ident, replace_columns, text
 from scorewright.spec import Scorecard
 
 
 def numeric_inputs(card: Scorecard, columns: list[str]) -> list[str]:
-    keys, text = set(card.keys), set(card.text_columns)
+    keys, txt = set(card.keys), set(card.text_columns)
     return [c for c in dict.fromkeys((*card.knockout_inputs, *card.inputs))
-            if c in columns and c not in keys and c not in text]
+            if c in columns and c not in keys and c not in txt]
 
 
 def cast_numeric(df: DataFrame, card: Scorecard) -> DataFrame:
     """All numeric features become double before any arithmetic (the model computes in doubles)."""
-    return replace_columns(df, {c: F.col(c).cast("double") for c in numeric_inputs(card, df.columns)})
+    return replace_columns(df, {c: f"CAST({ident(c)} AS DOUBLE)" for c in numeric_inputs(card, df.columns)})
+
+
+def normalize_sql(card: Scorecard) -> dict[str, str]:
+    new: dict[str, str] = {}
+    for s in card.sentinels:
+        new[s.column] = f"nullif({new.get(s.column, ident(s.column))}, {text(s.value)})"
+    for c in card.numeric_text:
+        new[c] = f"TRY_CAST({new.get(c, ident(c))} AS DOUBLE)"
+    return new
 
 
 def normalize(df: DataFrame, card: Scorecard) -> DataFrame:
@@ -25,10 +33,4 @@ def normalize(df: DataFrame, card: Scorecard) -> DataFrame:
 
     Plain ``cast`` would raise under ANSI mode; ``try_cast`` is the R ``as.numeric`` behaviour.
     """
-    new = {}
-    for s in card.sentinels:
-        base = new.get(s.column, F.col(s.column))
-        new[s.column] = F.nullif(base, F.lit(s.value))
-    for c in card.numeric_text:
-        new[c] = new.get(c, F.col(c)).try_cast("double")
-    return replace_columns(df, new)
+    return replace_columns(df, normalize_sql(card))

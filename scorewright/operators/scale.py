@@ -2,31 +2,28 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from scorewright.functions.columns import replace_columns, rint
+from scorewright.functions.columns import ident, literal_array_sql, num, replace_columns, text
 from scorewright.spec import Scorecard
 
 
-def score_expr(card: Scorecard, logodds: str = "logodds", knocked: str = "flow_x") -> Column:
+def points_sql(card: Scorecard, logodds: str = "logodds") -> str:
+    """G1 + G2: ``rint(slope * rint(1 / (1 + exp(x)) * points) + offset)``; ``rint`` rounds
+    halves to even like R's ``round`` (Spark's ``round`` rounds halves up)."""
     s = card.scaling
-    x = F.col(logodds)
-    g1 = rint(F.lit(1.0) / (F.lit(1.0) + F.exp(x)) * F.lit(s.points))
-    g2 = rint(F.lit(s.slope) * g1 + F.lit(s.offset))
-    return g2
+    g1 = f"rint(1.0D / (1.0D + exp({ident(logodds)})) * {num(s.points)})"
+    return f"rint({num(s.slope)} * {g1} + {num(s.offset)})"
 
 
-def scale(df: DataFrame, card: Scorecard, name: str = "score_pos") -> DataFrame:
+def scale(df: DataFrame, card: Scorecard, name: str = "score_pos", knocked: str = "flow_x") -> DataFrame:
     s = card.scaling
-    df = replace_columns(df, {}, {name: score_expr(card)})
-    c = F.col(name)
-    clamped = F.when(c > F.lit(float(s.hi)), F.lit(float(s.hi))) \
-        .when(c < F.lit(float(s.lo)), F.lit(float(s.lo))).otherwise(c)
-    df = replace_columns(df, {name: clamped})
-    final = F.when(F.col("flow_x") == F.lit(1), F.lit(s.knockout_score)) \
-        .otherwise(F.col(name)).cast("int")
-    return replace_columns(df, {name: final})
+    df = replace_columns(df, {}, {name: points_sql(card)})
+    c = ident(name)
+    df = replace_columns(df, {name: f"CASE WHEN {c} > {num(s.hi)} THEN {num(s.hi)} "
+                                    f"WHEN {c} < {num(s.lo)} THEN {num(s.lo)} ELSE {c} END"})
+    return replace_columns(df, {name: f"CAST(CASE WHEN {ident(knocked)} = 1 THEN {int(s.knockout_score)} "
+                                      f"ELSE {c} END AS INT)"})
 
 
 def band_letter(card: Scorecard, score: int):
@@ -46,14 +43,14 @@ def band_table(card: Scorecard) -> tuple[int, list]:
     return first, [band_letter(card, s) for s in range(first, int(card.scaling.hi) + 1)]
 
 
-def band_expr(card: Scorecard, score: str = "score_pos") -> Column:
+def band_sql(card: Scorecard, score: str = "score_pos") -> str:
     """One array lookup by integer score.  A CASE chain would read the score 28 times, and a
     filter on the band pushed below the scoring projections would inline the whole score
     computation that often; the lookup reads it once.  Out-of-range or null score -> null."""
     first, letters = band_table(card)
-    table = F.array(*[F.lit(x).cast("string") for x in letters])
-    return F.try_element_at(table, F.col(score) - F.lit(first - 1))
+    table = literal_array_sql("" if x is None else x for x in letters)
+    return f"nullif(try_element_at({table}, {ident(score)} - {first - 1}), {text('')})"
 
 
 def band(df: DataFrame, card: Scorecard, name: str = "flow_pos") -> DataFrame:
-    return replace_columns(df, {}, {name: band_expr(card)})
+    return replace_columns(df, {}, {name: band_sql(card)})

@@ -11,8 +11,13 @@ from pyspark.sql import SparkSession
 # Settings the scoring semantics depend on.  Dates are compared in UTC so a
 # day is always 86 400 s (no daylight-saving hour), and ANSI mode stays on:
 # every text-to-number or text-to-date conversion goes through try_* forms.
+# The scorecard compiles to ~100 CASE expressions; fused into one whole-stage
+# method they exceed HotSpot's 8000-byte JIT limit and would run interpreted.
+# With hugeMethodLimit=8000 Spark keeps such stages out of whole-stage codegen
+# and evaluates them with split (JIT-compiled) projection methods instead.
 ENGINE_CONF = {
     "spark.sql.session.timeZone": "UTC",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",

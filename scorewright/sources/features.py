@@ -16,10 +16,11 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scorewright.models.flow_plus import flow_plus
+from scorewright.functions.columns import literal_array_sql
 from scorewright.operators.lookup import lookup_rows
 from scorewright.sources.tables import read_table
 from scorewright.spec import Scorecard
@@ -64,61 +65,50 @@ def rare_knockout_columns(card: Scorecard) -> list[str]:
     return [c for c in card.knockout_inputs if c not in TOTALS and c not in TELCO_PARTS]
 
 
-def _null_if(cond: Column, value: Column) -> Column:
-    return F.when(cond, F.lit(None)).otherwise(value)
-
-
-def feature_columns(card: Scorecard, k: Column, ck: Column, nation: Column, orderdate: Column,
-                    n_lines: Column, n_supp: Column, qty: Column) -> dict[str, Column]:
-    cols: dict[str, Column] = {}
-
-    def mod(n: int) -> Column:
-        return k % F.lit(n)
-
-    cols["infocheck_id"] = _null_if(mod(1009) == 0, F.concat(F.lit("C"), k.cast("string")))
-    cols["informconf_id"] = F.concat(F.lit("I"), ck.cast("string"))
-    cols["pers_id"] = ck.cast("string")
-    cols["tipo_doc_id"] = nation % F.lit(3)
-
+def feature_sql(card: Scorecard) -> dict[str, str]:
+    """Spark SQL expression per view column over ``k``, ``ck``, ``nation``, ``od`` (order date),
+    ``n_lines``, ``n_supp``, ``qty``."""
+    cols: dict[str, str] = {
+        "infocheck_id": "CASE WHEN k % 1009 = 0 THEN NULL ELSE concat('C', CAST(k AS STRING)) END",
+        "informconf_id": "concat('I', CAST(ck AS STRING))",
+        "pers_id": "CAST(ck AS STRING)",
+        "tipo_doc_id": "nation % 3",
+    }
     for i, (name, stride) in enumerate(zip(rare_knockout_columns(card), RARE_KNOCKOUT_STRIDES)):
-        cols[name] = (F.when((k + F.lit(i)) % F.lit(13) == 0, F.lit(None))
-                      .when((k * F.lit(stride) + F.lit(i)) % F.lit(101) == F.lit(5 * i), F.lit(1))
-                      .otherwise(F.lit(0)))
-    total = (F.when(mod(19) == 0, F.lit(None)).when(mod(211) == 0, F.lit(3))
-             .when(mod(89) == 0, F.lit(2)).when(mod(23) == 0, F.lit(1)).otherwise(F.lit(0)))
+        cols[name] = (f"CASE WHEN (k + {i}) % 13 = 0 THEN NULL "
+                      f"WHEN (k * {stride} + {i}) % 101 = {5 * i} THEN 1 ELSE 0 END")
+    total = ("CASE WHEN k % 19 = 0 THEN NULL WHEN k % 211 = 0 THEN 3 WHEN k % 89 = 0 THEN 2 "
+             "WHEN k % 23 = 0 THEN 1 ELSE 0 END")
     for t in TOTALS:
         cols[t] = total
     for part in TELCO_PARTS:
-        cols[part] = F.when(mod(2) == 0, total).otherwise(F.lit(0))
-
-    cols["scorecard"] = F.when(mod(20) == 0, F.lit(None)).when(mod(41) == 0, F.lit(2)).otherwise(mod(2))
-    names = F.array(*[F.lit(n) for n in district_names(card)])
-    cols["distrito"] = (F.when(mod(29) == 0, F.lit(None)).when(mod(31) == 0, F.lit("NOWHERE"))
-                        .otherwise(F.element_at(names, (ck % F.lit(len(district_names(card))) + 1).cast("int"))))
-    cols["edad"] = _null_if(mod(17) == 0, F.lit(15) + mod(70))
-    cols["estado_civil"] = _null_if(mod(23) == 0, mod(10) - F.lit(1))
-    consult_day = F.date_sub(orderdate.cast("date"), mod(2000).cast("int"))
-    cols["ich_fecha_ult_cons_priv"] = (F.when(mod(7) == 0, F.lit("0")).when(mod(37) == 0, F.lit(None))
-                                       .otherwise(F.date_format(consult_day, "yyyy-MM-dd")))
-    cols["fecha_obs"] = _null_if(mod(503) == 0, F.date_format(orderdate.cast("date"), "yyyy-MM-dd"))
-    letters = F.array(*[F.lit(c) for c in BAND_LETTERS])
-    cols["max_flow"] = _null_if(mod(11) == 0, F.element_at(letters, (mod(15) + 1).cast("int")))
-    cols["p_saldo_vencido_ult_act"] = qty.cast("bigint") * F.lit(50000)
-    cols["inf_cons_cant_u1m"] = n_lines
-    cols["inf_cant_dist_afi_u6m"] = n_supp
-    cols["tc_max_dias_atraso_u6m"] = (F.when(mod(5) == 0, F.lit("N/A")).when(mod(499) == 0, F.lit("abc"))
-                                      .otherwise(mod(100).cast("string")))
-    cols["g_max_venc_ten_36"] = mod(5).cast("double") / F.lit(4.0) * F.lit(1.5)
-    cols["tc_prom_pmin_limcr_m1"] = mod(9).cast("double") / F.lit(16.0)
-    cols["situacion_bancaria"] = _null_if(mod(43) == 0, mod(4))
-
+        cols[part] = f"CASE WHEN k % 2 = 0 THEN {total} ELSE 0 END"
+    cols["scorecard"] = "CASE WHEN k % 20 = 0 THEN NULL WHEN k % 41 = 0 THEN 2 ELSE k % 2 END"
+    names = district_names(card)
+    cols["distrito"] = (f"CASE WHEN k % 29 = 0 THEN NULL WHEN k % 31 = 0 THEN 'NOWHERE' "
+                        f"ELSE element_at({literal_array_sql(names)}, CAST(ck % {len(names)} AS INT) + 1) END")
+    cols["edad"] = "CASE WHEN k % 17 = 0 THEN NULL ELSE 15 + k % 70 END"
+    cols["estado_civil"] = "CASE WHEN k % 23 = 0 THEN NULL ELSE k % 10 - 1 END"
+    cols["ich_fecha_ult_cons_priv"] = ("CASE WHEN k % 7 = 0 THEN '0' WHEN k % 37 = 0 THEN NULL ELSE "
+                                       "date_format(date_sub(CAST(od AS DATE), CAST(k % 2000 AS INT)), "
+                                       "'yyyy-MM-dd') END")
+    cols["fecha_obs"] = "CASE WHEN k % 503 = 0 THEN NULL ELSE date_format(CAST(od AS DATE), 'yyyy-MM-dd') END"
+    cols["max_flow"] = (f"CASE WHEN k % 11 = 0 THEN NULL ELSE "
+                        f"element_at({literal_array_sql(BAND_LETTERS)}, CAST(k % 15 AS INT) + 1) END")
+    cols["p_saldo_vencido_ult_act"] = "CAST(qty AS BIGINT) * 50000"
+    cols["inf_cons_cant_u1m"] = "n_lines"
+    cols["inf_cant_dist_afi_u6m"] = "n_supp"
+    cols["tc_max_dias_atraso_u6m"] = ("CASE WHEN k % 5 = 0 THEN 'N/A' WHEN k % 499 = 0 THEN 'abc' "
+                                      "ELSE CAST(k % 100 AS STRING) END")
+    cols["g_max_venc_ten_36"] = "CAST(k % 5 AS DOUBLE) / 4.0D * 1.5D"
+    cols["tc_prom_pmin_limcr_m1"] = "CAST(k % 9 AS DOUBLE) / 16.0D"
+    cols["situacion_bancaria"] = "CASE WHEN k % 43 = 0 THEN NULL ELSE k % 4 END"
     order = card.source_columns()
     for j, name in enumerate(order, start=1):
-        if name in cols:
-            continue
-        m = cap_modulus(card, name)
-        cols[name] = _null_if((k + F.lit(j)) % F.lit(13) == 0, (k * F.lit(2 * j + 1)) % F.lit(m) - F.lit(1))
-    return {name: cols[name].cast(column_type(name)) for name in order}
+        if name not in cols:
+            m = cap_modulus(card, name)
+            cols[name] = f"CASE WHEN (k + {j}) % 13 = 0 THEN NULL ELSE (k * {2 * j + 1}) % {m} - 1 END"
+    return {name: f"CAST({cols[name]} AS {column_type(name).upper()})" for name in order}
 
 
 def order_base(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -133,10 +123,14 @@ def order_base(spark: SparkSession, sf_dir: str) -> DataFrame:
             .join(customer, orders.o_custkey == customer.c_custkey, "left"))
 
 
+def _keyed(base: DataFrame) -> DataFrame:
+    return base.select(F.col("o_orderkey").alias("k"), F.col("o_custkey").alias("ck"),
+                       F.col("c_nationkey").alias("nation"), F.col("o_orderdate").alias("od"),
+                       "n_lines", "n_supp", "qty")
+
+
 def _view(base: DataFrame, card: Scorecard) -> DataFrame:
-    cols = feature_columns(card, F.col("o_orderkey"), F.col("o_custkey"), F.col("c_nationkey"),
-                           F.col("o_orderdate"), F.col("n_lines"), F.col("n_supp"), F.col("qty"))
-    return base.select(*[c.alias(n) for n, c in cols.items()])
+    return _keyed(base).select(*[F.expr(e).alias(n) for n, e in feature_sql(card).items()])
 
 
 def indicators(spark: SparkSession, sf_dir: str, card: Scorecard | None = None) -> DataFrame:
@@ -153,9 +147,7 @@ def indicators_dup(spark: SparkSession, sf_dir: str, card: Scorecard | None = No
 def indicators_with_archive(spark: SparkSession, sf_dir: str, card: Scorecard | None = None) -> DataFrame:
     """The view plus ``archive`` = last Saturday on or before the order date, as YYYYMMDD int."""
     from scorewright.functions.calendar import archive_int, run_date
-    base = order_base(spark, sf_dir)
-    view_cols = feature_columns(card or flow_plus(), F.col("o_orderkey"), F.col("o_custkey"),
-                                F.col("c_nationkey"), F.col("o_orderdate"), F.col("n_lines"),
-                                F.col("n_supp"), F.col("qty"))
-    archive = archive_int(run_date(F.col("o_orderdate").cast("date")))
-    return base.select(*[c.alias(n) for n, c in view_cols.items()], archive.alias("archive"))
+    keyed = _keyed(order_base(spark, sf_dir))
+    archive = archive_int(run_date(F.col("od").cast("date")))
+    return keyed.select(*[F.expr(e).alias(n) for n, e in feature_sql(card or flow_plus()).items()],
+                        archive.alias("archive"))
