@@ -34,3 +34,66 @@ ORACLE: dict[str, str] = {
     "duplicate_keys": with_view(f"SELECT {KEYS}, count(*) AS n_rows FROM indicators GROUP BY {KEYS} "
                                 "HAVING count(*) > 1", dup=True),
 }
+
+# --------------------------------------------------------------------------- publishing
+
+from oracle.sql import FIXED_RUN_TS, NUMERIC_DOMAIN, PERSON_DOMAIN, STAGING60, _tok  # noqa: E402
+
+RUN_ARCHIVE = ("(SELECT CAST(strftime(d - CAST((dayofweek(d) + 1) % 7 AS INTEGER), '%Y%m%d') AS INTEGER) "
+               "FROM (SELECT CAST(max(try_strptime(fecha_obs, '%Y-%m-%d')) AS DATE) AS d FROM indicators))")
+STAMP = f"'{FIXED_RUN_TS}' AS time_stamp"
+
+
+def _staging(archv: str, tokens: int = 0) -> str:
+    cols = STAGING60
+    if tokens:
+        for c, dom in (("infocheck_id", NUMERIC_DOMAIN), ("informconf_id", NUMERIC_DOMAIN),
+                       ("pers_id", PERSON_DOMAIN)):
+            cols = cols.replace(f"{c},", f"{_tok(c, dom, tokens)} AS {c},", 1)
+    return f"{cols}, CAST({archv} AS INTEGER) AS archv, {STAMP}"
+
+
+SLIM = ("infocheck_id, informconf_id, pers_id, tipo_doc_id, edad, max_flow, CAST(NULL AS VARCHAR) AS sexo, "
+        "fecha_obs, score_pos, flow_pos")
+CLOSES = "month(CAST(strptime(CAST({a} AS VARCHAR), '%Y%m%d') AS DATE)) != " \
+         "month(CAST(strptime(CAST({a} AS VARCHAR), '%Y%m%d') AS DATE) + 7)"
+DAY = "CAST(try_strptime(fecha_obs, '%Y-%m-%d') AS DATE)"
+
+ORACLE.update({
+    "csv_roundtrip": with_scoring(f"SELECT {RAW57} FROM scored"),
+    "stage_snapshot": with_scoring(f"SELECT {_staging(RUN_ARCHIVE)} FROM scored"),
+    "publish_current": with_scoring(f"SELECT {_staging(RUN_ARCHIVE)} FROM scored"),
+    "publish_slim": with_scoring(f"SELECT {SLIM}, CAST({RUN_ARCHIVE} AS INTEGER) AS archv, {STAMP}, "
+                                 f"CAST({RUN_ARCHIVE} AS INTEGER) AS archive FROM scored"),
+    "publish_weekly": with_scoring(f"SELECT {_staging(RUN_ARCHIVE, 1)}, CAST({RUN_ARCHIVE} AS INTEGER) AS archive "
+                                   "FROM scored"),
+    "publish_monthly": with_scoring(f"SELECT {_staging(RUN_ARCHIVE, 1)}, CAST({RUN_ARCHIVE} AS INTEGER) AS archive "
+                                    f"FROM scored WHERE {CLOSES.format(a=RUN_ARCHIVE)}"),
+    "tokenize": with_view(f"SELECT {KEYS}, {_tok('infocheck_id', NUMERIC_DOMAIN)} AS infocheck_id_token, "
+                          f"{_tok('informconf_id', NUMERIC_DOMAIN)} AS informconf_id_token, "
+                          f"{_tok('pers_id', PERSON_DOMAIN)} AS pers_id_token FROM indicators"),
+    "tokenize_twice": with_view(f"SELECT {KEYS}, {_tok('infocheck_id', NUMERIC_DOMAIN, 2)} AS infocheck_id_token, "
+                                f"{_tok('informconf_id', NUMERIC_DOMAIN, 2)} AS informconf_id_token, "
+                                f"{_tok('pers_id', PERSON_DOMAIN, 2)} AS pers_id_token FROM indicators"),
+    "archive_calendar": with_view(
+        "SELECT DISTINCT d AS obs_date, "
+        "CAST(strftime(d - CAST((dayofweek(d) + 1) % 7 AS INTEGER), '%Y%m%d') AS INTEGER) AS archive, "
+        "CAST(strftime(d, '%Y%m01') AS INTEGER) AS first_archive "
+        f"FROM (SELECT {DAY} AS d FROM indicators) WHERE d IS NOT NULL"),
+    "month_closing": with_view(f"SELECT DISTINCT archive, {CLOSES.format(a='archive')} AS closes_month "
+                               "FROM indicators", with_archive=True),
+    "freshness": with_view(
+        f"SELECT last_obs, CAST(date_diff('day', last_obs, DATE '2001-08-04') AS INTEGER) AS age_days, "
+        f"coalesce(date_diff('day', last_obs, DATE '2001-08-04') < 4, false) AS fresh "
+        f"FROM (SELECT max({DAY}) AS last_obs FROM indicators)"),
+    "pending_archives": with_view("SELECT DISTINCT archive FROM indicators WHERE archive >= 19980101",
+                                  with_archive=True),
+    "backfill_slim": with_scoring(f"SELECT {SLIM}, archive AS archv, {STAMP}, archive FROM scored",
+                                  with_archive=True),
+    "retention": with_scoring(
+        f"SELECT {_tok('infocheck_id', NUMERIC_DOMAIN)} AS infocheck_id, "
+        f"{_tok('informconf_id', NUMERIC_DOMAIN)} AS informconf_id, {_tok('pers_id', PERSON_DOMAIN)} AS pers_id, "
+        "tipo_doc_id, score_pos, flow_pos, archive FROM scored "
+        "WHERE archive IN (SELECT DISTINCT archive FROM scored ORDER BY archive DESC LIMIT 12)",
+        with_archive=True),
+})

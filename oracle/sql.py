@@ -62,7 +62,11 @@ GENERIC = [(24, "ich_ch_re_cant_i_fond", 5, "BIGINT"), (25, "ich_cons_cant_total
            (54, "tc_svenc_sdot_gt0_u12m", 6, "BIGINT")]
 
 
-def _view_sql(dup: bool = False) -> str:
+ARCHIVE_OF_OD = ("CAST(strftime(CAST(od AS DATE) - CAST((dayofweek(od) + 1) % 7 AS INTEGER), '%Y%m%d') "
+                 "AS INTEGER)")
+
+
+def _view_sql(dup: bool = False, with_archive: bool = False) -> str:
     names, n_names = _district_list_sql()
     total = "CASE WHEN k % 19 = 0 THEN NULL WHEN k % 211 = 0 THEN 3 WHEN k % 89 = 0 THEN 2 WHEN k % 23 = 0 THEN 1 ELSE 0 END"
     cols = {
@@ -97,6 +101,8 @@ def _view_sql(dup: bool = False) -> str:
     cols["situacion_bancaria"] = "CAST(CASE WHEN k % 43 = 0 THEN NULL ELSE k % 4 END AS INTEGER)"
     for j, name, m, typ in GENERIC:
         cols[name] = f"CAST(CASE WHEN (k + {j}) % 13 = 0 THEN NULL ELSE (k * {2 * j + 1}) % {m} - 1 END AS {typ})"
+    if with_archive:
+        cols["archive"] = ARCHIVE_OF_OD
     select = ",\n    ".join(f"{e} AS {n}" for n, e in cols.items())
     orders = "orders" if not dup else "(SELECT * FROM orders UNION ALL SELECT * FROM orders WHERE o_orderkey % 100 = 0)"
     return f"""per_order AS (
@@ -324,12 +330,16 @@ def scoring_ctes(source: str = "indicators", auto_units: bool = False) -> str:
     return ",\n".join(parts)
 
 
-def with_scoring(select: str, dup: bool = False, auto_units: bool = False) -> str:
-    return f"WITH {_view_sql(dup)},\n{scoring_ctes(auto_units=auto_units)}\n{select}"
+SCORED_CTE = "scored AS (SELECT raw.* EXCLUDE (rid), bnd.score_pos, bnd.flow_pos FROM raw JOIN bnd USING (rid))"
+
+
+def with_scoring(select: str, dup: bool = False, auto_units: bool = False, with_archive: bool = False) -> str:
+    return (f"WITH {_view_sql(dup, with_archive)},\n{scoring_ctes(auto_units=auto_units)},\n{SCORED_CTE}\n"
+            f"{select}")
 
 
-def with_view(select: str, dup: bool = False) -> str:
-    return f"WITH {_view_sql(dup)}\n{select}"
+def with_view(select: str, dup: bool = False, with_archive: bool = False) -> str:
+    return f"WITH {_view_sql(dup, with_archive)}\n{select}"
 
 
 RAW57 = VIEW_COLUMNS + ", score_pos, flow_pos"

@@ -10,7 +10,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import datetime as dt
+import uuid
+
+from scorewright.functions.calendar import archive_int, first_of_month, month_closing, run_date
 from scorewright.functions.columns import round9
+from scorewright.functions.tokens import token_column_sql
+from scorewright.plans import ledger as L
+from scorewright.plans.freshness import freshness as freshness_gate
+from scorewright.plans.job import JobConfig, backfill, run_archive
+from scorewright.plans.layout import TOKENIZED
+from scorewright.plans.publish import Layout, Zones
+from scorewright.session import scratch_path
+from scorewright.sources.features import indicators_with_archive
+from scorewright.sources.raw_text import land_text, read_text
 from scorewright.models.flow_plus import flow_plus
 from scorewright.operators.keys import duplicate_keys, score_join_compat
 from scorewright.operators.score import score, score_append, source_projection, working_frame
@@ -103,6 +116,126 @@ def duplicate_keys_q(spark, sf_dir):
     return duplicate_keys(indicators_dup(spark, sf_dir), KEYS)
 
 
+# --------------------------------------------------------------------------- publishing
+
+RUN_TS = "2001-08-04 06:00:00"        # fixed load stamp so reruns and checks are repeatable
+TOKEN_KEY = "scorewright-test-key"    # tests only; a deployment passes its own secret
+FRESHNESS_AS_OF = dt.date(2001, 8, 4)
+
+
+def _isolated_layout() -> Layout:
+    tag = uuid.uuid4().hex[:10]
+    return Layout(zones=Zones(f"sw{tag}_ops", f"sw{tag}_staging", f"sw{tag}_prod"))
+
+
+def _last_observation(features: DataFrame) -> dt.date:
+    return features.agg(F.max(F.try_to_date("fecha_obs", "yyyy-MM-dd")).alias("d")).first()["d"]
+
+
+def _run(spark: SparkSession, sf_dir: str, tables: tuple[str, ...]) -> Layout:
+    """One weekly run over the whole view; "today" = the last observation date in the data."""
+    features = indicators(spark, sf_dir)
+    cfg = JobConfig(as_of=_last_observation(features), env="prod", run_ts=RUN_TS, token_key=TOKEN_KEY,
+                    tables=tables, layout=_isolated_layout())
+    result = run_archive(spark, features, cfg, CARD)
+    if result["status"] != "published":
+        raise RuntimeError(result)
+    return cfg.layout
+
+
+def stage_snapshot(spark, sf_dir):
+    lay = _run(spark, sf_dir, ())
+    return spark.table(lay.qualified("staging", lay.staging))
+
+
+def publish_current_q(spark, sf_dir):
+    lay = _run(spark, sf_dir, ("current",))
+    return spark.table(lay.qualified("prod", lay.current.name))
+
+
+def publish_slim_q(spark, sf_dir):
+    lay = _run(spark, sf_dir, ("slim",))
+    return spark.table(lay.qualified("prod", lay.slim.name))
+
+
+def publish_weekly_q(spark, sf_dir):
+    lay = _run(spark, sf_dir, ("weekly",))
+    return spark.table(lay.qualified("prod", lay.weekly.name))
+
+
+def publish_monthly_q(spark, sf_dir):
+    lay = _run(spark, sf_dir, ("monthly",))
+    return spark.table(lay.qualified("prod", lay.monthly.name))
+
+
+def csv_roundtrip(spark, sf_dir):
+    scored = score_append(source_projection(indicators(spark, sf_dir), CARD), CARD)
+    return read_text(spark, land_text(scored, scratch_path(spark, "landing") + "/data/archive=0"))
+
+
+def _tokens(spark, sf_dir, passes):
+    view = indicators(spark, sf_dir)
+    toks = [F.expr(token_column_sql(c, d, TOKEN_KEY, passes)).alias(f"{c}_token") for c, d in TOKENIZED.items()]
+    return view.select(*KEYS, *toks)
+
+
+def tokenize(spark, sf_dir):
+    return _tokens(spark, sf_dir, 1)
+
+
+def tokenize_twice(spark, sf_dir):
+    return _tokens(spark, sf_dir, 2)
+
+
+def archive_calendar(spark, sf_dir):
+    days = (indicators(spark, sf_dir).select(F.try_to_date("fecha_obs", "yyyy-MM-dd").alias("obs_date"))
+            .where(F.col("obs_date").isNotNull()).distinct())
+    return days.select("obs_date",
+                       archive_int(run_date(F.col("obs_date"))).alias("archive"),
+                       archive_int(first_of_month(F.col("obs_date"))).alias("first_archive"))
+
+
+def month_closing_q(spark, sf_dir):
+    archives = indicators_with_archive(spark, sf_dir, CARD).select("archive").distinct()
+    day = F.to_date(F.col("archive").cast("string"), "yyyyMMdd")
+    return archives.select("archive", month_closing(day).alias("closes_month"))
+
+
+def freshness_q(spark, sf_dir):
+    return freshness_gate(indicators(spark, sf_dir), FRESHNESS_AS_OF, 4)
+
+
+def pending_archives(spark, sf_dir):
+    """Archives in the data without a ledger entry; the ledger holds the archives before 1998."""
+    lay = _isolated_layout()
+    from scorewright.plans.publish import ensure_zones
+    ensure_zones(spark, lay)
+    ledger = L.ensure_ledger(spark, lay.qualified("ops", "run_ledger"), lay.location(spark, "ops", "run_ledger"))
+    candidates = indicators_with_archive(spark, sf_dir, CARD).select("archive")
+    (candidates.where(F.col("archive") < 19980101).distinct()
+     .select("archive", F.lit("job").alias("table_name"), F.lit(None).cast("long").alias("rows"),
+             F.to_timestamp(F.lit(RUN_TS)).alias("run_ts"))
+     .write.insertInto(ledger))
+    return L.pending(candidates, spark.table(ledger))
+
+
+def _backfill(spark, sf_dir, tables, keep):
+    lay = _isolated_layout()
+    cfg = JobConfig(as_of=FRESHNESS_AS_OF, env="prod", run_ts=RUN_TS, token_key=TOKEN_KEY, tables=tables, layout=lay)
+    backfill(spark, indicators_with_archive(spark, sf_dir, CARD), cfg, CARD, keep=keep)
+    return lay
+
+
+def backfill_slim(spark, sf_dir):
+    lay = _backfill(spark, sf_dir, ("slim",), {"slim": None})
+    return spark.table(lay.qualified("prod", lay.slim.name))
+
+
+def retention_q(spark, sf_dir):
+    lay = _backfill(spark, sf_dir, ("weekly",), {"weekly": 12})
+    return spark.table(lay.qualified("prod", lay.weekly.name)).select(*KEYS, "score_pos", "flow_pos", "archive")
+
+
 QUERIES = {
     "feature_scan": feature_scan,
     "knockout": knockout,
@@ -121,4 +254,18 @@ QUERIES = {
     "score_append": score_append_q,
     "score_join_compat": score_join_compat_q,
     "duplicate_keys": duplicate_keys_q,
+    "csv_roundtrip": csv_roundtrip,
+    "stage_snapshot": stage_snapshot,
+    "publish_current": publish_current_q,
+    "publish_slim": publish_slim_q,
+    "publish_weekly": publish_weekly_q,
+    "publish_monthly": publish_monthly_q,
+    "tokenize": tokenize,
+    "tokenize_twice": tokenize_twice,
+    "archive_calendar": archive_calendar,
+    "month_closing": month_closing_q,
+    "freshness": freshness_q,
+    "pending_archives": pending_archives,
+    "backfill_slim": backfill_slim,
+    "retention": retention_q,
 }
