@@ -46,10 +46,12 @@ def band_table(card: Scorecard) -> tuple[int, list]:
 def band_sql(card: Scorecard, score: str = "score_pos") -> str:
     """One array lookup by integer score.  A CASE chain would read the score 28 times, and a
     filter on the band pushed below the scoring projections would inline the whole score
-    computation that often; the lookup reads it once.  Out-of-range or null score -> null."""
+    computation that often; the lookup reads it twice.  Out-of-range or null score -> null."""
     first, letters = band_table(card)
     table = literal_array_sql("" if x is None else x for x in letters)
-    return f"nullif(try_element_at({table}, {ident(score)} - {first - 1}), {text('')})"
+    idx = f"{ident(score)} - {first - 1}"
+    # element_at counts negative indexes from the end and rejects 0: below-range -> null index
+    return f"nullif(try_element_at({table}, IF({idx} > 0, {idx}, NULL)), {text('')})"
 
 
 def band(df: DataFrame, card: Scorecard, name: str = "flow_pos") -> DataFrame:

@@ -49,6 +49,7 @@ class JobConfig:
     run_ts: str | None = None              # fixed load stamp for repeatable reruns
     token_key: str = ""                    # deployment secret for key tokens
     land_text: bool = False                # also land the scored rows as delimited text
+    force: bool = False                    # run even when the ledger has the archive
     tables: tuple[str, ...] = ("current", "slim", "weekly", "monthly")
     layout: Layout = field(default_factory=Layout)
 
@@ -89,7 +90,7 @@ def run_archive(spark: SparkSession, features: DataFrame, cfg: JobConfig,
     layout = cfg.profile_layout()
     archive = cfg.resolved_archive(spark)
     ledger = _ledger_table(spark, layout)
-    if L.is_done(spark, ledger, archive):
+    if not cfg.force and L.is_done(spark, ledger, archive):
         return {"archive": archive, "status": "skipped: already run"}
     if cfg.precedence:
         gate = freshness(features, cfg.as_of, cfg.max_age_days).first()
