@@ -66,18 +66,24 @@ def replace_columns(df: DataFrame, new: dict[str, Column | str],
                     add: dict[str, Column | str] | None = None) -> DataFrame:
     """One ``select`` layer: overwrite ``new`` in place (keeping column order), append ``add``.
 
-    Values are Columns or SQL expression text.  Every expression reads the
+    Values are SQL expression text (or Columns).  Every expression reads the
     *previous* layer's values, so a layer never sees a value it overwrites
     itself -- callers split dependent steps into layers.  An ``add`` name that
-    already exists is overwritten in place.
+    already exists is overwritten in place.  An all-text layer is one
+    ``selectExpr`` call: a single driver round trip however wide the frame is.
     """
-    missing = set(new) - set(df.columns)
+    columns = df.columns
+    missing = set(new) - set(columns)
     if missing:
         raise KeyError(f"columns not in frame: {sorted(missing)}")
-    merged = {k: (F.expr(v) if isinstance(v, str) else v) for k, v in {**new, **(add or {})}.items()}
-    cols = [merged[c].alias(c) if c in merged else F.col(c) for c in df.columns]
-    extra = [merged[n].alias(n) for n in (add or {}) if n not in df.columns]
-    return df.select(*cols, *extra)
+    merged = {**new, **(add or {})}
+    extra = [n for n in (add or {}) if n not in columns]
+    if all(isinstance(v, str) for v in merged.values()):
+        exprs = [f"{merged[c]} AS {ident(c)}" if c in merged else ident(c) for c in columns]
+        return df.selectExpr(*exprs, *[f"{merged[n]} AS {ident(n)}" for n in extra])
+    as_col = {k: (F.expr(v) if isinstance(v, str) else v) for k, v in merged.items()}
+    cols = [as_col[c].alias(c) if c in as_col else F.col(c) for c in columns]
+    return df.select(*cols, *[as_col[n].alias(n) for n in extra])
 
 
 def round9(c: Column) -> Column:

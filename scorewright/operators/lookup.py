@@ -37,7 +37,18 @@ def lookup_rows(resource: str, key: str) -> tuple[tuple[float, str, float], ...]
     return rows
 
 
+_TABLES: dict[tuple[int, str, str], DataFrame] = {}
+
+
 def lookup_table(spark: SparkSession, lk: Lookup) -> DataFrame:
+    """The lookup rows as a small DataFrame, built once per session."""
+    key = (id(spark), lk.table, lk.key)
+    if key not in _TABLES:
+        _TABLES[key] = _build_table(spark, lk)
+    return _TABLES[key]
+
+
+def _build_table(spark: SparkSession, lk: Lookup) -> DataFrame:
     schema = StructType([StructField("__lk_sc", DoubleType(), False),
                          StructField("__lk_key", StringType(), False),
                          StructField("__lk_w", DoubleType(), False)])

@@ -128,14 +128,10 @@ def _isolated_layout() -> Layout:
     return Layout(zones=Zones(f"sw{tag}_ops", f"sw{tag}_staging", f"sw{tag}_prod"))
 
 
-def _last_observation(features: DataFrame) -> dt.date:
-    return features.agg(F.max(F.try_to_date("fecha_obs", "yyyy-MM-dd")).alias("d")).first()["d"]
-
-
 def _run(spark: SparkSession, sf_dir: str, tables: tuple[str, ...]) -> Layout:
     """One weekly run over the whole view; "today" = the last observation date in the data."""
     features = indicators(spark, sf_dir)
-    cfg = JobConfig(as_of=_last_observation(features), env="prod", run_ts=RUN_TS, token_key=TOKEN_KEY,
+    cfg = JobConfig(as_of=None, env="prod", run_ts=RUN_TS, token_key=TOKEN_KEY,
                     tables=tables, layout=_isolated_layout())
     result = run_archive(spark, features, cfg, CARD)
     if result["status"] != "published":

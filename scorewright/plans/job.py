@@ -39,7 +39,7 @@ RETENTION = {"dev": (2, 2, 3), "prod": (60, 12, 60)}
 
 @dataclass(frozen=True)
 class JobConfig:
-    as_of: dt.date                         # "today" of the run
+    as_of: dt.date | None                  # "today" of the run; None = the last observation date
     env: str = "dev"
     archive: int | None = None             # default: latest run weekday on or before as_of
     first: bool = False                    # first-of-month run: archive YYYYMM01
@@ -53,10 +53,10 @@ class JobConfig:
     tables: tuple[str, ...] = ("current", "slim", "weekly", "monthly")
     layout: Layout = field(default_factory=Layout)
 
-    def resolved_archive(self, spark: SparkSession) -> int:
+    def resolved_archive(self, spark: SparkSession, as_of: dt.date) -> int:
         if self.archive is not None:
             return int(self.archive)
-        day = F.lit(self.as_of)
+        day = F.lit(as_of)
         expr = F.trunc(day, "MM") if self.first else run_date(day, self.weekday)
         return int(spark.range(1).select(archive_int(expr).alias("a")).first()["a"])
 
@@ -88,14 +88,22 @@ def run_archive(spark: SparkSession, features: DataFrame, cfg: JobConfig,
     apply_engine_conf(spark)
     card = card or flow_plus()
     layout = cfg.profile_layout()
-    archive = cfg.resolved_archive(spark)
+    as_of = cfg.as_of
+    gate = None
+    if cfg.precedence or as_of is None:
+        # one aggregate over the observation date answers both "today" (when not given) and the gate
+        gate = freshness(features, as_of or dt.date(1970, 1, 1), cfg.max_age_days).first()
+        if as_of is None:
+            if gate["last_obs"] is None:
+                return {"archive": None, "status": "stopped: no observations"}
+            as_of = gate["last_obs"]
+            gate = {"fresh": True, "age_days": 0}
+    archive = cfg.resolved_archive(spark, as_of)
     ledger = _ledger_table(spark, layout)
     if not cfg.force and L.is_done(spark, ledger, archive):
         return {"archive": archive, "status": "skipped: already run"}
-    if cfg.precedence:
-        gate = freshness(features, cfg.as_of, cfg.max_age_days).first()
-        if not gate["fresh"]:
-            return {"archive": archive, "status": f"stopped: features {gate['age_days']} days old"}
+    if cfg.precedence and not gate["fresh"]:
+        return {"archive": archive, "status": f"stopped: features {gate['age_days']} days old"}
 
     scored = score_for_publish(features, card)
     if cfg.land_text:
