@@ -121,6 +121,9 @@ def order_base(spark: SparkSession, sf_dir: str) -> DataFrame:
               .repartition(n_parts, "o_orderkey"))
     customer = read_table(spark, sf_dir, "customer", "c_custkey", "c_nationkey")
     lineitem = read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_suppkey", "l_quantity")
+    # No repartition before this aggregate on purpose: the distinct count plans as a partial
+    # aggregate by (l_orderkey, l_suppkey) before any shuffle, so even an order holding a third of
+    # all lines reaches the exchanges pre-aggregated.
     per_order = (lineitem.groupBy("l_orderkey")
                  .agg(F.count(F.lit(1)).alias("n_lines"),
                       F.countDistinct("l_suppkey").alias("n_supp"),
