@@ -16,10 +16,17 @@ from scorewright.functions.columns import flag, ident, num, replace_columns, tex
 from scorewright.spec import InSetFlag, Scorecard, SecondsBetween
 
 
+def _parse_sql(column: str, fmt: str) -> str:
+    # The ISO form goes through Spark's native date-time parser (TRY_CAST: fast, null on bad
+    # text, and like R it also takes "yyyy-MM-dd HH:mm:ss"); other formats use a pattern.
+    if fmt == "yyyy-MM-dd":
+        return f"TRY_CAST({ident(column)} AS TIMESTAMP)"
+    return f"try_to_timestamp({ident(column)}, {text(fmt)})"
+
+
 def raw_seconds_sql(spec: SecondsBetween) -> str:
-    fmt = text(spec.fmt)
-    return (f"CAST(unix_seconds(try_to_timestamp({ident(spec.end)}, {fmt})) - "
-            f"unix_seconds(try_to_timestamp({ident(spec.start)}, {fmt})) AS DOUBLE)")
+    return (f"CAST(unix_seconds({_parse_sql(spec.end, spec.fmt)}) - "
+            f"unix_seconds({_parse_sql(spec.start, spec.fmt)}) AS DOUBLE)")
 
 
 def batch_unit_seconds(df: DataFrame, spec: SecondsBetween) -> float:

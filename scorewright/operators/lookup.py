@@ -16,9 +16,8 @@ from importlib import resources
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from scorewright.functions.columns import num, replace_columns, selector_is, when_chain
+from scorewright.functions.columns import num, replace_columns, selector_is, text, when_chain
 from scorewright.spec import Lookup, Scorecard
 
 MAX_BROADCAST_ROWS = 200_000
@@ -49,10 +48,10 @@ def lookup_table(spark: SparkSession, lk: Lookup) -> DataFrame:
 
 
 def _build_table(spark: SparkSession, lk: Lookup) -> DataFrame:
-    schema = StructType([StructField("__lk_sc", DoubleType(), False),
-                         StructField("__lk_key", StringType(), False),
-                         StructField("__lk_w", DoubleType(), False)])
-    return spark.createDataFrame(list(lookup_rows(lk.table, lk.key)), schema)
+    # A literal VALUES relation lives in the JVM (LocalTableScan): broadcasting it needs no job and
+    # no Python worker, unlike a DataFrame created from a Python list (a Python RDD scan).
+    values = ", ".join(f"({num(sc)}, {text(k)}, {num(w)})" for sc, k, w in lookup_rows(lk.table, lk.key))
+    return spark.sql(f"SELECT * FROM VALUES {values} AS t(__lk_sc, __lk_key, __lk_w)")
 
 
 def lookup_default_sql(card: Scorecard, lk: Lookup) -> str:
