@@ -84,7 +84,9 @@ def score_for_publish(features: DataFrame, card: Scorecard) -> DataFrame:
 
 
 def run_archive(spark: SparkSession, features: DataFrame, cfg: JobConfig,
-                card: Scorecard | None = None) -> dict:
+                card: Scorecard | None = None, probe: DataFrame | None = None) -> dict:
+    """``probe``: table the freshness gate reads (default: ``features``).  For a first-of-month
+    run it is filtered to the run's archive partition (partition pruning)."""
     apply_engine_conf(spark)
     card = card or flow_plus()
     layout = cfg.profile_layout()
@@ -92,7 +94,11 @@ def run_archive(spark: SparkSession, features: DataFrame, cfg: JobConfig,
     gate = None
     if cfg.precedence or as_of is None:
         # one aggregate over the observation date answers both "today" (when not given) and the gate
-        gate = freshness(features, as_of or dt.date(1970, 1, 1), cfg.max_age_days).first()
+        probe_archive = None
+        if probe is not None and cfg.first and cfg.archive is None and as_of is not None:
+            probe_archive = cfg.resolved_archive(spark, as_of)
+        gate = freshness(features if probe is None else probe, as_of or dt.date(1970, 1, 1), cfg.max_age_days,
+                         archive=probe_archive).first()
         if as_of is None:
             if gate["last_obs"] is None:
                 return {"archive": None, "status": "stopped: no observations"}

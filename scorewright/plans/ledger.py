@@ -26,9 +26,11 @@ def ensure_ledger(spark: SparkSession, table: str, location: str) -> str:
 
 def record(spark: SparkSession, table: str, archive: int, entries: dict[str, int | None],
            run_ts: datetime | None = None) -> None:
-    ts = run_ts or datetime.now(timezone.utc).replace(tzinfo=None)
-    rows = [(int(archive), name, None if n is None else int(n), ts) for name, n in entries.items()]
-    spark.createDataFrame(rows, LEDGER_SCHEMA).write.insertInto(table)
+    ts = (run_ts or datetime.now(timezone.utc).replace(tzinfo=None)).strftime("%Y-%m-%d %H:%M:%S")
+    # a literal VALUES relation: no Python-side DataFrame, no Python worker
+    values = ", ".join(f"({int(archive)}, '{name}', {'NULL' if n is None else int(n)}, TIMESTAMP '{ts}')"
+                       for name, n in entries.items())
+    spark.sql(f"INSERT INTO {table} SELECT * FROM VALUES {values} AS t(archive, table_name, rows, run_ts)")
 
 
 def is_done(spark: SparkSession, table: str, archive: int, step: str = "job") -> bool:

@@ -83,3 +83,28 @@ def test_text_round_trip_keeps_quotes_latin1_and_separator(spark, tmp_path):
     back = read_text(spark, land_text(df, str(tmp_path / "land"))).first()
     assert (back.infocheck_id, back.pers_id, back.distrito, back.score_pos, back.edad) == ('a"b', "x|y", "ÑEMBY", 5, 30)
     assert back.informconf_id is None
+
+
+def test_freshness_probe_prunes_to_one_partition(spark, tmp_path):
+    from scorewright.plans.freshness import freshness
+    path = str(tmp_path / "indicators_weekly")
+    spark.createDataFrame([("2001-07-30", 20010701), ("2001-06-28", 20010601)], "fecha_obs string, archive int") \
+        .write.partitionBy("archive").parquet(path)
+    probe = spark.read.parquet(path)
+    df = freshness(probe, dt.date(2001, 8, 1), 4, archive=20010701)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(archive" in plan and "= 20010701" in plan
+    row = df.first()
+    assert row.age_days == 2 and row.fresh
+    assert not freshness(probe, dt.date(2001, 8, 1), 4, archive=20010601).first().fresh
+
+
+def test_first_of_month_run_uses_probe(spark, tmp_path):
+    path = str(tmp_path / "probe")
+    spark.createDataFrame([("2001-08-01", 20010801)], "fecha_obs string, archive int") \
+        .write.partitionBy("archive").parquet(path)
+    lay = _layout()
+    cfg = JobConfig(as_of=dt.date(2001, 8, 3), first=True, env="dev", run_ts="2001-08-03 06:00:00",
+                    layout=lay, tables=("slim",))
+    out = run_archive(spark, indicators(spark, SF), cfg, flow_plus(), probe=spark.read.parquet(path))
+    assert out["archive"] == 20010801 and out["status"] == "published"
