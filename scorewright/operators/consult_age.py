@@ -17,16 +17,17 @@ from scorewright.spec import InSetFlag, Scorecard, SecondsBetween
 
 
 def _parse_sql(column: str, fmt: str) -> str:
-    # The ISO form goes through Spark's native date-time parser (TRY_CAST: fast, null on bad
-    # text, and like R it also takes "yyyy-MM-dd HH:mm:ss"); other formats use a pattern.
+    # Wall-clock timestamps without a zone, so the difference never depends on the session time
+    # zone (no daylight-saving hour).  The ISO form goes through Spark's native parser (TRY_CAST:
+    # fast, null on bad text, and like R it also takes "yyyy-MM-dd HH:mm:ss").
     if fmt == "yyyy-MM-dd":
-        return f"TRY_CAST({ident(column)} AS TIMESTAMP)"
-    return f"try_to_timestamp({ident(column)}, {text(fmt)})"
+        return f"TRY_CAST({ident(column)} AS TIMESTAMP_NTZ)"
+    return f"try_to_timestamp({ident(column)}, {text(fmt)})::TIMESTAMP_NTZ"
 
 
 def raw_seconds_sql(spec: SecondsBetween) -> str:
-    return (f"CAST(unix_seconds({_parse_sql(spec.end, spec.fmt)}) - "
-            f"unix_seconds({_parse_sql(spec.start, spec.fmt)}) AS DOUBLE)")
+    return (f"CAST(timestampdiff(SECOND, {_parse_sql(spec.start, spec.fmt)}, "
+            f"{_parse_sql(spec.end, spec.fmt)}) AS DOUBLE)")
 
 
 def batch_unit_seconds(df: DataFrame, spec: SecondsBetween) -> float:

@@ -183,3 +183,14 @@ def test_compat_join_null_keys_and_fanout(spark):
 def test_score_keys_shape(spark):
     out = score(rows(spark, {"id": "a"}), CARD, keys=list(CARD.keys))
     assert out.columns == list(CARD.keys) + ["score_pos", "flow_pos"]
+
+
+def test_consult_age_ignores_session_time_zone(spark):
+    previous = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Asuncion")
+    try:
+        out = work(spark, {"id": "dst", "ich_fecha_ult_cons_priv": "2020-09-01", "fecha_obs": "2020-11-01"},
+                   upto="consult_age")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", previous)
+    assert out["dst"]["fecha_ult_cons_privdia"] == 61 * 86400
