@@ -30,7 +30,7 @@ from scorewright.plans.publish import (Layout, TableSpec, ensure_zones, publish_
                                        staged, write_staging)
 from scorewright.plans.retention import retain
 from scorewright.session import apply_engine_conf
-from scorewright.sources.raw_text import land_text, read_text
+from scorewright.sources.raw_text import land_text, register_text_table
 from scorewright.spec import Scorecard
 
 # Partitions kept per table (slim, weekly, monthly) in each profile.
@@ -113,8 +113,13 @@ def run_archive(spark: SparkSession, features: DataFrame, cfg: JobConfig,
 
     scored = score_for_publish(features, card)
     if cfg.land_text:
+        # Land as delimited text, (re)create the external text table over it, read it back
+        ensure_zones(spark, layout)
         path = layout.location(spark, "ops", layout.raw) + f"/data/archive={archive}"
-        scored = read_text(spark, land_text(scored, path))
+        land_text(scored, path)
+        raw_table = layout.qualified("ops", layout.raw)
+        register_text_table(spark, raw_table, path)
+        scored = spark.table(raw_table)
     run_ts = cfg.run_ts or dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
     staging = write_staging(spark, layout, staged(scored.select(*RAW), archive, run_ts))
 

@@ -108,3 +108,16 @@ def test_first_of_month_run_uses_probe(spark, tmp_path):
                     layout=lay, tables=("slim",))
     out = run_archive(spark, indicators(spark, SF), cfg, flow_plus(), probe=spark.read.parquet(path))
     assert out["archive"] == 20010801 and out["status"] == "published"
+
+
+def test_run_with_text_landing_matches_direct_run(spark):
+    feats = indicators(spark, SF)
+    direct, landed = _layout(), _layout()
+    run_archive(spark, feats, _cfg(direct, 20010728, tables=("current",)), flow_plus())
+    run_archive(spark, feats, _cfg(landed, 20010728, tables=("current",), land_text=True), flow_plus())
+    a = spark.table(direct.qualified("prod", direct.current.name))
+    b = spark.table(landed.qualified("prod", landed.current.name))
+    assert a.count() == b.count() == 1500
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    raw = spark.table(landed.qualified("ops", landed.raw))
+    assert raw.count() == 1500 and len(raw.columns) == 57
