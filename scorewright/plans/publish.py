@@ -16,6 +16,7 @@ external Parquet table whose folder is under a shared table root (by default
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,6 +26,7 @@ from pyspark.sql.types import IntegerType, StructField, StructType
 from scorewright.functions.columns import ident
 from scorewright.functions.tokens import token_column_sql
 from scorewright.plans.layout import SLIM, STAGING, TOKENIZED
+from scorewright.plans.retention import hand_over, register_fresh_partitions, table_location
 from scorewright.session import shared_root
 
 
@@ -89,7 +91,6 @@ def write_staging(spark: SparkSession, layout: Layout, staging_df: DataFrame) ->
 
 def _run_suffix(spark: SparkSession) -> str:
     # A fresh folder per refresh: an external table's files are not removed by DROP TABLE.
-    import uuid
     return f"v={uuid.uuid4().hex[:12]}"
 
 
@@ -123,6 +124,7 @@ def publish_partition(spark: SparkSession, layout: Layout, spec: TableSpec, stag
                       archive: int, token_key: str) -> str:
     """Replace exactly partition ``archive`` (static spec, so no other partition is touched)."""
     table = ensure_table(spark, layout, spec, staging.schema)
+    register_fresh_partitions(spark, table, [archive])
     view = f"__sw_src_{spec.name}"
     staging.createOrReplaceTempView(view)
     spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION (archive={int(archive)}) "
@@ -138,6 +140,8 @@ def publish_partitions(spark: SparkSession, layout: Layout, spec: TableSpec, sta
     (dynamic overwrite).  ``REBALANCE(archive)`` lets AQE split a hot archive over several
     tasks and merge small ones, so no task holds a whole archive and files stay sized."""
     table = ensure_table(spark, layout, spec, staging.schema)
+    # the archive list is metadata-sized (one value per week); each new one gets a fresh folder
+    register_fresh_partitions(spark, table, [r[0] for r in staging.select("archive").distinct().collect()])
     view = f"__sw_src_{spec.name}"
     staging.createOrReplaceTempView(view)
     previous = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
@@ -153,14 +157,19 @@ def publish_partitions(spark: SparkSession, layout: Layout, spec: TableSpec, sta
 
 
 def publish_current(spark: SparkSession, layout: Layout, staging: DataFrame, archive: int) -> str:
-    """S8 + R4/R5 for the unpartitioned table: keep the rows being replaced in ``<name>_purge``
-    (partition = the archive that replaced them), then overwrite."""
+    """S8 + R4/R5 for the unpartitioned table, zero-copy: the folder holding the rows being replaced
+    becomes partition ``archive`` of ``<name>_purge`` (metadata only), the table is pointed at a
+    fresh folder, and the new snapshot is written there."""
     spec = layout.current
     table = ensure_table(spark, layout, spec, staging.schema)
-    purge = TableSpec(spec.name + "_purge", spec.columns, True)
-    purge_table = ensure_table(spark, layout, purge, staging.schema)
+    old = table_location(spark, table).rstrip("/")
+    if spark.table(table).limit(1).count() > 0:
+        purge = ensure_table(spark, layout, TableSpec(spec.name + "_purge", spec.columns, True), staging.schema)
+        hand_over(spark, purge, archive, old)
+        spark.catalog.refreshTable(purge)
+    base = layout.location(spark, "prod", spec.name)
+    spark.sql(f"ALTER TABLE {table} SET LOCATION '{base}/run={uuid.uuid4().hex[:12]}'")
     cols = ", ".join(ident(c) for c in spec.columns)
-    spark.sql(f"INSERT OVERWRITE TABLE {purge_table} PARTITION (archive={int(archive)}) SELECT {cols} FROM {table}")
     view = "__sw_src_current"
     staging.createOrReplaceTempView(view)
     spark.sql(f"INSERT OVERWRITE TABLE {table} SELECT {cols} FROM {view}")

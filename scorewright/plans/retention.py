@@ -1,7 +1,17 @@
-"""List partitions (metadata only), keep the newest N, archive then drop the rest."""
+"""List partitions (metadata only), keep the newest N, archive then drop the rest.
+
+Archiving is zero-copy, like the published flow's "drop partition, move its folder to the purge
+zone": the victim's folder is registered as the same partition of ``<table>_purge`` and then
+dropped from the table.  The tables are external, so dropping a partition keeps its files, which
+now belong to the purge table.  No data is read or written.  New partitions are always published
+into fresh folders (:func:`register_fresh_partitions`), so a folder handed to the purge table is
+never written again.
+"""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import SparkSession
 
 from scorewright.functions.columns import ident
@@ -22,26 +32,62 @@ def victims(partitions: list[int], keep: int) -> list[int]:
     return sorted(partitions)[:-keep] if keep > 0 else sorted(partitions)
 
 
+def _location(spark: SparkSession, table: str, spec: str = "") -> str:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table} {spec}").where("col_name = 'Location'").collect()
+    return rows[0]["data_type"]
+
+
+def table_location(spark: SparkSession, table: str) -> str:
+    return _location(spark, table)
+
+
+def partition_location(spark: SparkSession, table: str, value: int, key: str = "archive") -> str:
+    return _location(spark, table, f"PARTITION ({ident(key)}={int(value)})")
+
+
+def register_fresh_partitions(spark: SparkSession, table: str, values: list[int], key: str = "archive") -> None:
+    """Add the partitions that do not exist yet, each in a folder of its own
+    (``<table>/runs/<id>/<key>=<v>``); existing partitions keep theirs, so a rerun overwrites in place.
+    The folders sit outside the default ``<table>/<key>=<v>`` paths on purpose: a static
+    ``INSERT OVERWRITE`` also clears the default path of its partition."""
+    existing = set(list_partitions(spark, table, key))
+    new = sorted(set(int(v) for v in values) - existing)
+    if not new:
+        return
+    root, run = table_location(spark, table).rstrip("/"), uuid.uuid4().hex[:12]
+    specs = " ".join(f"PARTITION ({ident(key)}={v}) LOCATION '{root}/runs/{run}/{key}={v}'" for v in new)
+    spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {specs}")
+
+
+def ensure_archive_table(spark: SparkSession, table: str, archive_table: str) -> str:
+    location = table_location(spark, table).rstrip("/") + "_purge"
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {archive_table} LIKE {table} LOCATION '{location}'")
+    return archive_table
+
+
+def hand_over(spark: SparkSession, archive_table: str, value: int, location: str, key: str = "archive") -> None:
+    """Register ``location`` as partition ``value`` of the archive table (first hand-over wins)."""
+    hand_over_many(spark, archive_table, {value: location}, key)
+
+
+def hand_over_many(spark: SparkSession, archive_table: str, locations: dict[int, str], key: str = "archive") -> None:
+    specs = " ".join(f"PARTITION ({ident(key)}={int(v)}) LOCATION '{loc}'" for v, loc in sorted(locations.items()))
+    spark.sql(f"ALTER TABLE {archive_table} ADD IF NOT EXISTS {specs}")
+
+
 def retain(spark: SparkSession, table: str, keep: int | None, archive_table: str | None = None,
            key: str = "archive") -> list[int]:
-    """Keep the newest ``keep`` partitions.  Victims are first copied into ``archive_table``
-    (same layout, one dynamic-partition insert for all of them), then dropped in one
-    ``ALTER TABLE ... DROP`` statement.  Returns the dropped partition values."""
+    """Keep the newest ``keep`` partitions; hand the others' folders to ``archive_table`` (zero-copy)
+    and drop them in one ``ALTER TABLE ... DROP``.  Returns the dropped partition values."""
     if keep is None:
         return []
     drop = victims(list_partitions(spark, table, key), keep)
     if not drop:
         return []
-    in_list = ", ".join(str(v) for v in drop)
     if archive_table:
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {archive_table} LIKE {table}")
-        previous = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        try:
-            spark.sql(f"INSERT OVERWRITE TABLE {archive_table} PARTITION ({ident(key)}) "
-                      f"SELECT * FROM {table} WHERE {ident(key)} IN ({in_list})")
-        finally:
-            spark.conf.set("spark.sql.sources.partitionOverwriteMode", previous)
+        ensure_archive_table(spark, table, archive_table)
+        hand_over_many(spark, archive_table, {v: partition_location(spark, table, v, key) for v in drop}, key)
+        spark.catalog.refreshTable(archive_table)
     specs = ", ".join(f"PARTITION ({ident(key)}={v})" for v in drop)
     spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {specs}")
     spark.catalog.refreshTable(table)

@@ -121,3 +121,31 @@ def test_run_with_text_landing_matches_direct_run(spark):
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
     raw = spark.table(landed.qualified("ops", landed.raw))
     assert raw.count() == 1500 and len(raw.columns) == 57
+
+
+def test_retention_and_current_archive_without_copying(spark):
+    """Victim folders are handed to the purge tables (no rows rewritten, nothing left behind),
+    and a retired archive published again gets a folder of its own."""
+    import os
+    from scorewright.plans.retention import partition_location, table_location
+    lay = _layout()
+    feats = indicators(spark, SF)
+    for a in (20010707, 20010714, 20010721):
+        run_archive(spark, feats, _cfg(lay, a, tables=("current", "slim")), flow_plus())
+    slim = lay.qualified("prod", lay.slim.name)
+    purge = slim + "_purge"
+    assert list_partitions(spark, slim) == [20010714, 20010721]
+    assert list_partitions(spark, purge) == [20010707]
+    assert spark.table(purge).count() == 1500
+    old_folder = partition_location(spark, purge, 20010707)
+    files_before = sorted(os.listdir(old_folder.replace("file:", "")))
+    # publish the retired archive again: it must not write into the purge-owned folder
+    run_archive(spark, feats, _cfg(lay, 20010707, tables=("slim",), force=True), flow_plus())
+    assert sorted(os.listdir(old_folder.replace("file:", ""))) == files_before
+    assert spark.table(purge).count() == 1500
+    current = lay.qualified("prod", lay.current.name)
+    cpurge = current + "_purge"
+    assert list_partitions(spark, cpurge) == [20010714, 20010721]      # replaced snapshots, by replacing run
+    assert spark.table(cpurge).where("archive = 20010721").select("archv").distinct().first()[0] == 20010714
+    assert spark.table(current).select("archv").distinct().first()[0] == 20010721
+    assert table_location(spark, current) != partition_location(spark, cpurge, 20010721)
