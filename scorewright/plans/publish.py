@@ -7,8 +7,9 @@ external Parquet table whose folder is under a shared table root (by default
 * staging: full refresh (drop + create as select), 60 columns, ``archv`` and
   ``time_stamp`` literals; written once and read back by every publish step,
   so scoring never runs twice and lineage is cut at a stored table.
-* current: unpartitioned, replaced each run; the replaced rows are first kept
-  in ``<current>_purge`` under the archive that replaced them.
+* current: unpartitioned, replaced each run; the folder holding the replaced
+  snapshot becomes partition <archive that replaced it> of ``<current>_purge``
+  (zero-copy), and the new snapshot goes to a fresh folder.
 * slim / weekly / monthly: ``INSERT OVERWRITE ... PARTITION (archive=a)``
   replaces exactly one partition, so a rerun of an archive is idempotent.
   weekly / monthly carry tokenized keys.
