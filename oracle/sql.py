@@ -354,4 +354,4 @@ def _tok(col: str, domain: str, passes: int = 1) -> str:
     return e
 
 
-NUMERIC_DOMAIN, PERSON_DOMAIN = "TK_ctr_NUMERIC_LEGAL", "TK_ctr_ID_LEGAL"
+NUMERIC_DOMAIN, PERSON_DOMAIN = "numeric_id", "person_id"

@@ -7,6 +7,6 @@ whole population is scored in a single stage with no Python UDFs.
 """
 
 from scorewright.operators.score import score, score_append, working_frame
-from scorewright.models.flow_plus import flow_plus
+from scorewright.models.two_card import two_card
 
-__all__ = ["score", "score_append", "working_frame", "flow_plus"]
+__all__ = ["score", "score_append", "working_frame", "two_card"]

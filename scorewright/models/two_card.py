@@ -1,4 +1,4 @@
-"""The two-variant "flow plus" points scorecard, written as data.
+"""The published two-variant points scorecard, written as data.
 
 Everything below the "Fixed values" marker must equal the published model;
 it is model content (names, thresholds, constants, weights), not logic.
@@ -258,9 +258,9 @@ PERSONAL_INPUTS = ("edad", "estado_civil", "distrito")
 # ---------------------------------------------------------------------------
 
 
-def flow_plus(marital_fixed: bool = False) -> Scorecard:
+def two_card(marital_fixed: bool = False) -> Scorecard:
     card = Scorecard(
-        name="flow_plus",
+        name="two_card",
         keys=KEYS,
         knockout_inputs=KNOCKOUT_INPUTS,
         inputs=MODEL_INPUTS,

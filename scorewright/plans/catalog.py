@@ -24,12 +24,12 @@ from scorewright.plans.publish import Layout, Zones
 from scorewright.session import scratch_path
 from scorewright.sources.features import indicators_with_archive
 from scorewright.sources.raw_text import land_text, read_text
-from scorewright.models.flow_plus import flow_plus
+from scorewright.models.two_card import two_card
 from scorewright.operators.keys import duplicate_keys, score_join_compat
 from scorewright.operators.score import score, score_append, source_projection, working_frame
 from scorewright.sources.features import indicators, indicators_dup
 
-CARD = flow_plus()
+CARD = two_card()
 KEYS = list(CARD.keys)
 IMPUTED = [i.column for i in CARD.imputes]
 CAPPED = [c.column for c in CARD.caps]

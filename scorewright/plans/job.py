@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scorewright.functions.calendar import archive_int, month_closing, run_date
-from scorewright.models.flow_plus import flow_plus
+from scorewright.models.two_card import two_card
 from scorewright.operators.score import score_append, source_projection
 from scorewright.plans import ledger as L
 from scorewright.plans.freshness import freshness
@@ -88,7 +88,7 @@ def run_archive(spark: SparkSession, features: DataFrame, cfg: JobConfig,
     """``probe``: table the freshness gate reads (default: ``features``).  For a first-of-month
     run it is filtered to the run's archive partition (partition pruning)."""
     apply_engine_conf(spark)
-    card = card or flow_plus()
+    card = card or two_card()
     layout = cfg.profile_layout()
     as_of = cfg.as_of
     gate = None
@@ -147,7 +147,7 @@ def backfill(spark: SparkSession, features_with_archive: DataFrame, cfg: JobConf
     """Publish many archives at once: each row carries its own ``archive``.  One scoring pass,
     one staging write, one dynamic-partition insert per table, then retention."""
     apply_engine_conf(spark)
-    card = card or flow_plus()
+    card = card or two_card()
     layout = cfg.profile_layout()
     scored = score_append(features_with_archive.select(*card.source_columns(), "archive"), card)
     run_ts = cfg.run_ts or dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")

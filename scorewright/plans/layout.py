@@ -4,17 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql.types import (DoubleType, IntegerType, LongType, StringType, StructField, StructType)
 
-from scorewright.models.flow_plus import flow_plus
+from scorewright.models.two_card import two_card
 
-_CARD = flow_plus()
+_CARD = two_card()
 SOURCE = _CARD.source_columns()                      # 55: keys + knock-out counts + model inputs
 RAW = SOURCE + ["score_pos", "flow_pos"]             # 57: the landed / raw table
 STAGING = (SOURCE[:SOURCE.index("estado_civil") + 1] + ["sexo"] + SOURCE[SOURCE.index("estado_civil") + 1:]
            + ["score_pos", "flow_pos", "archv", "time_stamp"])                      # 60
 SLIM = ["infocheck_id", "informconf_id", "pers_id", "tipo_doc_id", "edad", "max_flow", "sexo",
         "fecha_obs", "score_pos", "flow_pos", "archv", "time_stamp"]                 # 12
-TOKENIZED = {"infocheck_id": "TK_ctr_NUMERIC_LEGAL", "informconf_id": "TK_ctr_NUMERIC_LEGAL",
-             "pers_id": "TK_ctr_ID_LEGAL"}   # fixed values: token domain of each key column
+TOKENIZED = {"infocheck_id": "numeric_id", "informconf_id": "numeric_id",
+             "pers_id": "person_id"}   # token domain of each key column
 
 _INT = {"tipo_doc_id", "scorecard", "edad", "estado_civil", "ips_flag_actividad", "inf_cons_ult_dias_ccredito",
         "inf_cons_ult_dias_sf", "situacion_bancaria", "tc_primera_act", "score_pos", "archv"}

@@ -19,7 +19,7 @@ import math
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scorewright.models.flow_plus import flow_plus
+from scorewright.models.two_card import two_card
 from scorewright.functions.columns import literal_array_sql
 from scorewright.operators.lookup import lookup_rows
 from scorewright.sources.tables import read_table
@@ -144,13 +144,13 @@ def _view(base: DataFrame, card: Scorecard) -> DataFrame:
 
 def indicators(spark: SparkSession, sf_dir: str, card: Scorecard | None = None) -> DataFrame:
     """The 55-column feature view (keys, knock-out counts, model inputs), one row per order."""
-    return _view(order_base(spark, sf_dir), card or flow_plus())
+    return _view(order_base(spark, sf_dir), card or two_card())
 
 
 def indicators_dup(spark: SparkSession, sf_dir: str, card: Scorecard | None = None) -> DataFrame:
     """The view plus a second copy of the rows with k % 100 = 0 (duplicate-key cases)."""
     base = order_base(spark, sf_dir)
-    return _view(base.unionByName(base.where(F.col("o_orderkey") % 100 == 0)), card or flow_plus())
+    return _view(base.unionByName(base.where(F.col("o_orderkey") % 100 == 0)), card or two_card())
 
 
 def indicators_with_archive(spark: SparkSession, sf_dir: str, card: Scorecard | None = None) -> DataFrame:
@@ -159,4 +159,4 @@ def indicators_with_archive(spark: SparkSession, sf_dir: str, card: Scorecard |
     keyed = _keyed(order_base(spark, sf_dir))
     archive = archive_int(run_date(F.col("od").cast("date")))
     return keyed.select("*", archive.alias("archive")).selectExpr(
-        *[f"{e} AS `{n}`" for n, e in feature_sql(card or flow_plus()).items()], "archive")
+        *[f"{e} AS `{n}`" for n, e in feature_sql(card or two_card()).items()], "archive")

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from scorewright.models.flow_plus import flow_plus
+from scorewright.models.two_card import two_card
 from scorewright.operators.score import score_append, source_projection
 from scorewright.plans.layout import SOURCE, schema
 from scorewright.session import apply_engine_conf, scratch_path
@@ -25,7 +25,7 @@ def score_stream(spark: SparkSession, source_dir: str, sink_dir: str, card: Scor
                  max_files_per_trigger: int = 64) -> StreamingQuery:
     """Parquet feature files under ``source_dir`` -> scored Parquet under ``sink_dir``."""
     apply_engine_conf(spark)
-    card = card or flow_plus()
+    card = card or two_card()
     features = (spark.readStream.schema(schema(SOURCE)).option("maxFilesPerTrigger", max_files_per_trigger)
                 .parquet(source_dir))
     scored = score_append(source_projection(features, card), card)

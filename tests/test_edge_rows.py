@@ -4,14 +4,14 @@ from __future__ import annotations
 
 import pytest
 
-from scorewright import flow_plus, score, working_frame
-from scorewright.models.flow_plus import KNOCKOUT
+from scorewright import two_card, score, working_frame
+from scorewright.models.two_card import KNOCKOUT
 from scorewright.operators.keys import score_join_compat
 from scorewright.operators.score import source_projection
 from scorewright.operators.scale import band_letter
 from tests.helpers import by_id, rows
 
-CARD = flow_plus()
+CARD = two_card()
 
 
 def work(spark, *overrides, upto="band"):
@@ -91,7 +91,7 @@ def test_marital_status_as_built_and_fixed(spark):
     out = work(spark, *[{"id": k, "estado_civil": v} for k, v in vals.items()], upto="derive")
     assert [out[k]["estado_civil"] for k in vals] == [0, 7, 7, 9]
     assert all(out[k]["casado"] == 0 for k in vals)
-    fixed = flow_plus(marital_fixed=True)
+    fixed = two_card(marital_fixed=True)
     df = working_frame(source_projection(rows(spark, {"id": "m2", "estado_civil": 2}), fixed), fixed, upto="derive")
     r = by_id(df)["m2"]
     assert r["estado_civil"] == 2 and r["casado"] == 1

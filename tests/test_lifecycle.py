@@ -7,7 +7,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from scorewright import flow_plus
+from scorewright import two_card
 from scorewright.plans import ledger as L
 from scorewright.plans.job import JobConfig, closes_month, run_archive
 from scorewright.plans.publish import Layout, Zones
@@ -30,14 +30,14 @@ def _cfg(layout, archive, **kw):
 def test_rerun_is_skipped_then_idempotent(spark):
     lay = _layout()
     feats = indicators(spark, SF)
-    first = run_archive(spark, feats, _cfg(lay, 20010728), flow_plus())
+    first = run_archive(spark, feats, _cfg(lay, 20010728), two_card())
     assert first["status"] == "published"
-    again = run_archive(spark, feats, _cfg(lay, 20010728), flow_plus())
+    again = run_archive(spark, feats, _cfg(lay, 20010728), two_card())
     assert again["status"].startswith("skipped")
     weekly = lay.qualified("prod", lay.weekly.name)
     n1 = spark.table(weekly).count()
     # forced rerun: the partition is replaced, not appended
-    assert run_archive(spark, feats, _cfg(lay, 20010728, force=True), flow_plus())["status"] == "published"
+    assert run_archive(spark, feats, _cfg(lay, 20010728, force=True), two_card())["status"] == "published"
     assert spark.table(weekly).count() == n1 == first["rows"]["staging"]
 
 
@@ -45,7 +45,7 @@ def test_retention_keeps_newest_and_archives_victims(spark):
     lay = _layout()
     feats = indicators(spark, SF)
     for a in (20010707, 20010714, 20010721, 20010728):
-        assert run_archive(spark, feats, _cfg(lay, a, tables=("slim", "weekly")), flow_plus())["status"] == "published"
+        assert run_archive(spark, feats, _cfg(lay, a, tables=("slim", "weekly")), two_card())["status"] == "published"
     slim = lay.qualified("prod", lay.slim.name)
     assert list_partitions(spark, slim) == [20010721, 20010728]           # dev profile keeps 2
     assert list_partitions(spark, slim + "_purge") == [20010707, 20010714]
@@ -56,7 +56,7 @@ def test_month_closing_gate(spark):
     assert closes_month(spark, 20010728) and not closes_month(spark, 20010721)
     lay = _layout()
     feats = indicators(spark, SF)
-    run_archive(spark, feats, _cfg(lay, 20010721, tables=("monthly",)), flow_plus())
+    run_archive(spark, feats, _cfg(lay, 20010721, tables=("monthly",)), two_card())
     monthly = lay.qualified("prod", lay.monthly.name)
     assert not spark.catalog.tableExists(monthly) or spark.table(monthly).count() == 0
 
@@ -65,7 +65,7 @@ def test_freshness_gate_stops_stale_runs(spark):
     lay = _layout()
     feats = indicators(spark, SF)
     cfg = JobConfig(as_of=dt.date(2001, 9, 1), archive=20010901, layout=lay)
-    assert run_archive(spark, feats, cfg, flow_plus())["status"].startswith("stopped")
+    assert run_archive(spark, feats, cfg, two_card())["status"].startswith("stopped")
 
 
 def test_pending_archives_anti_join(spark):
@@ -106,15 +106,15 @@ def test_first_of_month_run_uses_probe(spark, tmp_path):
     lay = _layout()
     cfg = JobConfig(as_of=dt.date(2001, 8, 3), first=True, env="dev", run_ts="2001-08-03 06:00:00",
                     layout=lay, tables=("slim",))
-    out = run_archive(spark, indicators(spark, SF), cfg, flow_plus(), probe=spark.read.parquet(path))
+    out = run_archive(spark, indicators(spark, SF), cfg, two_card(), probe=spark.read.parquet(path))
     assert out["archive"] == 20010801 and out["status"] == "published"
 
 
 def test_run_with_text_landing_matches_direct_run(spark):
     feats = indicators(spark, SF)
     direct, landed = _layout(), _layout()
-    run_archive(spark, feats, _cfg(direct, 20010728, tables=("current",)), flow_plus())
-    run_archive(spark, feats, _cfg(landed, 20010728, tables=("current",), land_text=True), flow_plus())
+    run_archive(spark, feats, _cfg(direct, 20010728, tables=("current",)), two_card())
+    run_archive(spark, feats, _cfg(landed, 20010728, tables=("current",), land_text=True), two_card())
     a = spark.table(direct.qualified("prod", direct.current.name))
     b = spark.table(landed.qualified("prod", landed.current.name))
     assert a.count() == b.count() == 1500
@@ -131,7 +131,7 @@ def test_retention_and_current_archive_without_copying(spark):
     lay = _layout()
     feats = indicators(spark, SF)
     for a in (20010707, 20010714, 20010721):
-        run_archive(spark, feats, _cfg(lay, a, tables=("current", "slim")), flow_plus())
+        run_archive(spark, feats, _cfg(lay, a, tables=("current", "slim")), two_card())
     slim = lay.qualified("prod", lay.slim.name)
     purge = slim + "_purge"
     assert list_partitions(spark, slim) == [20010714, 20010721]
@@ -140,7 +140,7 @@ def test_retention_and_current_archive_without_copying(spark):
     old_folder = partition_location(spark, purge, 20010707)
     files_before = sorted(os.listdir(old_folder.replace("file:", "")))
     # publish the retired archive again: it must not write into the purge-owned folder
-    run_archive(spark, feats, _cfg(lay, 20010707, tables=("slim",), force=True), flow_plus())
+    run_archive(spark, feats, _cfg(lay, 20010707, tables=("slim",), force=True), two_card())
     assert sorted(os.listdir(old_folder.replace("file:", ""))) == files_before
     assert spark.table(purge).count() == 1500
     current = lay.qualified("prod", lay.current.name)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from scorewright import flow_plus, score
+from scorewright import two_card, score
 from scorewright.operators.score import score_append
 from scorewright.plans.layout import SOURCE, schema
 
@@ -20,7 +20,7 @@ def _stored_features(spark, tmp_path):
 
 
 def test_score_has_no_shuffle_and_no_python(spark, tmp_path):
-    card = flow_plus()
+    card = two_card()
     plan = _plan(score(_stored_features(spark, tmp_path), card, keys=list(card.keys)))
     exchanges = re.findall(r"(\w*Exchange)", plan)
     assert set(exchanges) <= {"BroadcastExchange"}, exchanges
@@ -29,14 +29,14 @@ def test_score_has_no_shuffle_and_no_python(spark, tmp_path):
 
 
 def test_scan_reads_only_model_columns(spark, tmp_path):
-    card = flow_plus()
+    card = two_card()
     plan = _plan(score(_stored_features(spark, tmp_path), card, keys=list(card.keys)))
     assert "FileScan parquet" in plan and "ReadSchema" in plan
     assert "extra_col" not in plan
 
 
 def test_score_append_keeps_raw_values_without_join(spark, tmp_path):
-    card = flow_plus()
+    card = two_card()
     plan = _plan(score_append(_stored_features(spark, tmp_path).drop("extra_col"), card))
     assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
 
@@ -44,7 +44,7 @@ def test_score_append_keeps_raw_values_without_join(spark, tmp_path):
 def test_band_filter_stays_compilable(spark, tmp_path):
     """A filter on the band is pushed below the scoring projections; the band lookup keeps the
     inlined condition small (a CASE chain used to blow past the 64 KB method limit)."""
-    card = flow_plus()
+    card = two_card()
     df = score(_stored_features(spark, tmp_path), card).where("flow_pos = 'A'")
     cond = df._jdf.queryExecution().optimizedPlan().toString()
     assert len(cond) < 200_000

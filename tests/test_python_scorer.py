@@ -7,13 +7,13 @@ import datetime as dt
 import math
 import random
 
-from scorewright import flow_plus, score
-from scorewright.models.flow_plus import KNOCKOUT_INPUTS
+from scorewright import two_card, score
+from scorewright.models.two_card import KNOCKOUT_INPUTS
 from scorewright.operators.lookup import lookup_rows
 from scorewright.plans.layout import SOURCE
 from tests.helpers import rows
 
-CARD = flow_plus()
+CARD = two_card()
 DISTRICTS = {(sc, name): w for sc, name, w in lookup_rows("district_weight.csv", "distrito")}
 TEXT = {"infocheck_id", "informconf_id", "pers_id", "distrito", "ich_fecha_ult_cons_priv", "max_flow",
         "tc_max_dias_atraso_u6m", "fecha_obs"}

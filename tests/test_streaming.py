@@ -1,13 +1,13 @@
 from __future__ import annotations
 
-from scorewright import flow_plus
+from scorewright import two_card
 from scorewright.operators.score import score_append, source_projection
 from scorewright.sources.features import indicators
 from scorewright.streaming.score_stream import score_stream
 
 
 def test_stream_scores_like_batch(spark, tmp_path):
-    card = flow_plus()
+    card = two_card()
     feats = source_projection(indicators(spark, "/root/testdata/sf0.001"), card)
     src = str(tmp_path / "landing")
     feats.where("scorecard = 1 OR scorecard IS NULL").write.parquet(src + "/part=1")

@@ -14,7 +14,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from scorewright import flow_plus, score  # noqa: E402
+from scorewright import two_card, score  # noqa: E402
 from scorewright.operators.keys import duplicate_keys, score_join_compat  # noqa: E402
 from scorewright.operators.score import score_append, source_projection  # noqa: E402
 from scorewright.session import build_session  # noqa: E402
@@ -45,7 +45,7 @@ def main() -> None:
     spark = build_session("local[4]")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
-    card = flow_plus()
+    card = two_card()
     keys = list(card.keys)
     stored = spark.read.parquet(f"{sf}/orders.parquet")  # placeholder to warm the session
     stored.limit(1).collect()
