@@ -8,7 +8,7 @@ from typing import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scorewright.operators.score import RESULTS, score
+from scorewright.operators.score import RESULTS, score, score_append
 from scorewright.spec import Scorecard
 
 
@@ -22,15 +22,21 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
             .where(F.col("n_rows") > 1))
 
 
-def score_join_compat(df: DataFrame, card: Scorecard, auto_units: bool = False) -> DataFrame:
+def score_join_compat(df: DataFrame, card: Scorecard, auto_units: bool = False,
+                      check_unique: bool = True) -> DataFrame:
     """Exact replay of the published form: raw rows LEFT JOIN their scores on the keys,
     null-safe (``<=>``), so a key tuple repeated *k* times yields *k*^2 rows.
 
-    Spark plans ``<=>`` keys as an equi sort-merge join on (coalesce(k), isnull(k));
-    AQE's skew-join split handles a hot key group.  Prefer :func:`score_append`
-    after :func:`duplicate_keys` finds nothing -- it gives the same rows with no shuffle.
+    With ``check_unique`` the key tuples are first checked (one partial count per task and a
+    shuffle of key tuples only); when none repeats, the join result equals
+    :func:`score_append` row for row, which is returned instead -- no self-join shuffle.
+    Otherwise Spark plans ``<=>`` keys as an equi sort-merge join on (coalesce(k), isnull(k)),
+    and AQE's skew-join split handles a hot key group.  The k^2 rows of a repeated key are
+    the defined result of this form; the default publishing path never joins.
     """
     keys = list(card.keys)
+    if check_unique and duplicate_keys(df.select(*keys), keys).limit(1).count() == 0:
+        return score_append(df, card, auto_units=auto_units)
     right = score(df, card, keys=keys, auto_units=auto_units)
     right = right.select(*[F.col(k).alias(f"__r_{k}") for k in keys], *RESULTS)
     cond = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__r_{k}")) for k in keys])

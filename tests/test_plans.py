@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from scorewright import two_card, score
+from scorewright import score, two_card
 from scorewright.operators.score import score_append
 from scorewright.plans.layout import SOURCE, schema
 
@@ -49,3 +49,17 @@ def test_band_filter_stays_compilable(spark, tmp_path):
     cond = df._jdf.queryExecution().optimizedPlan().toString()
     assert len(cond) < 200_000
     df.collect()
+
+
+def test_compat_join_skips_the_join_for_unique_keys(spark):
+    from scorewright.operators.keys import score_join_compat
+    from scorewright.operators.score import source_projection
+    from scorewright.sources.features import indicators
+    card = two_card()
+    feats = source_projection(indicators(spark, "/root/testdata/sf0.001"), card)
+    fast = score_join_compat(feats, card)
+    slow = score_join_compat(feats, card, check_unique=False)
+    assert "SortMergeJoin" not in _plan(fast)
+    assert fast.columns == slow.columns
+    assert fast.count() == slow.count() == 1500
+    assert fast.exceptAll(slow).count() == 0
