@@ -1,9 +1,9 @@
 """Small expression builders shared by the operators.
 
-Operators render their expressions as Spark SQL text and hand them to
-``F.expr``: one driver round trip per output column instead of one per
-sub-expression, which keeps planning of a ~100-expression scorecard well
-under a second.  Identifiers are back-quoted; numbers become double literals.
+Operators render their expressions as Spark SQL text; a whole layer is applied
+with one ``selectExpr`` call, i.e. one driver round trip per layer instead of
+one per sub-expression, which keeps planning of a ~100-expression scorecard
+well under a second.  Identifiers are back-quoted; numbers become double literals.
 """
 
 from __future__ import annotations

@@ -4,9 +4,10 @@
          -> selector -> imputations -> caps -> derived -> lookup (broadcast)
          -> linear -> scale -> band
 
-Each step is one ``select``; Catalyst collapses cheap adjacent projections and
-keeps the expensive ones (read many times downstream) as separate projections
-inside the same whole-stage-codegen stage.  No step shuffles.
+Each step is one ``selectExpr`` layer; Catalyst collapses cheap adjacent
+projections and keeps the expensive ones (read many times downstream) as
+separate projections of the same stage.  No step shuffles; the only exchange is
+the broadcast of the size-checked lookup table.
 """
 
 from __future__ import annotations
