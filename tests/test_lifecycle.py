@@ -149,3 +149,20 @@ def test_retention_and_current_archive_without_copying(spark):
     assert spark.table(cpurge).where("archive = 20010721").select("archv").distinct().first()[0] == 20010714
     assert spark.table(current).select("archv").distinct().first()[0] == 20010721
     assert table_location(spark, current) != partition_location(spark, cpurge, 20010721)
+
+
+def test_backfill_monthly_takes_only_closing_archives(spark):
+    from scorewright.functions.calendar import month_closing
+    from scorewright.plans.job import backfill
+    from scorewright.sources.features import indicators_with_archive
+    lay = _layout()
+    feats = indicators_with_archive(spark, SF)
+    cfg = JobConfig(as_of=dt.date(2001, 8, 4), env="prod", run_ts="2001-08-04 06:00:00", layout=lay,
+                    tables=("monthly",))
+    backfill(spark, feats, cfg, keep={"monthly": None})
+    monthly = spark.table(lay.qualified("prod", lay.monthly.name))
+    expect = feats.where(month_closing(F.to_date(F.col("archive").cast("string"), "yyyyMMdd")))
+    assert monthly.count() == expect.count() > 0
+    got = sorted(r.archive for r in monthly.select("archive").distinct().collect())
+    assert got == sorted(r.archive for r in expect.select("archive").distinct().collect())
+    assert monthly.where("infocheck_id LIKE 'C%'").count() == 0          # keys are tokens
