@@ -211,43 +211,43 @@ CAP_LIST = [
 CAPPED = [c.rsplit(" AS ", 1)[1] for c in CAP_LIST]
 
 IMPUTE_LIST = [
-    "coalesce(ich_ch_re_cant_i_fond, 0) AS ich_ch_re_cant_i_fond",
-    "coalesce(ich_cons_cant_total, 11) AS ich_cons_cant_total",
-    "CASE WHEN scorecard = 1 THEN coalesce(ich_cons_cant_banco_admin, 0) "
-    "ELSE coalesce(ich_cons_cant_banco_admin, 2) END AS ich_cons_cant_banco_admin",
+    "coalesce(CASE WHEN isnan(ich_ch_re_cant_i_fond) THEN NULL ELSE ich_ch_re_cant_i_fond END, 0) AS ich_ch_re_cant_i_fond",
+    "coalesce(CASE WHEN isnan(ich_cons_cant_total) THEN NULL ELSE ich_cons_cant_total END, 11) AS ich_cons_cant_total",
+    "CASE WHEN scorecard = 1 THEN coalesce(CASE WHEN isnan(ich_cons_cant_banco_admin) THEN NULL ELSE ich_cons_cant_banco_admin END, 0) "
+    "ELSE coalesce(CASE WHEN isnan(ich_cons_cant_banco_admin) THEN NULL ELSE ich_cons_cant_banco_admin END, 2) END AS ich_cons_cant_banco_admin",
     "CASE WHEN scorecard = 1 THEN coalesce(distrito, 'HERNANDARIAS') "
     "ELSE coalesce(distrito, 'MBOCAYATY DEL GUAIRA') END AS distrito",
-    "coalesce(edad, 37) AS edad", "coalesce(estado_civil, 7) AS estado_civil",
-    "coalesce(ips_flag_actividad, 0) AS ips_flag_actividad", "coalesce(g_max_venc_ten_36, 0) AS g_max_venc_ten_36",
-    "coalesce(inf_cant_dist_afi_ccred_u3m, 5) AS inf_cant_dist_afi_ccred_u3m",
-    "coalesce(inf_cant_dist_afi_telco_u12m, 0) AS inf_cant_dist_afi_telco_u12m",
-    "coalesce(inf_cant_dist_afi_u6m, 0) AS inf_cant_dist_afi_u6m",
-    "coalesce(inf_cons_cant_telco_u1m, 0) AS inf_cons_cant_telco_u1m",
-    "coalesce(inf_cons_cant_total_telco, 0) AS inf_cons_cant_total_telco",
-    "coalesce(inf_cons_cant_u1m, 0) AS inf_cons_cant_u1m",
-    "CASE WHEN scorecard = 1 THEN coalesce(inf_cons_ult_dias_ccredito, 833) "
-    "ELSE coalesce(inf_cons_ult_dias_ccredito, 848) END AS inf_cons_ult_dias_ccredito",
-    "CASE WHEN scorecard = 1 THEN coalesce(inf_cons_ult_dias_sf, 21) "
-    "ELSE coalesce(inf_cons_ult_dias_sf, 162) END AS inf_cons_ult_dias_sf",
-    "coalesce(inf_conv_cant_abiertas, 0) AS inf_conv_cant_abiertas",
-    "coalesce(inf_dem_cant_total, 0) AS inf_dem_cant_total",
-    "coalesce(inf_inc_cant_abiertas, 0) AS inf_inc_cant_abiertas",
-    "coalesce(inf_inhib_cant_abiertas, 0) AS inf_inhib_cant_abiertas",
-    "coalesce(inf_morce_cant_31_45_abiertas, 0) AS inf_morce_cant_31_45_abiertas",
-    "coalesce(inf_morce_cant_46_60_abiertas, 0) AS inf_morce_cant_46_60_abiertas",
-    "coalesce(inf_morce_cant_61_90_abiertas, 0) AS inf_morce_cant_61_90_abiertas",
-    "coalesce(inf_morce_cant_abiertas, 0) AS inf_morce_cant_abiertas",
-    "coalesce(inf_qui_cant_abiertas, 0) AS inf_qui_cant_abiertas",
-    "coalesce(inf_rem_cant_abiertas, 0) AS inf_rem_cant_abiertas",
-    "coalesce(p_cant_atraso, 0) AS p_cant_atraso",
-    "coalesce(p_saldo_vencido_ult_act, 0) AS p_saldo_vencido_ult_act",
-    "coalesce(p_sdot_monto_gt75_m1, 0) AS p_sdot_monto_gt75_m1",
-    "coalesce(situacion_bancaria, 2) AS situacion_bancaria",
-    "coalesce(tc_close_total, 5) AS tc_close_total",
-    "coalesce(tc_max_dias_atraso_u6m, 2) AS tc_max_dias_atraso_u6m",
-    "coalesce(tc_primera_act, 60) AS tc_primera_act",
-    "coalesce(tc_prom_pmin_limcr_m1, 0) AS tc_prom_pmin_limcr_m1",
-    "coalesce(tc_svenc_sdot_gt0_u12m, 0) AS tc_svenc_sdot_gt0_u12m",
+    "coalesce(CASE WHEN isnan(edad) THEN NULL ELSE edad END, 37) AS edad", "coalesce(CASE WHEN isnan(estado_civil) THEN NULL ELSE estado_civil END, 7) AS estado_civil",
+    "coalesce(CASE WHEN isnan(ips_flag_actividad) THEN NULL ELSE ips_flag_actividad END, 0) AS ips_flag_actividad", "coalesce(CASE WHEN isnan(g_max_venc_ten_36) THEN NULL ELSE g_max_venc_ten_36 END, 0) AS g_max_venc_ten_36",
+    "coalesce(CASE WHEN isnan(inf_cant_dist_afi_ccred_u3m) THEN NULL ELSE inf_cant_dist_afi_ccred_u3m END, 5) AS inf_cant_dist_afi_ccred_u3m",
+    "coalesce(CASE WHEN isnan(inf_cant_dist_afi_telco_u12m) THEN NULL ELSE inf_cant_dist_afi_telco_u12m END, 0) AS inf_cant_dist_afi_telco_u12m",
+    "coalesce(CASE WHEN isnan(inf_cant_dist_afi_u6m) THEN NULL ELSE inf_cant_dist_afi_u6m END, 0) AS inf_cant_dist_afi_u6m",
+    "coalesce(CASE WHEN isnan(inf_cons_cant_telco_u1m) THEN NULL ELSE inf_cons_cant_telco_u1m END, 0) AS inf_cons_cant_telco_u1m",
+    "coalesce(CASE WHEN isnan(inf_cons_cant_total_telco) THEN NULL ELSE inf_cons_cant_total_telco END, 0) AS inf_cons_cant_total_telco",
+    "coalesce(CASE WHEN isnan(inf_cons_cant_u1m) THEN NULL ELSE inf_cons_cant_u1m END, 0) AS inf_cons_cant_u1m",
+    "CASE WHEN scorecard = 1 THEN coalesce(CASE WHEN isnan(inf_cons_ult_dias_ccredito) THEN NULL ELSE inf_cons_ult_dias_ccredito END, 833) "
+    "ELSE coalesce(CASE WHEN isnan(inf_cons_ult_dias_ccredito) THEN NULL ELSE inf_cons_ult_dias_ccredito END, 848) END AS inf_cons_ult_dias_ccredito",
+    "CASE WHEN scorecard = 1 THEN coalesce(CASE WHEN isnan(inf_cons_ult_dias_sf) THEN NULL ELSE inf_cons_ult_dias_sf END, 21) "
+    "ELSE coalesce(CASE WHEN isnan(inf_cons_ult_dias_sf) THEN NULL ELSE inf_cons_ult_dias_sf END, 162) END AS inf_cons_ult_dias_sf",
+    "coalesce(CASE WHEN isnan(inf_conv_cant_abiertas) THEN NULL ELSE inf_conv_cant_abiertas END, 0) AS inf_conv_cant_abiertas",
+    "coalesce(CASE WHEN isnan(inf_dem_cant_total) THEN NULL ELSE inf_dem_cant_total END, 0) AS inf_dem_cant_total",
+    "coalesce(CASE WHEN isnan(inf_inc_cant_abiertas) THEN NULL ELSE inf_inc_cant_abiertas END, 0) AS inf_inc_cant_abiertas",
+    "coalesce(CASE WHEN isnan(inf_inhib_cant_abiertas) THEN NULL ELSE inf_inhib_cant_abiertas END, 0) AS inf_inhib_cant_abiertas",
+    "coalesce(CASE WHEN isnan(inf_morce_cant_31_45_abiertas) THEN NULL ELSE inf_morce_cant_31_45_abiertas END, 0) AS inf_morce_cant_31_45_abiertas",
+    "coalesce(CASE WHEN isnan(inf_morce_cant_46_60_abiertas) THEN NULL ELSE inf_morce_cant_46_60_abiertas END, 0) AS inf_morce_cant_46_60_abiertas",
+    "coalesce(CASE WHEN isnan(inf_morce_cant_61_90_abiertas) THEN NULL ELSE inf_morce_cant_61_90_abiertas END, 0) AS inf_morce_cant_61_90_abiertas",
+    "coalesce(CASE WHEN isnan(inf_morce_cant_abiertas) THEN NULL ELSE inf_morce_cant_abiertas END, 0) AS inf_morce_cant_abiertas",
+    "coalesce(CASE WHEN isnan(inf_qui_cant_abiertas) THEN NULL ELSE inf_qui_cant_abiertas END, 0) AS inf_qui_cant_abiertas",
+    "coalesce(CASE WHEN isnan(inf_rem_cant_abiertas) THEN NULL ELSE inf_rem_cant_abiertas END, 0) AS inf_rem_cant_abiertas",
+    "coalesce(CASE WHEN isnan(p_cant_atraso) THEN NULL ELSE p_cant_atraso END, 0) AS p_cant_atraso",
+    "coalesce(CASE WHEN isnan(p_saldo_vencido_ult_act) THEN NULL ELSE p_saldo_vencido_ult_act END, 0) AS p_saldo_vencido_ult_act",
+    "coalesce(CASE WHEN isnan(p_sdot_monto_gt75_m1) THEN NULL ELSE p_sdot_monto_gt75_m1 END, 0) AS p_sdot_monto_gt75_m1",
+    "coalesce(CASE WHEN isnan(situacion_bancaria) THEN NULL ELSE situacion_bancaria END, 2) AS situacion_bancaria",
+    "coalesce(CASE WHEN isnan(tc_close_total) THEN NULL ELSE tc_close_total END, 5) AS tc_close_total",
+    "coalesce(CASE WHEN isnan(tc_max_dias_atraso_u6m) THEN NULL ELSE tc_max_dias_atraso_u6m END, 2) AS tc_max_dias_atraso_u6m",
+    "coalesce(CASE WHEN isnan(tc_primera_act) THEN NULL ELSE tc_primera_act END, 60) AS tc_primera_act",
+    "coalesce(CASE WHEN isnan(tc_prom_pmin_limcr_m1) THEN NULL ELSE tc_prom_pmin_limcr_m1 END, 0) AS tc_prom_pmin_limcr_m1",
+    "coalesce(CASE WHEN isnan(tc_svenc_sdot_gt0_u12m) THEN NULL ELSE tc_svenc_sdot_gt0_u12m END, 0) AS tc_svenc_sdot_gt0_u12m",
 ]
 IMPUTED = [c.rsplit(" AS ", 1)[1] for c in IMPUTE_LIST]
 
@@ -302,7 +302,8 @@ def scoring_ctes(source: str = "indicators", auto_units: bool = False) -> str:
     parts += [
         "age AS (SELECT *, CASE WHEN coalesce(max_flow, '') IN ('M', 'N', 'X') THEN 1 ELSE 0 END AS flag_mnx, "
         f"{_age_expr(auto_units)} AS fecha_ult_cons_privdia FROM norm)",
-        "sel AS (SELECT * REPLACE (coalesce(scorecard, 0::DOUBLE) AS scorecard) FROM age)",
+        "sel AS (SELECT * REPLACE (coalesce(CASE WHEN isnan(scorecard) THEN NULL ELSE scorecard END, 0::DOUBLE) "
+        "AS scorecard) FROM age)",
         f"imp AS (SELECT * REPLACE ({', '.join(IMPUTE_LIST)}) FROM sel)",
         f"cap AS (SELECT * REPLACE ({', '.join(CAP_LIST)}) FROM imp)",
         """der AS (SELECT *,

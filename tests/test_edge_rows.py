@@ -194,3 +194,10 @@ def test_consult_age_ignores_session_time_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", previous)
     assert out["dst"]["fecha_ult_cons_privdia"] == 61 * 86400
+
+
+def test_nan_counts_as_missing_like_r(spark):
+    out = work(spark, {"id": "nan", "g_max_venc_ten_36": float("nan"), "tc_max_dias_atraso_u6m": "NaN"},
+               upto="impute")
+    assert out["nan"]["g_max_venc_ten_36"] == 0.0
+    assert out["nan"]["tc_max_dias_atraso_u6m"] == 2.0
