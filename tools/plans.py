@@ -68,7 +68,9 @@ def main() -> None:
          score(features, card, keys=keys).groupBy("flow_pos").count()),
         ("Key uniqueness (J1u)", "Partial count per task, one exchange on the keys.",
          duplicate_keys(features, keys)),
-        ("Compat self-join (J1)", "Equi sort-merge join on the null-safe keys; AQE splits a hot key at run time.",
+        ("Compat self-join (J1)", "This input repeats keys, so after the key check (one partial count, a shuffle of "
+         "key tuples) it is an equi sort-merge join on the null-safe keys; AQE splits a hot key at run time. With "
+         "unique keys the check returns the no-join plan of `score_append` instead.",
          score_join_compat(source_projection(indicators_dup(spark, sf), card), card)),
     ]
     lines = ["# Physical plans at scale", "",
