@@ -17,7 +17,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from scorewright import two_card, score  # noqa: E402
 from scorewright.operators.keys import duplicate_keys, score_join_compat  # noqa: E402
 from scorewright.operators.score import score_append, source_projection  # noqa: E402
-from scorewright.session import build_session  # noqa: E402
+from scorewright.session import build_session, scratch_path  # noqa: E402
 from scorewright.sources.features import indicators, indicators_dup  # noqa: E402
 
 
@@ -50,7 +50,7 @@ def main() -> None:
     stored = spark.read.parquet(f"{sf}/orders.parquet")  # placeholder to warm the session
     stored.limit(1).collect()
     view = indicators(spark, sf)
-    path = f"{os.environ.get('TMPDIR', '/tmp')}/plans-features-{os.getpid()}"
+    path = scratch_path(spark, "plans-features")
     source_projection(view, card).limit(100).write.mode("overwrite").parquet(path)
     features = spark.read.parquet(path)
     sections = [
