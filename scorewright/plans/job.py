@@ -67,6 +67,12 @@ class JobConfig:
                        monthly=replace(lay.monthly, keep=monthly_n))
 
 
+def _check_secret(cfg: JobConfig) -> None:
+    """Tokens of public ids under an empty key are reversible by dictionary: prod needs a secret."""
+    if cfg.env == "prod" and not cfg.token_key and {"weekly", "monthly"} & set(cfg.tables):
+        raise ValueError("env='prod' publishes tokenized keys: set JobConfig.token_key to the deployment secret")
+
+
 def closes_month(spark: SparkSession, archive: int) -> bool:
     d = F.to_date(F.lit(str(archive)), "yyyyMMdd")
     return bool(spark.range(1).select(month_closing(d).alias("c")).first()["c"])
@@ -88,6 +94,7 @@ def run_archive(spark: SparkSession, features: DataFrame, cfg: JobConfig,
     """``probe``: table the freshness gate reads (default: ``features``).  For a first-of-month
     run it is filtered to the run's archive partition (partition pruning)."""
     apply_engine_conf(spark)
+    _check_secret(cfg)
     card = card or two_card()
     layout = cfg.profile_layout()
     as_of = cfg.as_of
@@ -147,6 +154,7 @@ def backfill(spark: SparkSession, features_with_archive: DataFrame, cfg: JobConf
     """Publish many archives at once: each row carries its own ``archive``.  One scoring pass,
     one staging write, one dynamic-partition insert per table, then retention."""
     apply_engine_conf(spark)
+    _check_secret(cfg)
     card = card or two_card()
     layout = cfg.profile_layout()
     scored = score_append(features_with_archive.select(*card.source_columns(), "archive"), card)

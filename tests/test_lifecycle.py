@@ -158,7 +158,7 @@ def test_backfill_monthly_takes_only_closing_archives(spark):
     lay = _layout()
     feats = indicators_with_archive(spark, SF)
     cfg = JobConfig(as_of=dt.date(2001, 8, 4), env="prod", run_ts="2001-08-04 06:00:00", layout=lay,
-                    tables=("monthly",))
+                    tables=("monthly",), token_key="test-secret")
     backfill(spark, feats, cfg, keep={"monthly": None})
     monthly = spark.table(lay.qualified("prod", lay.monthly.name))
     expect = feats.where(month_closing(F.to_date(F.col("archive").cast("string"), "yyyyMMdd")))
@@ -166,3 +166,10 @@ def test_backfill_monthly_takes_only_closing_archives(spark):
     got = sorted(r.archive for r in monthly.select("archive").distinct().collect())
     assert got == sorted(r.archive for r in expect.select("archive").distinct().collect())
     assert monthly.where("infocheck_id LIKE 'C%'").count() == 0          # keys are tokens
+
+
+def test_prod_needs_a_token_secret(spark):
+    import pytest
+    cfg = JobConfig(as_of=dt.date(2001, 8, 4), archive=20010728, env="prod", layout=_layout())
+    with pytest.raises(ValueError):
+        run_archive(spark, indicators(spark, SF), cfg, two_card())
