@@ -22,22 +22,43 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
             .where(F.col("n_rows") > 1))
 
 
+MAX_BROADCAST_KEYS = 1_000_000
+
+
+def _null_safe(keys: Sequence[str], prefix: str):
+    return reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"{prefix}{k}")) for k in keys])
+
+
+def _full_join(df: DataFrame, card: Scorecard, auto_units: bool) -> DataFrame:
+    keys = list(card.keys)
+    right = score(df, card, keys=keys, auto_units=auto_units)
+    right = right.select(*[F.col(k).alias(f"__r_{k}") for k in keys], *RESULTS)
+    return df.join(right, _null_safe(keys, "__r_"), "left").drop(*[f"__r_{k}" for k in keys])
+
+
 def score_join_compat(df: DataFrame, card: Scorecard, auto_units: bool = False,
                       check_unique: bool = True) -> DataFrame:
     """Exact replay of the published form: raw rows LEFT JOIN their scores on the keys,
     null-safe (``<=>``), so a key tuple repeated *k* times yields *k*^2 rows.
 
-    With ``check_unique`` the key tuples are first checked (one partial count per task and a
-    shuffle of key tuples only); when none repeats, the join result equals
-    :func:`score_append` row for row, which is returned instead -- no self-join shuffle.
-    Otherwise Spark plans ``<=>`` keys as an equi sort-merge join on (coalesce(k), isnull(k)),
-    and AQE's skew-join split handles a hot key group.  The k^2 rows of a repeated key are
-    the defined result of this form; the default publishing path never joins.
+    With ``check_unique`` (default) the repeated key tuples are found first (a partial count
+    per task, then a shuffle of key tuples only).  Rows whose key is unique get exactly one
+    match -- their own score -- so they take the no-join :func:`score_append` path; only rows
+    with a repeated key go through the self-join.  The repeated tuples are counted before
+    they are broadcast (else shuffled) to split the rows, so the full table is never
+    shuffled for the join.  The k^2 rows of a repeated key are the defined result of this
+    form; the default publishing path never joins.  With ``auto_units`` the consult-age unit
+    depends on the whole batch, so the table is scored in one piece (plain self-join).
     """
     keys = list(card.keys)
-    if check_unique and duplicate_keys(df.select(*keys), keys).limit(1).count() == 0:
-        return score_append(df, card, auto_units=auto_units)
-    right = score(df, card, keys=keys, auto_units=auto_units)
-    right = right.select(*[F.col(k).alias(f"__r_{k}") for k in keys], *RESULTS)
-    cond = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__r_{k}")) for k in keys])
-    return df.join(right, cond, "left").drop(*[f"__r_{k}" for k in keys])
+    if not check_unique or auto_units:
+        return _full_join(df, card, auto_units)
+    repeated_keys = duplicate_keys(df.select(*keys), keys).select(*[F.col(k).alias(f"__d_{k}") for k in keys])
+    n_repeated = repeated_keys.count()
+    if n_repeated == 0:
+        return score_append(df, card)
+    side = F.broadcast(repeated_keys) if n_repeated <= MAX_BROADCAST_KEYS else repeated_keys
+    cond = _null_safe(keys, "__d_")
+    single = df.join(side, cond, "left_anti")
+    repeated = df.join(side, cond, "left_semi")
+    return score_append(single, card).unionByName(_full_join(repeated, card, False))

@@ -68,9 +68,10 @@ def main() -> None:
          score(features, card, keys=keys).groupBy("flow_pos").count()),
         ("Key uniqueness (J1u)", "Partial count per task, one exchange on the keys.",
          duplicate_keys(features, keys)),
-        ("Compat self-join (J1)", "This input repeats keys, so after the key check (one partial count, a shuffle of "
-         "key tuples) it is an equi sort-merge join on the null-safe keys; AQE splits a hot key at run time. With "
-         "unique keys the check returns the no-join plan of `score_append` instead.",
+        ("Compat self-join (J1)", "This input repeats some keys. The repeated key tuples (found by one partial count "
+         "and a shuffle of key tuples, counted, then broadcast) split the rows: unique-key rows are scored with no "
+         "join (broadcast anti join + the `score_append` stage); only repeated-key rows take the null-safe "
+         "sort-merge self-join. With no repeated key at all, the plan is just `score_append`.",
          score_join_compat(source_projection(indicators_dup(spark, sf), card), card)),
     ]
     lines = ["# Physical plans at scale", "",
