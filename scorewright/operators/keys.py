@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scorewright.operators.score import RESULTS, score, score_append
+from scorewright.session import shared_root
 from scorewright.spec import Scorecard
 
 
@@ -53,7 +54,10 @@ def score_join_compat(df: DataFrame, card: Scorecard, auto_units: bool = False,
     keys = list(card.keys)
     if not check_unique or auto_units:
         return _full_join(df, card, auto_units)
-    repeated_keys = duplicate_keys(df.select(*keys), keys).select(*[F.col(k).alias(f"__d_{k}") for k in keys])
+    shared_root(df.sparkSession)   # reliable checkpoints go to the session's shared folder
+    repeated_keys = (duplicate_keys(df.select(*keys), keys)
+                     .select(*[F.col(k).alias(f"__d_{k}") for k in keys])
+                     .checkpoint(eager=True))     # computed once: counted here, joined below
     n_repeated = repeated_keys.count()
     if n_repeated == 0:
         return score_append(df, card)
