@@ -47,17 +47,21 @@ def apply_engine_conf(spark: SparkSession) -> SparkSession:
 
 
 def shared_root(spark: SparkSession) -> str:
-    """Shared folder for intermediate tables and landed files.
+    """Shared folder for intermediate tables, landed files and checkpoints.
 
     Read ``spark.checkpoint.dir`` from the session (on a cluster it names a
     folder every executor can reach).  Only when it is unset -- a bare local
-    test session -- a private one is created and registered.
+    test session -- a private folder is created.  Either way the SparkContext's
+    checkpoint directory is made to point there, so ``DataFrame.checkpoint()``
+    works.  (``spark.checkpoint.dir`` itself is a core setting that cannot be
+    changed at runtime, so it is only read.)
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
         root = tempfile.mkdtemp(prefix="scorewright-")
-        spark.sparkContext.setCheckpointDir(root)
-        spark.conf.set("spark.checkpoint.dir", root)
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(root)
     return root.rstrip("/")
 
 
