@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -50,8 +49,10 @@ def shared_root(spark: SparkSession) -> str:
     """Shared folder for intermediate tables, landed files and checkpoints.
 
     Read ``spark.checkpoint.dir`` from the session (on a cluster it names a
-    folder every executor can reach).  Only when it is unset -- a bare local
-    test session -- a private folder is created.  Either way the SparkContext's
+    folder every executor can reach), else the checkpoint folder set on the
+    SparkContext.  A session that names neither uses a folder beside the tables
+    of ``spark.sql.warehouse.dir``, which the deployment owns; no machine-local
+    temporary folder is ever made here.  Either way the SparkContext's
     checkpoint directory is made to point there, so ``DataFrame.checkpoint()``
     works.  (``spark.checkpoint.dir`` itself is a core setting that cannot be
     changed at runtime, so it is only read.)
@@ -59,12 +60,12 @@ def shared_root(spark: SparkSession) -> str:
     sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
-        root = tempfile.mkdtemp(prefix="scorewright-")
+        root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(root)
     return root.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path under the shared root (never reused, never machine-local)."""
+    """A fresh, unique path under the shared root (never reused)."""
     return f"{shared_root(spark)}/scorewright/{name}-{uuid.uuid4().hex[:12]}"
