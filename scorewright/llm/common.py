@@ -62,7 +62,8 @@ def signed(h: np.ndarray) -> np.ndarray:
 def map_batches(df: DataFrame, schema: str, start: Callable[[], Callable[[dict], dict | None]],
                 rows: int = ROWS) -> DataFrame:
     """``mapInArrow`` in slices of ``rows`` rows.  ``start()`` runs once a task and returns a function
-    from a dict of column lists to a dict of output columns (None: no rows)."""
+    from a dict of column lists to a dict of output columns (None: no rows); a ``finish`` attribute of it is called
+    at the end of the task and may return more rows."""
     target = arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -72,6 +73,9 @@ def map_batches(df: DataFrame, schema: str, start: Callable[[], Callable[[dict],
                 out = fn(batch.slice(at, rows).to_pydict())
                 if out:
                     yield pa.RecordBatch.from_arrays([pa.array(out[f.name], f.type) for f in target], schema=target)
+        out = fn.finish() if hasattr(fn, "finish") else None
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(out[f.name], f.type) for f in target], schema=target)
 
     return df.mapInArrow(run, schema)
 

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scorewright.llm import ann, bpe, jump_sharding, language_id, packing, quality_bayes, quality_rules, url_templates
+from scorewright.llm import ann, bpe, jump_sharding, language_id, packing, prefix_trie, quality_bayes, quality_rules, url_templates
 from scorewright.llm.common import table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -51,6 +51,10 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.withColumn("content_share", F.round("content_share", 9))
 
 
+def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.jaccard_components(table(spark, sf_dir, "documents"), n=4, share=85)
+
+
 def identify_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     src = docs.select("doc_id", "text", F.col("lang").alias("declared"), F.col("source").alias("host"))
     return language_id.identify(src, evidence=page_evidence(table(spark, sf_dir, "pages")))
@@ -73,7 +77,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_quality_classifier, op2_sharding, op3_url_filters, op5_quality_rules, op7_language_id, op8_bpe, op9_ann,
+    op1_quality_classifier, op2_sharding, op3_url_filters, op5_quality_rules, op6_ngram_jaccard_join, op7_language_id, op8_bpe, op9_ann,
     op10_best_fit_packing)}
 
 ORACLE: dict[str, str] = {}
