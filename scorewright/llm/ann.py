@@ -2,7 +2,8 @@
 
 A bounded sample is joined to its nearest neighbours, that graph is cut into balanced parts, and a small classifier
 (softmax regression) learns which part a vector belongs to.  Every row is indexed under the part the classifier gives
-it; a query looks at its most probable parts, and the candidates are ranked again by the exact inner product.
+it; a query looks at its most probable parts, and the candidates are ranked again by the exact inner product.  How
+many parts that are is learnt too: as many as held-out vectors of the sample need to reach ``recall``.
 
 Defined results: vectors that are null, zero or hold null or non-finite components take no part; a vector whose length
 differs from the most common one of the sample takes no part; ties go to the smaller id; fewer candidates than ``k``
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 
 from scorewright.llm.common import arrow_schema, hash_sample, map_batches, sample_rate, store
 
-SAMPLE_ROWS, PART_ROWS, BLOCK_ROWS, PROBE_SHARE, PROBES = 4000, 1024, 2048, 0.3, 8
+SAMPLE_ROWS, PART_ROWS, BLOCK_ROWS, RECALL = 4000, 1024, 2048, 0.95
 NEIGHBOURS = 12
 
 
@@ -111,8 +112,9 @@ def valid(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
 
 
 def build(rows: DataFrame, sample_rows: int = SAMPLE_ROWS, part_rows: int = PART_ROWS,
-          probe_share: float = PROBE_SHARE) -> Index | None:
-    """Fit the router on at most about ``sample_rows`` distinct vectors, chosen by a hash of their id."""
+          recall: float = RECALL, k: int = 20) -> Index | None:
+    """Fit the router on at most about ``sample_rows`` distinct vectors, chosen by a hash of their id.  A fifth of them
+    is held out to find the number of parts to look at."""
     n = rows.count()
     # equal vectors count once, so a vector that many rows share does not fill the sample
     got = [r[0] for r in hash_sample(rows, "id", sample_rate(n, sample_rows)).select("v").distinct().collect()]
@@ -121,10 +123,17 @@ def build(rows: DataFrame, sample_rows: int = SAMPLE_ROWS, part_rows: int = PART
     dim = int(np.bincount([len(v) for v in got]).argmax())
     x = np.array(sorted(v for v in got if len(v) == dim))
     x = x[np.random.default_rng(7).permutation(len(x))] / np.sqrt((x * x).sum(1))[:, None]
-    parts = max(1, min(round(n / part_rows), len(x) // 16))
-    probes = min(parts, max(PROBES, int(np.ceil(probe_share * parts))))
-    weights = fit_router(x, balanced_parts(neighbour_graph(x, NEIGHBOURS), parts), parts)
-    return Index(weights, parts, probes)
+    parts = max(1, min(round(n / part_rows), len(x) // 32))
+    held, fitted = x[:len(x) // 5], x[len(x) // 5:]
+    weights = fit_router(fitted, balanced_parts(neighbour_graph(fitted, NEIGHBOURS), parts), parts)
+    index = Index(weights, parts, parts)
+    if len(held) and parts > 1:
+        near = np.argsort(-(held @ fitted.T), axis=1, kind="stable")[:, :k]
+        place = np.argsort(np.argsort(-index.logits(held), axis=1, kind="stable"), axis=1)
+        needed = np.take_along_axis(place, index.logits(fitted).argmax(1)[near], axis=1)
+        reached = np.cumsum(np.bincount(needed.ravel(), minlength=parts)) / needed.size
+        index.probes = int(np.searchsorted(reached, recall)) + 1
+    return index
 
 
 def assign(rows: DataFrame, index: Index, top: int) -> DataFrame:
@@ -166,13 +175,13 @@ def best_of(q: np.ndarray, q_ids: np.ndarray, c: np.ndarray, c_ids: np.ndarray,
 
 
 def search(df: DataFrame, is_query: str, k: int = 20, id_col: str = "vec_id", vec_col: str = "embedding",
-           sample_rows: int = SAMPLE_ROWS, part_rows: int = PART_ROWS, probe_share: float = PROBE_SHARE,
+           sample_rows: int = SAMPLE_ROWS, part_rows: int = PART_ROWS, recall: float = RECALL,
            block_rows: int = BLOCK_ROWS) -> DataFrame:
     """``query_id, rank, vec_id, score``: the ``k`` nearest found of every row for which the SQL condition
     ``is_query`` on ``id`` holds."""
     schema = "query_id long, vec_id long, score double"
     rows = store(valid(df, id_col, vec_col), "vectors")
-    index = build(rows, sample_rows, part_rows, probe_share)
+    index = build(rows, sample_rows, part_rows, recall, k)
     spark = df.sparkSession
     if index is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")

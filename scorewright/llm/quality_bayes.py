@@ -27,7 +27,7 @@ from scorewright.llm.quality_rules import base_counts
 
 TRAIN_DOCS = 20_000             # bound of the labelled sample
 LEXICON_WORDS = 4000            # strongest entries kept by the model
-MIN_DOCS, MIN_LOG_ODDS = 5, 3.0
+MIN_DOCS, MIN_LOG_ODDS = 3, 3.0
 _EDGE = b".,;:!?\"'()[]-"
 _UPPER, _DIGITS = bytes(range(65, 91)), bytes(range(48, 58))
 
@@ -155,7 +155,8 @@ def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, train_d
     def logit(c):
         c = F.greatest(F.least(c, F.lit(1 - 1e-9)), F.lit(1e-9))
         return F.log(c / (1 - c))
-    odds = logit(F.col("p")) + logit(F.col("path_share")) - logit(F.lit(base))
+    site_odds = logit(F.col("path_share")) - logit(F.lit(base)) if model else F.lit(0.0)      # without labels, no evidence
+    odds = logit(F.col("p")) + site_odds
     good = F.when(F.col("p") <= 0, F.lit(0.0)).otherwise(1 / (1 + F.exp(-odds)))
     return (scored.join(site, ["host", "path"])
             .select("doc_id", F.round("p", 9).alias("p_text"), F.round("host_share", 9).alias("host_share"),

@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scorewright.llm import ann, bpe, jump_sharding, language_id, packing, prefix_trie, quality_bayes, quality_rules, url_templates
+from scorewright.llm import (ann, bpe, jump_sharding, language_id, packing, phrase_automata, prefix_trie, quality_bayes,
+                             quality_rules, url_templates)
 from scorewright.llm.common import table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -45,6 +46,11 @@ def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_templates.filter_urls(pages, good)
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = phrase_automata.substring_dedup(table(spark, sf_dir, "documents"))
+    return done.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     judged = quality_rules.judge(docs, quality_rules.train(docs, table(spark, sf_dir, "labels")))
@@ -77,7 +83,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_quality_classifier, op2_sharding, op3_url_filters, op5_quality_rules, op6_ngram_jaccard_join, op7_language_id, op8_bpe, op9_ann,
+    op1_quality_classifier, op2_sharding, op3_url_filters, op4_substring_dedup, op5_quality_rules, op6_ngram_jaccard_join, op7_language_id, op8_bpe, op9_ann,
     op10_best_fit_packing)}
 
 ORACLE: dict[str, str] = {}
