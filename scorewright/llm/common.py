@@ -37,6 +37,56 @@ class WordHash(dict):
         return np.fromiter(map(self.__getitem__, tokens), np.uint64, len(tokens))
 
 
+_SPACE = np.zeros(256, bool)
+_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+_PIECE = 1 << 20                # bytes hashed at once
+_powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
+
+def _power_tables(n: int) -> list[np.ndarray]:
+    """Powers of ``BASE`` and of its inverse modulo 2**64."""
+    if len(_powers[0]) < n:
+        for k, base in enumerate((int(BASE), pow(int(BASE), -1, 1 << 64))):
+            table = np.full(max(n, 2 * len(_powers[k])), base, np.uint64)
+            table[0] = 1
+            _powers[k] = np.multiply.accumulate(table)
+    return _powers
+
+
+def word_hashes(raw: bytes) -> np.ndarray:
+    """64-bit hash of every word of ``raw``: a polynomial of its bytes, from one running sum over the text."""
+    if len(raw) > _PIECE:
+        at, out = 0, []
+        while at < len(raw):
+            end = min(len(raw), at + _PIECE)
+            while end < len(raw) and not _SPACE[raw[end]]:
+                end += 1
+            out.append(_hash_piece(raw[at:end]))
+            at = end
+        return np.concatenate(out)
+    return _hash_piece(raw)
+
+
+def _hash_piece(raw: bytes) -> np.ndarray:
+    b = np.frombuffer(raw, np.uint8)
+    gap = np.ones(len(b) + 2, bool)
+    gap[1:-1] = _SPACE[b]
+    start, end = np.flatnonzero(gap[:-1] & ~gap[1:]), np.flatnonzero(~gap[:-1] & gap[1:])
+    power, inverse = _power_tables(len(b) + 1)
+    total = np.zeros(len(b) + 1, np.uint64)
+    np.cumsum((b.astype(np.uint64) + np.uint64(1)) * power[:len(b)], out=total[1:])
+    return mix((total[end] - total[start]) * inverse[start])
+
+
+def text_bytes(text: str | None) -> bytes:
+    return text.encode("utf-8", "surrogatepass") if text else b""
+
+
+def sorted_set(h: np.ndarray) -> np.ndarray:
+    s = np.sort(h)
+    return s[np.concatenate([[True], s[1:] != s[:-1]])] if len(s) else s
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """Bijective finaliser, so that the order of the hashes says nothing about their input."""
     h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -85,10 +135,14 @@ def arrow_schema(ddl: str) -> pa.Schema:
 
 
 def store(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared scratch folder and read it back: cuts lineage and survives lost executors."""
+    """Write ``df`` to the shared scratch folder and read it back: cuts lineage and survives lost executors.
+
+    Spark deletes the shuffle files of finished jobs when the driver collects its garbage, which a driver that plans
+    little may not do for hours; asking for it here keeps the disks of the executors free of them."""
     spark = df.sparkSession
     path = scratch_path(spark, f"llm-{name}")
     df.write.parquet(path)
+    spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 

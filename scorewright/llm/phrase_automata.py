@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scorewright.llm.common import WordHash, arrow_schema, map_batches, ngram_hashes, signed, store, words
+from scorewright.llm.common import arrow_schema, map_batches, ngram_hashes, signed, store, text_bytes, word_hashes, words
 
 SIZE, ANCHOR, CELL_ROWS, SHARD_ROWS = 20, 8, 1000, 4000
 SPAN = "doc_id long, row_key long, start int, end int"
@@ -58,16 +58,16 @@ def runs(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate([[0], cut]), np.concatenate([cut, [len(values)]])
 
 
-def row_key(joined: bytes) -> int:
-    """With the id, tells rows with different words apart."""
-    return xxhash.xxh3_64_intdigest(joined) >> 1
+def row_key(h: np.ndarray) -> int:
+    """With the id, tells rows with different words apart; ``h`` are the hashes of its words."""
+    return xxhash.xxh3_64_intdigest(h.tobytes()) >> 1
 
 
 def row_key_column(text):
     """``row_key`` of a text column."""
     @F.pandas_udf("long")
     def key(texts: pd.Series) -> pd.Series:
-        return pd.Series([row_key(b" ".join(words(t))) for t in texts], dtype="int64")
+        return pd.Series([row_key(word_hashes(text_bytes(t))) for t in texts], dtype="int64")
     return key(text)
 
 
@@ -80,7 +80,7 @@ def whole(docs: DataFrame) -> DataFrame:
                 w = words(t)
                 joined = b" ".join(w)
                 sha = hashlib.sha256(joined).hexdigest()
-                out["row_key"].append(row_key(joined))
+                out["row_key"].append(row_key(word_hashes(joined)))
                 out["n_words"].append(len(w))
                 out["d1"].append(int(sha[:15], 16))
                 out["d2"].append(int(sha[15:30], 16))
@@ -94,22 +94,21 @@ def anchors(docs: DataFrame, size: int, anchor: int) -> DataFrame:
     """``anchor, doc_id, row_key, at, n``: one row for each run of windows with the same anchor; ``n`` is 2 where the phrase
     stands in the document again (perhaps in the same run), else 1."""
     def start():
-        hashed = WordHash()
-
         def run(r: dict) -> dict | None:
             hs, ids, keys, ats, ns = [], [], [], [], []
             for i, t in zip(r["doc_id"], r["text"], strict=True):
-                w = words(t)
-                grams = ngram_hashes(hashed.of(w), anchor)
+                h = word_hashes(text_bytes(t))
+                grams = ngram_hashes(h, anchor)
                 a = window_anchors(grams, size, anchor)
                 if len(a):
                     begin, _ = runs(a)
-                    value, count = np.unique(grams, return_counts=True)
                     hs.append(a[begin])
                     ids.append(np.full(len(begin), i, np.int64))
-                    keys.append(np.full(len(begin), row_key(b" ".join(w)), np.int64))
+                    keys.append(np.full(len(begin), row_key(h), np.int64))
                     ats.append(begin)
-                    ns.append(np.minimum(count[np.searchsorted(value, a[begin])], 2) if len(value) < len(grams) else np.ones(len(begin), int))
+                    s = np.sort(grams)
+                    twice = s[1:][s[1:] == s[:-1]]
+                    ns.append(1 + np.isin(a[begin], twice) if len(twice) else np.ones(len(begin), np.int8))
             if not hs:
                 return None
             return {"anchor": signed(np.concatenate(hs)), "doc_id": np.concatenate(ids), "row_key": np.concatenate(keys), "at": np.concatenate(ats).astype(np.int32),
@@ -122,17 +121,15 @@ def regions(marked: DataFrame, size: int, anchor: int) -> DataFrame:
     """``anchor, cells, doc_id, row_key, at, region``: the words that the windows of each marked run cover.  ``marked``
     has ``doc_id, text, marks`` (array of ``row_key, at, anchor, cells`` of the id)."""
     def start():
-        hashed = WordHash()
-
         def run(r: dict) -> dict:
             out: dict = {c: [] for c in ("anchor", "cells", "doc_id", "row_key", "at", "region")}
             for i, t, marks in zip(r["doc_id"], r["text"], r["marks"], strict=True):
-                w = words(t)
-                a = window_anchors(ngram_hashes(hashed.of(w), anchor), size, anchor)
+                w, h = words(t), word_hashes(text_bytes(t))
+                a = window_anchors(ngram_hashes(h, anchor), size, anchor)
                 if not len(a):
                     continue
                 begin, end = runs(a)
-                named, key = signed(a[begin]), row_key(b" ".join(w))
+                named, key = signed(a[begin]), row_key(h)
                 for m in marks:
                     if m["row_key"] != key:
                         continue
@@ -296,7 +293,7 @@ def cut(docs: DataFrame, spans: DataFrame) -> DataFrame:
         def run(r: dict) -> dict:
             out: dict = {c: [] for c in ("doc_id", "row_key", "n_kept", "left_sha256", "kept")}
             for i, t, marks in zip(r["doc_id"], r["text"], r["marks"], strict=True):
-                key = row_key(b" ".join(words(t)))
+                key = row_key(word_hashes(text_bytes(t)))
                 for own in (m["spans"] for m in marks if m["row_key"] == key):
                     left = drop_spans(t, own)
                     kept = b" ".join(left)

@@ -26,17 +26,17 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scorewright.llm.common import WordHash, arrow_schema, map_batches, ngram_hashes, signed, store
+from scorewright.llm.common import arrow_schema, map_batches, ngram_hashes, signed, sorted_set, store, text_bytes, word_hashes
 from scorewright.llm.components import components
 
 HEAVY, HEAVY_CHUNK, HEAVY_SEEN = 65_536, 1_000_000, 4
-BLOCK, SHARD_ROWS, PATH, MAX_BITS = 1024, 20_000, 32, 2048
+BLOCK, SHARD_ROWS, PATH, MAX_BITS = 1024, 20_000, 16, 1024
 
 
-def shingles(text: str | None, n: int, hashed: WordHash) -> np.ndarray:
+def shingles(text: str | None, n: int) -> np.ndarray:
     """Sorted distinct shingle hashes."""
-    h = hashed.of(text.encode("utf-8", "surrogatepass").lower().split() if text else [])
-    return np.unique(ngram_hashes(h, min(n, len(h)))) if len(h) else h
+    h = word_hashes(text_bytes(text).lower())
+    return sorted_set(ngram_hashes(h, min(n, len(h)))) if len(h) else h
 
 
 def ordered(s: np.ndarray, heavy: np.ndarray, rank: np.ndarray) -> np.ndarray:
@@ -143,7 +143,7 @@ class Subtree:
 def common_shingles(docs: DataFrame, n: int) -> list[tuple[int, int]]:
     """(hash, count) of shingles that repeat within chunks of the documents; at most ``HEAVY``, most common last."""
     def start():
-        hashed, held, size = WordHash(), [], [0]
+        held, size = [], [0]
 
         def flush() -> dict | None:
             if not held:
@@ -156,7 +156,7 @@ def common_shingles(docs: DataFrame, n: int) -> list[tuple[int, int]]:
 
         def run(r: dict) -> dict | None:
             for t in r["text"]:
-                held.append(shingles(t, n, hashed))
+                held.append(shingles(t, n))
                 size[0] += len(held[-1])
             return flush() if size[0] >= HEAVY_CHUNK else None
         run.finish = flush
@@ -176,12 +176,12 @@ def order_arrays(common: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray]
 def signatures(docs: DataFrame, n: int, order) -> DataFrame:
     """``doc_id, n_shingles, d1, d2, first``: set size, set digest and least shingle of the global order."""
     def start():
-        hashed, (heavy, rank) = WordHash(), order.value
+        heavy, rank = order.value
 
         def run(r: dict) -> dict:
             out: dict = {c: [] for c in ("n_shingles", "d1", "d2", "first")}
             for t in r["text"]:
-                s = shingles(t, n, hashed)
+                s = shingles(t, n)
                 d = xxhash.xxh3_128_intdigest(s.tobytes())
                 out["n_shingles"].append(len(s))
                 for c, v in (("d1", d >> 64), ("d2", d & ((1 << 64) - 1)), ("first", int(ordered(s, heavy, rank)[0]) if len(s) else 0)):
@@ -194,12 +194,12 @@ def signatures(docs: DataFrame, n: int, order) -> DataFrame:
 def prefixes(docs: DataFrame, n: int, share: int, order) -> DataFrame:
     """``doc_id, token, digest``: one row for each shingle of a document's prefix."""
     def start():
-        hashed, (heavy, rank) = WordHash(), order.value
+        heavy, rank = order.value
 
         def run(r: dict) -> dict | None:
             ids, tokens, digests = [], [], []
             for i, t in zip(r["doc_id"], r["text"], strict=True):
-                s = shingles(t, n, hashed)
+                s = shingles(t, n)
                 if len(s):
                     p = ordered(s, heavy, rank)[:prefix_length(len(s), share)]
                     tokens.append(p)
@@ -213,30 +213,31 @@ def prefixes(docs: DataFrame, n: int, share: int, order) -> DataFrame:
 
 
 def branches(docs: DataFrame, n: int, share: int, order) -> DataFrame:
-    """``doc_id, n, token, pos, path, map``: one row for each prefix shingle, with what follows it in the trie."""
+    """``shard, token, i, j, doc_id, component, n, pos, path, map``: what follows a document's prefix shingles in the
+    trie.  ``docs`` has ``doc_id, component, text, cells`` (array of ``token, i, j, shard``: where it stands)."""
     def start():
-        hashed, (heavy, rank) = WordHash(), order.value
+        heavy, rank = order.value
 
         def run(r: dict) -> dict:
-            out: dict = {c: [] for c in ("doc_id", "n", "tokens", "paths", "map")}
-            for i, t in zip(r["doc_id"], r["text"], strict=True):
-                s = shingles(t, n, hashed)
-                if len(s):
-                    p = ordered(s, heavy, rank)[:prefix_length(len(s), share)]
-                    out["doc_id"].append(i)
-                    out["n"].append(len(s))
-                    out["tokens"].append(signed(p))
-                    out["paths"].append((p >> np.uint64(33)).astype(np.int32))
-                    out["map"].append(bitmap(s).tobytes())
+            out: dict = {c: [] for c in ("shard", "token", "i", "j", "doc_id", "component", "n", "pos", "path", "map")}
+            for doc, group, t, cells in zip(r["doc_id"], r["component"], r["text"], r["cells"], strict=True):
+                s = shingles(t, n)
+                p = ordered(s, heavy, rank)[:prefix_length(len(s), share)] if len(s) else s
+                at = {v: k for k, v in enumerate(signed(p).tolist())}
+                path, held = (p >> np.uint64(33)).astype(np.int32), bitmap(s).tobytes()
+                for c in cells:
+                    if (k := at.get(c["token"])) is not None:
+                        row = (c["shard"], c["token"], c["i"], c["j"], doc, group, len(s), k, path[k + 1:k + 1 + PATH], held)
+                        for name, v in zip(out, row, strict=True):
+                            out[name].append(v)
             return out
         return run
-    return map_batches(docs, "doc_id long, n long, tokens array<long>, paths array<int>, map binary", start)
+    return map_batches(docs, "shard int, token long, i int, j int, doc_id long, component long, n long, pos int, path array<int>, map binary", start)
 
 
 def sets_of(docs: DataFrame, n: int) -> DataFrame:
     def start():
-        hashed = WordHash()
-        return lambda r: {"doc_id": r["doc_id"], "shingles": [signed(shingles(t, n, hashed)) for t in r["text"]]}
+        return lambda r: {"doc_id": r["doc_id"], "shingles": [signed(shingles(t, n)) for t in r["text"]]}
     return map_batches(docs, "doc_id long, shingles array<long>", start)
 
 
@@ -251,18 +252,21 @@ def linked(pairs: DataFrame, docs: DataFrame, n: int, share: int) -> DataFrame:
             .where(F.col("c") * 100 >= share * (F.col("t") - F.col("c"))).select("a", "b").distinct())
 
 
-def trie_pairs(rows: DataFrame, share: int, block: int = BLOCK, shard_rows: int = SHARD_ROWS) -> DataFrame:
-    """Candidate pairs ``a, b`` of ``token, doc_id, component, n, pos, path, map`` rows, by traversal of the subtrees."""
-    sizes = rows.groupBy("token").agg(F.count(F.lit(1)).alias("size"))
+def trie_pairs(places: DataFrame, docs: DataFrame, n: int, share: int, order, block: int = BLOCK,
+               shard_rows: int = SHARD_ROWS) -> DataFrame:
+    """Candidate pairs ``a, b`` by traversal of the subtrees; ``places`` has ``token, doc_id, component``."""
     parts = F.ceil(F.col("size") / block).cast("int")
+    sizes = (places.groupBy("token").agg(F.count(F.lit(1)).alias("size")).where("size > 1").select("token", parts.alias("parts")))
     own = F.pmod(F.xxhash64("doc_id", F.lit(11)), F.col("parts")).cast("int")
     # a subtree of several blocks is visited once for each pair of blocks
     cells = F.transform(F.sequence(F.lit(0), F.col("parts") - 1),
                         lambda x: F.struct(F.least(x, F.col("own")).alias("i"), F.greatest(x, F.col("own")).alias("j")))
-    dealt = (rows.join(sizes.where("size > 1").select("token", parts.alias("parts")), "token").withColumn("own", own)
-             .select("*", F.explode(cells).alias("cell")).select("token", "cell.i", "cell.j", "own", "doc_id", "component", "n", "pos", "path", "map"))
-    dealt = store(dealt, "branches")
+    dealt = store(places.join(sizes, "token").withColumn("own", own).select("token", "doc_id", "component", F.explode(cells).alias("cell"))
+                  .select("token", "doc_id", "component", "cell.i", "cell.j"), "cells")
     shards = max(1, -(-dealt.count() // shard_rows) * 4)
+    shard = F.pmod(F.xxhash64("token", "i", "j"), F.lit(shards)).cast("int")
+    of_doc = dealt.groupBy("doc_id", "component").agg(F.collect_list(F.struct("token", "i", "j", shard.alias("shard"))).alias("cells"))   # of one prefix
+    rows = branches(docs.join(of_doc, "doc_id").select("doc_id", "component", "text", "cells"), n, share, order)
     schema = arrow_schema("a long, b long")
 
     def traverse(table: pa.Table) -> pa.Table:
@@ -281,8 +285,7 @@ def trie_pairs(rows: DataFrame, share: int, block: int = BLOCK, shard_rows: int
         pairs = sorted(out)
         return pa.Table.from_arrays([pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1)], schema=schema)
 
-    shard = F.pmod(F.xxhash64("token", "i", "j"), F.lit(shards))
-    return dealt.groupBy(shard.alias("shard")).applyInArrow(traverse, "a long, b long").where("a <> b").distinct()
+    return rows.groupBy("shard").applyInArrow(traverse, "a long, b long").where("a <> b").distinct()
 
 
 def jaccard_components(df: DataFrame, n: int = 4, share: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -310,11 +313,7 @@ def jaccard_components(df: DataFrame, n: int = 4, share: int = 85, id_col: str =
     met = store(tokens.join(shared, "token", "left_semi").select("token", "doc_id").join(vertices, "doc_id"), "met")
     crossing = met.groupBy("token").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("token")
     open_rows = store(met.join(crossing, "token", "left_semi").distinct(), "open")
-    trees = branches(named.join(open_rows.select("doc_id").distinct(), "doc_id", "left_semi"), n, share, order)
-    rows = (trees.select("doc_id", "n", "map", "paths", F.posexplode("tokens").alias("pos", "token"))
-            .select("doc_id", "n", "map", "pos", "token", F.slice("paths", F.col("pos") + 2, F.lit(PATH)).alias("path"))
-            .join(open_rows, ["token", "doc_id"]))
-    more = linked(trie_pairs(rows, share), named, n, share)
+    more = linked(trie_pairs(open_rows, named, n, share, order), named, n, share)
     ids = components(edges.unionByName(more)).withColumnRenamed("id", "doc_id")
     return (signed_docs.select("doc_id", "n_shingles").join(ids, "doc_id", "left")
             .select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")))

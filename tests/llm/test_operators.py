@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from brute_force import NASTY, SF, check_packing, tokens, true_components, true_dedup
 
-from scorewright.llm import ann, bpe, jump_sharding, packing, phrase_automata, prefix_trie, quality_bayes, quality_rules
+from scorewright.llm import ann, bpe, common, jump_sharding, packing, phrase_automata, prefix_trie, quality_bayes, quality_rules
 from scorewright.llm import queries as Q
 from scorewright.llm.components import components
 
@@ -38,6 +38,17 @@ def docs(spark):
     return spark.read.parquet(f"{SF}/documents.parquet")
 
 
+def test_word_hashes_follow_the_words():
+    seen = {}
+    for text in [t for t in NASTY if t] + ["x" * 3_000_000 + " a\n" + "b c " * 300_000]:
+        raw = text.encode()
+        h = common.word_hashes(raw).tolist()
+        assert len(h) == len(raw.split())
+        for w, x in zip(raw.split(), h, strict=True):
+            assert seen.setdefault(w, x) == x
+    assert len(set(seen.values())) == len(seen)
+
+
 # ------------------------------------------------------------------ 2 sharding
 
 def jump(key, n):
