@@ -20,6 +20,8 @@ The list of common shingles (at most ``HEAVY``) only fixes the order: any list g
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -30,7 +32,7 @@ from scorewright.llm.common import arrow_schema, map_batches, ngram_hashes, sign
 from scorewright.llm.components import components
 
 HEAVY, HEAVY_CHUNK, HEAVY_SEEN = 65_536, 1_000_000, 4
-BLOCK, SHARD_ROWS, PATH, MAX_BITS = 1024, 20_000, 16, 1024
+BLOCK, SHARD_ROWS, PATH, MAX_BITS, LEAF = 1024, 20_000, 16, 1024, 12
 
 
 def shingles(text: str | None, n: int) -> np.ndarray:
@@ -74,13 +76,15 @@ def fold(b: np.ndarray, size: int) -> np.ndarray:
 
 
 class Subtree:
-    """The documents below one prefix shingle, as a trie of their continuations."""
+    """The documents of one size class below one prefix shingle, as a trie of their continuations (four bytes a step).
+    ``guest``: documents of the size class below; pairs of two guests are found there."""
 
-    def __init__(self, n: np.ndarray, pos: np.ndarray, paths: list[tuple], maps: list[np.ndarray], groups: np.ndarray, share: int):
+    def __init__(self, n: np.ndarray, pos: np.ndarray, paths: list[bytes], maps: list[np.ndarray], groups: np.ndarray,
+                 guest: np.ndarray, share: int):
         order = sorted(range(len(n)), key=paths.__getitem__)
         self.order = np.array(order)
         self.paths = [paths[i] for i in order]
-        self.n, self.rem, self.groups = n[order], (n - pos - 1)[order], groups[order]
+        self.n, self.rem, self.groups, self.guest = n[order], (n - pos - 1)[order], groups[order], guest[order]
         sizes = np.array([len(maps[i]) for i in order])
         self.sizes = sizes
         self.maps = {k: np.array([fold(maps[i], k) if len(maps[i]) >= k else np.zeros(k, np.uint64) for i in order])
@@ -93,15 +97,15 @@ class Subtree:
         stack = [(0, len(self.n), 0)]
         while stack:
             lo, hi, depth = stack.pop()
-            if hi - lo < 2 or (self.groups[lo:hi] == self.groups[lo]).all():
+            if hi - lo < 2 or (self.groups[lo:hi] == self.groups[lo]).all() or self.guest[lo:hi].all():
                 continue
             if self._hopeless(lo, hi, lo, hi, depth):
                 continue
             at = lo
             while at < hi:
-                token = self.paths[at][depth] if len(self.paths[at]) > depth else None
+                token = self.paths[at][4 * depth:4 * depth + 4]
                 end = at + 1
-                while token is not None and end < hi and self.paths[end][depth] == token:
+                while token and end < hi and self.paths[end][4 * depth:4 * depth + 4] == token:
                     end += 1
                 if end - at > 1:
                     stack.append((at, end, depth + 1))
@@ -123,7 +127,7 @@ class Subtree:
             i = np.arange(lo, min(b, lo + 64))
             both = self.n[i, None] + self.n[None, b:hi]
             most = 1 + depth + np.maximum(0, np.minimum(self.rem[i, None], self.rem[None, b:hi]) - depth)
-            ok = ((100 + self.share) * most >= self.share * both) & (self.groups[i, None] != self.groups[None, b:hi])
+            ok = ((100 + self.share) * most >= self.share * both) & (self.groups[i, None] != self.groups[None, b:hi]) & ~(self.guest[i, None] & self.guest[None, b:hi])
             x, y = np.nonzero(ok)
             if len(x):
                 self._bits(i[x], y + b)
@@ -140,6 +144,20 @@ class Subtree:
                     self.found.append((p[ok], q[ok]))
 
 
+def leaf_pairs(rows: list[tuple], share: int) -> list[tuple[int, int]]:
+    """The same for a subtree of few documents, ``(id, component, n, rest, guest, map)``, pair by pair."""
+    out = []
+    for x, (a, group, n, rest, guest, held) in enumerate(rows):
+        for b, other, m, more, too, also in rows[x + 1:]:
+            if group != other and not (guest and too) and (100 + share) * min(rest, more) >= share * (n + m):
+                p, q = np.frombuffer(held, np.uint64), np.frombuffer(also, np.uint64)
+                size = min(len(p), len(q))
+                apart = int.from_bytes(fold(p, size).tobytes()) ^ int.from_bytes(fold(q, size).tobytes())
+                if (100 + share) * apart.bit_count() <= (100 - share) * (n + m):
+                    out.append((min(a, b), max(a, b)))
+    return out
+
+
 def common_shingles(docs: DataFrame, n: int) -> list[tuple[int, int]]:
     """(hash, count) of shingles that repeat within chunks of the documents; at most ``HEAVY``, most common last."""
     def start():
@@ -192,80 +210,122 @@ def signatures(docs: DataFrame, n: int, order) -> DataFrame:
 
 
 def prefixes(docs: DataFrame, n: int, share: int, order) -> DataFrame:
-    """``doc_id, token, digest``: one row for each shingle of a document's prefix."""
+    """``doc_id, token, pos, digest``: one row for each shingle of a document's prefix."""
     def start():
         heavy, rank = order.value
 
         def run(r: dict) -> dict | None:
-            ids, tokens, digests = [], [], []
+            ids, tokens, places, digests = [], [], [], []
             for i, t in zip(r["doc_id"], r["text"], strict=True):
                 s = shingles(t, n)
                 if len(s):
                     p = ordered(s, heavy, rank)[:prefix_length(len(s), share)]
                     tokens.append(p)
+                    places.append(np.arange(len(p), dtype=np.int32))
                     ids.append(np.full(len(p), i, np.int64))
                     digests.append(np.full(len(p), xxhash.xxh64_intdigest(s.tobytes()), np.uint64))
             if not ids:
                 return None
-            return {"doc_id": np.concatenate(ids), "token": signed(np.concatenate(tokens)), "digest": signed(np.concatenate(digests))}
+            return {"doc_id": np.concatenate(ids), "token": signed(np.concatenate(tokens)), "pos": np.concatenate(places),
+                    "digest": signed(np.concatenate(digests))}
         return run
-    return map_batches(docs, "doc_id long, token long, digest long", start)
+    return map_batches(docs, "doc_id long, token long, pos int, digest long", start)
 
 
 def branches(docs: DataFrame, n: int, share: int, order) -> DataFrame:
-    """``shard, token, i, j, doc_id, component, n, pos, path, map``: what follows a document's prefix shingles in the
-    trie.  ``docs`` has ``doc_id, component, text, cells`` (array of ``token, i, j, shard``: where it stands)."""
+    """``shard, token, class, i, j, guest, doc_id, component, n, pos, path, map``: what follows a document's prefix
+    shingles in the trie.  ``docs`` has ``doc_id, component, text, cells`` (the first columns: where it stands)."""
     def start():
         heavy, rank = order.value
 
         def run(r: dict) -> dict:
-            out: dict = {c: [] for c in ("shard", "token", "i", "j", "doc_id", "component", "n", "pos", "path", "map")}
+            out: dict = {c: [] for c in ("shard", "token", "class", "i", "j", "guest", "doc_id", "component", "n", "pos", "path", "map")}
             for doc, group, t, cells in zip(r["doc_id"], r["component"], r["text"], r["cells"], strict=True):
                 s = shingles(t, n)
                 p = ordered(s, heavy, rank)[:prefix_length(len(s), share)] if len(s) else s
                 at = {v: k for k, v in enumerate(signed(p).tolist())}
-                path, held = (p >> np.uint64(33)).astype(np.int32), bitmap(s).tobytes()
+                path, held = (p >> np.uint64(32)).astype(np.uint32).tobytes(), bitmap(s).tobytes()
                 for c in cells:
                     if (k := at.get(c["token"])) is not None:
-                        row = (c["shard"], c["token"], c["i"], c["j"], doc, group, len(s), k, path[k + 1:k + 1 + PATH], held)
+                        row = (c["shard"], c["token"], c["class"], c["i"], c["j"], c["guest"], doc, group, len(s), k,
+                               path[4 * (k + 1):4 * (k + 1 + PATH)], held)
                         for name, v in zip(out, row, strict=True):
                             out[name].append(v)
             return out
         return run
-    return map_batches(docs, "shard int, token long, i int, j int, doc_id long, component long, n long, pos int, path array<int>, map binary", start)
+    return map_batches(docs, "shard int, token long, class int, i int, j int, guest boolean, doc_id long, component long, n long, pos int, "
+                       "path binary, map binary", start)
 
 
 def sets_of(docs: DataFrame, n: int) -> DataFrame:
+    """``doc_id, shards, shingles``: the sorted set as bytes."""
     def start():
-        return lambda r: {"doc_id": r["doc_id"], "shingles": [signed(shingles(t, n)) for t in r["text"]]}
-    return map_batches(docs, "doc_id long, shingles array<long>", start)
+        return lambda r: {"doc_id": r["doc_id"], "shards": r["shards"], "shingles": [shingles(t, n).tobytes() for t in r["text"]]}
+    return map_batches(docs.select("doc_id", "shards", "text"), "doc_id long, shards array<int>, shingles binary", start)
 
 
-def linked(pairs: DataFrame, docs: DataFrame, n: int, share: int) -> DataFrame:
-    """The pairs ``a, b`` whose sets are similar enough, counted exactly."""
+def linked(pairs: DataFrame, docs: DataFrame, n: int, share: int, block: int = 256, shard_rows: int = 2000) -> DataFrame:
+    """The pairs ``a, b`` whose sets are similar enough, counted exactly.
+
+    Sets are moved to the pairs by cell, not by pair: the documents of a connected group of pairs are dealt to blocks,
+    and a pair of blocks that has pairs is a cell, which gets every set it needs once."""
     pairs = store(pairs, "pairs")
-    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    sets = store(sets_of(docs.join(ids, "doc_id", "left_semi"), n), "sets")
-    left, right = (sets.select(F.col("doc_id").alias(x), F.col("shingles").alias(f"s{x}")) for x in "ab")
-    common = F.size(F.array_intersect("sa", "sb"))
-    return (pairs.join(left, "a").join(right, "b").select("a", "b", common.alias("c"), (F.size("sa") + F.size("sb")).alias("t"))
-            .where(F.col("c") * 100 >= share * (F.col("t") - F.col("c"))).select("a", "b").distinct())
+    group = components(pairs)
+    parts = F.ceil(F.col("size") / block).cast("int")
+    sizes = group.groupBy("component").agg(F.count(F.lit(1)).alias("size")).select("component", parts.alias("parts"))
+    place = store(group.join(sizes, "component").select("id", "component", F.pmod(F.xxhash64("id", F.lit(29)), F.col("parts")).cast("int").alias("block")), "blocks")
+    of_a = place.select(F.col("id").alias("a"), F.col("component"), F.col("block").alias("x"))
+    of_b = place.select(F.col("id").alias("b"), F.col("block").alias("y"))
+    cells = store(pairs.join(of_a, "a").join(of_b, "b").select("component", F.least("x", "y").alias("i"), F.greatest("x", "y").alias("j"), "a", "b"), "pair-cells")
+    key = ["component", "i", "j"]
+    need = cells.select(*key, F.col("a").alias("doc_id")).union(cells.select(*key, "b")).distinct()
+    need = store(need, "needed")
+    shards = max(1, -(-need.count() // shard_rows) * 4)
+    shard = F.pmod(F.xxhash64(*key), F.lit(shards)).cast("int").alias("shard")
+    of_doc = need.groupBy("doc_id").agg(F.collect_set(shard).alias("shards"))      # at most the blocks of its group
+    sets = sets_of(docs.join(of_doc, "doc_id"), n).select("doc_id", "shingles", F.explode("shards").alias("shard"))
+    schema = arrow_schema("a long, b long")
+
+    def count(left: pa.Table, right: pa.Table) -> pa.Table:
+        held: dict[int, list[np.ndarray]] = {}
+        for i, raw in zip(right.column("doc_id").to_pylist(), right.column("shingles").to_pylist(), strict=True):
+            held.setdefault(i, []).append(np.frombuffer(raw, np.uint64))
+        out = []
+        for a, b in zip(left.column("a").to_pylist(), left.column("b").to_pylist(), strict=True):
+            if any(similar(x, y, share) for x in held.get(a, ()) for y in held.get(b, ())):
+                out.append((a, b))
+        return pa.Table.from_arrays([pa.array([p[k] for p in out], pa.int64()) for k in (0, 1)], schema=schema)
+
+    return (cells.withColumn("shard", shard).groupBy("shard").cogroup(sets.groupBy("shard")).applyInArrow(count, "a long, b long").distinct())
+
+
+def similar(x: np.ndarray, y: np.ndarray, share: int) -> bool:
+    """Whether two sorted sets meet the share; a set without members meets none."""
+    if not len(x) or not len(y) or 100 * min(len(x), len(y)) < share * max(len(x), len(y)):
+        return False
+    both = np.concatenate([x, y])
+    both.sort()
+    common = int((both[1:] == both[:-1]).sum())
+    return 100 * common >= share * (len(both) - common)
 
 
 def trie_pairs(places: DataFrame, docs: DataFrame, n: int, share: int, order, block: int = BLOCK,
                shard_rows: int = SHARD_ROWS) -> DataFrame:
-    """Candidate pairs ``a, b`` by traversal of the subtrees; ``places`` has ``token, doc_id, component``."""
+    """Candidate pairs ``a, b`` by traversal of the subtrees; ``places`` has
+    ``token, class, guest, doc_id, component``."""
     parts = F.ceil(F.col("size") / block).cast("int")
-    sizes = (places.groupBy("token").agg(F.count(F.lit(1)).alias("size")).where("size > 1").select("token", parts.alias("parts")))
+    key = ["token", "class"]
+    sizes = places.groupBy(*key).agg(F.count(F.lit(1)).alias("size")).where("size > 1").select(*key, parts.alias("parts"))
     own = F.pmod(F.xxhash64("doc_id", F.lit(11)), F.col("parts")).cast("int")
     # a subtree of several blocks is visited once for each pair of blocks
     cells = F.transform(F.sequence(F.lit(0), F.col("parts") - 1),
                         lambda x: F.struct(F.least(x, F.col("own")).alias("i"), F.greatest(x, F.col("own")).alias("j")))
-    dealt = store(places.join(sizes, "token").withColumn("own", own).select("token", "doc_id", "component", F.explode(cells).alias("cell"))
-                  .select("token", "doc_id", "component", "cell.i", "cell.j"), "cells")
+    dealt = store(places.join(sizes, key).withColumn("own", own).select(*key, "guest", "doc_id", "component", F.explode(cells).alias("cell"))
+                  .select(*key, "guest", "doc_id", "component", "cell.i", "cell.j"), "cells")
     shards = max(1, -(-dealt.count() // shard_rows) * 4)
-    shard = F.pmod(F.xxhash64("token", "i", "j"), F.lit(shards)).cast("int")
-    of_doc = dealt.groupBy("doc_id", "component").agg(F.collect_list(F.struct("token", "i", "j", shard.alias("shard"))).alias("cells"))   # of one prefix
+    shard = F.pmod(F.xxhash64("token", "class", "i", "j"), F.lit(shards)).cast("int")
+    cell = F.struct("token", "class", "i", "j", "guest", shard.alias("shard"))
+    of_doc = dealt.groupBy("doc_id", "component").agg(F.collect_list(cell).alias("cells"))      # of one prefix
     rows = branches(docs.join(of_doc, "doc_id").select("doc_id", "component", "text", "cells"), n, share, order)
     schema = arrow_schema("a long, b long")
 
@@ -273,14 +333,16 @@ def trie_pairs(places: DataFrame, docs: DataFrame, n: int, share: int, order, bl
         r = table.to_pydict()
         out: set[tuple[int, int]] = set()
         by: dict[tuple, list[int]] = {}
-        for k, key in enumerate(zip(r["token"], r["i"], r["j"], strict=True)):
+        for k, key in enumerate(zip(r["token"], r["class"], r["i"], r["j"], strict=True)):
             by.setdefault(key, []).append(k)
         for at in by.values():
-            if len(at) < 2:
+            if len(at) <= LEAF:
+                out.update(leaf_pairs([(r["doc_id"][k], r["component"][k], r["n"][k], r["n"][k] - r["pos"][k], r["guest"][k], r["map"][k]) for k in at], share))
                 continue
             ids = [r["doc_id"][k] for k in at]
-            tree = Subtree(np.array([r["n"][k] for k in at]), np.array([r["pos"][k] for k in at]), [tuple(r["path"][k]) for k in at],
-                           [np.frombuffer(r["map"][k], np.uint64) for k in at], np.array([r["component"][k] for k in at]), share)
+            tree = Subtree(np.array([r["n"][k] for k in at]), np.array([r["pos"][k] for k in at]), [r["path"][k] for k in at],
+                           [np.frombuffer(r["map"][k], np.uint64) for k in at], np.array([r["component"][k] for k in at]),
+                           np.array([r["guest"][k] for k in at]), share)
             out.update((min(ids[x], ids[y]), max(ids[x], ids[y])) for x, y in tree.pairs())
         pairs = sorted(out)
         return pa.Table.from_arrays([pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1)], schema=schema)
@@ -308,11 +370,24 @@ def jaccard_components(df: DataFrame, n: int = 4, share: int = 85, id_col: str =
     # all prefix shingles, where they meet documents of different groups
     tokens = store(prefixes(named, n, share, order), "prefixes")
     shared = tokens.groupBy("token").agg(F.min("digest").alias("x"), F.max("digest").alias("y")).where("x <> y").select("token")
-    vertices = (heads.select(F.col("head").alias("doc_id")).distinct().join(grouped.withColumnRenamed("id", "doc_id"), "doc_id", "left")
-                .select("doc_id", F.coalesce("component", "doc_id").alias("component")))
-    met = store(tokens.join(shared, "token", "left_semi").select("token", "doc_id").join(vertices, "doc_id"), "met")
-    crossing = met.groupBy("token").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("token")
-    open_rows = store(met.join(crossing, "token", "left_semi").distinct(), "open")
+    # similar sets have sizes of one class or two neighbouring ones (the margin covers the logarithm's rounding)
+    size_class = F.floor(F.log(F.col("n")) / F.lit(math.log(100 / share) * (1 + 1e-9))).cast("int") if share < 100 else F.col("n").cast("int")
+    vertices = (full.groupBy("doc_id", "d1", "d2").agg(F.min("n_shingles").alias("n"))
+                .join(heads.select(F.col("head").alias("doc_id"), "d1", "d2"), ["doc_id", "d1", "d2"])
+                .join(grouped.withColumnRenamed("id", "doc_id"), "doc_id", "left")
+                .select("doc_id", F.coalesce("component", "doc_id").alias("component"), "n", size_class.alias("own")))
+    classes = F.explode(F.array(F.struct(F.col("own").alias("class"), F.lit(False).alias("guest")),
+                                F.struct((F.col("own") + 1).alias("class"), F.lit(True).alias("guest")))).alias("at")
+    met = store(tokens.join(shared, "token", "left_semi").select("token", "doc_id", "pos").join(vertices, "doc_id")
+                .select("token", "doc_id", "component", "n", (F.col("n") - F.col("pos")).alias("rest"), classes)
+                .select("token", "doc_id", "component", "n", "rest", "at.class", "at.guest"), "met")
+    crossing = (met.groupBy("token", "class").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.min("guest").alias("g"),
+                                                F.count(F.lit(1)).alias("size"), F.min("rest").alias("rest"), F.sum("n").alias("n"))
+                .where("x <> y AND NOT g")
+                # of two documents, what remains from the shingle on must be enough
+                .where((F.col("size") > 2) | (F.col("rest") * (100 + share) >= F.col("n") * share)).select("token", "class"))
+    open_rows = store(met.join(crossing, ["token", "class"], "left_semi")
+                      .select("token", "class", "guest", "doc_id", "component").distinct(), "open")
     more = linked(trie_pairs(open_rows, named, n, share, order), named, n, share)
     ids = components(edges.unionByName(more)).withColumnRenamed("id", "doc_id")
     return (signed_docs.select("doc_id", "n_shingles").join(ids, "doc_id", "left")
