@@ -91,35 +91,33 @@ def whole(docs: DataFrame) -> DataFrame:
 
 
 def anchors(docs: DataFrame, size: int, anchor: int) -> DataFrame:
-    """``anchor, doc_id, row_key, at, n``: one row for each run of windows with the same anchor; ``n`` is 2 where the phrase
+    """``anchor, doc_id, at, n``: one row for each run of windows with the same anchor; ``n`` is 2 where the phrase
     stands in the document again (perhaps in the same run), else 1."""
     def start():
         def run(r: dict) -> dict | None:
-            hs, ids, keys, ats, ns = [], [], [], [], []
+            hs, ids, ats, ns = [], [], [], []
             for i, t in zip(r["doc_id"], r["text"], strict=True):
-                h = word_hashes(text_bytes(t))
-                grams = ngram_hashes(h, anchor)
+                grams = ngram_hashes(word_hashes(text_bytes(t)), anchor)
                 a = window_anchors(grams, size, anchor)
                 if len(a):
                     begin, _ = runs(a)
                     hs.append(a[begin])
                     ids.append(np.full(len(begin), i, np.int64))
-                    keys.append(np.full(len(begin), row_key(h), np.int64))
                     ats.append(begin)
                     s = np.sort(grams)
                     twice = s[1:][s[1:] == s[:-1]]
                     ns.append(1 + np.isin(a[begin], twice) if len(twice) else np.ones(len(begin), np.int8))
             if not hs:
                 return None
-            return {"anchor": signed(np.concatenate(hs)), "doc_id": np.concatenate(ids), "row_key": np.concatenate(keys), "at": np.concatenate(ats).astype(np.int32),
+            return {"anchor": signed(np.concatenate(hs)), "doc_id": np.concatenate(ids), "at": np.concatenate(ats).astype(np.int32),
                     "n": np.concatenate(ns).astype(np.int8)}
         return run
-    return map_batches(docs, "anchor long, doc_id long, row_key long, at int, n tinyint", start)
+    return map_batches(docs, "anchor long, doc_id long, at int, n tinyint", start)
 
 
 def regions(marked: DataFrame, size: int, anchor: int) -> DataFrame:
     """``anchor, cells, doc_id, row_key, at, region``: the words that the windows of each marked run cover.  ``marked``
-    has ``doc_id, text, marks`` (array of ``row_key, at, anchor, cells`` of the id)."""
+    has ``doc_id, text, marks`` (array of ``at, anchor, cells`` of the id)."""
     def start():
         def run(r: dict) -> dict:
             out: dict = {c: [] for c in ("anchor", "cells", "doc_id", "row_key", "at", "region")}
@@ -131,8 +129,6 @@ def regions(marked: DataFrame, size: int, anchor: int) -> DataFrame:
                 begin, end = runs(a)
                 named, key = signed(a[begin]), row_key(h)
                 for m in marks:
-                    if m["row_key"] != key:
-                        continue
                     k = int(np.searchsorted(begin, m["at"]))
                     if k < len(begin) and begin[k] == m["at"] and named[k] == m["anchor"]:
                         out["anchor"].append(m["anchor"])
@@ -190,27 +186,26 @@ class Automaton:
         return self.machine.iter("".join([get(w, "\0") for w in tokens]))
 
 
-def covered(left: pa.Table, right: pa.Table, size: int) -> list[tuple[int, int, int, int]]:
-    """``doc_id, row_key, start, end`` of word runs to remove: the cell's regions streamed through its automaton."""
-    r = left.to_pydict()
-    firsts: dict[tuple, dict] = {}
-    for a, c, k1, k2, i, at in zip(*(right.column(c).to_pylist() for c in ("anchor", "cell", "k1", "k2", "first_doc", "first_at")), strict=True):
-        firsts.setdefault((a, c), {})[k1, k2] = (i, at)
+def covered(table: pa.Table, firsts: dict | None, size: int) -> list[tuple[int, int, int, int]]:
+    """``doc_id, row_key, start, end`` of word runs to remove: the regions of each cell streamed through its automaton.
+    ``firsts`` has the first place of each recurring window by cell and key; without it the cells are whole and are
+    confirmed here."""
+    r = table.to_pydict()
     by: dict[tuple, list[int]] = {}
     for k, key in enumerate(zip(r["anchor"], r["cell"], strict=True)):
         by.setdefault(key, []).append(k)
+    recur: dict[tuple, dict] = {}
+    if firsts is None:
+        for (a, c, window), (n, i, at) in confirm(table, size).items():
+            if n > 1:
+                recur.setdefault((a, c), {})[window] = (i, at)
     out = []
     for cell, rows in by.items():
-        known = firsts.get(cell)
-        if not known:
-            continue
-        patterns: dict[str, tuple] = {}
         tokens = {k: r["region"][k].split(" ") for k in rows}
-        for w in tokens.values():
-            for x in range(len(w) - size + 1):
-                window = " ".join(w[x:x + size])
-                if window not in patterns and (first := known.get(window_key(window))):
-                    patterns[window] = first
+        patterns = recur.get(cell, {})
+        if firsts and (known := firsts.get(cell)):
+            windows = {" ".join(w[x:x + size]) for w in tokens.values() for x in range(len(w) - size + 1)}
+            patterns = {w: first for w in windows if (first := known.get(window_key(w)))}
         if not patterns:
             continue
         machine = Automaton(patterns)
@@ -244,39 +239,49 @@ def repeated(df: DataFrame, size: int = SIZE, anchor: int = ANCHOR, id_col: str
     places = store(anchors(docs, size, anchor), "anchors")
     often = (places.groupBy("anchor").agg(F.sum("n").alias("n")).where("n > 1")
              .select("anchor", F.ceil(F.col("n") / cell_rows).cast("int").alias("cells")))
-    copies = rows.where("copy").select("doc_id", "row_key").distinct()
-    marks = (places.drop("n").join(often, "anchor").join(copies, ["doc_id", "row_key"], "left_anti").distinct().groupBy("doc_id")
-             .agg(F.collect_list(F.struct("row_key", "at", "anchor", "cells")).alias("marks")))        # of one document
-    found = regions(docs.join(marks, "doc_id"), size, anchor)
+    plain = rows.where("NOT copy").select("doc_id").distinct()
+    # ids of which every row is a copy need no further look
+    gone = rows.where("copy").select("doc_id").distinct().join(plain, "doc_id", "left_anti")
+    marks = store(places.drop("n").join(often, "anchor").join(gone, "doc_id", "left_anti").distinct().groupBy("doc_id")
+                  .agg(F.collect_list(F.struct("at", "anchor", "cells")).alias("marks")), "marks")        # of one document
+    found = regions(docs.join(marks.hint("merge"), "doc_id"), size, anchor)
     cell = F.pmod(F.xxhash64("doc_id", "row_key"), F.col("cells")).cast("int")
-    found = store(found.select("anchor", cell.alias("cell"), "doc_id", "row_key", "at", "region"), "regions")
+    found = store(found.select("anchor", "cells", cell.alias("cell"), "doc_id", "row_key", "at", "region"), "regions")
     shards = max(1, -(-found.count() // shard_rows))
-    shard = F.pmod(F.xxhash64("anchor", "cell"), F.lit(shards)).cast("int")
-    dealt = found.withColumn("shard", shard)
+    dealt = found.withColumn("shard", F.pmod(F.xxhash64("anchor", "cell"), F.lit(shards)).cast("int"))
+    alone, split = dealt.where("cells = 1"), dealt.where("cells > 1")
+    span_type = arrow_schema(SPAN)
+
+    def spans_of(rows: pa.Table, firsts: dict | None) -> pa.Table:
+        got = covered(rows, firsts, size)
+        return pa.Table.from_arrays([pa.array([g[k] for g in got], f.type) for k, f in enumerate(span_type)], schema=span_type)
+
+    # an anchor in one cell: its windows are confirmed and located in one go
+    single = alone.groupBy("shard").applyInArrow(lambda rows: spans_of(rows, None), SPAN)
+    # an anchor in several: confirmed in each cell, merged, and the first places taken back to the cells
     schema = "shard int, anchor long, cell int, k1 long, k2 long, n long, first_doc long, first_at int"
     target = arrow_schema(schema)
 
-    def confirmed(table: pa.Table) -> pa.Table:
-        shard_of = table.column("shard")[0].as_py() if table.num_rows else 0
-        got = confirm(table, size)
-        keys = [window_key(w) for _, _, w in got]
-        cols = [[shard_of] * len(got), [k[0] for k in got], [k[1] for k in got], [k[0] for k in keys], [k[1] for k in keys],
-                [v[0] for v in got.values()], [v[1] for v in got.values()], [v[2] for v in got.values()]]
-        return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(cols, target, strict=True)], schema=target)
+    def confirmed(rows: pa.Table) -> pa.Table:
+        shard_of = rows.column("shard")[0].as_py() if rows.num_rows else 0
+        out = [(shard_of, a, c, *window_key(w), *v) for (a, c, w), v in confirm(rows, size).items()]
+        return pa.Table.from_arrays([pa.array([o[k] for o in out], f.type) for k, f in enumerate(target)], schema=target)
 
-    windows = store(dealt.groupBy("shard").applyInArrow(confirmed, schema), "windows")
+    windows = store(split.groupBy("shard").applyInArrow(confirmed, schema), "windows")
     first = (windows.groupBy("anchor", "k1", "k2").agg(F.sum("n").alias("n"), F.min(F.struct("first_doc", "first_at")).alias("first"))
              .where("n > 1").select("anchor", "k1", "k2", "first"))
     recurring = windows.select("shard", "anchor", "cell", "k1", "k2").join(first, ["anchor", "k1", "k2"]).select(
         "shard", "anchor", "cell", "k1", "k2", "first.first_doc", "first.first_at")
-    span_type = arrow_schema(SPAN)
 
-    def located(left: pa.Table, right: pa.Table) -> pa.Table:
-        got = covered(left, right, size) if left.num_rows and right.num_rows else []
-        return pa.Table.from_arrays([pa.array([g[k] for g in got], f.type) for k, f in enumerate(span_type)], schema=span_type)
+    def located(rows: pa.Table, known: pa.Table) -> pa.Table:
+        firsts: dict[tuple, dict] = {}
+        for a, c, k1, k2, i, at in zip(*(known.column(x).to_pylist() for x in ("anchor", "cell", "k1", "k2", "first_doc", "first_at")), strict=True):
+            firsts.setdefault((a, c), {})[k1, k2] = (i, at)
+        return spans_of(rows, firsts)
 
-    spans = (dealt.groupBy("shard").cogroup(recurring.groupBy("shard")).applyInArrow(located, SPAN))
-    return docs, rows, spans.distinct().groupBy("doc_id", "row_key").agg(F.collect_list(F.struct("start", "end")).alias("spans"))   # of one document
+    several = split.groupBy("shard").cogroup(recurring.groupBy("shard")).applyInArrow(located, SPAN)
+    spans = store(single.unionByName(several).distinct(), "spans")
+    return docs, rows, spans.groupBy("doc_id", "row_key").agg(F.collect_list(F.struct("start", "end")).alias("spans"))   # of one document
 
 
 def drop_spans(text: str | None, spans: list) -> list[bytes]:
@@ -303,7 +308,7 @@ def cut(docs: DataFrame, spans: DataFrame) -> DataFrame:
         return run
     marks = spans.groupBy("doc_id").agg(F.collect_list(F.struct("row_key", "spans")).alias("marks"))
     schema = "doc_id long, row_key long, n_kept long, left_sha256 string, kept string"
-    return map_batches(docs.join(marks, "doc_id"), schema, start).dropDuplicates(["doc_id", "row_key"])
+    return map_batches(docs.join(marks.hint("merge"), "doc_id"), schema, start).dropDuplicates(["doc_id", "row_key"])
 
 
 EMPTY_SHA256 = hashlib.sha256(b"").hexdigest()

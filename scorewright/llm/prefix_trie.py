@@ -6,8 +6,9 @@ trie is dealt out by prefix shingle: under each one stand the ordered continuati
 such a subtree shares the overlap of a common path, and prunes branches by what the remaining lengths allow (and
 single pairs by parity bitmaps, another exact bound).  Surviving pairs are counted exactly.
 
-Equal sets are one vertex.  The branches of the first shingles are tied to their least document before the rest, so
-that later traversals only cross groups that are not yet connected: links inside a connected group change nothing.
+Equal sets are one vertex.  Sets that share their least shingle by one of two hashes are spanned by their
+nearest links first, so that the traversals only cross groups that are not yet connected: more links inside one change
+nothing.
 
 Defined results: null and empty texts have an empty set, linked with nothing, and are their own component; so is a row
 with a null id (its component is null); fewer than ``n`` words make one shingle; rows that share an id are one document,
@@ -28,11 +29,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scorewright.llm.common import arrow_schema, map_batches, ngram_hashes, signed, sorted_set, store, text_bytes, word_hashes
+from scorewright.llm.common import arrow_schema, map_batches, mix, ngram_hashes, signed, sorted_set, store, text_bytes, word_hashes
 from scorewright.llm.components import components
 
 HEAVY, HEAVY_CHUNK, HEAVY_SEEN = 65_536, 1_000_000, 4
 BLOCK, SHARD_ROWS, PATH, MAX_BITS, LEAF = 1024, 20_000, 16, 1024, 12
+SECOND = np.uint64(0xD6E8FEB86659FD93)
 
 
 def shingles(text: str | None, n: int) -> np.ndarray:
@@ -191,22 +193,21 @@ def order_arrays(common: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray]
     return h[at], at
 
 
-def signatures(docs: DataFrame, n: int, order) -> DataFrame:
-    """``doc_id, n_shingles, d1, d2, first``: set size, set digest and least shingle of the global order."""
+def signatures(docs: DataFrame, n: int) -> DataFrame:
+    """``doc_id, n_shingles, d1, d2, first, second``: set size, set digest and the least of two hashes of its shingles."""
     def start():
-        heavy, rank = order.value
-
         def run(r: dict) -> dict:
-            out: dict = {c: [] for c in ("n_shingles", "d1", "d2", "first")}
+            out: dict = {c: [] for c in ("n_shingles", "d1", "d2", "first", "second")}
             for t in r["text"]:
                 s = shingles(t, n)
                 d = xxhash.xxh3_128_intdigest(s.tobytes())
                 out["n_shingles"].append(len(s))
-                for c, v in (("d1", d >> 64), ("d2", d & ((1 << 64) - 1)), ("first", int(ordered(s, heavy, rank)[0]) if len(s) else 0)):
+                least = (int(s[0]), int(mix(s ^ SECOND).min())) if len(s) else (0, 0)
+                for c, v in (("d1", d >> 64), ("d2", d & ((1 << 64) - 1)), ("first", least[0]), ("second", least[1])):
                     out[c].append(v - (1 << 64) if v >> 63 else v)
             return {"doc_id": r["doc_id"], **out}
         return run
-    return map_batches(docs, "doc_id long, n_shingles long, d1 long, d2 long, first long", start)
+    return map_batches(docs, "doc_id long, n_shingles long, d1 long, d2 long, first long, second long", start)
 
 
 def prefixes(docs: DataFrame, n: int, share: int, order) -> DataFrame:
@@ -257,11 +258,11 @@ def branches(docs: DataFrame, n: int, share: int, order) -> DataFrame:
                        "path binary, map binary", start)
 
 
-def sets_of(docs: DataFrame, n: int) -> DataFrame:
+def sets_of(docs: DataFrame, n: int, shards: str = "array<int>") -> DataFrame:
     """``doc_id, shards, shingles``: the sorted set as bytes."""
     def start():
         return lambda r: {"doc_id": r["doc_id"], "shards": r["shards"], "shingles": [shingles(t, n).tobytes() for t in r["text"]]}
-    return map_batches(docs.select("doc_id", "shards", "text"), "doc_id long, shards array<int>, shingles binary", start)
+    return map_batches(docs.select("doc_id", "shards", "text"), f"doc_id long, shards {shards}, shingles binary", start)
 
 
 def linked(pairs: DataFrame, docs: DataFrame, n: int, share: int, block: int = 256, shard_rows: int = 2000) -> DataFrame:
@@ -283,7 +284,7 @@ def linked(pairs: DataFrame, docs: DataFrame, n: int, share: int, block: int = 2
     shards = max(1, -(-need.count() // shard_rows) * 4)
     shard = F.pmod(F.xxhash64(*key), F.lit(shards)).cast("int").alias("shard")
     of_doc = need.groupBy("doc_id").agg(F.collect_set(shard).alias("shards"))      # at most the blocks of its group
-    sets = sets_of(docs.join(of_doc, "doc_id"), n).select("doc_id", "shingles", F.explode("shards").alias("shard"))
+    sets = sets_of(docs.join(of_doc.hint("merge"), "doc_id"), n).select("doc_id", "shingles", F.explode("shards").alias("shard"))
     schema = arrow_schema("a long, b long")
 
     def count(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -299,6 +300,59 @@ def linked(pairs: DataFrame, docs: DataFrame, n: int, share: int, block: int = 2
     return (cells.withColumn("shard", shard).groupBy("shard").cogroup(sets.groupBy("shard")).applyInArrow(count, "a long, b long").distinct())
 
 
+def nearest_links(roots: DataFrame, docs: DataFrame, n: int, share: int, block: int = BLOCK, shard_rows: int = 4000) -> DataFrame:
+    """Links ``a, b`` that span each subtree of ``token, head`` rows, nearest pairs first, counted exactly.  Subtrees of
+    several blocks span each block and join it to the first: what that misses is found among all shingles."""
+    parts = F.ceil(F.col("size") / block).cast("int")
+    sizes = roots.groupBy("token").agg(F.count(F.lit(1)).alias("size")).where("size > 1").select("token", parts.alias("parts"))
+    own = F.pmod(F.xxhash64("head", F.lit(31)), F.col("parts")).cast("int")
+    cells = F.when(F.col("own") > 0, F.array("own")).otherwise(F.sequence(F.lit(0), F.col("parts") - 1))
+    dealt = store(roots.join(sizes, "token").withColumn("own", own).select("token", "head", F.explode(cells).alias("i")), "roots")
+    shards = max(1, -(-dealt.count() // shard_rows) * 4)
+    cell = F.struct("token", "i", F.pmod(F.xxhash64("token", "i"), F.lit(shards)).cast("int").alias("shard"))
+    of_doc = dealt.groupBy(F.col("head").alias("doc_id")).agg(F.collect_list(cell).alias("shards"))
+    sets = sets_of(docs.join(of_doc.hint("merge"), "doc_id"), n, "array<struct<token:bigint,i:int,shard:int>>")
+    rows = sets.select("doc_id", "shingles", F.inline("shards"))
+    schema = arrow_schema("a long, b long")
+
+    def span(table: pa.Table) -> pa.Table:
+        r = table.to_pydict()
+        by: dict[tuple, dict[int, np.ndarray]] = {}
+        for k, key in enumerate(zip(r["token"], r["i"], strict=True)):
+            by.setdefault(key, {})[r["doc_id"][k]] = np.frombuffer(r["shingles"][k], np.uint64)
+        out = {pair for held in by.values() if len(held) > 1 for pair in spanning(sorted(held), held, share)}
+        return pa.Table.from_arrays([pa.array([p[k] for p in sorted(out)], pa.int64()) for k in (0, 1)], schema=schema)
+
+    return rows.groupBy("shard").applyInArrow(span, "a long, b long").distinct()
+
+
+def spanning(ids: list[int], sets: dict[int, np.ndarray], share: int) -> list[tuple[int, int]]:
+    """A spanning forest of the links between ``ids``: pairs in the order of their bitmaps' distance, counted exactly
+    unless already connected."""
+    m = len(ids)
+    sizes = np.array([len(sets[i]) for i in ids])
+    maps = np.array([fold(b, min(map(len, raw))) for raw in [[bitmap(sets[i]) for i in ids]] for b in raw])
+    xs, ys, ds = [], [], []
+    for x in range(m - 1):
+        both = sizes[x] + sizes[x + 1:]
+        apart = np.bitwise_count(maps[x] ^ maps[x + 1:]).sum(1, dtype=np.int64)
+        ok = np.flatnonzero(((100 + share) * apart <= (100 - share) * both) & ((100 + share) * np.minimum(sizes[x], sizes[x + 1:]) >= share * both))
+        xs.append(np.full(len(ok), x))
+        ys.append(ok + x + 1)
+        ds.append(apart[ok] / both[ok])
+    x, y = np.concatenate(xs), np.concatenate(ys)
+    order = np.argsort(np.concatenate(ds), kind="stable")
+    label, out = np.arange(m), []
+    for lo in range(0, len(order), 512):
+        at = order[lo:lo + 512]
+        for k in at[label[x[at]] != label[y[at]]].tolist():
+            a, b = int(x[k]), int(y[k])
+            if label[a] != label[b] and similar(sets[ids[a]], sets[ids[b]], share):
+                label[label == label[b]] = label[a]
+                out.append((ids[a], ids[b]))
+    return out
+
+
 def similar(x: np.ndarray, y: np.ndarray, share: int) -> bool:
     """Whether two sorted sets meet the share; a set without members meets none."""
     if not len(x) or not len(y) or 100 * min(len(x), len(y)) < share * max(len(x), len(y)):
@@ -326,7 +380,7 @@ def trie_pairs(places: DataFrame, docs: DataFrame, n: int, share: int, order, bl
     shard = F.pmod(F.xxhash64("token", "class", "i", "j"), F.lit(shards)).cast("int")
     cell = F.struct("token", "class", "i", "j", "guest", shard.alias("shard"))
     of_doc = dealt.groupBy("doc_id", "component").agg(F.collect_list(cell).alias("cells"))      # of one prefix
-    rows = branches(docs.join(of_doc, "doc_id").select("doc_id", "component", "text", "cells"), n, share, order)
+    rows = branches(docs.join(of_doc.hint("merge"), "doc_id").select("doc_id", "component", "text", "cells"), n, share, order)
     schema = arrow_schema("a long, b long")
 
     def traverse(table: pa.Table) -> pa.Table:
@@ -357,15 +411,14 @@ def jaccard_components(df: DataFrame, n: int = 4, share: int = 85, id_col: str =
     docs = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     named = docs.where("doc_id IS NOT NULL AND text IS NOT NULL")
     order = df.sparkSession.sparkContext.broadcast(order_arrays(common_shingles(named, n)))   # at most HEAVY entries
-    signed_docs = store(signatures(docs, n, order), "signatures")
+    signed_docs = store(signatures(docs, n), "signatures")
     full = signed_docs.where("doc_id IS NOT NULL AND n_shingles > 0")
     # equal sets: one vertex, the least id
-    heads = full.groupBy("d1", "d2").agg(F.min("doc_id").alias("head"), F.min("first").alias("first"))
+    heads = full.groupBy("d1", "d2").agg(F.min("doc_id").alias("head"), F.min("first").alias("first"), F.min("second").alias("second"))
     same = full.join(heads.select("d1", "d2", "head"), ["d1", "d2"]).where("doc_id <> head").select(F.col("head").alias("a"), F.col("doc_id").alias("b"))
-    # the branches of the first shingles, tied to their least document
-    roots = heads.groupBy("first").agg(F.min("head").alias("a"), F.count(F.lit(1)).alias("size")).where("size > 1")
-    tied = heads.join(roots, "first").where("head <> a").select("a", F.col("head").alias("b")).distinct()
-    edges = store(same.unionByName(linked(tied, named, n, share)), "links")
+    # sets that share their least shingle by one of two hashes, before the rest
+    roots = heads.select("head", F.explode(F.array_distinct(F.array("first", "second"))).alias("token"))
+    edges = store(same.unionByName(nearest_links(roots, named, n, share)), "links")
     grouped = store(components(edges), "groups")
     # all prefix shingles, where they meet documents of different groups
     tokens = store(prefixes(named, n, share, order), "prefixes")
