@@ -265,18 +265,20 @@ def sets_of(docs: DataFrame, n: int, shards: str = "array<int>") -> DataFrame:
     return map_batches(docs.select("doc_id", "shards", "text"), f"doc_id long, shards {shards}, shingles binary", start)
 
 
-def linked(pairs: DataFrame, docs: DataFrame, n: int, share: int, block: int = 256, shard_rows: int = 2000) -> DataFrame:
-    """The pairs ``a, b`` whose sets are similar enough, counted exactly.
+def linked(pairs: DataFrame, docs: DataFrame, sizes: DataFrame, n: int, share: int, block: int = 512, shard_rows: int = 2000) -> DataFrame:
+    """The pairs ``a, b`` whose sets are similar enough, counted exactly.  ``sizes`` has ``doc_id, own`` (size class).
 
-    Sets are moved to the pairs by cell, not by pair: the documents of a connected group of pairs are dealt to blocks,
-    and a pair of blocks that has pairs is a cell, which gets every set it needs once."""
+    Sets are moved to the pairs by cell, not by pair: the documents of a connected group of pairs are dealt to size
+    classes (a pair belongs to its larger one) and blocks, and a pair of blocks that has pairs is a cell, which gets
+    every set it needs once."""
     pairs = store(pairs, "pairs")
-    group = components(pairs)
+    group = components(pairs).join(sizes.select(F.col("doc_id").alias("id"), "own"), "id")
     parts = F.ceil(F.col("size") / block).cast("int")
-    sizes = group.groupBy("component").agg(F.count(F.lit(1)).alias("size")).select("component", parts.alias("parts"))
-    place = store(group.join(sizes, "component").select("id", "component", F.pmod(F.xxhash64("id", F.lit(29)), F.col("parts")).cast("int").alias("block")), "blocks")
-    of_a = place.select(F.col("id").alias("a"), F.col("component"), F.col("block").alias("x"))
-    of_b = place.select(F.col("id").alias("b"), F.col("block").alias("y"))
+    many = group.groupBy("component", "own").agg(F.count(F.lit(1)).alias("size")).select("component", "own", parts.alias("parts"))
+    place = store(group.join(many, ["component", "own"]).select(
+        "id", "component", "own", F.pmod(F.xxhash64("id", F.lit(29)), F.col("parts")).cast("int").alias("block")), "blocks")
+    of_a = place.select(F.col("id").alias("a"), F.col("component"), F.struct("own", "block").alias("x"))
+    of_b = place.select(F.col("id").alias("b"), F.struct("own", "block").alias("y"))
     cells = store(pairs.join(of_a, "a").join(of_b, "b").select("component", F.least("x", "y").alias("i"), F.greatest("x", "y").alias("j"), "a", "b"), "pair-cells")
     key = ["component", "i", "j"]
     need = cells.select(*key, F.col("a").alias("doc_id")).union(cells.select(*key, "b")).distinct()
@@ -431,6 +433,7 @@ def jaccard_components(df: DataFrame, n: int = 4, share: int = 85, id_col: str =
                 .select("doc_id", F.coalesce("component", "doc_id").alias("component"), "n", size_class.alias("own")))
     classes = F.explode(F.array(F.struct(F.col("own").alias("class"), F.lit(False).alias("guest")),
                                 F.struct((F.col("own") + 1).alias("class"), F.lit(True).alias("guest")))).alias("at")
+    vertices = store(vertices, "vertices")
     met = store(tokens.join(shared, "token", "left_semi").select("token", "doc_id", "pos").join(vertices, "doc_id")
                 .select("token", "doc_id", "component", "n", (F.col("n") - F.col("pos")).alias("rest"), classes)
                 .select("token", "doc_id", "component", "n", "rest", "at.class", "at.guest"), "met")
@@ -441,7 +444,7 @@ def jaccard_components(df: DataFrame, n: int = 4, share: int = 85, id_col: str =
                 .where((F.col("size") > 2) | (F.col("rest") * (100 + share) >= F.col("n") * share)).select("token", "class"))
     open_rows = store(met.join(crossing, ["token", "class"], "left_semi")
                       .select("token", "class", "guest", "doc_id", "component").distinct(), "open")
-    more = linked(trie_pairs(open_rows, named, n, share, order), named, n, share)
+    more = linked(trie_pairs(open_rows, named, n, share, order), named, vertices.groupBy("doc_id").agg(F.min("own").alias("own")), n, share)
     ids = components(edges.unionByName(more)).withColumnRenamed("id", "doc_id")
     return (signed_docs.select("doc_id", "n_shingles").join(ids, "doc_id", "left")
             .select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")))
