@@ -142,27 +142,27 @@ NUMERIC = [c.strip() for c in VIEW_COLUMNS.split(",")
 # --------------------------------------------------------------------------- scoring
 
 KNOCKOUT_SQL = """CASE WHEN
-      coalesce(inf_mor_cant_total_sf, 0) >= 1
-   OR coalesce(inf_mor_cant_total_ccredito, 0) >= 1
-   OR coalesce(inf_dem_cant_total, 0) >= 3
-   OR coalesce(inf_dem_cant_total_sf, 0) >= 1
-   OR coalesce(inf_dem_cant_total_comercio, 0) >= 1
-   OR coalesce(inf_dem_cant_total_ccredito, 0) >= 1
-   OR coalesce(inf_inhib_cant_abiertas, 0) >= 1
-   OR coalesce(inf_inc_cant_abiertas, 0) >= 1
-   OR coalesce(inf_rem_cant_abiertas, 0) >= 1
-   OR coalesce(inf_conv_cant_abiertas, 0) >= 1
-   OR coalesce(inf_qui_cant_abiertas, 0) >= 1
-   OR coalesce(inf_mor_cant_total, 0) >= 3
-   OR coalesce(inf_mor_cant_total, 0) - coalesce(inf_mor_cant_total_telco, 0)
-      - coalesce(inf_mor_cant_total_cable, 0) - coalesce(inf_mor_cant_total_spub, 0) >= 2
-   OR coalesce(inf_dem_cant_total, 0) - coalesce(inf_dem_cant_total_telco, 0)
-      - coalesce(inf_dem_cant_total_cable, 0) - coalesce(inf_dem_cant_total_spub, 0) >= 2
-   OR coalesce(inf_mor_cant_total, 0) + coalesce(inf_dem_cant_total, 0)
-      - coalesce(inf_mor_cant_total_telco, 0) - coalesce(inf_mor_cant_total_cable, 0)
-      - coalesce(inf_mor_cant_total_spub, 0) - coalesce(inf_dem_cant_total_telco, 0)
-      - coalesce(inf_dem_cant_total_cable, 0) - coalesce(inf_dem_cant_total_spub, 0) >= 2
-   OR coalesce(inf_mor_cant_total, 0) + coalesce(inf_dem_cant_total, 0) >= 3
+      coalesce(nullif(inf_mor_cant_total_sf::DOUBLE, 'NaN'::DOUBLE), 0) >= 1
+   OR coalesce(nullif(inf_mor_cant_total_ccredito::DOUBLE, 'NaN'::DOUBLE), 0) >= 1
+   OR coalesce(nullif(inf_dem_cant_total::DOUBLE, 'NaN'::DOUBLE), 0) >= 3
+   OR coalesce(nullif(inf_dem_cant_total_sf::DOUBLE, 'NaN'::DOUBLE), 0) >= 1
+   OR coalesce(nullif(inf_dem_cant_total_comercio::DOUBLE, 'NaN'::DOUBLE), 0) >= 1
+   OR coalesce(nullif(inf_dem_cant_total_ccredito::DOUBLE, 'NaN'::DOUBLE), 0) >= 1
+   OR coalesce(nullif(inf_inhib_cant_abiertas::DOUBLE, 'NaN'::DOUBLE), 0) >= 1
+   OR coalesce(nullif(inf_inc_cant_abiertas::DOUBLE, 'NaN'::DOUBLE), 0) >= 1
+   OR coalesce(nullif(inf_rem_cant_abiertas::DOUBLE, 'NaN'::DOUBLE), 0) >= 1
+   OR coalesce(nullif(inf_conv_cant_abiertas::DOUBLE, 'NaN'::DOUBLE), 0) >= 1
+   OR coalesce(nullif(inf_qui_cant_abiertas::DOUBLE, 'NaN'::DOUBLE), 0) >= 1
+   OR coalesce(nullif(inf_mor_cant_total::DOUBLE, 'NaN'::DOUBLE), 0) >= 3
+   OR coalesce(nullif(inf_mor_cant_total::DOUBLE, 'NaN'::DOUBLE), 0) - coalesce(nullif(inf_mor_cant_total_telco::DOUBLE, 'NaN'::DOUBLE), 0)
+      - coalesce(nullif(inf_mor_cant_total_cable::DOUBLE, 'NaN'::DOUBLE), 0) - coalesce(nullif(inf_mor_cant_total_spub::DOUBLE, 'NaN'::DOUBLE), 0) >= 2
+   OR coalesce(nullif(inf_dem_cant_total::DOUBLE, 'NaN'::DOUBLE), 0) - coalesce(nullif(inf_dem_cant_total_telco::DOUBLE, 'NaN'::DOUBLE), 0)
+      - coalesce(nullif(inf_dem_cant_total_cable::DOUBLE, 'NaN'::DOUBLE), 0) - coalesce(nullif(inf_dem_cant_total_spub::DOUBLE, 'NaN'::DOUBLE), 0) >= 2
+   OR coalesce(nullif(inf_mor_cant_total::DOUBLE, 'NaN'::DOUBLE), 0) + coalesce(nullif(inf_dem_cant_total::DOUBLE, 'NaN'::DOUBLE), 0)
+      - coalesce(nullif(inf_mor_cant_total_telco::DOUBLE, 'NaN'::DOUBLE), 0) - coalesce(nullif(inf_mor_cant_total_cable::DOUBLE, 'NaN'::DOUBLE), 0)
+      - coalesce(nullif(inf_mor_cant_total_spub::DOUBLE, 'NaN'::DOUBLE), 0) - coalesce(nullif(inf_dem_cant_total_telco::DOUBLE, 'NaN'::DOUBLE), 0)
+      - coalesce(nullif(inf_dem_cant_total_cable::DOUBLE, 'NaN'::DOUBLE), 0) - coalesce(nullif(inf_dem_cant_total_spub::DOUBLE, 'NaN'::DOUBLE), 0) >= 2
+   OR coalesce(nullif(inf_mor_cant_total::DOUBLE, 'NaN'::DOUBLE), 0) + coalesce(nullif(inf_dem_cant_total::DOUBLE, 'NaN'::DOUBLE), 0) >= 3
   THEN 1 ELSE 0 END"""
 
 

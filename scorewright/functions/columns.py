@@ -55,7 +55,8 @@ def compare(col_sql: str, op: str, v) -> str:
 
 
 def zero_if_null(name: str) -> str:
-    return f"coalesce({ident(name)}, 0.0D)"
+    """NaN counts as missing too, as in R's ``coalesce``."""
+    return f"coalesce(nanvl(CAST({ident(name)} AS DOUBLE), CAST(NULL AS DOUBLE)), 0.0D)"
 
 
 def selector_is(selector: str, card_value) -> str:

@@ -3,7 +3,7 @@
 ``sha2(key | domain | value, 256)`` as lower-case hex.  Equal inputs give equal
 tokens, so tokenized ids stay joinable across tables and runs; the token is not
 reversible and not format preserving.  ``key`` is a deployment secret.  Null
-stays null (``concat_ws`` would silently skip it).
+stays null (``concat`` with a null is null).
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from scorewright.functions.columns import ident, text
 def token_sql(column_sql: str, domain: str, key: str, passes: int = 1) -> str:
     e = column_sql
     for _ in range(passes):
-        e = f"CASE WHEN {e} IS NULL THEN NULL ELSE sha2(concat_ws('|', {text(key)}, {text(domain)}, {e}), 256) END"
+        e = f"sha2(concat({text(f'{key}|{domain}|')}, {e}), 256)"
     return e
 
 

@@ -21,7 +21,8 @@ def _parse_sql(column: str, fmt: str) -> str:
     # zone (no daylight-saving hour).  The ISO form goes through Spark's native parser (TRY_CAST:
     # fast, null on bad text, and like R it also takes "yyyy-MM-dd HH:mm:ss").
     if fmt == "yyyy-MM-dd":
-        return f"TRY_CAST({ident(column)} AS TIMESTAMP_NTZ)"
+        # a cast also takes "2019" and "2019-05": only full dates count
+        return f"CASE WHEN {ident(column)} RLIKE '^ *[0-9]{{4}}-[0-9]{{1,2}}-[0-9]{{1,2}}' THEN TRY_CAST({ident(column)} AS TIMESTAMP_NTZ) END"
     return f"try_to_timestamp({ident(column)}, {text(fmt)})::TIMESTAMP_NTZ"
 
 

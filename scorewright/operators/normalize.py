@@ -8,6 +8,10 @@ from scorewright.functions.columns import ident, replace_columns, text
 from scorewright.spec import Scorecard
 
 
+# Spark's cast also takes a type suffix ("12d", "12f"); as.numeric does not.
+NUMBER = "(?i)^ *([+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)(e[+-]?[0-9]+)?|nan|[+-]?inf(inity)?) *$"
+
+
 def numeric_inputs(card: Scorecard, columns: list[str]) -> list[str]:
     keys, txt = set(card.keys), set(card.text_columns)
     return [c for c in dict.fromkeys((*card.knockout_inputs, *card.inputs))
@@ -24,7 +28,8 @@ def normalize_sql(card: Scorecard) -> dict[str, str]:
     for s in card.sentinels:
         new[s.column] = f"nullif({new.get(s.column, ident(s.column))}, {text(s.value)})"
     for c in card.numeric_text:
-        new[c] = f"TRY_CAST({new.get(c, ident(c))} AS DOUBLE)"
+        source = new.get(c, ident(c))
+        new[c] = f"CASE WHEN {source} RLIKE {text(NUMBER)} THEN TRY_CAST({source} AS DOUBLE) END"
     return new
 
 

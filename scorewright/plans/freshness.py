@@ -2,7 +2,7 @@
 
 ``max(fecha_obs)`` rather than an arbitrary ``LIMIT 1`` row; a partition filter
 prunes to one archive when given.  Whole days between ``as_of`` and that date must
-be below the threshold; an empty table counts as stale.
+be below the threshold; an empty table and a date after ``as_of`` count as not fresh.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ def freshness(features: DataFrame, as_of: dt.date, max_age_days: int = 4, archiv
     last = df.agg(F.max(F.try_to_date(F.col(column), "yyyy-MM-dd")).alias("last_obs"))
     age = F.datediff(F.lit(as_of), F.col("last_obs"))
     return last.select("last_obs", age.alias("age_days"),
-                       F.coalesce(age < F.lit(max_age_days), F.lit(False)).alias("fresh"))
+                       F.coalesce((age >= 0) & (age < F.lit(max_age_days)), F.lit(False)).alias("fresh"))
 
 
 def is_fresh(features: DataFrame, as_of: dt.date, max_age_days: int = 4, archive: int | None = None) -> bool:

@@ -26,7 +26,7 @@ from scorewright.operators.score import score_append, source_projection
 from scorewright.plans import ledger as L
 from scorewright.plans.freshness import freshness
 from scorewright.plans.layout import RAW
-from scorewright.plans.publish import (Layout, TableSpec, ensure_zones, publish_current, publish_partition, publish_partitions,
+from scorewright.plans.publish import (Layout, TableSpec, ensure_table, ensure_zones, publish_current, publish_partition, publish_partitions,
                                        staged, write_staging)
 from scorewright.plans.retention import retain
 from scorewright.session import apply_engine_conf
@@ -53,6 +53,14 @@ class JobConfig:
     tables: tuple[str, ...] = ("current", "slim", "weekly", "monthly")
     layout: Layout = field(default_factory=Layout)
 
+    def __post_init__(self) -> None:
+        if self.archive is not None and self.first:
+            raise ValueError("archive and first exclude each other")
+        if self.env not in RETENTION:
+            raise ValueError(f"unknown env {self.env!r}: one of {sorted(RETENTION)}")
+        if self.archive is not None:
+            dt.datetime.strptime(str(self.archive), "%Y%m%d")
+
     def resolved_archive(self, spark: SparkSession, as_of: dt.date) -> int:
         if self.archive is not None:
             return int(self.archive)
@@ -138,8 +146,10 @@ def run_archive(spark: SparkSession, features: DataFrame, cfg: JobConfig,
         kinds.append(layout.slim)
     if "weekly" in cfg.tables:
         kinds.append(layout.weekly)
-    if "monthly" in cfg.tables and closes_month(spark, archive):
-        kinds.append(layout.monthly)
+    if "monthly" in cfg.tables:
+        ensure_table(spark, layout, layout.monthly, staging.schema)      # there to be read even before a closing archive
+        if closes_month(spark, archive):
+            kinds.append(layout.monthly)
     dropped = {}
     for spec in kinds:
         table = publish_partition(spark, layout, spec, staging, archive, cfg.token_key)

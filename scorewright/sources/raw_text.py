@@ -3,29 +3,36 @@ back with the fixed 57-column schema.
 
 Quoting stays on (RFC 4180, ``"`` doubled) on both sides, so a value holding the
 separator or a quote survives the round trip; empty strings are written empty
-and read back as null, like the text table they feed.  Paths must be in a
+and read back as null, like the text table they feed.  Line breaks inside values
+are read as part of them, malformed rows and letters outside the charset are errors;
+the write, the path read and the table share one option set.  Paths must be in a
 shared folder (see :func:`scorewright.session.shared_root`).
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from scorewright.plans.layout import RAW, RAW_SCHEMA
 
 TEXT_OPTIONS = {"sep": "|", "header": "true", "nullValue": "", "emptyValue": "",
-                "encoding": "ISO-8859-1", "quote": '"', "escape": '"'}
+                "encoding": "ISO-8859-1", "quote": '"', "escape": '"', "multiLine": "true", "mode": "FAILFAST"}
 
 
 def land_text(df: DataFrame, path: str) -> str:
     """Write (replacing) one landing directory, e.g. ``.../data/archive=<a>``."""
-    df.select(*RAW).write.mode("overwrite").options(**TEXT_OPTIONS).csv(path)
+    charset = TEXT_OPTIONS["encoding"]
+    kinds = dict(df.dtypes)
+    # encode() raises on a letter the charset lacks; the CSV writer would put a question mark in its place
+    checked = [F.decode(F.encode(F.col(c), charset), charset).alias(c) if kinds[c] == "string" else F.col(c) for c in RAW]
+    df.select(*checked).write.mode("overwrite").options(**TEXT_OPTIONS).csv(path)
     return path
 
 
 def read_text(spark: SparkSession, path: str, schema: StructType = RAW_SCHEMA) -> DataFrame:
-    return spark.read.schema(schema).options(**TEXT_OPTIONS).option("mode", "FAILFAST").csv(path)
+    return spark.read.schema(schema).options(**TEXT_OPTIONS).csv(path)
 
 
 def register_text_table(spark: SparkSession, table: str, path: str, schema: StructType = RAW_SCHEMA) -> None:

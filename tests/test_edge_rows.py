@@ -201,3 +201,23 @@ def test_nan_counts_as_missing_like_r(spark):
                upto="impute")
     assert out["nan"]["g_max_venc_ten_36"] == 0.0
     assert out["nan"]["tc_max_dias_atraso_u6m"] == 2.0
+
+
+def test_nan_suffixes_and_partial_dates(spark):
+    from scorewright.models.two_card import two_card
+    from scorewright.operators.score import working_frame
+    from helpers import rows
+    nan = float("nan")
+    df = rows(spark, {"id": 1, "tc_max_dias_atraso_u6m": "12d"}, {"id": 2, "tc_max_dias_atraso_u6m": "12f", "fecha_obs": "2019"},
+              {"id": 3, "tc_max_dias_atraso_u6m": " 12.5 "}, {"id": 4, "fecha_obs": "2019-05"})
+    df = df.withColumn("inf_mor_cant_total_sf", F.lit(nan))
+    got = {r["infocheck_id"]: r for r in working_frame(df, two_card(), upto="normalize").collect()}
+    assert all(r["flow_x"] == 0 for r in got.values())
+    assert [got[k]["tc_max_dias_atraso_u6m"] for k in "123"] == [None, None, 12.5]
+
+
+def test_job_parameters_exclude_each_other():
+    from scorewright.plans.job import JobConfig
+    for bad in ({"archive": 20010728, "first": True}, {"env": "test"}, {"archive": 20011399}):
+        with pytest.raises(ValueError):
+            JobConfig(as_of=None, **bad)
