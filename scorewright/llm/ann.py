@@ -153,14 +153,16 @@ def assign(rows: DataFrame, index: Index, top: int) -> DataFrame:
     return map_batches(rows, "id long, v array<double>, parts array<int>", start, rows=2048)
 
 
-def best_of(q: np.ndarray, q_ids: np.ndarray, c: np.ndarray, c_ids: np.ndarray, k: int) -> list[tuple]:
-    """(query, candidate, score) of the best ``k`` of a block; scores are summed in one fixed order."""
+def best_of(q: np.ndarray, q_ids: np.ndarray, c: np.ndarray, c_ids: np.ndarray, k: int, floor: np.ndarray) -> list[tuple]:
+    """(query, candidate, score) of the best ``k`` of a block that reach the query's ``floor``; scores are summed in one
+    fixed order."""
     out = []
     for lo in range(0, len(q), 256):
         rough = q[lo:lo + 256] @ c.T
         for i, row in enumerate(rough):
             mine = q_ids[lo + i]
             row[c_ids == mine] = -np.inf
+            row[row < floor[lo + i] - 1e-9 * max(1.0, abs(floor[lo + i]))] = -np.inf
             if len(row) > k:
                 edge = np.partition(row, len(row) - k)[len(row) - k]
                 at = np.flatnonzero(row >= edge - 1e-9 * max(1.0, abs(edge)) if np.isfinite(edge) else row > -np.inf)
@@ -192,20 +194,29 @@ def search(df: DataFrame, is_query: str, k: int = 20, id_col: str = "vec_id", ve
     n_blocks = F.element_at(F.create_map(*[F.lit(x) for p, b in sorted(blocks.items()) for x in (p, b)]), F.col("part"))
     split = F.xxhash64("id", F.lit(3))
     held = placed.select("id", "v", part.alias("part")).select("id", "v", "part", F.pmod(split, n_blocks).cast("int").alias("block"))
-    asks = (placed.where(F.expr(is_query)).select("id", "v", F.explode("parts").alias("part"))
+    asks = (placed.where(F.expr(is_query)).select("id", "v", F.posexplode("parts").alias("nth", "part"))
             .where(F.col("part").isin(sorted(blocks)))
-            .select("id", "v", "part", F.explode(F.sequence(F.lit(0), (n_blocks - 1).cast("int"))).alias("block")))
+            .select("id", "v", "nth", "part", F.explode(F.sequence(F.lit(0), (n_blocks - 1).cast("int"))).alias("block")))
     target = arrow_schema(schema)
 
     def ranked(left: pa.Table, right: pa.Table) -> pa.Table:
         out = []
         if left.num_rows and right.num_rows:
             q, c = (np.array(t.column("v").combine_chunks().values.to_numpy()).reshape(t.num_rows, -1) for t in (left, right))
-            out = best_of(q, left.column("id").to_numpy(), c, right.column("id").to_numpy(), k)
+            out = best_of(q, left.column("id").to_numpy(), c, right.column("id").to_numpy(), k, left.column("floor").to_numpy())
         cols = list(zip(*out, strict=True)) if out else [[], [], []]
         return pa.Table.from_arrays([pa.array(v, f.type) for v, f in zip(cols, target, strict=True)], schema=target)
 
-    found = asks.groupBy("part", "block").cogroup(held.groupBy("part", "block")).applyInArrow(ranked, schema)
+    def visit(queries: DataFrame) -> DataFrame:
+        own = queries.select(*[F.col(c).alias(c) for c in ("id", "v", "floor", "part", "block")])      # apart from those of held
+        return own.groupBy("part", "block").cogroup(held.groupBy("part", "block")).applyInArrow(ranked, schema)
+
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+    # the most probable part first: its k-th score is a floor for what the other parts have to return
+    near = store(visit(asks.where("nth = 0").withColumn("floor", F.lit(float("-inf"))))
+                 .withColumn("rank", rank).where(F.col("rank") <= k).drop("rank"), "near")
+    floors = near.groupBy(F.col("query_id").alias("id")).agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("least")).where(F.col("n") >= k)
+    rest = asks.where("nth > 0").join(floors.select("id", "least"), "id", "left").withColumn("floor", F.coalesce("least", F.lit(float("-inf"))))
+    found = near.unionByName(visit(rest))
     return (found.withColumn("rank", rank).where(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))
