@@ -97,3 +97,28 @@ ORACLE.update({
         "WHERE archive IN (SELECT DISTINCT archive FROM scored ORDER BY archive DESC LIMIT 12)",
         with_archive=True),
 })
+
+PURGED = "tipo_doc_id, edad, score_pos, flow_pos"
+ORACLE.update({
+    "rejects": with_view(
+        "SELECT 'tc_max_dias_atraso_u6m' AS \"column\", CAST(count(*) FILTER (WHERE tc_max_dias_atraso_u6m != 'N/A' "
+        "AND TRY_CAST(tc_max_dias_atraso_u6m AS DOUBLE) IS NULL) AS BIGINT) AS rejected_rows FROM indicators "
+        "UNION ALL SELECT 'ich_fecha_ult_cons_priv', count(*) FILTER (WHERE ich_fecha_ult_cons_priv != '0' "
+        "AND try_strptime(ich_fecha_ult_cons_priv, '%Y-%m-%d') IS NULL) FROM indicators "
+        "UNION ALL SELECT 'fecha_obs', count(*) FILTER (WHERE fecha_obs IS NOT NULL "
+        "AND try_strptime(fecha_obs, '%Y-%m-%d') IS NULL) FROM indicators"),
+    "gated_run": with_view("SELECT 'stale' AS gate, CAST(0 AS BIGINT) AS slim_rows "
+                           "UNION ALL SELECT 'fresh', count(*) FROM indicators"),
+    "backfill_pending": with_view("SELECT archive, count(*) AS slim_rows, CAST(1 AS BIGINT) AS ledger_entries "
+                                  "FROM indicators GROUP BY archive", with_archive=True),
+    "purge_current": with_scoring(
+        f"SELECT {KEYS}, edad, score_pos, flow_pos, CAST(20010707 AS INTEGER) AS archv, "
+        "CAST(20010714 AS INTEGER) AS archive FROM scored WHERE edad < 40 "
+        f"UNION ALL SELECT {KEYS}, edad, score_pos, flow_pos, 20010714, 20010714 FROM scored WHERE edad >= 40"),
+    "purge_weekly": with_scoring(
+        f"SELECT {_tok('infocheck_id', NUMERIC_DOMAIN)} AS infocheck_id, "
+        f"{_tok('informconf_id', NUMERIC_DOMAIN)} AS informconf_id, {_tok('pers_id', PERSON_DOMAIN)} AS pers_id, "
+        f"{PURGED}, CAST(20010714 AS INTEGER) AS archv, CAST(20010714 AS INTEGER) AS archive "
+        "FROM scored WHERE edad >= 40"),
+    "raw_table_roundtrip": with_scoring(f"SELECT {RAW57} FROM scored"),
+})

@@ -16,7 +16,7 @@ from scorewright.functions.columns import flag, ident, num, replace_columns, tex
 from scorewright.spec import InSetFlag, Scorecard, SecondsBetween
 
 
-def _parse_sql(column: str, fmt: str) -> str:
+def parse_date_sql(column: str, fmt: str) -> str:
     # Wall-clock timestamps without a zone, so the difference never depends on the session time
     # zone (no daylight-saving hour).  The ISO form goes through Spark's native parser (TRY_CAST:
     # fast, null on bad text, and like R it also takes "yyyy-MM-dd HH:mm:ss").
@@ -27,8 +27,8 @@ def _parse_sql(column: str, fmt: str) -> str:
 
 
 def raw_seconds_sql(spec: SecondsBetween) -> str:
-    return (f"CAST(timestampdiff(SECOND, {_parse_sql(spec.start, spec.fmt)}, "
-            f"{_parse_sql(spec.end, spec.fmt)}) AS DOUBLE)")
+    return (f"CAST(timestampdiff(SECOND, {parse_date_sql(spec.start, spec.fmt)}, "
+            f"{parse_date_sql(spec.end, spec.fmt)}) AS DOUBLE)")
 
 
 def batch_unit_seconds(df: DataFrame, spec: SecondsBetween) -> float:

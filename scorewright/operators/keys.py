@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scorewright.operators.score import RESULTS, score, score_append
-from scorewright.session import shared_root
+from scorewright.session import scratch_path
 from scorewright.spec import Scorecard
 
 
@@ -23,18 +23,15 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
             .where(F.col("n_rows") > 1))
 
 
-MAX_BROADCAST_KEYS = 1_000_000
-
-
 def _null_safe(keys: Sequence[str], prefix: str):
     return reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"{prefix}{k}")) for k in keys])
 
 
-def _full_join(df: DataFrame, card: Scorecard, auto_units: bool) -> DataFrame:
-    keys = list(card.keys)
-    right = score(df, card, keys=keys, auto_units=auto_units)
-    right = right.select(*[F.col(k).alias(f"__r_{k}") for k in keys], *RESULTS)
-    return df.join(right, _null_safe(keys, "__r_"), "left").drop(*[f"__r_{k}" for k in keys])
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    """Written once in the shared folder and read back: computed once, and of a size Catalyst knows."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def score_join_compat(df: DataFrame, card: Scorecard, auto_units: bool = False,
@@ -42,27 +39,26 @@ def score_join_compat(df: DataFrame, card: Scorecard, auto_units: bool = False,
     """Exact replay of the published form: raw rows LEFT JOIN their scores on the keys,
     null-safe (``<=>``), so a key tuple repeated *k* times yields *k*^2 rows.
 
-    With ``check_unique`` (default) the repeated key tuples are found first (a partial count
-    per task, then a shuffle of key tuples only).  Rows whose key is unique get exactly one
-    match -- their own score -- so they take the no-join :func:`score_append` path; only rows
-    with a repeated key go through the self-join.  The repeated tuples are counted before
-    they are broadcast (else shuffled) to split the rows, so the full table is never
-    shuffled for the join.  The k^2 rows of a repeated key are the defined result of this
-    form; the default publishing path never joins.  With ``auto_units`` the consult-age unit
-    depends on the whole batch, so the table is scored in one piece (plain self-join).
+    A row whose key is unique matches its own score only, so it needs no join.  With ``check_unique``
+    (default) the repeated key tuples are found first (a partial count per task, then a shuffle of key tuples
+    only), and just their rows are scored for the right side; without it every key counts as repeated.
+    The right side holds one entry per key: its distinct results with their counts, at most one per
+    possible score however often the key occurs.  Every raw row is then scored once and looks its entry
+    up; the *k*^2 rows first exist in the output, where the counts are spread out again.  No side is
+    forced to be broadcast: both small tables are stored, so Catalyst decides by their size in bytes,
+    and where it shuffles them AQE splits the left rows of a hot key.
     """
     keys = list(card.keys)
-    if not check_unique or auto_units:
-        return _full_join(df, card, auto_units)
-    shared_root(df.sparkSession)   # reliable checkpoints go to the session's shared folder
-    repeated_keys = (duplicate_keys(df.select(*keys), keys)
-                     .select(*[F.col(k).alias(f"__d_{k}") for k in keys])
-                     .checkpoint(eager=True))     # computed once: counted here, joined below
-    n_repeated = repeated_keys.count()
-    if n_repeated == 0:
-        return score_append(df, card)
-    side = F.broadcast(repeated_keys) if n_repeated <= MAX_BROADCAST_KEYS else repeated_keys
-    cond = _null_safe(keys, "__d_")
-    single = df.join(side, cond, "left_anti")
-    repeated = df.join(side, cond, "left_semi")
-    return score_append(single, card).unionByName(_full_join(repeated, card, False))
+    right = score(df, card, keys=keys, auto_units=auto_units)
+    if check_unique:
+        repeated = _stored(duplicate_keys(df.select(*keys), keys)
+                           .select(*[F.col(k).alias(f"__d_{k}") for k in keys]), "repeated-keys")
+        right = right.join(repeated, _null_safe(keys, "__d_"), "left_semi")
+    entries = _stored(right.groupBy(*keys, *RESULTS).agg(F.count(F.lit(1)).alias("__n"))
+                      .groupBy(*[F.col(k).alias(f"__r_{k}") for k in keys])
+                      .agg(F.collect_list(F.struct(*RESULTS, "__n")).alias("__entries")), "key-results")
+    own = F.array(F.struct(*RESULTS, F.lit(1).cast("long").alias("__n")))
+    matched = (score_append(df, card, auto_units=auto_units).join(entries, _null_safe(keys, "__r_"), "left")
+               .withColumn("__e", F.explode(F.coalesce("__entries", own)))
+               .withColumn("__i", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__e.__n")))))
+    return matched.select(*df.columns, *[F.col(f"__e.{r}").alias(r) for r in RESULTS])

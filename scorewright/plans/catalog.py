@@ -11,20 +11,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import datetime as dt
-import uuid
+import re
 
-from scorewright.functions.calendar import archive_int, first_of_month, month_closing, run_date
+from scorewright.functions.calendar import archive_date, archive_int, first_of_month, month_closing, run_date
 from scorewright.functions.columns import round9
 from scorewright.functions.tokens import token_column_sql
 from scorewright.plans import ledger as L
 from scorewright.plans.freshness import freshness as freshness_gate
 from scorewright.plans.job import JobConfig, backfill, run_archive
 from scorewright.plans.layout import TOKENIZED
-from scorewright.plans.publish import Layout, Zones
-from scorewright.session import scratch_path
+from scorewright.plans.publish import Layout, Zones, ensure_zones
+from scorewright.session import remove_folder, scratch_path, shared_root
 from scorewright.sources.features import indicators_with_archive
-from scorewright.sources.raw_text import land_text, read_text
+from scorewright.sources.raw_text import land_text, read_text, register_text_table
 from scorewright.models.two_card import two_card
+from scorewright.operators.normalize import rejects
 from scorewright.operators.keys import duplicate_keys, score_join_compat
 from scorewright.operators.score import score, score_append, source_projection, working_frame
 from scorewright.sources.features import indicators, indicators_dup
@@ -123,16 +124,26 @@ TOKEN_KEY = "scorewright-test-key"    # tests only; a deployment passes its own
 FRESHNESS_AS_OF = dt.date(2001, 8, 4)
 
 
-def _isolated_layout() -> Layout:
-    tag = uuid.uuid4().hex[:10]
-    return Layout(zones=Zones(f"sw{tag}_ops", f"sw{tag}_staging", f"sw{tag}_prod"))
+def _isolated_layout(spark: SparkSession, query: str) -> Layout:
+    """The query's own databases and folders in this application; its next call starts them afresh."""
+    tag = "sw_" + re.sub(r"[^a-z0-9]", "_", spark.sparkContext.applicationId.lower()) + f"_{query}"
+    zones = Zones(f"{tag}_ops", f"{tag}_staging", f"{tag}_prod")
+    root = f"{shared_root(spark)}/scorewright/queries/{tag}"
+    for db in (zones.ops, zones.staging, zones.prod):
+        spark.sql(f"DROP DATABASE IF EXISTS {db} CASCADE")
+    remove_folder(spark, root)
+    return Layout(zones=zones, table_root=root)
 
 
-def _run(spark: SparkSession, sf_dir: str, tables: tuple[str, ...]) -> Layout:
-    """One weekly run over the whole view; "today" = the last observation date in the data."""
+def _last_observation(features: DataFrame) -> dt.date:
+    return freshness_gate(features, FRESHNESS_AS_OF).first()["last_obs"]
+
+
+def _run(spark: SparkSession, sf_dir: str, query: str, tables: tuple[str, ...]) -> Layout:
+    """One weekly run over the whole view, on the day of its last observation."""
     features = indicators(spark, sf_dir)
-    cfg = JobConfig(as_of=None, env="prod", run_ts=RUN_TS, token_key=TOKEN_KEY,
-                    tables=tables, layout=_isolated_layout())
+    cfg = JobConfig(as_of=_last_observation(features), env="prod", run_ts=RUN_TS, token_key=TOKEN_KEY,
+                    tables=tables, layout=_isolated_layout(spark, query))
     result = run_archive(spark, features, cfg, CARD)
     if result["status"] != "published":
         raise RuntimeError(result)
@@ -140,27 +151,27 @@ def _run(spark: SparkSession, sf_dir: str, tables: tuple[str, ...]) -> Layout:
 
 
 def stage_snapshot(spark, sf_dir):
-    lay = _run(spark, sf_dir, ())
+    lay = _run(spark, sf_dir, "stage_snapshot", ())
     return spark.table(lay.qualified("staging", lay.staging))
 
 
 def publish_current_q(spark, sf_dir):
-    lay = _run(spark, sf_dir, ("current",))
+    lay = _run(spark, sf_dir, "publish_current", ("current",))
     return spark.table(lay.qualified("prod", lay.current.name))
 
 
 def publish_slim_q(spark, sf_dir):
-    lay = _run(spark, sf_dir, ("slim",))
+    lay = _run(spark, sf_dir, "publish_slim", ("slim",))
     return spark.table(lay.qualified("prod", lay.slim.name))
 
 
 def publish_weekly_q(spark, sf_dir):
-    lay = _run(spark, sf_dir, ("weekly",))
+    lay = _run(spark, sf_dir, "publish_weekly", ("weekly",))
     return spark.table(lay.qualified("prod", lay.weekly.name))
 
 
 def publish_monthly_q(spark, sf_dir):
-    lay = _run(spark, sf_dir, ("monthly",))
+    lay = _run(spark, sf_dir, "publish_monthly", ("monthly",))
     return spark.table(lay.qualified("prod", lay.monthly.name))
 
 
@@ -193,8 +204,7 @@ def archive_calendar(spark, sf_dir):
 
 def month_closing_q(spark, sf_dir):
     archives = indicators_with_archive(spark, sf_dir, CARD).select("archive").distinct()
-    day = F.to_date(F.col("archive").cast("string"), "yyyyMMdd")
-    return archives.select("archive", month_closing(day).alias("closes_month"))
+    return archives.select("archive", month_closing(archive_date(F.col("archive"))).alias("closes_month"))
 
 
 def freshness_q(spark, sf_dir):
@@ -203,8 +213,7 @@ def freshness_q(spark, sf_dir):
 
 def pending_archives(spark, sf_dir):
     """Archives in the data without a ledger entry; the ledger holds the archives before 1998."""
-    lay = _isolated_layout()
-    from scorewright.plans.publish import ensure_zones
+    lay = _isolated_layout(spark, "pending_archives")
     ensure_zones(spark, lay)
     ledger = L.ensure_ledger(spark, lay.qualified("ops", "run_ledger"), lay.location(spark, "ops", "run_ledger"))
     candidates = indicators_with_archive(spark, sf_dir, CARD).select("archive")
@@ -215,23 +224,89 @@ def pending_archives(spark, sf_dir):
     return L.pending(candidates, spark.table(ledger))
 
 
-def _backfill(spark, sf_dir, tables, keep):
-    lay = _isolated_layout()
+def _backfill(spark, sf_dir, query, tables, keep):
+    lay = _isolated_layout(spark, query)
     cfg = JobConfig(as_of=FRESHNESS_AS_OF, env="prod", run_ts=RUN_TS, token_key=TOKEN_KEY, tables=tables, layout=lay)
     backfill(spark, indicators_with_archive(spark, sf_dir, CARD), cfg, CARD, keep=keep)
     return lay
 
 
 def backfill_slim(spark, sf_dir):
-    lay = _backfill(spark, sf_dir, ("slim",), {"slim": None})
+    lay = _backfill(spark, sf_dir, "backfill_slim", ("slim",), {"slim": None})
     return spark.table(lay.qualified("prod", lay.slim.name))
 
 
 def retention_q(spark, sf_dir):
-    lay = _backfill(spark, sf_dir, ("weekly",), {"weekly": 12})
+    lay = _backfill(spark, sf_dir, "retention", ("weekly",), {"weekly": 12})
     return spark.table(lay.qualified("prod", lay.weekly.name)).select(*KEYS, "score_pos", "flow_pos", "archive")
 
 
+def rejects_q(spark, sf_dir):
+    return rejects(indicators(spark, sf_dir), CARD)
+
+
+def gated_run(spark, sf_dir):
+    """Rows of the slim table after a run four days past the last observation (too late) and one three days past it."""
+    lay = _isolated_layout(spark, "gated_run")
+    features = indicators(spark, sf_dir)
+    last = _last_observation(features)
+    slim = lay.qualified("prod", lay.slim.name)
+    found = []
+    for case, days in (("stale", 4), ("fresh", 3)):
+        cfg = JobConfig(as_of=last + dt.timedelta(days=days), env="prod", run_ts=RUN_TS, tables=("slim",), layout=lay)
+        run_archive(spark, features, cfg, CARD)
+        n = spark.table(slim).count() if spark.catalog.tableExists(slim) else 0
+        found.append(f"('{case}', {n}L)")
+    return spark.sql(f"SELECT * FROM VALUES {', '.join(found)} AS t(gate, slim_rows)")
+
+
+def backfill_pending(spark, sf_dir):
+    """Rows and ledger entries per archive after the same back-fill was called twice."""
+    lay = _isolated_layout(spark, "backfill_pending")
+    cfg = JobConfig(as_of=FRESHNESS_AS_OF, env="prod", run_ts=RUN_TS, tables=("slim",), layout=lay)
+    for _ in range(2):
+        backfill(spark, indicators_with_archive(spark, sf_dir, CARD), cfg, CARD, keep={"slim": None})
+    rows = spark.table(lay.qualified("prod", lay.slim.name)).groupBy("archive").agg(F.count(F.lit(1)).alias("slim_rows"))
+    ledger = (spark.table(lay.qualified("ops", "run_ledger")).where("table_name = 'job'")
+              .groupBy("archive").agg(F.count(F.lit(1)).alias("ledger_entries")))
+    return rows.join(ledger, "archive", "full")
+
+
+def _replaced_runs(spark, sf_dir, query, table):
+    """Three runs with different rows: one archive, the next one, and that one again by force."""
+    lay = _isolated_layout(spark, query)
+    features = indicators(spark, sf_dir)
+    for archive, part, force in ((20010707, "edad < 40", False), (20010714, "edad >= 40", False),
+                                 (20010714, "edad IS NULL", True)):
+        cfg = JobConfig(as_of=FRESHNESS_AS_OF, archive=archive, env="prod", run_ts=RUN_TS, token_key=TOKEN_KEY,
+                        precedence=False, force=force, tables=(table,), layout=lay)
+        run_archive(spark, features.where(part), cfg, CARD)
+    return spark.table(lay.qualified("prod", getattr(lay, table).name + "_purge"))
+
+
+def purge_current(spark, sf_dir):
+    """Every replaced row of the current table once, under the archive of the run that replaced it."""
+    return _replaced_runs(spark, sf_dir, "purge_current", "current").select(
+        *KEYS, "edad", "score_pos", "flow_pos", "archv", "archive")
+
+
+def purge_weekly(spark, sf_dir):
+    """Rows of the weekly partition that the forced run replaced."""
+    return _replaced_runs(spark, sf_dir, "purge_weekly", "weekly").select(
+        *KEYS, "edad", "score_pos", "flow_pos", "archv", "archive")
+
+
+def raw_table_roundtrip(spark, sf_dir):
+    """The text table after two full refreshes: only the second landing's rows."""
+    ensure_zones(spark, lay := _isolated_layout(spark, "raw_table_roundtrip"))
+    scored = score_append(source_projection(indicators(spark, sf_dir), CARD), CARD)
+    table = lay.qualified("ops", lay.raw)
+    for archive, df in ((20010707, scored.where("edad < 40")), (20010714, scored)):
+        path = lay.location(spark, "ops", lay.raw) + f"/data/archive={archive}"
+        register_text_table(spark, table, land_text(df, path))
+    return spark.table(table)
+
+
 QUERIES = {
     "feature_scan": feature_scan,
     "knockout": knockout,
@@ -264,4 +339,10 @@ QUERIES = {
     "pending_archives": pending_archives,
     "backfill_slim": backfill_slim,
     "retention": retention_q,
+    "rejects": rejects_q,
+    "gated_run": gated_run,
+    "backfill_pending": backfill_pending,
+    "purge_current": purge_current,
+    "purge_weekly": purge_weekly,
+    "raw_table_roundtrip": raw_table_roundtrip,
 }

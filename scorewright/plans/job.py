@@ -7,9 +7,8 @@
     -> current (keep replaced rows, overwrite) -> slim -> weekly -> monthly if the
     archive closes its month -> retention per table -> ledger
 
-Every step is a Spark action on tables in the shared folder; an ``INSERT
-OVERWRITE`` of one archive partition makes a rerun idempotent, and a lost
-executor only re-runs its tasks.
+Every step is a Spark action on tables in the shared folder; a rerun points one archive
+partition at a new folder, so it is idempotent, and a lost executor only re-runs its tasks.
 """
 
 from __future__ import annotations
@@ -20,7 +19,7 @@ from dataclasses import dataclass, field, replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scorewright.functions.calendar import archive_int, month_closing, run_date
+from scorewright.functions.calendar import archive_date, archive_int, month_closing, run_date
 from scorewright.models.two_card import two_card
 from scorewright.operators.score import score_append, source_projection
 from scorewright.plans import ledger as L
@@ -29,7 +28,8 @@ from scorewright.plans.layout import RAW
 from scorewright.plans.publish import (Layout, TableSpec, ensure_table, ensure_zones, publish_current, publish_partition, publish_partitions,
                                        staged, write_staging)
 from scorewright.plans.retention import retain
-from scorewright.session import apply_engine_conf
+from scorewright.operators.normalize import rejects
+from scorewright.session import engine_settings
 from scorewright.sources.raw_text import land_text, register_text_table
 from scorewright.spec import Scorecard
 
@@ -39,7 +39,7 @@ RETENTION = {"dev": (2, 2, 3), "prod": (60, 12, 60)}
 
 @dataclass(frozen=True)
 class JobConfig:
-    as_of: dt.date | None                  # "today" of the run; None = the last observation date
+    as_of: dt.date | None = None           # "today" of the run; None = today (UTC)
     env: str = "dev"
     archive: int | None = None             # default: latest run weekday on or before as_of
     first: bool = False                    # first-of-month run: archive YYYYMM01
@@ -101,30 +101,26 @@ def run_archive(spark: SparkSession, features: DataFrame, cfg: JobConfig,
                 card: Scorecard | None = None, probe: DataFrame | None = None) -> dict:
     """``probe``: table the freshness gate reads (default: ``features``).  For a first-of-month
     run it is filtered to the run's archive partition (partition pruning)."""
-    apply_engine_conf(spark)
     _check_secret(cfg)
-    card = card or two_card()
+    with engine_settings(spark):
+        return _run_archive(spark, features, cfg, card or two_card(), probe)
+
+
+def _run_archive(spark: SparkSession, features: DataFrame, cfg: JobConfig, card: Scorecard,
+                 probe: DataFrame | None) -> dict:
     layout = cfg.profile_layout()
-    as_of = cfg.as_of
-    gate = None
-    if cfg.precedence or as_of is None:
-        # one aggregate over the observation date answers both "today" (when not given) and the gate
-        probe_archive = None
-        if probe is not None and cfg.first and cfg.archive is None and as_of is not None:
-            probe_archive = cfg.resolved_archive(spark, as_of)
-        gate = freshness(features if probe is None else probe, as_of or dt.date(1970, 1, 1), cfg.max_age_days,
-                         archive=probe_archive).first()
-        if as_of is None:
-            if gate["last_obs"] is None:
-                return {"archive": None, "status": "stopped: no observations"}
-            as_of = gate["last_obs"]
-            gate = {"fresh": True, "age_days": 0}
+    as_of = cfg.as_of or dt.datetime.now(dt.timezone.utc).date()
     archive = cfg.resolved_archive(spark, as_of)
     ledger = _ledger_table(spark, layout)
     if not cfg.force and L.is_done(spark, ledger, archive):
         return {"archive": archive, "status": "skipped: already run"}
-    if cfg.precedence and not gate["fresh"]:
-        return {"archive": archive, "status": f"stopped: features {gate['age_days']} days old"}
+    if cfg.precedence:
+        probe_archive = archive if probe is not None and cfg.first else None
+        gate = freshness(features if probe is None else probe, as_of, cfg.max_age_days, archive=probe_archive).first()
+        if gate["last_obs"] is None:
+            return {"archive": archive, "status": "stopped: no observations"}
+        if not gate["fresh"]:
+            return {"archive": archive, "status": f"stopped: features {gate['age_days']} days old"}
 
     scored = score_for_publish(features, card)
     if cfg.land_text:
@@ -135,10 +131,11 @@ def run_archive(spark: SparkSession, features: DataFrame, cfg: JobConfig,
         raw_table = layout.qualified("ops", layout.raw)
         register_text_table(spark, raw_table, path)
         scored = spark.table(raw_table)
-    run_ts = cfg.run_ts or dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
-    staging = write_staging(spark, layout, staged(scored.select(*RAW), archive, run_ts))
+    staging = write_staging(spark, layout, staged(scored.select(*RAW), archive, _run_ts(cfg)))
 
     counts = {"staging": staging.count()}
+    # staging keeps the raw text, so the rejects are counted there: a scan of three columns
+    rejected = {r["column"]: r["rejected_rows"] for r in rejects(staging, card).collect()}
     if "current" in cfg.tables:
         publish_current(spark, layout, staging, archive)
     kinds: list[TableSpec] = []
@@ -155,36 +152,51 @@ def run_archive(spark: SparkSession, features: DataFrame, cfg: JobConfig,
         table = publish_partition(spark, layout, spec, staging, archive, cfg.token_key)
         counts[spec.name] = spark.table(table).where(F.col("archive") == archive).count()
         dropped[spec.name] = retain(spark, table, spec.keep, archive_table=table + "_purge")
-    L.record(spark, ledger, archive, {**counts, "job": counts["staging"]})
-    return {"archive": archive, "status": "published", "rows": counts, "dropped": dropped}
+    L.record(spark, ledger, archive, {**{f"rejected {c}": n for c, n in rejected.items()}, **counts,
+                                      "job": counts["staging"]})
+    return {"archive": archive, "status": "published", "rows": counts, "dropped": dropped, "rejected": rejected}
+
+
+def _run_ts(cfg: JobConfig) -> str:
+    return cfg.run_ts or dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
 
 
 def backfill(spark: SparkSession, features_with_archive: DataFrame, cfg: JobConfig,
              card: Scorecard | None = None, keep: dict[str, int | None] | None = None) -> dict:
     """Publish many archives at once: each row carries its own ``archive``.  One scoring pass,
-    one staging write, one dynamic-partition insert per table, then retention."""
-    apply_engine_conf(spark)
+    one staging write, one partitioned write per table, then retention.
+
+    Archives the ledger holds are left out unless ``cfg.force``.  Rows without an archive reach
+    staging and are counted in the result (``undated_rows``); no table takes them.
+    """
     _check_secret(cfg)
-    card = card or two_card()
+    with engine_settings(spark):
+        return _backfill(spark, features_with_archive, cfg, card or two_card(), keep or {})
+
+
+def _backfill(spark: SparkSession, features_with_archive: DataFrame, cfg: JobConfig, card: Scorecard,
+              keep: dict[str, int | None]) -> dict:
     layout = cfg.profile_layout()
-    scored = score_append(features_with_archive.select(*card.source_columns(), "archive"), card)
-    run_ts = cfg.run_ts or dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
-    staging_df = staged(scored, F.col("archive"), run_ts).withColumn("archive", F.col("archv"))
+    ledger = _ledger_table(spark, layout)
+    features = features_with_archive.select(*card.source_columns(), "archive")
+    if not cfg.force:
+        features = features.join(L.done(spark.table(ledger)), "archive", "left_anti")
+    scored = score_append(features, card)
+    staging_df = staged(scored, F.col("archive"), _run_ts(cfg)).withColumn("archive", F.col("archv"))
     staging = write_staging(spark, layout, staging_df)
-    out = {}
+    out: dict = {"undated_rows": staging.where(F.col("archive").isNull()).count()}
     for name in ("slim", "weekly", "monthly"):
         if name not in cfg.tables:
             continue
         spec: TableSpec = getattr(layout, name)
-        if keep and name in keep:
+        if name in keep:
             spec = replace(spec, keep=keep[name])
         src = staging
         if name == "monthly":
-            src = staging.where(month_closing(F.to_date(F.col("archive").cast("string"), "yyyyMMdd")))
+            src = staging.where(month_closing(archive_date(F.col("archive"))))
         table = publish_partitions(spark, layout, spec, src, cfg.token_key)
         out[name] = {"table": table, "dropped": retain(spark, table, spec.keep, archive_table=table + "_purge")}
-    ledger = _ledger_table(spark, layout)
-    done = staging.groupBy("archive").agg(F.count(F.lit(1)).alias("rows"))
+    done = staging.where(F.col("archive").isNotNull()).groupBy("archive").agg(F.count(F.lit(1)).alias("rows"))
     (done.select(F.col("archive").cast("int"), F.lit("job").alias("table_name"), F.col("rows").cast("long"),
                  F.current_timestamp().cast("timestamp").alias("run_ts")).write.insertInto(ledger))
     return out

@@ -38,7 +38,10 @@ def is_done(spark: SparkSession, table: str, archive: int, step: str = "job") ->
         .limit(1).count() > 0
 
 
+def done(ledger: DataFrame, step: str = "job") -> DataFrame:
+    return ledger.where(F.col("table_name") == step).select("archive").distinct()
+
+
 def pending(candidates: DataFrame, ledger: DataFrame, step: str = "job") -> DataFrame:
     """Archives in ``candidates`` (column ``archive``) without a ``step`` entry in the ledger."""
-    done = ledger.where(F.col("table_name") == step).select("archive")
-    return candidates.select("archive").distinct().join(done, "archive", "left_anti")
+    return candidates.select("archive").distinct().join(done(ledger, step), "archive", "left_anti")

@@ -4,30 +4,32 @@ Tables live in three zones (ops / staging / prod databases).  Each table is an
 external Parquet table whose folder is under a shared table root (by default
 ``<spark.checkpoint.dir>/tables``), so every executor can reach it.
 
-* staging: full refresh (drop + create as select), 60 columns, ``archv`` and
+* Every snapshot is written to a folder of its own (``<table>/runs/<run>``) by a plain
+  ``DataFrameWriter``, so the deployment's output committer applies, and one metadata
+  statement then makes it visible.  A failed write leaves the table as it was.
+* staging: full refresh (drop + create over the written folder), 60 columns, ``archv`` and
   ``time_stamp`` literals; written once and read back by every publish step,
   so scoring never runs twice and lineage is cut at a stored table.
-* current: unpartitioned, replaced each run; the folder holding the replaced
-  snapshot becomes partition <archive that replaced it> of ``<current>_purge``
-  (zero-copy), and the new snapshot goes to a fresh folder.
-* slim / weekly / monthly: ``INSERT OVERWRITE ... PARTITION (archive=a)``
-  replaces exactly one partition, so a rerun of an archive is idempotent.
+* current: unpartitioned, replaced each run; the replaced snapshot's folder becomes partition
+  ``(archive that replaced it, run)`` of ``<current>_purge`` (zero-copy).
+* slim / weekly / monthly: exactly the partitions of the run are replaced, so a rerun of an
+  archive is idempotent; a replaced folder goes to ``<table>_purge``.
   weekly / monthly carry tokenized keys.
 """
 
 from __future__ import annotations
 
-import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
-from scorewright.functions.columns import ident
+from scorewright.functions.columns import ident, text
 from scorewright.functions.tokens import token_column_sql
 from scorewright.plans.layout import SLIM, STAGING, TOKENIZED
-from scorewright.plans.retention import hand_over, register_fresh_partitions, table_location
+from scorewright.plans.retention import (ensure_purge_table, hand_over, new_run, run_of, switch_partitions,
+                                          table_location)
 from scorewright.session import shared_root
 
 
@@ -80,21 +82,16 @@ def staged(scored: DataFrame, archive, run_ts: str) -> DataFrame:
 
 
 def write_staging(spark: SparkSession, layout: Layout, staging_df: DataFrame) -> DataFrame:
-    """S6 + S7: drop, create as select (Parquet), then read the stored table back."""
+    """S6 + S7: write the Parquet folder, drop the table, create it over that folder, read it back."""
     ensure_zones(spark, layout)
     table = layout.qualified("staging", layout.staging)
+    folder = f"{layout.location(spark, 'staging', layout.staging)}/runs/{new_run()}"
+    staging_df.write.parquet(folder)
     spark.sql(f"DROP TABLE IF EXISTS {table}")
-    (staging_df.write.format("parquet").mode("overwrite")
-     .option("path", layout.location(spark, "staging", layout.staging) + "/" + _run_suffix(spark))
-     .saveAsTable(table))
+    spark.sql(f"CREATE TABLE {table} ({_ddl(staging_df.schema)}) USING parquet LOCATION {text(folder)}")
     return spark.table(table)
 
 
-def _run_suffix(spark: SparkSession) -> str:
-    # A fresh folder per refresh: an external table's files are not removed by DROP TABLE.
-    return f"v={uuid.uuid4().hex[:12]}"
-
-
 def _ddl(schema: StructType) -> str:
     return ", ".join(f"{ident(f.name)} {f.dataType.simpleString()}" for f in schema.fields)
 
@@ -106,74 +103,63 @@ def ensure_table(spark: SparkSession, layout: Layout, spec: TableSpec, schema: S
     if spec.partitioned:
         cols = StructType(list(cols.fields) + [StructField("archive", IntegerType(), True)])
     part = " PARTITIONED BY (archive)" if spec.partitioned else ""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({_ddl(cols)}) USING parquet{part} "
-              f"LOCATION '{layout.location(spark, 'prod', spec.name)}'")
+    base = layout.location(spark, "prod", spec.name)
+    # an unpartitioned table starts on an empty folder beside the runs, so it never lists one half written
+    folder = base if spec.partitioned else f"{base}/empty"
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({_ddl(cols)}) USING parquet{part} LOCATION {text(folder)}")
     return table
 
 
-def _select_list(spec: TableSpec, token_key: str) -> str:
+def _select_list(spec: TableSpec, token_key: str) -> list[str]:
     out = []
     for c in spec.columns:
         if spec.token_passes and c in TOKENIZED:
             out.append(f"{token_column_sql(c, TOKENIZED[c], token_key, spec.token_passes)} AS {ident(c)}")
         else:
             out.append(ident(c))
-    return ", ".join(out)
+    return out
+
+
+def _run_folder(spark: SparkSession, layout: Layout, spec: TableSpec) -> str:
+    return f"{layout.location(spark, 'prod', spec.name)}/runs/{new_run()}"
 
 
 def publish_partition(spark: SparkSession, layout: Layout, spec: TableSpec, staging: DataFrame,
                       archive: int, token_key: str) -> str:
-    """Replace exactly partition ``archive`` (static spec, so no other partition is touched)."""
+    """Write the snapshot, then point exactly partition ``archive`` at it."""
     table = ensure_table(spark, layout, spec, staging.schema)
-    register_fresh_partitions(spark, table, [archive])
-    view = f"__sw_src_{spec.name}"
-    staging.createOrReplaceTempView(view)
-    spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION (archive={int(archive)}) "
-              f"SELECT {_select_list(spec, token_key)} FROM {view}")
-    spark.catalog.dropTempView(view)
-    spark.catalog.refreshTable(table)
+    folder = f"{_run_folder(spark, layout, spec)}/archive={int(archive)}"
+    staging.selectExpr(*_select_list(spec, token_key)).write.parquet(folder)
+    switch_partitions(spark, table, {int(archive): folder})
     return table
 
 
 def publish_partitions(spark: SparkSession, layout: Layout, spec: TableSpec, staging: DataFrame,
                        token_key: str) -> str:
-    """Back-fill: rows carry their own ``archive``; only the partitions present are replaced
-    (dynamic overwrite).  ``REBALANCE(archive)`` lets AQE split a hot archive over several
-    tasks and merge small ones, so no task holds a whole archive and files stay sized."""
+    """Back-fill: rows carry their own ``archive``; only the partitions present are replaced.
+    ``rebalance`` lets AQE split a hot archive over several tasks and merge small ones, so no
+    task holds a whole archive and files stay sized.  Rows without an archive are left out."""
     table = ensure_table(spark, layout, spec, staging.schema)
-    # the archive list is metadata-sized (one value per week); each new one gets a fresh folder
-    register_fresh_partitions(spark, table, [r[0] for r in staging.select("archive").distinct().collect()])
-    view = f"__sw_src_{spec.name}"
-    staging.createOrReplaceTempView(view)
-    previous = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION (archive) "
-                  f"SELECT /*+ REBALANCE(archive) */ {_select_list(spec, token_key)}, archive FROM {view}")
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", previous)
-        spark.catalog.dropTempView(view)
-    spark.catalog.refreshTable(table)
+    dated = staging.where(F.col("archive").isNotNull())
+    folder = _run_folder(spark, layout, spec)
+    (dated.selectExpr(*_select_list(spec, token_key), "archive").hint("rebalance", "archive")
+     .write.partitionBy("archive").parquet(folder))
+    # the archive list is metadata-sized (one value per week)
+    archives = [r[0] for r in dated.select("archive").distinct().collect()]
+    switch_partitions(spark, table, {a: f"{folder}/archive={a}" for a in archives})
     return table
 
 
 def publish_current(spark: SparkSession, layout: Layout, staging: DataFrame, archive: int) -> str:
-    """S8 + R4/R5 for the unpartitioned table, zero-copy: the folder holding the rows being replaced
-    becomes partition ``archive`` of ``<name>_purge`` (metadata only), the table is pointed at a
-    fresh folder, and the new snapshot is written there."""
+    """S8 + R4/R5 for the unpartitioned table, zero-copy: write the new snapshot, hand the folder being
+    replaced to ``<name>_purge`` as partition ``(archive, run)``, then point the table at the new folder."""
     spec = layout.current
     table = ensure_table(spark, layout, spec, staging.schema)
+    folder = _run_folder(spark, layout, spec)
+    staging.select(*spec.columns).write.parquet(folder)
     old = table_location(spark, table).rstrip("/")
-    if spark.table(table).limit(1).count() > 0:
-        purge = ensure_table(spark, layout, TableSpec(spec.name + "_purge", spec.columns, True), staging.schema)
-        hand_over(spark, purge, archive, old)
-        spark.catalog.refreshTable(purge)
-    base = layout.location(spark, "prod", spec.name)
-    spark.sql(f"ALTER TABLE {table} SET LOCATION '{base}/run={uuid.uuid4().hex[:12]}'")
-    cols = ", ".join(ident(c) for c in spec.columns)
-    view = "__sw_src_current"
-    staging.createOrReplaceTempView(view)
-    spark.sql(f"INSERT OVERWRITE TABLE {table} SELECT {cols} FROM {view}")
-    spark.catalog.dropTempView(view)
+    if run_of(old):
+        hand_over(spark, ensure_purge_table(spark, table, table + "_purge"), {archive: old})
+    spark.sql(f"ALTER TABLE {table} SET LOCATION {text(folder)}")
     spark.catalog.refreshTable(table)
     return table

@@ -1,31 +1,45 @@
 """List partitions (metadata only), keep the newest N, archive then drop the rest.
 
 Archiving is zero-copy, like the published flow's "drop partition, move its folder to the purge
-zone": the victim's folder is registered as the same partition of ``<table>_purge`` and then
-dropped from the table.  The tables are external, so dropping a partition keeps its files, which
-now belong to the purge table.  No data is read or written.  New partitions are always published
-into fresh folders (:func:`register_fresh_partitions`), so a folder handed to the purge table is
-never written again.
+zone": every published snapshot lies in a folder of its own (``<table>/runs/<run>[/archive=<a>]``,
+never written again), and a replaced or retired snapshot's folder is registered as partition
+``(archive, run)`` of ``<table>_purge``.  The run id is part of the key, so an archive that is
+handed over again adds a partition and never collides with an earlier one.  The tables are
+external: dropping a partition or pointing it elsewhere keeps its files.  No data is read or written.
 """
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
-from scorewright.functions.columns import ident
+from scorewright.functions.columns import ident, text
+
+RUN_FOLDER = re.compile(r"/runs/([^/]+)(?:/[^/]+=[^/]*)?/?$")
+
+
+def new_run() -> str:
+    return uuid.uuid4().hex[:12]
+
+
+def run_of(location: str) -> str | None:
+    """Run id of a published folder; None for a folder no run wrote (a table's first, empty one)."""
+    m = RUN_FOLDER.search(location)
+    return m.group(1) if m else None
+
+
+def _partition_specs(spark: SparkSession, table: str) -> list[dict[str, str]]:
+    return [dict(part.split("=", 1) for part in row[0].split("/"))
+            for row in spark.sql(f"SHOW PARTITIONS {table}").collect()]
 
 
 def list_partitions(spark: SparkSession, table: str, key: str = "archive") -> list[int]:
     """Partition values, oldest first (catalog metadata; no data is scanned)."""
-    values = []
-    for row in spark.sql(f"SHOW PARTITIONS {table}").collect():
-        for part in row[0].split("/"):
-            k, _, v = part.partition("=")
-            if k == key:
-                values.append(int(v))
-    return sorted(values)
+    return sorted({int(p[key]) for p in _partition_specs(spark, table)})
 
 
 def victims(partitions: list[int], keep: int) -> list[int]:
@@ -33,8 +47,9 @@ def victims(partitions: list[int], keep: int) -> list[int]:
 
 
 def _location(spark: SparkSession, table: str, spec: str = "") -> str:
-    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table} {spec}").where("col_name = 'Location'").collect()
-    return rows[0]["data_type"]
+    rows = (spark.sql(f"DESCRIBE TABLE EXTENDED {table} {spec}").where("col_name = 'Location'")
+            .select(F.col("data_type")).collect())
+    return rows[0][0]         # of a partition: its own location comes before the table's
 
 
 def table_location(spark: SparkSession, table: str) -> str:
@@ -45,34 +60,45 @@ def partition_location(spark: SparkSession, table: str, value: int, key: str = "
     return _location(spark, table, f"PARTITION ({ident(key)}={int(value)})")
 
 
-def register_fresh_partitions(spark: SparkSession, table: str, values: list[int], key: str = "archive") -> None:
-    """Add the partitions that do not exist yet, each in a folder of its own
-    (``<table>/runs/<id>/<key>=<v>``); existing partitions keep theirs, so a rerun overwrites in place.
-    The folders sit outside the default ``<table>/<key>=<v>`` paths on purpose: a static
-    ``INSERT OVERWRITE`` also clears the default path of its partition."""
-    existing = set(list_partitions(spark, table, key))
-    new = sorted(set(int(v) for v in values) - existing)
-    if not new:
-        return
-    root, run = table_location(spark, table).rstrip("/"), uuid.uuid4().hex[:12]
-    specs = " ".join(f"PARTITION ({ident(key)}={v}) LOCATION '{root}/runs/{run}/{key}={v}'" for v in new)
-    spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {specs}")
-
-
-def ensure_archive_table(spark: SparkSession, table: str, archive_table: str) -> str:
-    location = table_location(spark, table).rstrip("/") + "_purge"
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {archive_table} LIKE {table} LOCATION '{location}'")
-    return archive_table
-
-
-def hand_over(spark: SparkSession, archive_table: str, value: int, location: str, key: str = "archive") -> None:
-    """Register ``location`` as partition ``value`` of the archive table (first hand-over wins)."""
-    hand_over_many(spark, archive_table, {value: location}, key)
-
-
-def hand_over_many(spark: SparkSession, archive_table: str, locations: dict[int, str], key: str = "archive") -> None:
-    specs = " ".join(f"PARTITION ({ident(key)}={int(v)}) LOCATION '{loc}'" for v, loc in sorted(locations.items()))
-    spark.sql(f"ALTER TABLE {archive_table} ADD IF NOT EXISTS {specs}")
+def ensure_purge_table(spark: SparkSession, table: str, purge_table: str) -> str:
+    """``table``'s columns, partitioned by ``(archive, run)``."""
+    fields = [f for f in spark.table(table).schema.fields if f.name != "archive"]
+    cols = StructType([*fields, StructField("archive", IntegerType()), StructField("run", StringType())])
+    ddl = ", ".join(f"{ident(f.name)} {f.dataType.simpleString()}" for f in cols.fields)
+    base = table_location(spark, table).split("/runs/")[0].rstrip("/")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {purge_table} ({ddl}) USING parquet PARTITIONED BY (archive, run) "
+              f"LOCATION {text(base + '_purge')}")
+    return purge_table
+
+
+def hand_over(spark: SparkSession, purge_table: str, folders: dict[int, str]) -> None:
+    """Register each folder as partition ``(archive, run)`` of the purge table, in one statement.
+
+    A folder that is there already (a job repeated after it broke off between hand-over and switch) is left as it is.
+    """
+    there = {(int(p["archive"]), p["run"]) for p in _partition_specs(spark, purge_table)}
+    new = {(int(a), run_of(loc)): loc for a, loc in folders.items()}
+    specs = " ".join(f"PARTITION (archive={a}, run={text(run)}) LOCATION {text(loc)}"
+                     for (a, run), loc in sorted(new.items()) if (a, run) not in there)
+    if specs:
+        spark.sql(f"ALTER TABLE {purge_table} ADD {specs}")
+        spark.catalog.refreshTable(purge_table)
+
+
+def switch_partitions(spark: SparkSession, table: str, folders: dict[int, str]) -> None:
+    """Point each partition at its new, complete folder.  Replaced folders go to ``<table>_purge`` first,
+    so a job that breaks off here leaves every snapshot in a table; new partitions come in one statement."""
+    existing = set(list_partitions(spark, table))
+    replaced = {a: partition_location(spark, table, a) for a in folders if a in existing}
+    if replaced:
+        hand_over(spark, ensure_purge_table(spark, table, table + "_purge"), replaced)
+    for a in sorted(replaced):
+        spark.sql(f"ALTER TABLE {table} PARTITION (archive={int(a)}) SET LOCATION {text(folders[a])}")
+    added = " ".join(f"PARTITION (archive={int(a)}) LOCATION {text(loc)}"
+                     for a, loc in sorted(folders.items()) if a not in existing)
+    if added:
+        spark.sql(f"ALTER TABLE {table} ADD {added}")
+    spark.catalog.refreshTable(table)
 
 
 def retain(spark: SparkSession, table: str, keep: int | None, archive_table: str | None = None,
@@ -85,9 +111,8 @@ def retain(spark: SparkSession, table: str, keep: int | None, archive_table: str
     if not drop:
         return []
     if archive_table:
-        ensure_archive_table(spark, table, archive_table)
-        hand_over_many(spark, archive_table, {v: partition_location(spark, table, v, key) for v in drop}, key)
-        spark.catalog.refreshTable(archive_table)
+        ensure_purge_table(spark, table, archive_table)
+        hand_over(spark, archive_table, {v: partition_location(spark, table, v, key) for v in drop})
     specs = ", ".join(f"PARTITION ({ident(key)}={v})" for v in drop)
     spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {specs}")
     spark.catalog.refreshTable(table)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -19,7 +20,6 @@ ENGINE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "static",
 }
 
 
@@ -45,6 +45,21 @@ def apply_engine_conf(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextmanager
+def engine_settings(spark: SparkSession):
+    """The engine's settings for the length of a job; the caller's come back afterwards."""
+    before = {k: spark.conf.get(k, None) for k in ENGINE_CONF}
+    apply_engine_conf(spark)
+    try:
+        yield spark
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
 def shared_root(spark: SparkSession) -> str:
     """Shared folder for intermediate tables, landed files and checkpoints.
 
@@ -69,3 +84,11 @@ def shared_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared root (never reused)."""
     return f"{shared_root(spark)}/scorewright/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder of the engine's own scratch area (``<shared root>/scorewright``) through its file system."""
+    if not path.startswith(f"{shared_root(spark)}/scorewright/"):
+        raise ValueError(f"not a scratch folder: {path}")
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop_path, True)

@@ -123,32 +123,146 @@ def test_run_with_text_landing_matches_direct_run(spark):
     assert raw.count() == 1500 and len(raw.columns) == 57
 
 
-def test_retention_and_current_archive_without_copying(spark):
-    """Victim folders are handed to the purge tables (no rows rewritten, nothing left behind),
-    and a retired archive published again gets a folder of its own."""
+def _files(folder):
     import os
-    from scorewright.plans.retention import partition_location, table_location
+    return sorted(os.listdir(folder.replace("file:", "")))
+
+
+def _purge_counts(spark, purge):
+    return sorted((r.archive, r["count"]) for r in spark.table(purge).groupBy("archive", "run").count().collect())
+
+
+def test_purge_keeps_every_replaced_snapshot_without_copying(spark):
+    """Folders are handed over by metadata, and one archive handed over twice keeps both snapshots."""
+    from scorewright.plans.retention import partition_location, run_of, table_location
     lay = _layout()
-    feats = indicators(spark, SF)
-    for a in (20010707, 20010714, 20010721):
-        run_archive(spark, feats, _cfg(lay, a, tables=("current", "slim")), two_card())
-    slim = lay.qualified("prod", lay.slim.name)
-    purge = slim + "_purge"
+    feats = indicators(spark, SF).cache()
+    slim, current = (lay.qualified("prod", t.name) for t in (lay.slim, lay.current))
+    folders, sizes = {}, {}
+
+    def run(archive, where, **kw):
+        df = feats.where(where)
+        sizes[archive] = sizes.get(archive, []) + [df.count()]
+        run_archive(spark, df, _cfg(lay, archive, tables=("current", "slim"), precedence=False, **kw), two_card())
+        folders[table_location(spark, current)] = _files(table_location(spark, current))
+
+    run(20010707, "edad < 30")
+    old = partition_location(spark, slim, 20010707)
+    run(20010714, "edad < 40")
+    run(20010714, "edad >= 40", force=True)          # replaced partition and snapshot
+    run(20010721, "edad < 50")                       # retires 20010707 (dev keeps 2)
     assert list_partitions(spark, slim) == [20010714, 20010721]
-    assert list_partitions(spark, purge) == [20010707]
-    assert spark.table(purge).count() == 1500
-    old_folder = partition_location(spark, purge, 20010707)
-    files_before = sorted(os.listdir(old_folder.replace("file:", "")))
-    # publish the retired archive again: it must not write into the purge-owned folder
-    run_archive(spark, feats, _cfg(lay, 20010707, tables=("slim",), force=True), two_card())
-    assert sorted(os.listdir(old_folder.replace("file:", ""))) == files_before
-    assert spark.table(purge).count() == 1500
-    current = lay.qualified("prod", lay.current.name)
-    cpurge = current + "_purge"
-    assert list_partitions(spark, cpurge) == [20010714, 20010721]      # replaced snapshots, by replacing run
-    assert spark.table(cpurge).where("archive = 20010721").select("archv").distinct().first()[0] == 20010714
-    assert spark.table(current).select("archv").distinct().first()[0] == 20010721
-    assert table_location(spark, current) != partition_location(spark, cpurge, 20010721)
+    first, (second, third), fourth = sizes[20010707][0], sizes[20010714], sizes[20010721][0]
+    assert len({first, second, third, fourth}) == 4
+    assert _purge_counts(spark, slim + "_purge") == sorted([(20010707, first), (20010714, second)])
+    assert spark.table(slim + "_purge").where("archive = 20010707").select("run").first()[0] == run_of(old)
+    assert _purge_counts(spark, current + "_purge") == sorted([(20010714, first), (20010714, second), (20010721, third)])
+    # a retired archive published and retired once more
+    run(20010707, "edad < 60", force=True)
+    run(20010728, "edad < 70")
+    assert _purge_counts(spark, slim + "_purge") == sorted(
+        [(20010707, first), (20010707, sizes[20010707][1]), (20010714, second), (20010714, third)])
+    for folder, files in folders.items():            # no published folder was written again
+        assert _files(folder) == files
+    assert spark.table(current).count() == sizes[20010728][0]
+    feats.unpersist()
+
+
+def test_failing_write_leaves_the_tables_as_they_were(spark):
+    import pytest
+    from scorewright.plans.publish import publish_current, publish_partition, write_staging
+    lay = _layout()
+    run_archive(spark, indicators(spark, SF), _cfg(lay, 20010728, tables=("current", "slim")), two_card())
+    staging = spark.table(lay.qualified("staging", lay.staging))
+    bad = staging.withColumn("fecha_obs", F.when(F.col("edad") > 50, F.raise_error(F.lit("broken row")))
+                             .otherwise(F.col("fecha_obs")))
+    for publish in (lambda: publish_current(spark, lay, bad, 20010804),
+                    lambda: publish_partition(spark, lay, lay.slim, bad, 20010728, ""),
+                    lambda: write_staging(spark, lay, bad)):
+        with pytest.raises(Exception, match="broken row"):
+            publish()
+    for table in (lay.qualified("prod", lay.current.name), lay.qualified("prod", lay.slim.name),
+                  lay.qualified("staging", lay.staging)):
+        assert spark.table(table).count() == 1500
+        assert not spark.catalog.tableExists(table + "_purge")
+
+
+def test_default_today_stops_old_features(spark):
+    out = run_archive(spark, indicators(spark, SF), JobConfig(env="dev", layout=_layout()), two_card())
+    assert out["status"].startswith("stopped")
+
+
+def test_skipped_run_asks_the_ledger_before_it_reads(spark):
+    lay = _layout()
+    run_archive(spark, indicators(spark, SF), _cfg(lay, 20010728, tables=("slim",)), two_card())
+    unreadable = indicators(spark, SF).withColumn("fecha_obs", F.raise_error(F.lit("read")).cast("string"))
+    assert run_archive(spark, unreadable, _cfg(lay, 20010728), two_card())["status"].startswith("skipped")
+
+
+def test_backfill_counts_rows_without_archive_and_runs_once(spark):
+    from scorewright.plans.job import backfill
+    from scorewright.sources.features import indicators_with_archive
+    lay = _layout()
+    feats = indicators_with_archive(spark, SF).where("archive >= 20010601")
+    feats = feats.withColumn("archive", F.when(F.col("edad") > 80, None).otherwise(F.col("archive")))
+    undated = feats.where("archive IS NULL").count()
+    cfg = _cfg(lay, 20010728, tables=("slim",))
+    assert backfill(spark, feats, cfg, keep={"slim": None})["undated_rows"] == undated > 0
+    slim = spark.table(lay.qualified("prod", lay.slim.name))
+    ledger = spark.table(lay.qualified("ops", "run_ledger"))
+    n, entries = slim.count(), ledger.count()
+    assert n == feats.count() - undated
+    backfill(spark, feats, cfg, keep={"slim": None})
+    spark.catalog.refreshTable(lay.qualified("ops", "run_ledger"))
+    assert spark.table(lay.qualified("prod", lay.slim.name)).count() == n
+    assert spark.table(lay.qualified("ops", "run_ledger")).count() == entries
+
+
+def test_rejects_reach_the_ledger(spark):
+    lay = _layout()
+    feats = indicators(spark, SF).withColumn("tc_max_dias_atraso_u6m", F.lit("12d"))
+    out = run_archive(spark, feats, _cfg(lay, 20010728, tables=("slim",)), two_card())
+    assert out["rejected"]["tc_max_dias_atraso_u6m"] == 1500 and out["rejected"]["fecha_obs"] == 0
+    ledger = spark.table(lay.qualified("ops", "run_ledger"))
+    assert ledger.where("table_name = 'rejected tc_max_dias_atraso_u6m'").first()["rows"] == 1500
+
+
+def test_queries_leave_settings_and_no_more_databases(spark):
+    from scorewright.plans.catalog import QUERIES
+    key = "spark.sql.codegen.hugeMethodLimit"
+    spark.conf.set(key, "60000")
+    try:
+        QUERIES["publish_slim"](spark, SF).count()
+        databases = {d.name for d in spark.catalog.listDatabases()}
+        assert QUERIES["publish_slim"](spark, SF).count() == 1500
+        assert {d.name for d in spark.catalog.listDatabases()} == databases
+        assert spark.conf.get(key) == "60000"
+    finally:
+        spark.conf.set(key, "8000")
+
+
+def test_compat_join_with_a_hot_and_a_null_key(spark):
+    from collections import Counter
+    from scorewright.operators.keys import score_join_compat
+    from scorewright.operators.score import score_append
+    card = two_card()
+    feats = indicators(spark, SF)
+    hot = F.col("edad") % 3 == 0                       # a third of all rows under one key, and one key all null
+    for k in card.keys:
+        kind = feats.schema[k].dataType
+        feats = feats.withColumn(k, F.when(hot, F.lit("7").cast(kind)).when(F.col("edad") == 16, None).otherwise(F.col(k)))
+    own = [tuple(r) for r in score_append(feats, card).select(*card.keys, "edad", "score_pos", "flow_pos").collect()]
+    results = {}
+    for r in own:
+        results.setdefault(r[:4], Counter())[r[5:]] += 1
+    expect = Counter()
+    for r in own:
+        for result, n in results[r[:4]].items():
+            expect[r[:5] + result] += n
+    for check in (True, False):
+        got = (score_join_compat(feats, card, check_unique=check)
+               .groupBy(*card.keys, "edad", "score_pos", "flow_pos").count().collect())
+        assert Counter({tuple(r)[:-1]: r["count"] for r in got}) == expect
 
 
 def test_backfill_monthly_takes_only_closing_archives(spark):
