@@ -49,16 +49,21 @@ def score_join_compat(df: DataFrame, card: Scorecard, auto_units: bool = False,
     and where it shuffles them AQE splits the left rows of a hot key.
     """
     keys = list(card.keys)
-    right = score(df, card, keys=keys, auto_units=auto_units)
     if check_unique:
         repeated = _stored(duplicate_keys(df.select(*keys), keys)
                            .select(*[F.col(k).alias(f"__d_{k}") for k in keys]), "repeated-keys")
-        right = right.join(repeated, _null_safe(keys, "__d_"), "left_semi")
+        if auto_units:      # the unit of the consult age depends on all rows: score them, then select
+            right = score(df, card, keys=keys, auto_units=True).join(repeated, _null_safe(keys, "__d_"), "left_semi")
+        else:
+            right = score(df.join(repeated, _null_safe(keys, "__d_"), "left_semi"), card, keys=keys)
+    else:
+        right = score(df, card, keys=keys, auto_units=auto_units)
     entries = _stored(right.groupBy(*keys, *RESULTS).agg(F.count(F.lit(1)).alias("__n"))
                       .groupBy(*[F.col(k).alias(f"__r_{k}") for k in keys])
                       .agg(F.collect_list(F.struct(*RESULTS, "__n")).alias("__entries")), "key-results")
-    own = F.array(F.struct(*RESULTS, F.lit(1).cast("long").alias("__n")))
+    # the outer forms: a plain explode infers a filter on its input, which would evaluate the score once more
     matched = (score_append(df, card, auto_units=auto_units).join(entries, _null_safe(keys, "__r_"), "left")
-               .withColumn("__e", F.explode(F.coalesce("__entries", own)))
-               .withColumn("__i", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__e.__n")))))
-    return matched.select(*df.columns, *[F.col(f"__e.{r}").alias(r) for r in RESULTS])
+               .withColumn("__e", F.explode_outer("__entries"))
+               .withColumn("__i", F.explode_outer(F.sequence(F.lit(1).cast("long"), F.coalesce("__e.__n", F.lit(1).cast("long"))))))
+    single = F.col("__entries").isNull()
+    return matched.select(*df.columns, *[F.when(single, F.col(r)).otherwise(F.col(f"__e.{r}")).alias(r) for r in RESULTS])
