@@ -11,6 +11,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from oracle.queries import ORACLE
 
 SF = "/root/testdata/sf0.001"
 TABLES = ["orders", "customer", "lineitem"]
@@ -32,7 +33,7 @@ def con():
     return c
 
 
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_oracle(spark, con, name):
     sdf = E.queries()[name](spark, SF)
     cols = sorted(sdf.columns)
