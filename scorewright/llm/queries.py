@@ -86,4 +86,30 @@ QUERIES = {f.__name__: f for f in (
     op1_quality_classifier, op2_sharding, op3_url_filters, op4_substring_dedup, op5_quality_rules, op6_ngram_jaccard_join, op7_language_id, op8_bpe, op9_ann,
     op10_best_fit_packing)}
 
-ORACLE: dict[str, str] = {}
+# The two whose rows SQL can state; the others rest on fitted models, a public vocabulary, unsigned hash arithmetic or greedy order.
+ORACLE: dict[str, str] = {
+    "op4_substring_dedup": r"""
+WITH texts AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+words AS (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS j FROM texts),
+windows AS (SELECT doc_id, j, w[j] AS word, CASE WHEN j + 19 <= len(w) THEN array_to_string(w[j:j + 19], ' ') END AS passage FROM words),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY passage ORDER BY doc_id, j) > 1 AND passage IS NOT NULL AS later FROM windows),
+judged AS (SELECT *, bool_or(later) OVER (PARTITION BY doc_id ORDER BY j ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) AS removed FROM ranked),
+kept AS (SELECT doc_id, count(*) FILTER (WHERE removed) AS n_removed, string_agg(word, ' ' ORDER BY j) FILTER (WHERE NOT removed) AS text
+         FROM judged GROUP BY doc_id)
+SELECT t.doc_id, CAST(len(t.w) AS BIGINT) AS n_words, coalesce(k.n_removed, 0) AS n_removed, sha256(coalesce(k.text, '')) AS kept_sha256
+FROM texts t LEFT JOIN kept k USING (doc_id)""",
+    "op6_ngram_jaccard_join": r"""
+WITH RECURSIVE texts AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w FROM documents),
+shingles AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')) END) AS s FROM texts),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both_sets FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id != b.doc_id
+           GROUP BY ALL),
+links AS (SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+          WHERE 100 * both_sets >= 85 * (x.n + y.n - both_sets)),
+reach(doc_id, other) AS (SELECT doc_id, doc_id FROM texts UNION SELECT r.doc_id, l.b FROM reach r JOIN links l ON l.a = r.other)
+SELECT t.doc_id, coalesce(any_value(n), 0) AS n_shingles, min(other) AS component_id
+FROM texts t JOIN reach r USING (doc_id) LEFT JOIN sizes z USING (doc_id) GROUP BY t.doc_id""",
+}
