@@ -13,6 +13,7 @@ from __future__ import annotations
 import hashlib
 import heapq
 import json
+import re
 
 import numpy as np
 import regex
@@ -23,6 +24,8 @@ from scorewright.llm.common import CACHE_ENTRIES, map_batches
 #: The pre-token pattern of byte-level BPE; white space is the Unicode property.
 PATTERN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+"
            r"|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+")
+#: A space after other white space (Python's ``\s`` holds all of White_Space): cutting before it would cut a run.
+_IN_RUN = re.compile(r"\s ").search
 
 
 def byte_alphabet() -> dict[int, str]:
@@ -101,9 +104,9 @@ class Codec:
         return out
 
     def _plain(self, text: str) -> bytes:
-        parts = text.split(" ")
-        if "" in parts[1:]:                     # runs of spaces: a pre-token may span the cuts
+        if _IN_RUN(text):                       # runs of white space: a pre-token may span the cuts
             return b"".join(map(self._piece, self.split(text)))
+        parts = text.split(" ")
         head = [parts[0]] if parts[0] else []
         return b"".join(map(self._piece, head + [" " + p for p in parts[1:]]))
 

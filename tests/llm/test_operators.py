@@ -112,6 +112,18 @@ def test_bpe_equals_the_library(spark, docs, odd, empty):
     assert bpe.tokenize(odd, vocabulary).where("doc_id = 3").first()["decoded"] == "a"
 
 
+def test_bpe_keeps_mixed_white_space_runs_whole():
+    from tokenizers import Tokenizer
+    t = Tokenizer.from_file(Q.VOCABULARY)
+    t.no_truncation()
+    codec = bpe.Codec(bpe.read_vocabulary(Q.VOCABULARY))
+    assert np.frombuffer(codec.encode("a \u00a0 \u00a0 b"), "<u4").tolist() == [64, 11504, 275]
+    runs = [" \u00a0" * n for n in (1, 2, 3, 4, 5, 8, 9, 16)] + ["\u00a0 " * n for n in (1, 2, 4, 8)]
+    runs += ["".join(w) for n in (2, 3, 4) for w in itertools.product(" \u00a0\n\u2003\x85", repeat=n)]
+    for x in [f"{a}{r}{b}" for r in runs for a, b in (("a", "b"), ("", ""), ("a ", " b"), ("<|endoftext|>", "'s"))]:
+        assert np.frombuffer(codec.encode(x), "<u4").tolist() == t.encode(x, add_special_tokens=False).ids, repr(x)
+
+
 # ------------------------------------------------------------------ 5 quality rules
 
 def base(text):
