@@ -3,7 +3,9 @@
 Four pieces of evidence are multiplied: the text's likelihood under byte-trigram models, the declared markup
 language, the suffix of the address, and a host prior that is smoothed hierarchically (host to suffix to the whole).
 All tables but the trigram models are grouped aggregations over every document; the trigram models are fitted on a
-bounded, documented sample of rows with a declared language.
+bounded, documented sample of the rows of each declared language.  Languages that fewer than ``MIN_ROWS`` documents declare
+share one pooled model: a document that it fits best has its own declared tag as language if that is one of them,
+else it is ``other`` and rejected.
 
 Defined results: a text that is null, empty or without letters has language ``und`` and is rejected, as is one whose best
 language has a posterior below ``confidence``; null hosts and declarations are values of their own and carry little
@@ -14,17 +16,16 @@ Scale: texts are read where they are and become one small row each; only those r
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scorewright.llm.common import hash_sample, map_batches, sample_rate, store
+from scorewright.llm.common import map_batches, sample_rate, store
 
 BUCKETS = 1 << 14
-SAMPLE_DOCS = 20_000            # bound of the sample for the trigram models
-MIN_SHARE = 0.01                # languages declared by a smaller share of the sample are not modelled
+SAMPLE_DOCS = 20_000            # bound of each language's sample for its trigram model
+MIN_ROWS = 20                   # languages that fewer rows declare share one model, OTHER
+OTHER = "other"
 TEXT_WEIGHT = 48.0              # a text counts as at most so many independent trigrams
 HOST_WEIGHT, SUFFIX_WEIGHT = 20.0, 50.0
 CONFIDENCE = 0.5
@@ -50,37 +51,56 @@ def declared(column) -> F.Column:
 
 
 class TextModel:
+    """Trigram models of ``languages``; the last one is ``OTHER``, pooled over declared languages with few rows."""
+
     def __init__(self, languages: list[str], logp: np.ndarray):
         self.languages, self.logp = languages, logp          # (languages, BUCKETS)
 
 
 def fit_text(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> TextModel:
-    """Trigram counts by declared language over at most about ``sample_docs`` rows."""
+    """Trigram counts by declared language over at most about ``sample_docs`` rows of each one.  Every language that at
+    least ``MIN_ROWS`` rows declare has a model; the rows of the others are pooled.  No languages: nothing is declared."""
     known = docs.where("declared IS NOT NULL AND text IS NOT NULL")
-    few = hash_sample(known, "doc_id", sample_rate(known.count(), sample_docs)).select("declared", "text")
+    rows_of = {r["declared"]: r["n"] for r in known.groupBy("declared").agg(F.count(F.lit(1)).alias("n")).collect()}   # tags of 2 or 3 letters
+    if not rows_of:
+        return TextModel([], np.zeros((0, BUCKETS)))
+    langs = sorted(x for x, n in rows_of.items() if n >= MIN_ROWS)
+    at = {x: i for i, x in enumerate(langs)}
+    other = len(langs)
+    full = 1 << 20
+    rates = {x: int(sample_rate(rows_of[x], sample_docs) * full) for x in langs}
+    rare = int(sample_rate(sum(n for x, n in rows_of.items() if x not in at), sample_docs) * full)
+    often = {x: r for x, r in rates.items() if r < full}
+    rate = F.when(~F.col("declared").isin(langs), F.lit(rare)) if langs else F.when(F.lit(True), F.lit(rare))
+    if often:
+        rate = rate.when(F.col("declared").isin(list(often)),
+                         F.create_map(*[F.lit(v) for kv in often.items() for v in kv])[F.col("declared")])
+    few = known.where(F.pmod(F.xxhash64("doc_id", "text", F.lit(17)), F.lit(full)) < rate.otherwise(F.lit(full))).select("declared", "text")
 
     def start():
-        def run(r: dict) -> dict:
-            by: dict[str, np.ndarray] = {}
-            rows: dict[str, int] = {}
+        by: dict[int, np.ndarray] = {}
+
+        def run(r: dict) -> None:
             for lang, text in zip(r["declared"], r["text"], strict=True):
-                if lang not in by:
-                    by[lang], rows[lang] = np.zeros(BUCKETS + 1, np.int64), 0
-                t = trigrams(text)
-                by[lang][:-1] += np.bincount(t, minlength=BUCKETS)
-                by[lang][-1] += 1
-            return {"lang": list(by), "counts": [c.tolist() for c in by.values()]}
+                i = at.get(lang, other)
+                if i not in by:
+                    by[i] = np.zeros(BUCKETS, np.int64)
+                by[i] += np.bincount(trigrams(text), minlength=BUCKETS)
+
+        def finish() -> dict | None:
+            if not by:
+                return None
+            some = {i: np.flatnonzero(c) for i, c in by.items()}
+            return {"lang": np.concatenate([np.full(len(b), i, np.int32) for i, b in some.items()]),
+                    "bucket": np.concatenate([b.astype(np.int32) for b in some.values()]),
+                    "n": np.concatenate([by[i][b] for i, b in some.items()])}
+        run.finish = finish
         return run
 
-    per = map_batches(few, "lang string, counts array<long>", start, rows=4096)
-    cells = (per.select("lang", F.posexplode("counts").alias("bucket", "n")).groupBy("lang", "bucket")
-             .agg(F.sum("n").alias("n")))
-    docs_of = {r["lang"]: r["n"] for r in cells.where(F.col("bucket") == BUCKETS).orderBy(F.desc("n"), "lang").limit(200).collect()}
-    langs = sorted(x for x, n in docs_of.items() if n >= MIN_SHARE * sum(docs_of.values()))
-    counts = np.ones((len(langs), BUCKETS)) * 0.5
-    for r in cells.where(F.col("lang").isin(langs)).where((F.col("bucket") < BUCKETS) & (F.col("n") > 0)).collect():
-        counts[langs.index(r["lang"]), r["bucket"]] += r["n"]       # at most languages x BUCKETS cells
-    return TextModel(langs, np.log(counts / counts.sum(1, keepdims=True)))
+    cells = map_batches(few, "lang int, bucket int, n long", start).groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()
+    counts = np.full((other + 1, BUCKETS), 0.5)
+    counts[cells["lang"].to_numpy(), cells["bucket"].to_numpy()] += cells["n"].to_numpy()      # at most languages x BUCKETS cells
+    return TextModel([*langs, OTHER], np.log(counts / counts.sum(1, keepdims=True)))
 
 
 def text_evidence(docs: DataFrame, model: TextModel, weight: float = TEXT_WEIGHT) -> DataFrame:
@@ -113,6 +133,7 @@ def identify(docs: DataFrame, confidence: float = CONFIDENCE, sample_docs: int =
     ``evidence`` may replace host and declaration by id (``doc_id, page_declared, page_host``)."""
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"), declared(F.col("declared")).alias("declared"),
                       F.col("host").cast("string").alias("host"))
+    spark = docs.sparkSession
     model = fit_text(src, sample_docs)
     n = len(model.languages)
     scored = text_evidence(src.withColumn("suffix", F.lit(None).cast("string")), model)
@@ -125,42 +146,47 @@ def identify(docs: DataFrame, confidence: float = CONFIDENCE, sample_docs: int =
     if not n:
         return scored.select("doc_id", F.lit("und").alias("lang"), F.lit(0.0).alias("confidence"),
                              F.lit("und").alias("text_lang"), F.lit(False).alias("kept"))
+    named = model.languages[:-1]
     langs = F.array(*[F.lit(x) for x in model.languages])
-    tag = F.when(F.col("declared").isin(model.languages), F.col("declared")).otherwise(F.lit("?"))
+    # "*": a declared language without a model of its own; "?": none declared
+    tag = F.when(F.col("declared").isNull(), F.lit("?")).when(F.col("declared").isin(named), F.col("declared")).otherwise(F.lit("*"))
     weights = F.transform("evidence", lambda e: F.exp(e))
     total = F.aggregate("weights", F.lit(0.0), lambda a, x: a + x)
-    rows = store(scored.select("doc_id", tag.alias("tag"), F.coalesce("host", F.lit("")).alias("host"),
+    rows = store(scored.select("doc_id", "declared", tag.alias("tag"), F.coalesce("host", F.lit("")).alias("host"),
                                F.coalesce(F.lower(F.regexp_extract("host", r"\.([A-Za-z]+)$", 1)), F.lit("")).alias("suffix"),
                                "evidence", weights.alias("weights"))
                  .withColumn("p", F.transform("weights", lambda x: x / total)).drop("weights"), "languages")
     lettered = rows.where(F.col("evidence").isNotNull())
-    soft = [F.sum(F.col("p")[i]).alias(f"s{i}") for i in range(n)]
-    by_host = lettered.groupBy("suffix", "host").agg(*soft)
-    by_suffix = by_host.groupBy("suffix").agg(*[F.sum(f"s{i}").alias(f"s{i}") for i in range(n)])
-    whole = lettered.groupBy("tag").agg(*soft).collect()                 # at most languages + 1 rows
-    seen = np.array([[r[f"s{i}"] for i in range(n)] for r in whole]).reshape(-1, n)
+    soft = F.array(*[F.sum(F.col("p")[i]) for i in range(n)])
+    by_host = lettered.groupBy("suffix", "host").agg(soft.alias("s"))
+    by_suffix = by_host.groupBy("suffix").agg(F.array(*[F.sum(F.col("s")[i]) for i in range(n)]).alias("s"))
+    whole = lettered.groupBy("tag").agg(soft.alias("s")).collect()       # at most languages + 2 rows
+    seen = np.array([r["s"] for r in whole]).reshape(-1, n)
     base = (seen.sum(0) + 1) / (seen.sum() + n)
-    # P(declaration | language), smoothed
-    tags = [r["tag"] for r in whole]
-    says = (seen + 0.5) / (seen.sum(0) + 0.5 * (n + 1))
-    decl = F.create_map(*[x for t, row in zip(tags, says, strict=True) for x in (F.lit(t), F.array(*[F.lit(math.log(v)) for v in row]))]) \
-        if tags else F.lit(None).cast("map<string,array<double>>")
+    # P(declaration | language), smoothed; lettered rows have no other tags
+    says = np.log((seen + 0.5) / (seen.sum(0) + 0.5 * (n + 1)))
+    decl = spark.createDataFrame([(r["tag"], row) for r, row in zip(whole, says.tolist(), strict=True)], "tag string, says array<double>")
 
-    def smooth(prior: list, strength: float) -> list:
-        size = sum((F.col(f"s{i}") for i in range(1, n)), F.col("s0"))
-        return [(F.col(f"s{i}") + strength * prior[i]) / (size + strength) for i in range(n)]
+    def smooth(prior, strength: float) -> F.Column:
+        size = F.aggregate("s", F.lit(strength), lambda a, x: a + x)
+        return F.zip_with("s", prior, lambda x, p: (x + strength * p) / size)
 
-    suffixes = by_suffix.select("suffix", F.array(*smooth([F.lit(float(b)) for b in base], SUFFIX_WEIGHT)).alias("suffix_prior"))
+    suffixes = by_suffix.select("suffix", smooth(F.array(*[F.lit(float(b)) for b in base]), SUFFIX_WEIGHT).alias("suffix_prior"))
     hosts = (by_host.join(suffixes, "suffix")
-             .select("host", "suffix", F.array(*smooth([F.col("suffix_prior")[i] for i in range(n)], HOST_WEIGHT)).alias("prior")))
+             .select("host", "suffix", smooth(F.col("suffix_prior"), HOST_WEIGHT).alias("prior")))
     # the host prior already holds the suffix's share: P(language | suffix, host)
-    fused = rows.join(hosts, ["suffix", "host"], "left").select(
-        "doc_id", "evidence", F.array(*[F.col("evidence")[i] + F.log(F.col("prior")[i]) + decl[F.col("tag")][i] for i in range(n)]).alias("f"))
+    both = F.zip_with("evidence", "prior", lambda e, p: e + F.log(p))
+    fused = rows.join(hosts, ["suffix", "host"], "left").join(F.broadcast(decl), "tag", "left").select(      # languages + 2 rows
+        "doc_id", "declared", "tag", "evidence", F.zip_with(both, "says", lambda e, d: e + d).alias("f"))
     top = F.array_max("f")
     norm = F.aggregate(F.transform("f", lambda x: F.exp(x - top)), F.lit(0.0), lambda a, x: a + x)
     lettered_now = F.col("evidence").isNotNull()
     best = F.when(lettered_now, F.element_at(langs, F.array_position("f", top).cast("int"))).otherwise(F.lit("und"))
     sure = F.when(lettered_now, 1 / norm).otherwise(F.lit(0.0))
     text_best = F.when(lettered_now, F.element_at(langs, F.array_position("evidence", F.array_max("evidence")).cast("int"))).otherwise(F.lit("und"))
-    return fused.select("doc_id", best.alias("lang"), F.round(sure, 9).alias("confidence"), text_best.alias("text_lang"),
-                        (sure >= confidence).alias("kept"))
+    judged = fused.select("doc_id", "declared", "tag", best.alias("lang"), sure.alias("sure"), text_best.alias("text_lang"))
+    rest = F.col("lang") == OTHER
+    own = rest & (F.col("tag") == "*")
+    return judged.select("doc_id", F.when(own, F.col("declared")).otherwise(F.col("lang")).alias("lang"),
+                         F.round("sure", 9).alias("confidence"), "text_lang",
+                         ((F.col("sure") >= confidence) & (own | ~rest)).alias("kept"))

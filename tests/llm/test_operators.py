@@ -383,6 +383,22 @@ def test_language_id(spark, odd, empty):
     assert identify(named.where("doc_id < 0")).count() == 0
 
 
+def test_language_id_of_rare_languages(spark):
+    from scorewright.llm.language_id import identify
+    rng = random.Random(3)
+    bags = {lang: ["".join(rng.choices(letters, k=rng.randint(3, 9))) for _ in range(300)]
+            for lang, letters in (("aa", "abcdefgh"), ("bb", "hijklmno"), ("cc", "opqrstuv"), ("dd", "vwxyzabc"), ("ee", "aeimquyd"))}
+    said = ["aa"] * 3000 + ["bb"] * 3000 + ["cc"] * 40 + ["dd"] * 4 + ["ee"] * 4       # cc: 0.7 % of the rows
+    rows = [(i, " ".join(rng.choices(bags[x], k=60)), x, f"h{i % 7}.net") for i, x in enumerate(said)]
+    rows += [(len(rows), " ".join(rng.choices(bags["cc"], k=60)), None, "h0.net")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, declared string, host string")
+    got = {r["doc_id"]: r for r in identify(df).collect()}
+    assert [got[i]["lang"] for i in range(len(said))] == said and all(got[i]["kept"] for i in range(len(said)))
+    assert got[len(said)]["lang"] == "cc"
+    # the sample is bounded for each language, not over all of them
+    assert {r["doc_id"]: r["lang"] for r in identify(df, sample_docs=30).collect() if r["doc_id"] in range(6000, 6040)} == dict.fromkeys(range(6000, 6040), "cc")
+
+
 def test_quality_classifier(spark, odd, empty):
     sf = "/root/testdata/sf0.1"
     labels = spark.read.parquet(f"{sf}/labels.parquet")
