@@ -251,6 +251,25 @@ def test_url_filters(spark):
     assert got.where("verdict = 'block' AND path NOT LIKE '/spam%'").count() == 0
 
 
+def test_url_tree_carries_labels_over_word_slugs(spark):
+    from scorewright.llm.url_templates import filter_urls
+    word = lambda i: "".join(chr(97 + int(d)) for d in str(i)) + "-tale"           # noqa: E731
+    urls = [(i, f"http://mixed.net/{('blog', 'en/news', 'en/sport')[i % 3]}/{word(i)}") for i in range(300)]
+    urls += [(300 + i, f"http://mixed.net/u/{word(i)}/{('cheap', 'fine')[i % 2]}/{word(i * 7)}.html") for i in range(200)]
+    pages = spark.createDataFrame(urls, "page_id long, url string")
+    bad = F.col("url").contains("/blog/") | F.col("url").contains("/cheap/")
+    some = pages.where("page_id % 5 < 2").select("page_id", F.when(bad, 0).otherwise(1).alias("good"))
+    got = filter_urls(pages, some).collect()
+    assert len(got) == 500
+    for r in got:
+        assert r["verdict"] == ("block" if "/blog/" in r["path"] or "/cheap/" in r["path"] else "allow"), r
+    assert {r["template"] for r in got} == {"/blog/*", "/en/news/*", "/en/sport/*", "/u/*/cheap/*.html", "/u/*/fine/*.html"}
+    assert {r["branch"] for r in got if "/blog/" in r["path"]} == {"/blog/*"}
+    # few slugs: no wildcard by number, but alike siblings share their labels at every depth
+    few = spark.createDataFrame([(i, f"http://few.net/a/{'xyz'[i % 3]}/p") for i in range(9)], "page_id long, url string")
+    assert {r["branch"] for r in filter_urls(few, few.where("page_id < 2").selectExpr("page_id", "0 AS good")).collect()} == {"/a/*/p"}
+
+
 # ------------------------------------------------------------------ 10 packing
 
 def test_packing(spark, docs, odd, empty):
