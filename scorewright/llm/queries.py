@@ -14,7 +14,7 @@ VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def with_sites(docs: DataFrame) -> DataFrame:
-    """Documents name no address: their source is the host, the declared language the path below it."""
+    """Stand-ins for a site: the source is the host, the declared language the path below it (page addresses are not used)."""
     return docs.select("doc_id", "text", F.col("source").alias("host"), F.col("lang").alias("path"))
 
 
