@@ -139,11 +139,15 @@ def store(df: DataFrame, name: str) -> DataFrame:
 
     Spark deletes the shuffle files of finished jobs when the driver collects its garbage, which a driver that plans
     little may not do for hours; asking for it here keeps the disks of the executors free of them."""
-    spark = df.sparkSession
-    path = scratch_path(spark, f"llm-{name}")
+    rows = store_at(df, scratch_path(df.sparkSession, f"llm-{name}"))
+    df.sparkSession.sparkContext._jvm.System.gc()
+    return rows
+
+
+def store_at(df: DataFrame, path: str) -> DataFrame:
+    """Write ``df`` to a scratch folder that the caller removes (``remove_folder``) when nothing reads it any more."""
     df.write.parquet(path)
-    spark.sparkContext._jvm.System.gc()
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scorewright.llm import (ann, bpe, jump_sharding, language_id, packing, phrase_automata, prefix_trie, quality_bayes,
-                             quality_rules, url_templates)
+from scorewright.llm import (ann, bpe, filter_audit, hidden_markov, jump_sharding, language_id, packing, phrase_automata, prefix_trie,
+                             quality_bayes, quality_rules, shallot, url_templates)
 from scorewright.llm.common import table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -82,11 +82,46 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.best_fit_packing(table(spark, sf_dir, "documents"))
 
 
+def op11_hidden_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hidden_markov.lm_scores(table(spark, sf_dir, "documents"))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_shallot_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shallot.shallot_clusters(table(spark, sf_dir, "embeddings"))
+
+
+def _kmeans_sql(k: int, rounds: int, dim: int, scale: int, salt: str) -> str:
+    """Lloyd's algorithm round by round over rows (rid) and centroids (cid), all in integers."""
+    def assigned(r: int) -> str:
+        return (f"a{r} AS MATERIALIZED (SELECT rid, min(struct_pack(d := d, c := cid)) AS b FROM (SELECT rid, cid, list_sum(list_transform("
+                f"range(1, {dim + 1}), lambda i: (v[i] - c[i]) * (v[i] - c[i])))::BIGINT AS d FROM vec, c{r}) GROUP BY rid)")
+
+    def moved(r: int) -> str:
+        return (f"m{r} AS (SELECT b.c AS cid, i, sum(v[i])::BIGINT AS s, count(*) AS n FROM a{r} JOIN vec USING (rid), range(1, {dim + 1}) t(i) GROUP BY ALL), "
+                f"c{r + 1} AS MATERIALIZED (SELECT o.cid, coalesce(any_value(f.c), any_value(o.c)) AS c FROM c{r} o LEFT JOIN "
+                f"(SELECT cid, list((s - ((s % n) + n) % n) // n ORDER BY i) AS c FROM m{r} GROUP BY cid) f USING (cid) GROUP BY o.cid)")
+    ctes = [f"kept AS (SELECT vec_id, list_transform(embedding, lambda x: floor({scale} * x::DOUBLE)::BIGINT) AS v FROM embeddings "
+            f"WHERE len(embedding) = {dim} AND len(list_filter(embedding, lambda x: isfinite(x))) = {dim})",
+            "vec AS MATERIALIZED (SELECT row_number() OVER (ORDER BY vec_id, v) AS rid, vec_id, v FROM kept)",
+            f"c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY h NULLS LAST, v) - 1 AS cid, v AS c FROM "
+            f"(SELECT sha256('{salt}:' || vec_id) AS h, v FROM vec) ORDER BY h NULLS LAST, v LIMIT {k})"]
+    for r in range(rounds):
+        ctes += [assigned(r), moved(r)]
+    ctes.append(assigned(rounds))
+    return (f"WITH {', '.join(ctes)} SELECT vec_id, b.c::INTEGER AS cluster, b.d AS distance, "
+            f"sum(b.d) OVER (PARTITION BY b.c)::BIGINT AS cluster_inertia, sum(b.d) OVER ()::BIGINT AS inertia, "
+            f"sha256(array_to_string(c{rounds}.c, ',')) AS centroid_sha256 FROM a{rounds} JOIN vec USING (rid) JOIN c{rounds} ON cid = b.c")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_quality_classifier, op2_sharding, op3_url_filters, op4_substring_dedup, op5_quality_rules, op6_ngram_jaccard_join, op7_language_id, op8_bpe, op9_ann,
-    op10_best_fit_packing)}
+    op10_best_fit_packing, op11_hidden_markov, op12_filter_audit, op13_shallot_clusters)}
 
-# The two whose rows SQL can state; the others rest on fitted models, a public vocabulary, unsigned hash arithmetic or greedy order.
+# Those whose rows SQL can state; the others rest on fitted models, a public vocabulary, unsigned hash arithmetic or greedy order.
 ORACLE: dict[str, str] = {
     "op4_substring_dedup": r"""
 WITH texts AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
@@ -112,4 +147,27 @@ links AS (SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y
 reach(doc_id, other) AS (SELECT doc_id, doc_id FROM texts UNION SELECT r.doc_id, l.b FROM reach r JOIN links l ON l.a = r.other)
 SELECT t.doc_id, coalesce(any_value(n), 0) AS n_shingles, min(other) AS component_id
 FROM texts t JOIN reach r USING (doc_id) LEFT JOIN sizes z USING (doc_id) GROUP BY t.doc_id""",
+    "op12_filter_audit": r"""
+WITH texts AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t FROM documents),
+known AS (SELECT doc_id, max((coalesce(quality, 0) = 1)::INT) AS good, max((coalesce(toxic, 0) = 1)::INT) AS toxic FROM labels GROUP BY doc_id),
+words AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w, min(doc_id) OVER (PARTITION BY t) AS first_id FROM texts),
+judged AS (SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic, (len(w) < 50)::INT + 2 * (100 * len(list_distinct(w)) < 65 * len(w))::INT
+  + 4 * (100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 5 * length(t))::INT + 8 * regexp_matches(t, '[#$%&*|]')::INT
+  + 16 * coalesce(x.doc_id > first_id, false)::INT AS mask FROM words x LEFT JOIN known USING (doc_id)),
+cells AS (SELECT part, mask, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM judged GROUP BY part, mask),
+one AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f),
+orders AS (SELECT a.f || b.f || c.f || d.f || e.f AS filter_order FROM one a, one b, one c, one d, one e
+  WHERE len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5),
+steps AS (SELECT filter_order, step::INTEGER AS step, 1 << (ascii(filter_order[step]) - 65) AS bit,
+  list_sum([1 << (ascii(filter_order[i]) - 65) FOR i IN range(1, step)])::BIGINT AS before FROM orders, range(1, 6) r(step)),
+counted AS (SELECT part, filter_order, step, bit,
+  coalesce(sum(n) FILTER (WHERE mask & (coalesce(before, 0) | bit) = 0), 0)::BIGINT AS kept,
+  coalesce(sum(n) FILTER (WHERE mask & coalesce(before, 0) = 0 AND mask & bit > 0), 0)::BIGINT AS removed,
+  coalesce(sum(n) FILTER (WHERE mask & coalesce(before, 0) > 0 AND mask & bit > 0), 0)::BIGINT AS redundant,
+  coalesce(sum(n) FILTER (WHERE mask = bit), 0)::BIGINT AS unique_fails,
+  coalesce(sum(good) FILTER (WHERE mask & coalesce(before, 0) = 0 AND mask & bit > 0), 0)::BIGINT AS good_lost,
+  coalesce(sum(toxic) FILTER (WHERE mask & coalesce(before, 0) = 0 AND mask & bit > 0), 0)::BIGINT AS toxic_lost
+  FROM cells, steps GROUP BY part, filter_order, step, bit, before)
+SELECT * EXCLUDE (bit), sum(removed) OVER (PARTITION BY part, bit)::BIGINT AS shapley FROM counted""",
+    "op13_shallot_clusters": _kmeans_sql(shallot.K, shallot.ROUNDS, shallot.DIM, shallot.SCALE, shallot.SALT),
 }

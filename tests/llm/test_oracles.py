@@ -13,7 +13,8 @@ SF = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_text_query_matches_oracle(spark, name):
     con = duckdb.connect()
-    con.sql(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{SF}/documents.parquet')")
+    for t in ("documents", "labels", "embeddings", "pages"):
+        con.sql(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     rel = con.sql(ORACLE[name])
     got = QUERIES[name](spark, SF)
     assert sorted(got.columns) == sorted(rel.columns)
