@@ -122,3 +122,47 @@ ORACLE.update({
         "FROM scored WHERE edad >= 40"),
     "raw_table_roundtrip": with_scoring(f"SELECT {RAW57} FROM scored"),
 })
+
+REJECTED = {
+    "tc_max_dias_atraso_u6m": "tc_max_dias_atraso_u6m != 'N/A' AND TRY_CAST(tc_max_dias_atraso_u6m AS DOUBLE) IS NULL",
+    "ich_fecha_ult_cons_priv": "ich_fecha_ult_cons_priv != '0' AND try_strptime(ich_fecha_ult_cons_priv, '%Y-%m-%d') IS NULL",
+    "fecha_obs": "fecha_obs IS NOT NULL AND try_strptime(fecha_obs, '%Y-%m-%d') IS NULL",
+}
+
+
+def _ledger(run: str, group: str, tables: dict[str, str]) -> str:
+    """Ledger entries per archive: rejects, rows of each table (``tables``: name -> condition), then the job."""
+    rows = [(f"rejected {c}", f"count(*) FILTER (WHERE {cond})", "true") for c, cond in REJECTED.items()]
+    rows += [(name, "count(*)", cond) for name, cond in {"staging": "true", **tables, "job": "true"}.items()]
+    return " UNION ALL ".join(
+        f"SELECT '{run}' AS run, archive, '{name}' AS table_name, {n} AS rows FROM {group} WHERE {cond} GROUP BY archive" for name, n, cond in rows)
+
+
+ORACLE.update({
+    "publish_monthly_double": with_scoring(f"SELECT {_staging(RUN_ARCHIVE, 2)}, CAST({RUN_ARCHIVE} AS INTEGER) AS archive "
+                                           f"FROM scored WHERE {CLOSES.format(a=RUN_ARCHIVE)}"),
+    "raw_rejects": with_scoring(
+        f"SELECT {KEYS}, score_pos, flow_pos, CAST(20010804 AS INTEGER) AS archive, CAST(NULL AS VARCHAR) AS bad_line FROM scored "
+        "UNION ALL SELECT 'cut', NULL, NULL, NULL, NULL, NULL, 20010804, 'cut|' || informconf_id || '|not a number' "
+        "FROM scored WHERE edad IN (20, 40, 60, 80)"),
+    "freshness_partition": with_view(
+        "SELECT last_obs, CAST(date_diff('day', last_obs, DATE '1998-01-02') AS INTEGER) AS age_days, "
+        "coalesce(date_diff('day', last_obs, DATE '1998-01-02') BETWEEN 0 AND 3, false) AS fresh "
+        f"FROM (SELECT max({DAY}) AS last_obs FROM indicators WHERE archive = (SELECT max(archive) FROM indicators WHERE archive < 19980101))",
+        with_archive=True),
+    "first_of_month_run": with_scoring(f"SELECT {SLIM}, CAST(20010801 AS INTEGER) AS archv, {STAMP}, CAST(20010801 AS INTEGER) AS archive FROM scored"),
+    "run_metrics": with_view(
+        "SELECT run, CAST(archive AS INTEGER) AS archive, table_name, CAST(rows AS BIGINT) AS rows FROM ("
+        + _ledger("archive", f"(SELECT * EXCLUDE (archive), {RUN_ARCHIVE} AS archive FROM indicators)", {"scored_current": "true", "scored_slim": "true"})
+        + " UNION ALL " + _ledger("backfill", "indicators", {"scored_slim": "true", "scored_monthly": CLOSES.format(a="archive")}) + ")",
+        with_archive=True),
+    "published_version": with_view("SELECT archive, '2001-08-05 06:00:00' AS time_stamp, count(*) AS n_rows FROM indicators GROUP BY archive",
+                                   with_archive=True),
+    "orphan_runs": with_view("SELECT 'scored_slim' AS table_name, count(*) AS orphan_rows FROM indicators WHERE edad < 40 "
+                             "UNION ALL SELECT 'scored_staging', count(*) FROM indicators"),
+    "second_session": with_scoring(
+        "SELECT t AS table_name, archv, flow_pos, count(*) AS n_rows, CAST(sum(score_pos) AS BIGINT) AS points FROM ("
+        "SELECT 'scored_current' AS t, CAST(20010804 AS INTEGER) AS archv, score_pos, flow_pos FROM scored WHERE edad >= 40 "
+        "UNION ALL SELECT 'scored_weekly', CASE WHEN edad < 40 THEN 20010728 ELSE 20010804 END, score_pos, flow_pos FROM scored "
+        "WHERE edad IS NOT NULL) GROUP BY ALL"),
+})

@@ -2,21 +2,24 @@
 
 ``sha2(key | domain | value, 256)`` as lower-case hex.  Equal inputs give equal
 tokens, so tokenized ids stay joinable across tables and runs; the token is not
-reversible and not format preserving.  ``key`` is a deployment secret.  Null
+reversible and not format preserving.  ``key`` is a deployment secret: it enters a plan as
+a scalar subquery over a one-row relation, so neither plans nor event logs show it.  Null
 stays null (``concat`` with a null is null).
 """
 
 from __future__ import annotations
 
-from scorewright.functions.columns import ident, text
+from pyspark.sql import Column, SparkSession
+from pyspark.sql import functions as F
 
 
-def token_sql(column_sql: str, domain: str, key: str, passes: int = 1) -> str:
-    e = column_sql
-    for _ in range(passes):
-        e = f"sha2(concat({text(f'{key}|{domain}|')}, {e}), 256)"
-    return e
+def secret(spark: SparkSession, key: str) -> Column:
+    return spark.createDataFrame([(key,)], "secret string").scalar()
 
 
-def token_column_sql(column: str, domain: str, key: str, passes: int = 1) -> str:
-    return token_sql(ident(column), domain, key, passes)
+def token(column: str, domain: str, key: Column, passes: int = 1) -> Column:
+    """``passes`` times the token of ``column``; ``key`` from :func:`secret`."""
+    out = F.col(column)
+    for _ in range(passes):
+        out = F.sha2(F.concat(key, F.lit(f"|{domain}|"), out), 256)
+    return out

@@ -3,13 +3,13 @@
 ``seconds`` is the default unit.  ``auto_units=True`` replays the batch-dependent
 unit of R's date subtraction: the smallest absolute non-null difference over the
 *whole batch* picks secs (<60 s), mins (<1 h), hours (<1 day) or days.  That is
-one global ``min`` aggregate (a partial per task + one-row final), read back as a
-single scalar -- no join.
+one global ``min`` aggregate (a partial per task + one-row final), a scalar subquery of the
+same plan -- no join, and no job before the result is asked for.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scorewright.functions.columns import flag, ident, num, replace_columns, text
@@ -31,30 +31,23 @@ def raw_seconds_sql(spec: SecondsBetween) -> str:
             f"{parse_date_sql(spec.end, spec.fmt)}) AS DOUBLE)")
 
 
-def batch_unit_seconds(df: DataFrame, spec: SecondsBetween) -> float:
-    """Divisor R's ``difftime(units='auto')`` would pick for this batch."""
-    smallest = df.agg(F.expr(f"min(abs({raw_seconds_sql(spec)}))").alias("m")).first()["m"]
-    if smallest is None or smallest < 60:
-        return 1.0
-    if smallest < 3600:
-        return 60.0
-    if smallest < 86400:
-        return 3600.0
-    return 86400.0
+def batch_unit_seconds(df: DataFrame, spec: SecondsBetween) -> Column:
+    """Divisor R's ``difftime(units='auto')`` would pick for this batch: a scalar subquery."""
+    smallest = df.agg(F.expr(f"min(abs({raw_seconds_sql(spec)}))").alias("m"))
+    unit = "CASE WHEN m < 60 OR m IS NULL THEN 1.0D WHEN m < 3600 THEN 60.0D WHEN m < 86400 THEN 3600.0D ELSE 86400.0D END"
+    return smallest.select(F.expr(unit).alias("unit")).scalar()
 
 
 def in_set_flag_sql(f: InSetFlag) -> str:
     return flag(f"coalesce({ident(f.column)}, {text(f.null_as)}) IN ({', '.join(text(v) for v in f.values)})")
 
 
-def consult_age_sql(spec: SecondsBetween, unit: float = 1.0) -> str:
-    diff = raw_seconds_sql(spec) if unit == 1.0 else f"{raw_seconds_sql(spec)} / {num(unit)}"
-    return f"CASE WHEN {ident(spec.start)} IS NULL THEN {num(spec.missing)} ELSE {diff} END"
-
-
 def consult_age(df: DataFrame, card: Scorecard, auto_units: bool = False) -> DataFrame:
     spec = card.consult_age
-    unit = batch_unit_seconds(df, spec) if auto_units else 1.0
-    add = {f.name: in_set_flag_sql(f) for f in card.flags_before_impute}
-    add[spec.name] = consult_age_sql(spec, unit)
+    seconds, missing = raw_seconds_sql(spec), f"{ident(spec.start)} IS NULL"
+    add: dict[str, str | Column] = {f.name: in_set_flag_sql(f) for f in card.flags_before_impute}
+    if auto_units:
+        add[spec.name] = F.when(F.expr(missing), F.lit(float(spec.missing))).otherwise(F.expr(seconds) / batch_unit_seconds(df, spec))
+    else:
+        add[spec.name] = f"CASE WHEN {missing} THEN {num(spec.missing)} ELSE {seconds} END"
     return replace_columns(df, {}, add)

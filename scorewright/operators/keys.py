@@ -8,7 +8,7 @@ from typing import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scorewright.operators.score import RESULTS, score, score_append
+from scorewright.operators.score import RESULTS, score_append
 from scorewright.session import scratch_path
 from scorewright.spec import Scorecard
 
@@ -39,30 +39,25 @@ def score_join_compat(df: DataFrame, card: Scorecard, auto_units: bool = False,
     """Exact replay of the published form: raw rows LEFT JOIN their scores on the keys,
     null-safe (``<=>``), so a key tuple repeated *k* times yields *k*^2 rows.
 
-    A row whose key is unique matches its own score only, so it needs no join.  With ``check_unique``
-    (default) the repeated key tuples are found first (a partial count per task, then a shuffle of key tuples
-    only), and just their rows are scored for the right side; without it every key counts as repeated.
-    The right side holds one entry per key: its distinct results with their counts, at most one per
-    possible score however often the key occurs.  Every raw row is then scored once and looks its entry
+    Every row is scored once and stored with its results; whatever follows reads those.  A row whose key is unique
+    matches its own score only, so it needs no join.  With ``check_unique`` (default) the repeated key tuples are
+    found first (a partial count per task, then a shuffle of key tuples only); without it every key counts as repeated.
+    The right side holds one entry per repeated key: its distinct results with their counts, at most one per
+    possible score however often the key occurs.  Every stored row looks its entry
     up; the *k*^2 rows first exist in the output, where the counts are spread out again.  No side is
-    forced to be broadcast: both small tables are stored, so Catalyst decides by their size in bytes,
+    forced to be broadcast: both tables are stored, so Catalyst decides by their size in bytes,
     and where it shuffles them AQE splits the left rows of a hot key.
     """
     keys = list(card.keys)
+    scored = _stored(score_append(df, card, auto_units=auto_units), "scored")
+    right = scored.select(*keys, *RESULTS)
     if check_unique:
-        repeated = _stored(duplicate_keys(df.select(*keys), keys)
-                           .select(*[F.col(k).alias(f"__d_{k}") for k in keys]), "repeated-keys")
-        if auto_units:      # the unit of the consult age depends on all rows: score them, then select
-            right = score(df, card, keys=keys, auto_units=True).join(repeated, _null_safe(keys, "__d_"), "left_semi")
-        else:
-            right = score(df.join(repeated, _null_safe(keys, "__d_"), "left_semi"), card, keys=keys)
-    else:
-        right = score(df, card, keys=keys, auto_units=auto_units)
+        repeated = _stored(duplicate_keys(right, keys).select(*[F.col(k).alias(f"__d_{k}") for k in keys]), "repeated-keys")
+        right = right.join(repeated, _null_safe(keys, "__d_"), "left_semi")
     entries = _stored(right.groupBy(*keys, *RESULTS).agg(F.count(F.lit(1)).alias("__n"))
                       .groupBy(*[F.col(k).alias(f"__r_{k}") for k in keys])
                       .agg(F.collect_list(F.struct(*RESULTS, "__n")).alias("__entries")), "key-results")
-    # the outer forms: a plain explode infers a filter on its input, which would evaluate the score once more
-    matched = (score_append(df, card, auto_units=auto_units).join(entries, _null_safe(keys, "__r_"), "left")
+    matched = (scored.join(entries, _null_safe(keys, "__r_"), "left")
                .withColumn("__e", F.explode_outer("__entries"))
                .withColumn("__i", F.explode_outer(F.sequence(F.lit(1).cast("long"), F.coalesce("__e.__n", F.lit(1).cast("long"))))))
     single = F.col("__entries").isNull()

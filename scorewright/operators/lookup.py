@@ -13,6 +13,7 @@ from __future__ import annotations
 import csv
 from functools import lru_cache
 from importlib import resources
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,15 +37,15 @@ def lookup_rows(resource: str, key: str) -> tuple[tuple[float, str, float], ...]
     return rows
 
 
-_TABLES: dict[tuple[int, str, str], DataFrame] = {}
+_TABLES: WeakKeyDictionary[SparkSession, dict[tuple[str, str], DataFrame]] = WeakKeyDictionary()
 
 
 def lookup_table(spark: SparkSession, lk: Lookup) -> DataFrame:
     """The lookup rows as a small DataFrame, built once per session."""
-    key = (id(spark), lk.table, lk.key)
-    if key not in _TABLES:
-        _TABLES[key] = _build_table(spark, lk)
-    return _TABLES[key]
+    tables = _TABLES.setdefault(spark, {})
+    if (lk.table, lk.key) not in tables:
+        tables[lk.table, lk.key] = _build_table(spark, lk)
+    return tables[lk.table, lk.key]
 
 
 def _build_table(spark: SparkSession, lk: Lookup) -> DataFrame:

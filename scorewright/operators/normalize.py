@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scorewright.functions.columns import ident, replace_columns, text
@@ -42,19 +42,22 @@ def normalize(df: DataFrame, card: Scorecard) -> DataFrame:
     return replace_columns(df, normalize_sql(card))
 
 
-def rejects(df: DataFrame, card: Scorecard) -> DataFrame:
-    """Per text column the model parses: rows whose text is neither missing nor a sentinel, yet no number or date.
-
-    Such rows are scored as if the value were missing.  One aggregate (a counter per task and column),
-    unpivoted into ``(column, rejected_rows)``.
-    """
+def reject_counts(card: Scorecard) -> dict[str, Column]:
+    """Per text column the model parses, an aggregate: rows whose text is neither missing nor a sentinel, yet no number or
+    date.  Such rows are scored as if the value were missing."""
     from scorewright.operators.consult_age import parse_date_sql
     sentinel = {s.column: s.value for s in card.sentinels}
     age = card.consult_age
     parsed = {c: normalize_sql(card)[c] for c in card.numeric_text}
     parsed.update({c: parse_date_sql(c, age.fmt) for c in (age.start, age.end)})
-    counts = []
+    counts = {}
     for c, value in parsed.items():
         given = f"nullif({ident(c)}, {text(sentinel[c])})" if c in sentinel else ident(c)
-        counts.append(F.expr(f"count_if({given} IS NOT NULL AND ({value}) IS NULL)").alias(c))
-    return df.agg(*counts).unpivot([], list(parsed), "column", "rejected_rows")
+        counts[c] = F.expr(f"count_if({given} IS NOT NULL AND ({value}) IS NULL)")
+    return counts
+
+
+def rejects(df: DataFrame, card: Scorecard) -> DataFrame:
+    """One aggregate (a counter per task and column), unpivoted into ``(column, rejected_rows)``."""
+    counts = reject_counts(card)
+    return df.agg(*[n.alias(c) for c, n in counts.items()]).unpivot([], list(counts), "column", "rejected_rows")

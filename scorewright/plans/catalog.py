@@ -12,18 +12,23 @@ from pyspark.sql import functions as F
 
 import datetime as dt
 import re
+from dataclasses import replace
 
 from scorewright.functions.calendar import archive_date, archive_int, first_of_month, month_closing, run_date
 from scorewright.functions.columns import round9
-from scorewright.functions.tokens import token_column_sql
+from scorewright.functions.tokens import secret, token
 from scorewright.plans import ledger as L
-from scorewright.plans.freshness import freshness as freshness_gate
+from scorewright.plans.freshness import freshness as freshness_gate, stored_freshness
 from scorewright.plans.job import JobConfig, backfill, run_archive
 from scorewright.plans.layout import TOKENIZED
+from scorewright.plans.orphans import orphan_runs
 from scorewright.plans.publish import Layout, Zones, ensure_zones
+from scorewright.plans.retention import new_run
+from scorewright.plans.versions import view_name
 from scorewright.session import remove_folder, scratch_path, shared_root
+from scorewright.sources.feature_store import FeatureStore
 from scorewright.sources.features import indicators_with_archive
-from scorewright.sources.raw_text import land_text, read_text, register_text_table
+from scorewright.sources.raw_text import DIALECTS, land_text, read_text, register_text_table
 from scorewright.models.two_card import two_card
 from scorewright.operators.normalize import rejects
 from scorewright.operators.keys import duplicate_keys, score_join_compat
@@ -139,15 +144,24 @@ def _last_observation(features: DataFrame) -> dt.date:
     return freshness_gate(features, FRESHNESS_AS_OF).first()["last_obs"]
 
 
-def _run(spark: SparkSession, sf_dir: str, query: str, tables: tuple[str, ...]) -> Layout:
-    """One weekly run over the whole view, on the day of its last observation."""
-    features = indicators(spark, sf_dir)
-    cfg = JobConfig(as_of=_last_observation(features), env="prod", run_ts=RUN_TS, token_key=TOKEN_KEY,
-                    tables=tables, layout=_isolated_layout(spark, query))
-    result = run_archive(spark, features, cfg, CARD)
+def _published(result: dict) -> dict:
     if result["status"] != "published":
         raise RuntimeError(result)
-    return cfg.layout
+    return result
+
+
+def _store(spark: SparkSession, lay: Layout, features: DataFrame, name: str = "features") -> FeatureStore:
+    """The features as a stored table of the query's own, as jobs read them."""
+    return FeatureStore(lay.location(spark, "ops", name)).write(features)
+
+
+def _run(spark: SparkSession, sf_dir: str, query: str, tables: tuple[str, ...], lay: Layout | None = None) -> Layout:
+    """One weekly run over the whole view, on the day of its last observation."""
+    lay = lay or _isolated_layout(spark, query)
+    store = _store(spark, lay, indicators(spark, sf_dir))
+    cfg = JobConfig(as_of=store.last_date(spark), env="prod", run_ts=RUN_TS, token_key=TOKEN_KEY, tables=tables, layout=lay)
+    _published(run_archive(spark, store, cfg, CARD))
+    return lay
 
 
 def stage_snapshot(spark, sf_dir):
@@ -177,12 +191,13 @@ def publish_monthly_q(spark, sf_dir):
 
 def csv_roundtrip(spark, sf_dir):
     scored = score_append(source_projection(indicators(spark, sf_dir), CARD), CARD)
-    return read_text(spark, land_text(scored, scratch_path(spark, "landing") + "/data/archive=0"))
+    return read_text(spark, land_text(scored, scratch_path(spark, "landing") + "/data/archive=0"), strict=True)
 
 
 def _tokens(spark, sf_dir, passes):
     view = indicators(spark, sf_dir)
-    toks = [F.expr(token_column_sql(c, d, TOKEN_KEY, passes)).alias(f"{c}_token") for c, d in TOKENIZED.items()]
+    key = secret(spark, TOKEN_KEY)
+    toks = [token(c, d, key, passes).alias(f"{c}_token") for c, d in TOKENIZED.items()]
     return view.select(*KEYS, *toks)
 
 
@@ -307,6 +322,121 @@ def raw_table_roundtrip(spark, sf_dir):
     return spark.table(table)
 
 
+def publish_monthly_double(spark, sf_dir):
+    """The monthly table under a layout that tokenizes it twice."""
+    lay = _isolated_layout(spark, "publish_monthly_double")
+    lay = replace(lay, monthly=replace(lay.monthly, token_passes=2))
+    _run(spark, sf_dir, "publish_monthly_double", ("monthly",), lay)
+    return spark.table(lay.qualified("prod", lay.monthly.name))
+
+
+def raw_rejects(spark, sf_dir):
+    """A damaged text folder published: its good rows (slim table), and the reject table's lines.
+
+    The folder holds the scored rows in the plain dialect, and beside them a cut line for every application of age 20, 40, 60 or 80."""
+    lay = _isolated_layout(spark, "raw_rejects")
+    ensure_zones(spark, lay)
+    features = indicators(spark, sf_dir)
+    path = land_text(score_append(source_projection(features, CARD), CARD), lay.location(spark, "ops", lay.raw) + "/data/archive=20010804", "plain")
+    cut = features.where("edad IN (20, 40, 60, 80)").select(F.lit("cut").alias("damaged"), "informconf_id", F.lit("not a number").alias("file"))
+    cut.write.mode("append").options(**DIALECTS["plain"]).csv(path)
+    cfg = JobConfig(as_of=FRESHNESS_AS_OF, archive=20010804, env="prod", run_ts=RUN_TS, token_key=TOKEN_KEY, tables=("slim",),
+                    precedence=False, dialect="plain", max_bad_share=0.2, layout=lay)
+    _published(run_archive(spark, None, cfg, CARD, landed=path))
+    good = spark.table(lay.qualified("prod", lay.slim.name)).select(*KEYS, "score_pos", "flow_pos", "archive", F.lit(None).cast("string").alias("bad_line"))
+    bad = spark.table(lay.qualified("ops", lay.rejects.name))
+    return good.unionByName(bad.select("infocheck_id", "bad_line", "archive"), allowMissingColumns=True)
+
+
+def freshness_partition(spark, sf_dir):
+    """The gate over one archive of a stored feature table: the last archive of 1997."""
+    store = _store(spark, _isolated_layout(spark, "freshness_partition"), indicators_with_archive(spark, sf_dir, CARD))
+    last = store.read(spark).where("archive < 19980101").agg(F.max("archive").alias("a")).first()["a"]
+    return stored_freshness(spark, store, dt.date(1998, 1, 2), 4, last)
+
+
+def first_of_month_run(spark, sf_dir):
+    """A first-of-month run: the probe reads the run's archive of the weekly feature table, scoring the base table."""
+    lay = _isolated_layout(spark, "first_of_month_run")
+    features = indicators(spark, sf_dir)
+    weekly = _store(spark, lay, features.where("edad = 30").withColumn("fecha_obs", F.lit("2001-08-01")).withColumn("archive", F.lit(20010801))
+                    .unionByName(features.where("edad = 31").withColumn("archive", F.lit(20010701))), "weekly_features")
+    cfg = JobConfig(as_of=dt.date(2001, 8, 3), first=True, env="prod", run_ts=RUN_TS, tables=("slim",), layout=lay)
+    _published(run_archive(spark, features, cfg, CARD, probe=weekly))
+    return spark.table(lay.qualified("prod", lay.slim.name))
+
+
+def run_metrics(spark, sf_dir):
+    """Ledger entries of one run over all rows and of a back-fill of every archive."""
+    lay = _run(spark, sf_dir, "run_metrics", ("current", "slim"))
+    one = spark.table(lay.qualified("ops", "run_ledger")).withColumn("run", F.lit("archive"))
+    many = spark.table(_backfill(spark, sf_dir, "run_metrics_all", ("slim", "monthly"), {"slim": None, "monthly": None})
+                       .qualified("ops", "run_ledger")).withColumn("run", F.lit("backfill"))
+    return one.unionByName(many).select("run", "archive", "table_name", "rows")
+
+
+class _Broken(RuntimeError):
+    pass
+
+
+def published_version(spark, sf_dir):
+    """Rows per archive that readers see after a forced back-fill broke off between two partitions of the table."""
+    from scorewright.plans import retention as R
+    lay = _backfill(spark, sf_dir, "published_version", ("slim",), {"slim": None})
+    cfg = JobConfig(as_of=FRESHNESS_AS_OF, env="prod", run_ts="2001-08-05 06:00:00", token_key=TOKEN_KEY, tables=("slim",), layout=lay, force=True)
+    table, plain = lay.qualified("prod", lay.slim.name), R.follow
+
+    def breaks(spark, table, before, after, base):
+        half = dict(sorted(after.items())[:len(after) // 2])
+        plain(spark, table, before, {**before, **half}, base)
+        raise _Broken(table)
+    R.follow = breaks
+    try:
+        backfill(spark, indicators_with_archive(spark, sf_dir, CARD), cfg, CARD, keep={"slim": None})
+    except _Broken:
+        pass
+    finally:
+        R.follow = plain
+    return (spark.table(view_name(table)).groupBy("archive", "time_stamp").agg(F.count(F.lit(1)).alias("n_rows")))
+
+
+def orphan_runs_q(spark, sf_dir):
+    """Rows of run folders that nothing refers to, after two runs and one that broke off before its switch: its own, and
+    the staging rows that the second run replaced."""
+    lay = _isolated_layout(spark, "orphan_runs")
+    features = indicators(spark, sf_dir)
+    cfg = JobConfig(as_of=FRESHNESS_AS_OF, archive=20010728, env="prod", run_ts=RUN_TS, token_key=TOKEN_KEY, precedence=False,
+                    tables=("current", "slim"), layout=lay)
+    _published(run_archive(spark, features, cfg, CARD))
+    _published(run_archive(spark, features.where("edad < 40"), replace(cfg, archive=20010804), CARD))
+    lost = spark.table(lay.qualified("staging", lay.staging)).select(*lay.slim.columns)
+    lost.write.parquet(f"{lay.location(spark, 'prod', lay.slim.name)}/runs/{new_run()}/archive=20010811")
+    found = [(r["table_name"], r["folder"]) for r in orphan_runs(spark, lay).collect()]
+    parts = [spark.read.parquet(folder).select(F.lit(name).alias("table_name"), F.lit(1).alias("x")) for name, folder in found]
+    rows = parts[0]
+    for p in parts[1:]:
+        rows = rows.unionByName(p)
+    return rows.groupBy("table_name").agg(F.count("x").alias("orphan_rows"))
+
+
+def second_session(spark, sf_dir):
+    """What a session that had read the current and the weekly table before a publish reads after it."""
+    lay = _isolated_layout(spark, "second_session")
+    other = spark.newSession()
+    features = indicators(spark, sf_dir)
+    views = {t.name: view_name(lay.qualified("prod", t.name)) for t in (lay.current, lay.weekly)}
+    seen = None
+    for archive, part in ((20010728, "edad < 40"), (20010804, "edad >= 40")):
+        cfg = JobConfig(as_of=FRESHNESS_AS_OF, archive=archive, env="prod", run_ts=RUN_TS, token_key=TOKEN_KEY, precedence=False,
+                        tables=("current", "weekly"), layout=lay)
+        _published(run_archive(spark, features.where(part), cfg, CARD))
+        frames = [other.table(v).select(F.lit(t).alias("table_name"), "archv", "score_pos", "flow_pos") for t, v in views.items()]
+        seen = frames[0].unionByName(frames[1]).groupBy("table_name", "archv", "flow_pos").agg(
+            F.count(F.lit(1)).alias("n_rows"), F.sum("score_pos").alias("points"))
+        seen.collect()
+    return seen
+
+
 QUERIES = {
     "feature_scan": feature_scan,
     "knockout": knockout,
@@ -345,4 +475,12 @@ QUERIES = {
     "purge_current": purge_current,
     "purge_weekly": purge_weekly,
     "raw_table_roundtrip": raw_table_roundtrip,
+    "publish_monthly_double": publish_monthly_double,
+    "raw_rejects": raw_rejects,
+    "freshness_partition": freshness_partition,
+    "first_of_month_run": first_of_month_run,
+    "run_metrics": run_metrics,
+    "published_version": published_version,
+    "orphan_runs": orphan_runs_q,
+    "second_session": second_session,
 }

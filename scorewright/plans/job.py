@@ -3,9 +3,11 @@
 ``run_archive`` for one archive:
 
     already in ledger? -> freshness gate -> score (narrow, one stage)
-    -> [land as text and read back] -> staging (written once, read back)
+    -> [land as text and read back, damaged lines put aside] -> staging (written once, read back)
     -> current (keep replaced rows, overwrite) -> slim -> weekly -> monthly if the
-    archive closes its month -> retention per table -> ledger
+    archive closes its month, each with its retention as one version -> ledger
+
+Rows, rejected values and damaged lines are counted by ``Observation`` while they are written.
 
 Every step is a Spark action on tables in the shared folder; a rerun points one archive
 partition at a new folder, so it is idempotent, and a lost executor only re-runs its tasks.
@@ -16,21 +18,21 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass, field, replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from scorewright.functions.calendar import archive_date, archive_int, month_closing, run_date
 from scorewright.models.two_card import two_card
 from scorewright.operators.score import score_append, source_projection
 from scorewright.plans import ledger as L
-from scorewright.plans.freshness import freshness
+from scorewright.plans.freshness import freshness, stored_freshness
 from scorewright.plans.layout import RAW
 from scorewright.plans.publish import (Layout, TableSpec, ensure_table, ensure_zones, publish_current, publish_partition, publish_partitions,
                                        staged, write_staging)
-from scorewright.plans.retention import retain
-from scorewright.operators.normalize import rejects
+from scorewright.operators.normalize import reject_counts
 from scorewright.session import engine_settings
-from scorewright.sources.raw_text import land_text, register_text_table
+from scorewright.sources.feature_store import FeatureStore
+from scorewright.sources.raw_text import BAD_LINE, damaged_lines, land_text, read_text, register_text_table
 from scorewright.spec import Scorecard
 
 # Partitions kept per table (slim, weekly, monthly) in each profile.
@@ -49,6 +51,8 @@ class JobConfig:
     run_ts: str | None = None              # fixed load stamp for repeatable reruns
     token_key: str = ""                    # deployment secret for key tokens
     land_text: bool = False                # also land the scored rows as delimited text
+    dialect: str = "quoted"                # of landed text: quoted or plain
+    max_bad_share: float = 0.01            # share of damaged text lines above which the run stops
     force: bool = False                    # run even when the ledger has the archive
     tables: tuple[str, ...] = ("current", "slim", "weekly", "monthly")
     layout: Layout = field(default_factory=Layout)
@@ -97,17 +101,41 @@ def score_for_publish(features: DataFrame, card: Scorecard) -> DataFrame:
     return score_append(source_projection(features, card), card)
 
 
-def run_archive(spark: SparkSession, features: DataFrame, cfg: JobConfig,
-                card: Scorecard | None = None, probe: DataFrame | None = None) -> dict:
-    """``probe``: table the freshness gate reads (default: ``features``).  For a first-of-month
-    run it is filtered to the run's archive partition (partition pruning)."""
+def run_archive(spark: SparkSession, features: DataFrame | FeatureStore | None, cfg: JobConfig, card: Scorecard | None = None,
+                probe: DataFrame | FeatureStore | None = None, landed: str | None = None) -> dict:
+    """``probe``: what the freshness gate reads (default: ``features``; a :class:`FeatureStore` answers from file footers).
+    For a first-of-month run it is filtered to the run's archive partition (partition pruning); scoring reads ``features``
+    all the same.  ``landed``: folder of scored text that another job left, published instead of ``features``."""
     _check_secret(cfg)
+    if (features is None) == (landed is None):
+        raise ValueError("either features or a landed folder is published")
     with engine_settings(spark):
-        return _run_archive(spark, features, cfg, card or two_card(), probe)
+        return _run_archive(spark, features, cfg, card or two_card(), probe, landed)
+
+
+def _gate(spark: SparkSession, source: DataFrame | FeatureStore, as_of: dt.date, cfg: JobConfig, archive: int | None) -> str | None:
+    """Why the run stops; None when the features are fresh."""
+    if isinstance(source, FeatureStore):
+        gate = stored_freshness(spark, source, as_of, cfg.max_age_days, archive).first()
+    else:
+        gate = freshness(source, as_of, cfg.max_age_days, archive=archive).first()
+    if gate["last_obs"] is None:
+        return "stopped: no observations"
+    return None if gate["fresh"] else f"stopped: features {gate['age_days']} days old"
+
+
+def _staging_metrics(card: Scorecard, seen: Observation, df: DataFrame) -> DataFrame:
+    return df.observe(seen, F.count(F.lit(1)).alias("rows"), *[n.alias(c) for c, n in reject_counts(card).items()])
 
 
-def _run_archive(spark: SparkSession, features: DataFrame, cfg: JobConfig, card: Scorecard,
-                 probe: DataFrame | None) -> dict:
+def _put_aside(spark: SparkSession, layout: Layout, path: str, cfg: JobConfig, archive: int) -> None:
+    """The damaged lines of a landed folder, with their file, as partition ``archive`` of the reject table."""
+    bad = damaged_lines(spark, path, dialect=cfg.dialect).withColumn("time_stamp", F.lit(_run_ts(cfg)))
+    publish_partition(spark, layout, layout.rejects, bad, archive, "")
+
+
+def _run_archive(spark: SparkSession, features: DataFrame | FeatureStore | None, cfg: JobConfig, card: Scorecard,
+                 probe: DataFrame | FeatureStore | None, landed: str | None) -> dict:
     layout = cfg.profile_layout()
     as_of = cfg.as_of or dt.datetime.now(dt.timezone.utc).date()
     archive = cfg.resolved_archive(spark, as_of)
@@ -115,29 +143,38 @@ def _run_archive(spark: SparkSession, features: DataFrame, cfg: JobConfig, card:
     if not cfg.force and L.is_done(spark, ledger, archive):
         return {"archive": archive, "status": "skipped: already run"}
     if cfg.precedence:
-        probe_archive = archive if probe is not None and cfg.first else None
-        gate = freshness(features if probe is None else probe, as_of, cfg.max_age_days, archive=probe_archive).first()
-        if gate["last_obs"] is None:
-            return {"archive": archive, "status": "stopped: no observations"}
-        if not gate["fresh"]:
-            return {"archive": archive, "status": f"stopped: features {gate['age_days']} days old"}
-
-    scored = score_for_publish(features, card)
-    if cfg.land_text:
-        # Land as delimited text, (re)create the external text table over it, read it back
-        ensure_zones(spark, layout)
-        path = layout.location(spark, "ops", layout.raw) + f"/data/archive={archive}"
-        land_text(scored, path)
-        raw_table = layout.qualified("ops", layout.raw)
-        register_text_table(spark, raw_table, path)
-        scored = spark.table(raw_table)
-    staging = write_staging(spark, layout, staged(scored.select(*RAW), archive, _run_ts(cfg)))
-
-    counts = {"staging": staging.count()}
-    # staging keeps the raw text, so the rejects are counted there: a scan of three columns
-    rejected = {r["column"]: r["rejected_rows"] for r in rejects(staging, card).collect()}
+        source = probe if probe is not None else features if features is not None else read_text(spark, landed, dialect=cfg.dialect)
+        stopped = _gate(spark, source, as_of, cfg, archive if probe is not None and cfg.first else None)
+        if stopped:
+            return {"archive": archive, "status": stopped}
+
+    if isinstance(features, FeatureStore):
+        features = features.read(spark)
+    scored = score_for_publish(features, card) if landed is None else None
+    ensure_zones(spark, layout)
+    if cfg.land_text and landed is None:
+        landed = layout.location(spark, "ops", layout.raw) + f"/data/archive={archive}"
+        land_text(scored, landed, cfg.dialect)
+    lines = Observation()
+    if landed is not None:
+        # (re)create the external text table over the landed folder and read that back, damaged lines apart
+        register_text_table(spark, layout.qualified("ops", layout.raw), landed, dialect=cfg.dialect)
+        read = read_text(spark, landed, dialect=cfg.dialect).observe(
+            lines, F.count(F.lit(1)).alias("lines"), F.count_if(F.col(BAD_LINE).isNotNull()).alias("bad"))
+        scored = read.where(F.col(BAD_LINE).isNull())
+    seen = Observation()
+    staging = write_staging(spark, layout, _staging_metrics(card, seen, staged(scored.select(*RAW), archive, _run_ts(cfg))))
+    rejected = dict(seen.get)
+    counts = {"staging": rejected.pop("rows")}
+    if landed is not None:
+        counts["bad lines"] = lines.get["bad"]
+        if counts["bad lines"]:
+            _put_aside(spark, layout, landed, cfg, archive)
+            if counts["bad lines"] > cfg.max_bad_share * lines.get["lines"]:
+                return {"archive": archive, "status": f"stopped: {counts['bad lines']} of {lines.get['lines']} text lines damaged"}
     if "current" in cfg.tables:
-        publish_current(spark, layout, staging, archive)
+        publish_current(spark, layout, staging, archive, seen := Observation())
+        counts[layout.current.name] = seen.get["rows"]
     kinds: list[TableSpec] = []
     if "slim" in cfg.tables:
         kinds.append(layout.slim)
@@ -149,14 +186,17 @@ def _run_archive(spark: SparkSession, features: DataFrame, cfg: JobConfig, card:
             kinds.append(layout.monthly)
     dropped = {}
     for spec in kinds:
-        table = publish_partition(spark, layout, spec, staging, archive, cfg.token_key)
-        counts[spec.name] = spark.table(table).where(F.col("archive") == archive).count()
-        dropped[spec.name] = retain(spark, table, spec.keep, archive_table=table + "_purge")
-    L.record(spark, ledger, archive, {**{f"rejected {c}": n for c, n in rejected.items()}, **counts,
-                                      "job": counts["staging"]})
+        dropped[spec.name] = publish_partition(spark, layout, spec, staging, archive, cfg.token_key, seen := Observation())
+        counts[spec.name] = seen.get["rows"]
+    L.record(spark, ledger, {archive: _entries(rejected, counts)})
     return {"archive": archive, "status": "published", "rows": counts, "dropped": dropped, "rejected": rejected}
 
 
+def _entries(rejected: dict[str, int], counts: dict[str, int]) -> dict[str, int]:
+    """Ledger entries of one archive; ``job`` comes last and marks it done."""
+    return {**{f"rejected {c}": n for c, n in rejected.items()}, **counts, "job": counts["staging"]}
+
+
 def _run_ts(cfg: JobConfig) -> str:
     return cfg.run_ts or dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
 
@@ -164,7 +204,8 @@ def _run_ts(cfg: JobConfig) -> str:
 def backfill(spark: SparkSession, features_with_archive: DataFrame, cfg: JobConfig,
              card: Scorecard | None = None, keep: dict[str, int | None] | None = None) -> dict:
     """Publish many archives at once: each row carries its own ``archive``.  One scoring pass,
-    one staging write, one partitioned write per table, then retention.
+    one staging write, one pass over four staging columns for the counts of every archive, one partitioned write per
+    table with its retention.
 
     Archives the ledger holds are left out unless ``cfg.force``.  Rows without an archive reach
     staging and are counted in the result (``undated_rows``); no table takes them.
@@ -184,19 +225,24 @@ def _backfill(spark: SparkSession, features_with_archive: DataFrame, cfg: JobCon
     scored = score_append(features, card)
     staging_df = staged(scored, F.col("archive"), _run_ts(cfg)).withColumn("archive", F.col("archv"))
     staging = write_staging(spark, layout, staging_df)
-    out: dict = {"undated_rows": staging.where(F.col("archive").isNull()).count()}
+    # one row an archive (metadata-sized: one a week): rows, rejects, and whether it closes its month
+    seen = staging.groupBy("archive").agg(F.count(F.lit(1)).alias("rows"), *[n.alias(c) for c, n in reject_counts(card).items()])
+    found = seen.withColumn("closes", month_closing(archive_date(F.col("archive")))).collect()
+    dated = {r["archive"]: r for r in found if r["archive"] is not None}
+    out: dict = {"undated_rows": sum(r["rows"] for r in found if r["archive"] is None)}
+    published: dict[int, dict[str, int]] = {a: {"staging": r["rows"]} for a, r in dated.items()}
     for name in ("slim", "weekly", "monthly"):
         if name not in cfg.tables:
             continue
         spec: TableSpec = getattr(layout, name)
         if name in keep:
             spec = replace(spec, keep=keep[name])
-        src = staging
-        if name == "monthly":
-            src = staging.where(month_closing(archive_date(F.col("archive"))))
-        table = publish_partitions(spark, layout, spec, src, cfg.token_key)
-        out[name] = {"table": table, "dropped": retain(spark, table, spec.keep, archive_table=table + "_purge")}
-    done = staging.where(F.col("archive").isNotNull()).groupBy("archive").agg(F.count(F.lit(1)).alias("rows"))
-    (done.select(F.col("archive").cast("int"), F.lit("job").alias("table_name"), F.col("rows").cast("long"),
-                 F.current_timestamp().cast("timestamp").alias("run_ts")).write.insertInto(ledger))
+        archives = [a for a, r in dated.items() if name != "monthly" or r["closes"]]
+        src = staging if name != "monthly" else staging.where(month_closing(archive_date(F.col("archive"))))
+        dropped = publish_partitions(spark, layout, spec, src, archives, cfg.token_key)
+        out[name] = {"table": layout.qualified("prod", spec.name), "dropped": dropped}
+        for a in archives:
+            published[a][spec.name] = dated[a]["rows"]
+    L.record(spark, ledger, {a: _entries({c: dated[a][c] for c in reject_counts(card)}, counts) for a, counts in published.items()})
+    out["rows"] = published
     return out
