@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 OBS_DATE = "obs_date"
 #: The Parquet reader that pushes aggregates down, and the pushdown itself.
-FOOTER_CONF = {"spark.sql.sources.useV1SourceList": "", "spark.sql.parquet.aggregatePushdown.enabled": "true"}
+FOOTER_CONF = {"spark.sql.sources.useV1SourceList": "", "spark.sql.parquet.aggregatePushdown": "true"}
 
 
 @dataclass(frozen=True)
