@@ -8,12 +8,14 @@ many parts that are is learnt too: as many as held-out vectors of the sample nee
 Defined results: vectors that are null, zero or hold null or non-finite components take no part; a vector whose length
 differs from the most common one of the sample takes no part; ties go to the smaller id; fewer candidates than ``k``
 give fewer rows; an empty table gives none; equal vectors are ranked by id.  Rows with a null id take no part.
-``vec_id`` is the key of the table: rows that repeat an id are one candidate each time they differ in content.
+A row that is there several times is one candidate and one query; rows of one id that differ in content are a
+candidate each, and a query each with its own ranking; a query's own id is never its neighbour.
 
-Scale: the number of parts follows the row count (about ``part_rows`` rows each).  Parts are cut further into blocks
+Scale: the number of parts follows the row count (about ``part_rows`` rows each) up to one for 32 sampled vectors.  Parts are cut further into blocks
 of at most ``block_rows`` rows by a hash of the id, so a part that holds a third of all rows is searched in many
 tasks; each task returns its best ``k`` for a query, and these are merged.  Nothing is dropped: a block's ranking is
-exact, and the best ``k`` of all are among the best ``k`` of the blocks.
+exact, and the best ``k`` of all are among the best ``k`` of the blocks.  Queries that look at one part are cut into chunks
+of about ``query_rows`` as well, so neither side of a search grows with the table.
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ from pyspark.sql import functions as F
 
 from scorewright.llm.common import arrow_schema, hash_sample, map_batches, sample_rate, store
 
-SAMPLE_ROWS, PART_ROWS, BLOCK_ROWS, RECALL = 4000, 1024, 2048, 0.95
+SAMPLE_ROWS, PART_ROWS, BLOCK_ROWS, QUERY_ROWS, RECALL = 4000, 1024, 2048, 8192, 0.95
 NEIGHBOURS = 12
 
 
@@ -108,7 +110,7 @@ def valid(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
     good = (F.col(id_col).isNotNull() & F.col(vec_col).isNotNull()
             & F.forall(v, lambda e: e.isNotNull() & ~F.isnan(e) & (F.abs(e) < F.lit(float("inf"))))
             & F.exists(v, lambda e: e != 0))
-    return df.where(good).select(F.col(id_col).cast("long").alias("id"), v.alias("v"))
+    return df.where(good).select(F.col(id_col).cast("long").alias("id"), v.alias("v")).distinct()      # repeated rows once
 
 
 def build(rows: DataFrame, sample_rows: int = SAMPLE_ROWS, part_rows: int = PART_ROWS,
@@ -154,7 +156,7 @@ def assign(rows: DataFrame, index: Index, top: int) -> DataFrame:
 
 
 def best_of(q: np.ndarray, q_ids: np.ndarray, c: np.ndarray, c_ids: np.ndarray, k: int, floor: np.ndarray) -> list[tuple]:
-    """(query, candidate, score) of the best ``k`` of a block that reach the query's ``floor``; scores are summed in one
+    """(place of the query, candidate, score) of the best ``k`` of a block that reach the query's ``floor``; scores are summed in one
     fixed order."""
     out = []
     for lo in range(0, len(q), 256):
@@ -172,16 +174,16 @@ def best_of(q: np.ndarray, q_ids: np.ndarray, c: np.ndarray, c_ids: np.ndarray,
                 continue
             score = (c[at] * q[lo + i]).sum(1)
             for j in np.lexsort((c_ids[at], -score))[:k]:
-                out.append((int(mine), int(c_ids[at[j]]), float(score[j])))
+                out.append((lo + i, int(c_ids[at[j]]), float(score[j])))
     return out
 
 
 def search(df: DataFrame, is_query: str, k: int = 20, id_col: str = "vec_id", vec_col: str = "embedding",
            sample_rows: int = SAMPLE_ROWS, part_rows: int = PART_ROWS, recall: float = RECALL,
-           block_rows: int = BLOCK_ROWS) -> DataFrame:
+           block_rows: int = BLOCK_ROWS, query_rows: int = QUERY_ROWS) -> DataFrame:
     """``query_id, rank, vec_id, score``: the ``k`` nearest found of every row for which the SQL condition
     ``is_query`` on ``id`` holds."""
-    schema = "query_id long, vec_id long, score double"
+    schema = "query_id long, content long, vec_id long, score double"
     rows = store(valid(df, id_col, vec_col), "vectors")
     index = build(rows, sample_rows, part_rows, recall, k)
     spark = df.sparkSession
@@ -194,29 +196,36 @@ def search(df: DataFrame, is_query: str, k: int = 20, id_col: str = "vec_id", ve
     n_blocks = F.element_at(F.create_map(*[F.lit(x) for p, b in sorted(blocks.items()) for x in (p, b)]), F.col("part"))
     split = F.xxhash64("id", F.lit(3))
     held = placed.select("id", "v", part.alias("part")).select("id", "v", "part", F.pmod(split, n_blocks).cast("int").alias("block"))
-    asks = (placed.where(F.expr(is_query)).select("id", "v", F.posexplode("parts").alias("nth", "part"))
-            .where(F.col("part").isin(sorted(blocks)))
-            .select("id", "v", "nth", "part", F.explode(F.sequence(F.lit(0), (n_blocks - 1).cast("int"))).alias("block")))
+    content = F.xxhash64("v").alias("content")                # tells the queries of one id apart
+    queries = placed.where(F.expr(is_query)).select("id", "v", content, "parts")
+    chunks = max(1, -(-queries.count() // query_rows))
+    asks = (queries.withColumn("chunk", F.pmod(F.xxhash64("id", "content", F.lit(5)), F.lit(chunks)).cast("int"))
+            .select("id", "v", "content", "chunk", F.posexplode("parts").alias("nth", "part")).where(F.col("part").isin(sorted(blocks)))
+            .select("id", "v", "content", "chunk", "nth", "part", F.explode(F.sequence(F.lit(0), (n_blocks - 1).cast("int"))).alias("block")))
     target = arrow_schema(schema)
 
     def ranked(left: pa.Table, right: pa.Table) -> pa.Table:
         out = []
         if left.num_rows and right.num_rows:
             q, c = (np.array(t.column("v").combine_chunks().values.to_numpy()).reshape(t.num_rows, -1) for t in (left, right))
-            out = best_of(q, left.column("id").to_numpy(), c, right.column("id").to_numpy(), k, left.column("floor").to_numpy())
-        cols = list(zip(*out, strict=True)) if out else [[], [], []]
+            ids, key = left.column("id").to_numpy(), left.column("content").to_numpy()
+            found = best_of(q, ids, c, right.column("id").to_numpy(), k, left.column("floor").to_numpy())
+            out = [(int(ids[i]), int(key[i]), j, s) for i, j, s in found]
+        cols = list(zip(*out, strict=True)) if out else [[], [], [], []]
         return pa.Table.from_arrays([pa.array(v, f.type) for v, f in zip(cols, target, strict=True)], schema=target)
 
-    def visit(queries: DataFrame) -> DataFrame:
-        own = queries.select(*[F.col(c).alias(c) for c in ("id", "v", "floor", "part", "block")])      # apart from those of held
-        return own.groupBy("part", "block").cogroup(held.groupBy("part", "block")).applyInArrow(ranked, schema)
+    candidates = held.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))))
 
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+    def visit(asked: DataFrame) -> DataFrame:
+        own = asked.select(*[F.col(c).alias(c) for c in ("id", "v", "content", "floor", "part", "block", "chunk")])      # apart from those of held
+        return own.groupBy("part", "block", "chunk").cogroup(candidates.groupBy("part", "block", "chunk")).applyInArrow(ranked, schema)
+
+    rank = F.row_number().over(Window.partitionBy("query_id", "content").orderBy(F.desc("score"), "vec_id"))
     # the most probable part first: its k-th score is a floor for what the other parts have to return
     near = store(visit(asks.where("nth = 0").withColumn("floor", F.lit(float("-inf"))))
                  .withColumn("rank", rank).where(F.col("rank") <= k).drop("rank"), "near")
-    floors = near.groupBy(F.col("query_id").alias("id")).agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("least")).where(F.col("n") >= k)
-    rest = asks.where("nth > 0").join(floors.select("id", "least"), "id", "left").withColumn("floor", F.coalesce("least", F.lit(float("-inf"))))
+    floors = near.groupBy(F.col("query_id").alias("id"), "content").agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("least")).where(F.col("n") >= k)
+    rest = asks.where("nth > 0").join(floors.select("id", "content", "least"), ["id", "content"], "left").withColumn("floor", F.coalesce("least", F.lit(float("-inf"))))
     found = near.unionByName(visit(rest))
     return (found.withColumn("rank", rank).where(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))

@@ -1,7 +1,7 @@
 """Operator 5: line labelling by a linear-chain conditional random field.
 
 Every line of a text is content or boilerplate.  A linear-chain CRF over line features is fitted on a bounded sample
-of labelled documents; Viterbi decoding labels the lines of each document, and the share of characters in content
+of labelled documents, their whole texts; Viterbi decoding labels the lines of each document, and the share of characters in content
 lines decides whether the document is kept.
 
 Defined results: null and empty texts have no words, fail the base rules and are not kept; lines without a word take
@@ -23,7 +23,7 @@ SYMBOLS = b"#*$%&|<>"
 FEATURES = ("bias", "symbols", "shouts", "upper", "digits", "repeats", "seen", "long_words", "short_line", "ends")
 CONTENT_SHARE = 0.5
 TRAIN_DOCS = 4000               # bound of the labelled sample
-TRAIN_LINES = 64                # lines of a training document that count towards the fit
+CHAIN = 256                     # lines; in the fit, a longer text is cut into chains of so many, and all its lines count
 #: Start weights of the content label against boilerplate; the fit pulls towards them where labels are few.
 PRIOR = np.array([2.0, -6.0, -4.0, -2.0, -1.0, -5.0, -2.0, -1.0, 0.0, 0.5])
 _UPPER = bytes(range(65, 91))
@@ -72,25 +72,23 @@ class Crf:
         return np.array(out[::-1], bool)
 
 
-def fit(features: list[np.ndarray], labels: list[np.ndarray], steps: int = 150, rate: float = 0.1,
-        ridge: float = 0.02) -> Crf:
-    """Maximum likelihood by forward-backward over padded sequences, with a ridge towards ``PRIOR``."""
-    w, m = PRIOR.copy(), np.array([[0.5, -0.5], [-0.5, 0.5]])
-    if not features:
-        return Crf(w, m)
-    n, longest = len(features), max(map(len, features))
-    x = np.zeros((n, longest, w.size))
-    y = np.zeros((n, longest), int)
-    on = np.zeros((n, longest), bool)
-    for i, (f, lab) in enumerate(zip(features, labels, strict=True)):
-        x[i, :len(f)], y[i, :len(f)], on[i, :len(f)] = f, lab, True
-    total = on.sum()
-    both = on[:, 1:] & on[:, :-1]
-    seen_moves = np.array([[(both & (y[:, :-1] == a) & (y[:, 1:] == b)).sum() for b in (0, 1)] for a in (0, 1)])
-    start, mean, var = np.concatenate([w, m.ravel()]), np.zeros(w.size + 4), np.zeros(w.size + 4)
-    theta = start.copy()
-    for step in range(1, steps + 1):
-        w, m = theta[:w.size], theta[w.size:].reshape(2, 2)
+class Padded:
+    """Sequences of similar length side by side."""
+
+    def __init__(self, features: list[np.ndarray], labels: list[np.ndarray]):
+        n, self.longest = len(features), max(map(len, features))
+        self.x = np.zeros((n, self.longest, features[0].shape[1]))
+        self.y = np.zeros((n, self.longest), int)
+        self.on = np.zeros((n, self.longest), bool)
+        for i, (f, lab) in enumerate(zip(features, labels, strict=True)):
+            self.x[i, :len(f)], self.y[i, :len(f)], self.on[i, :len(f)] = f, lab, True
+        self.both = self.on[:, 1:] & self.on[:, :-1]
+        self.moves = np.array([[(self.both & (self.y[:, :-1] == a) & (self.y[:, 1:] == b)).sum() for b in (0, 1)] for a in (0, 1)])
+
+    def gradient(self, w: np.ndarray, m: np.ndarray) -> np.ndarray:
+        """Of the log likelihood, summed over the sequences: seen counts less expected ones (forward-backward)."""
+        on, x = self.on, self.x
+        n, longest = on.shape
         emit = np.stack([np.zeros((n, longest)), x @ w], -1)
         fwd, bwd = np.empty((n, longest, 2)), np.zeros((n, longest, 2))
         fwd[:, 0] = emit[:, 0]
@@ -102,8 +100,27 @@ def fit(features: list[np.ndarray], labels: list[np.ndarray], steps: int = 150,
             bwd[:, t] = np.where(on[:, t + 1, None], np.logaddexp(m[:, 0] + nxt[:, 0, None], m[:, 1] + nxt[:, 1, None]), 0.0)
         p1 = np.where(on, np.exp(fwd[:, :, 1] + bwd[:, :, 1] - z[:, None]), 0.0)
         pair = np.exp(fwd[:, :-1, :, None] + m + (emit + bwd)[:, 1:, None, :] - z[:, None, None, None])
-        g = np.concatenate([((y * on - p1)[..., None] * x).sum((0, 1)), (seen_moves - np.where(both[..., None, None], pair, 0.0).sum((0, 1))).ravel()])
-        g = g / total - ridge * (theta - start) / total ** 0.5
+        expected = np.where(self.both[..., None, None], pair, 0.0).sum((0, 1))
+        return np.concatenate([((self.y * on - p1)[..., None] * x).sum((0, 1)), (self.moves - expected).ravel()])
+
+
+def fit(features: list[np.ndarray], labels: list[np.ndarray], steps: int = 150, rate: float = 0.1,
+        ridge: float = 0.02) -> Crf:
+    """Maximum likelihood by forward-backward, with a ridge towards ``PRIOR``.  Sequences are padded to the next power of
+    two of their length, so a few long ones cost what they hold."""
+    w, m = PRIOR.copy(), np.array([[0.5, -0.5], [-0.5, 0.5]])
+    if not features:
+        return Crf(w, m)
+    by_size: dict[int, list[int]] = {}
+    for i, f in enumerate(features):
+        by_size.setdefault((len(f) - 1).bit_length(), []).append(i)
+    groups = [Padded([features[i] for i in at], [labels[i] for i in at]) for _, at in sorted(by_size.items())]
+    total = sum(g.on.sum() for g in groups)
+    start, mean, var = np.concatenate([w, m.ravel()]), np.zeros(w.size + 4), np.zeros(w.size + 4)
+    theta = start.copy()
+    for step in range(1, steps + 1):
+        w, m = theta[:w.size], theta[w.size:].reshape(2, 2)
+        g = sum(p.gradient(w, m) for p in groups) / total - ridge * (theta - start) / total ** 0.5
         mean, var = 0.9 * mean + 0.1 * g, 0.99 * var + 0.01 * g * g
         theta = theta + rate * (mean / (1 - 0.9 ** step)) / (np.sqrt(var / (1 - 0.99 ** step)) + 1e-8)
     return Crf(theta[:w.size], theta[w.size:].reshape(2, 2))
@@ -120,7 +137,7 @@ def train(documents: DataFrame, labels: DataFrame, docs: int = TRAIN_DOCS) -> Cr
 
     def start():
         def run(r: dict) -> dict:
-            xs = [line_features(t.encode("utf-8", "replace").split(b"\n"))[0][:TRAIN_LINES] for t in r["text"]]
+            xs = [line_features(t.encode("utf-8", "replace").split(b"\n"))[0] for t in r["text"]]
             return {"x": [x.astype(np.float32).ravel() for x in xs], "quality": r["quality"]}
         return run
 
@@ -128,7 +145,8 @@ def train(documents: DataFrame, labels: DataFrame, docs: int = TRAIN_DOCS) -> Cr
     xs = [np.array(g["x"], float).reshape(-1, width) for g in got if g["x"]]
     seen = FEATURES.index("seen")
     ys = [np.where(x[:, seen] > 0, 0, int(g["quality"] > 0)) for x, g in zip(xs, (g for g in got if g["x"]), strict=True)]
-    return fit(xs, ys)
+    cut = [(x[a:a + CHAIN], y[a:a + CHAIN]) for x, y in zip(xs, ys, strict=True) for a in range(0, len(x), CHAIN)]
+    return fit([x for x, _ in cut], [y for _, y in cut])
 
 
 def base_counts(text: bytes) -> tuple[int, int, int, int, int]:
