@@ -9,7 +9,8 @@ else it is ``other`` and rejected.
 
 Defined results: a text that is null, empty or without letters has language ``und`` and is rejected, as is one whose best
 language has a posterior below ``confidence``; null hosts and declarations are values of their own and carry little
-evidence; repeated rows get equal results; an empty table gives no rows; a null id is kept as it is.
+evidence; repeated rows get equal results; an empty table gives no rows; a null id is kept as it is, and has no pages.  Of equal
+posteriors the language that comes first in the model's order (by name, the pooled one last) is taken.
 
 Scale: texts are read where they are and become one small row each; only those rows are joined and grouped.
 """
@@ -29,7 +30,6 @@ OTHER = "other"
 TEXT_WEIGHT = 48.0              # a text counts as at most so many independent trigrams
 HOST_WEIGHT, SUFFIX_WEIGHT = 20.0, 50.0
 CONFIDENCE = 0.5
-_LETTERLESS = bytes(c if not (65 <= c <= 90 or 97 <= c <= 122 or c >= 128) else 32 for c in range(128)) + b" " * 128
 _SPACED = bytes(32 if c < 128 and not (97 <= c <= 122) else c for c in range(256))
 
 
@@ -127,40 +127,69 @@ def text_evidence(docs: DataFrame, model: TextModel, weight: float = TEXT_WEIGHT
     return map_batches(docs, "doc_id long, declared string, host string, suffix string, evidence array<double>", start)
 
 
+def suffix_of(host) -> F.Column:
+    return F.coalesce(F.lower(F.regexp_extract(host, r"\.([A-Za-z]+)$", 1)), F.lit(""))
+
+
+def page_witnesses(evidence: DataFrame, named: list[str]) -> DataFrame:
+    """``page_doc, host, suffix, tag, share``: every page of a document as a witness, pages that say the same as one; ``share`` is
+    theirs of the document's pages that name a host or a language."""
+    said = (evidence.where("doc_id IS NOT NULL").select(
+        F.col("doc_id").cast("long").alias("page_doc"), F.coalesce(F.col("page_host").cast("string"), F.lit("")).alias("host"),
+        declared(F.col("page_declared")).alias("declared"))
+        .groupBy("page_doc", "host", "declared").agg(F.count(F.lit(1)).alias("n")))
+    whole = said.groupBy("page_doc").agg(F.sum("n").alias("pages"))
+    return said.join(whole, "page_doc").select("page_doc", "host", suffix_of(F.col("host")).alias("suffix"), "declared",
+                                               tag_of(F.col("declared"), named).alias("tag"), "n", (F.col("n") / F.col("pages")).alias("share"))
+
+
+def tag_of(language, named: list[str]) -> F.Column:
+    """``*``: a declared language without a model of its own; ``?``: none declared."""
+    return F.when(language.isNull(), F.lit("?")).when(language.isin(named), language).otherwise(F.lit("*"))
+
+
 def identify(docs: DataFrame, confidence: float = CONFIDENCE, sample_docs: int = SAMPLE_DOCS,
              evidence: DataFrame | None = None) -> DataFrame:
-    """``doc_id, lang, confidence, text_lang, kept``.  ``docs`` has ``doc_id, text, declared, host``;
-    ``evidence`` may replace host and declaration by id (``doc_id, page_declared, page_host``)."""
+    """``doc_id, lang, confidence, text_lang, kept``.  ``docs`` has ``doc_id, text, declared, host``; ``evidence`` (``doc_id,
+    page_declared, page_host``, any number of rows a document) takes the place of host and declaration of the documents it
+    names: every declaration counts (log likelihoods add up), the prior is the mean of the pages' log host priors."""
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"), declared(F.col("declared")).alias("declared"),
                       F.col("host").cast("string").alias("host"))
     spark = docs.sparkSession
     model = fit_text(src, sample_docs)
     n = len(model.languages)
     scored = text_evidence(src.withColumn("suffix", F.lit(None).cast("string")), model)
-    if evidence is not None:
-        one = (evidence.where("doc_id IS NOT NULL").groupBy("doc_id")
-               .agg(F.min(F.struct("page_host", "page_declared")).alias("page")))
-        scored = scored.join(one, "doc_id", "left").select(
-            "doc_id", F.coalesce(declared(F.col("page.page_declared")), "declared").alias("declared"),
-            F.coalesce("page.page_host", "host").alias("host"), "evidence")
     if not n:
         return scored.select("doc_id", F.lit("und").alias("lang"), F.lit(0.0).alias("confidence"),
                              F.lit("und").alias("text_lang"), F.lit(False).alias("kept"))
     named = model.languages[:-1]
     langs = F.array(*[F.lit(x) for x in model.languages])
-    # "*": a declared language without a model of its own; "?": none declared
-    tag = F.when(F.col("declared").isNull(), F.lit("?")).when(F.col("declared").isin(named), F.col("declared")).otherwise(F.lit("*"))
+    if evidence is None:
+        evidence = spark.createDataFrame([], "doc_id long, page_host string, page_declared string")
+    pages = store(page_witnesses(evidence, named), "pages")
+    most = F.max(F.when(F.col("declared").isNotNull(), F.struct("n", "declared")))        # what most pages declare
+    paged = (pages.groupBy("page_doc", "declared").agg(F.sum("n").alias("n")).groupBy("page_doc").agg(most["declared"].alias("page_declared")))
     weights = F.transform("evidence", lambda e: F.exp(e))
     total = F.aggregate("weights", F.lit(0.0), lambda a, x: a + x)
-    rows = store(scored.select("doc_id", "declared", tag.alias("tag"), F.coalesce("host", F.lit("")).alias("host"),
-                               F.coalesce(F.lower(F.regexp_extract("host", r"\.([A-Za-z]+)$", 1)), F.lit("")).alias("suffix"),
-                               "evidence", weights.alias("weights"))
+    rows = store(scored.join(paged, F.col("doc_id") == F.col("page_doc"), "left")
+                 .withColumns({"own_declared": F.col("declared"), "declared": F.coalesce("page_declared", "declared")})
+                 .select("doc_id", "page_doc", "declared", tag_of(F.col("own_declared"), named).alias("own_tag"),
+                         F.col("page_declared").isNotNull().alias("pages_declare"), F.coalesce("host", F.lit("")).alias("host"),
+                         suffix_of(F.col("host")).alias("suffix"), "evidence", weights.alias("weights"))
                  .withColumn("p", F.transform("weights", lambda x: x / total)).drop("weights"), "languages")
     lettered = rows.where(F.col("evidence").isNotNull())
-    soft = F.array(*[F.sum(F.col("p")[i]) for i in range(n)])
-    by_host = lettered.groupBy("suffix", "host").agg(soft.alias("s"))
-    by_suffix = by_host.groupBy("suffix").agg(F.array(*[F.sum(F.col("s")[i]) for i in range(n)]).alias("s"))
-    whole = lettered.groupBy("tag").agg(soft.alias("s")).collect()       # at most languages + 2 rows
+    # one witness a document without pages, its pages' for the others; shares sum to one a document
+    witnesses = (lettered.where("page_doc IS NULL").select("host", "suffix", F.col("own_tag").alias("tag"), F.lit(1.0).alias("share"), "p")
+                 .unionByName(lettered.where("page_doc IS NOT NULL").select("page_doc", "own_tag", "pages_declare", "p").join(pages, "page_doc").select(
+                     "host", "suffix", F.when(F.col("pages_declare"), F.col("tag")).otherwise(F.col("own_tag")).alias("tag"), "share", "p")))
+    # languages + 2 tags: the map side leaves one row a task of each (host, tag)
+    soft = store(witnesses.groupBy("suffix", "host", "tag").agg(F.array(*[F.sum(F.col("p")[i] * F.col("share")) for i in range(n)]).alias("s")), "soft")
+
+    def summed(by: list[str], frame: DataFrame) -> DataFrame:
+        return frame.groupBy(*by).agg(F.array(*[F.sum(F.col("s")[i]) for i in range(n)]).alias("s"))
+    by_host = summed(["suffix", "host"], soft)
+    by_suffix = summed(["suffix"], by_host)
+    whole = summed(["tag"], soft).collect()                              # at most languages + 2 rows
     seen = np.array([r["s"] for r in whole]).reshape(-1, n)
     base = (seen.sum(0) + 1) / (seen.sum() + n)
     # P(declaration | language), smoothed; lettered rows have no other tags
@@ -172,12 +201,20 @@ def identify(docs: DataFrame, confidence: float = CONFIDENCE, sample_docs: int =
         return F.zip_with("s", prior, lambda x, p: (x + strength * p) / size)
 
     suffixes = by_suffix.select("suffix", smooth(F.array(*[F.lit(float(b)) for b in base]), SUFFIX_WEIGHT).alias("suffix_prior"))
-    hosts = (by_host.join(suffixes, "suffix")
-             .select("host", "suffix", smooth(F.col("suffix_prior"), HOST_WEIGHT).alias("prior")))
     # the host prior already holds the suffix's share: P(language | suffix, host)
-    both = F.zip_with("evidence", "prior", lambda e, p: e + F.log(p))
-    fused = rows.join(hosts, ["suffix", "host"], "left").join(F.broadcast(decl), "tag", "left").select(      # languages + 2 rows
-        "doc_id", "declared", "tag", "evidence", F.zip_with(both, "says", lambda e, d: e + d).alias("f"))
+    hosts = (by_host.join(suffixes, "suffix")
+             .select("host", "suffix", F.transform(smooth(F.col("suffix_prior"), HOST_WEIGHT), lambda x: F.log(x)).alias("prior")))
+    small = F.broadcast(decl)                                            # languages + 2 rows
+    of_pages = (pages.join(hosts, ["suffix", "host"], "left").join(small, "tag", "left").groupBy("page_doc").agg(
+        F.array(*[F.coalesce(F.sum(F.col("prior")[i] * F.col("share")), F.lit(0.0)) for i in range(n)]).alias("page_prior"),
+        F.array(*[F.coalesce(F.sum(F.when(F.col("declared").isNotNull(), F.col("says")[i] * F.col("n"))), F.lit(0.0)) for i in range(n)]).alias("page_says")))
+    alone = rows.where("page_doc IS NULL").join(hosts, ["suffix", "host"], "left").join(small.withColumnRenamed("tag", "own_tag"), "own_tag", "left")
+    paged_rows = (rows.where("page_doc IS NOT NULL").join(of_pages, "page_doc").join(small.withColumnRenamed("tag", "own_tag"), "own_tag", "left")
+                  .withColumns({"prior": F.col("page_prior"), "says": F.when(F.col("pages_declare"), F.col("page_says")).otherwise(F.col("says"))}))
+    cols = ["doc_id", "declared", "evidence", "prior", "says"]
+    both = F.zip_with("evidence", "prior", lambda e, p: e + p)
+    fused = alone.select(*cols).unionByName(paged_rows.select(*cols)).select(
+        "doc_id", "declared", tag_of(F.col("declared"), named).alias("tag"), "evidence", F.zip_with(both, "says", lambda e, d: e + d).alias("f"))
     top = F.array_max("f")
     norm = F.aggregate(F.transform("f", lambda x: F.exp(x - top)), F.lit(0.0), lambda a, x: a + x)
     lettered_now = F.col("evidence").isNotNull()
