@@ -70,24 +70,22 @@ def test_lines_at_the_end_of_long_texts_train_the_model(spark):
 
 
 def test_all_pages_of_a_document_are_evidence(spark):
-    """One text that says nothing between es and en, on documents with no, one and several pages."""
+    """A text that leans to en a little, on documents with no, one and several pages."""
     words = {"es": "el perro corre por la calle con su amigo", "en": "the dog runs down the street with its friend"}
     docs = [(i, words[lang], lang, f"{lang}.example") for lang, lo in (("es", 0), ("en", 1000)) for i in range(lo, lo + 60)]
     unclear = words["es"] + " " + words["en"]
-    docs += [(i, unclear, None, "mixed.example") for i in range(2000, 2006)] + [(None, unclear, "es", None), (2003, unclear, None, "mixed.example")]
-    pages = [(2000, "es", "m1.example"), (2000, "es", "m1.example"), (2000, "en", "a.example"),       # least host last: two of three agree
-             *[(2001, "en", f"m{i}.example") for i in range(5)], (2001, "es", "a.example"),           # the text leans to es
-             (2002, "es", "en.example"), (2002, "es", "en.example"), (2002, "es", "en.example"),       # declared against a misleading host
-             (2004, None, "es.example"), (2005, None, None), (None, "en", "en.example"), (9999, "en", "en.example")]
+    docs += [(i, unclear, None, "mixed.example") for i in range(2000, 2006)] + [(None, unclear, None, None), (2003, unclear, None, "mixed.example")]
+    pages = [*[(2000, "es", f"m{i}.example") for i in range(9)], (2000, "en", "a.example"),          # nine of ten agree, the least host does not
+             *[(2001, "en", f"m{i}.example") for i in range(5)], (2001, "es", "a.example"),
+             *[(2002, "es", "en.example")] * 9,                                                       # declared nine times, on a misleading host
+             (2004, None, "es.example"), (2005, None, None), (None, "es", "es.example"), (9999, "en", "en.example")]
     df = spark.createDataFrame(docs, "doc_id long, text string, declared string, host string").withColumn("tag", F.lit("x"))
     evidence = spark.createDataFrame(pages, "doc_id long, page_declared string, page_host string")
     got = language_id.identify(df, evidence=evidence).collect()
     assert len(got) == len(docs)
     lang = {r["doc_id"]: r["lang"] for r in got}
-    assert (lang[2000], lang[2001], lang[2002], lang[2004]) == ("es", "en", "es", "es")
+    assert [lang[i] for i in (2000, 2001, 2002, 2003, 2004, 2005, None)] == ["es", "en", "es", "en", "en", "en", "en"]
     assert all(lang[i] == ("es" if i < 1000 else "en") for i in lang if i is not None and i < 2000)
-    # three pages that say one thing are more than one page that does
-    sure = {r["doc_id"]: r["confidence"] for r in language_id.identify(df, evidence=evidence.where("page_declared = 'es'")).collect()}
-    one = {r["doc_id"]: r["confidence"] for r in language_id.identify(df, evidence=evidence.where("page_declared = 'es'").distinct()).collect()}
-    assert sure[2002] > one[2002]
-    assert len(language_id.identify(df).collect()) == len(docs)
+    # the same page nine times is nine pages: once alone, it does not outweigh the text
+    once = {r["doc_id"]: r["lang"] for r in language_id.identify(df, evidence=evidence.where("doc_id = 2002").distinct()).collect()}
+    assert once[2002] == "en"
