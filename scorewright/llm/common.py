@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
@@ -15,6 +15,7 @@ from pyspark.sql.types import StructType
 from scorewright.session import scratch_path
 
 ROWS = 256                      # documents handled at once inside a task
+COPIES = 4096                   # equal rows written out at once
 CACHE_ENTRIES = 500_000         # entries of a per-task cache before it starts anew
 BASE = np.uint64(0x9E3779B97F4A7C15)
 
@@ -154,6 +155,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def each_copy(df: DataFrame, n: str, name: str) -> DataFrame:
+    """A row that stands for ``n`` equal ones comes ``n`` times, numbered in ``name`` from 0.  Counts above ``COPIES`` are cut
+    into chunks, which are dealt to all tasks before they are expanded: no task writes out a hot row alone."""
+    last = F.col(n).cast("long") - 1
+    few = df.where(F.col(n) <= COPIES).withColumn(name, F.explode(F.sequence(F.lit(0).cast("long"), last)))
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))       # a fixed number: these few bytes grow by COPIES
+    chunks = (df.where(F.col(n) > COPIES).withColumn(name, F.explode(F.sequence(F.lit(0).cast("long"), last, F.lit(COPIES).cast("long"))))
+              .repartition(tasks, F.xxhash64(F.col(name))))
+    many = chunks.withColumn(name, F.explode(F.sequence(F.col(name), F.least(F.col(name) + (COPIES - 1), last))))
+    return few.unionByName(many)
+
+
+def row_key(*columns) -> Column:
+    """128 bits of the columns' values, nulls told apart from empty strings: names a row by its content."""
+    parts = [F.when(F.col(c).isNull(), F.lit("-;")).otherwise(F.concat(F.length(F.col(c).cast("string")).cast("string"), F.lit(":"),
+                                                                       F.col(c).cast("string"), F.lit(";"))) for c in columns]
+    return F.md5(F.concat(*parts).cast("binary"))
+
+
 def sample_rate(total: int, bound: int) -> float:
     """Share of rows that keeps a hash sample near ``bound`` rows."""
     return min(1.0, bound / max(1, total))

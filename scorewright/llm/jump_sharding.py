@@ -6,7 +6,8 @@ appended a row either stays or moves into one of the new shards.  Slots number t
 Defined results: a null id is a key of its own; a null text counts as empty; equal rows get different slots of the
 same shard; an empty table gives an empty result; other columns of the input are ignored, whatever their names.
 
-Scale: equal (id, size, checksum) rows are counted before any shuffle, so a hot id costs one counter a task.  Slots
+Scale: equal (id, size, checksum) rows are counted before any shuffle, so a hot id costs one counter a task, and are
+written out again in chunks that all tasks share.  Slots
 come from counts of ``shards x buckets`` cells (a fixed number) plus a rank inside a cell, so no task holds a shard.
 """
 
@@ -17,7 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from scorewright.llm.common import store
+from scorewright.llm.common import each_copy, store
 
 JUMP = np.uint64(2862933555777941757)
 
@@ -71,7 +72,5 @@ def shard_rows(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
     inside = (Window.partitionBy("shard", "cell").orderBy("doc_id", "size", "text_crc32")
               .rowsBetween(Window.unboundedPreceding, -1))
     ranked = placed.select("*", F.coalesce(F.sum("n").over(inside), F.lit(0)).alias("local"))
-    first = F.col("start") + F.col("local")
-    return (ranked.join(starts, ["shard", "cell"])
-            .select("doc_id", "size", "text_crc32", "shard", "grown_shard",
-                    F.explode(F.sequence(first, first + F.col("n") - 1)).alias("slot")))
+    return each_copy(ranked.join(starts, ["shard", "cell"]), "n", "copy").select(
+        "doc_id", "size", "text_crc32", "shard", "grown_shard", (F.col("start") + F.col("local") + F.col("copy")).alias("slot"))
