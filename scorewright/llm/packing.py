@@ -7,11 +7,15 @@ bitmaps allow the piece: at most ``per_source`` documents of one source and one
 
 Defined results: null and empty texts have no words and get one piece of length 0, which occupies no bin (bin null); a null
 source is a source of its own; repeated rows are packed one by one (equal texts never share a bin); an empty table
-gives an empty result.  All pieces of one document but the last fill a bin each.
+gives an empty result.  All pieces of one document but the last fill a bin each.  Rows of equal content are told apart by
+a number only, so the same rows give the same bins however the input is partitioned.
 
-Scale: rows are dealt to packing groups by a hash of id and row content, never by source or cluster, so a hot source
-or cluster is spread evenly; the number of groups follows the row count, so that one group stays near ``group_rows``
-small rows (id, length, source, cluster: no texts).
+``clusters`` may name wider classes (``doc_id, cluster``: near copies, say); of an id's several the least counts, and ids
+that it does not name, null ones included, keep the class of their text.
+
+Scale: equal rows are counted before any shuffle, then dealt to packing groups by a hash of their content and number, never by
+source or cluster alone, so a hot source or cluster is spread evenly; the number of groups follows the row count, so that one
+group stays near ``group_rows`` small rows (id, length, source, cluster: no texts).
 """
 
 from __future__ import annotations
@@ -22,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scorewright.llm.common import arrow_schema, map_batches, store, words
+from scorewright.llm.common import arrow_schema, each_copy, map_batches, store, words
 
 CAPACITY, PER_SOURCE, GROUP_ROWS = 2048, 4, 4096
 
@@ -73,13 +77,21 @@ def measure(df: DataFrame, id_col: str, text_col: str, source_col: str) -> DataF
 
 def best_fit_packing(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
                      capacity: int = CAPACITY, per_source: int = PER_SOURCE,
-                     group_rows: int = GROUP_ROWS) -> DataFrame:
+                     group_rows: int = GROUP_ROWS, clusters: DataFrame | None = None) -> DataFrame:
     """One row per piece: ``doc_id, piece, first_word, n_words, source, cluster, pack_group, bin, bin_offset``."""
-    rows = store(measure(df, id_col, text_col, source_col), "pack")
-    groups = max(1, -(-rows.count() // group_rows))
-    salt = F.monotonically_increasing_id()           # of the stored rows: the same on every rerun
-    dealt = (rows.withColumn("row", salt)
-             .withColumn("pack_group", F.pmod(F.xxhash64("doc_id", "row"), F.lit(groups)).cast("int")))
+    content = ["doc_id", "n_words", "source", "cluster", "check"]
+    rows = measure(df, id_col, text_col, source_col).groupBy(*content).agg(F.count(F.lit(1)).alias("n"))
+    if clusters is not None:
+        wider = (clusters.where("doc_id IS NOT NULL AND cluster IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("doc_id"))
+                 .agg(F.min(F.col("cluster").cast("long")).alias("wider")))
+        rows = rows.join(wider, "doc_id", "left").select(                # -1: no checksum of a text
+            "doc_id", "n_words", "source", F.coalesce("wider", "cluster").alias("cluster"),
+            F.when(F.col("wider").isNull(), F.col("check")).otherwise(F.lit(-1)).alias("check"), "n")
+        rows = rows.groupBy(*content).agg(F.sum("n").alias("n"))         # texts of one length under one id
+    rows = store(rows, "pack")
+    groups = max(1, -(-(rows.agg(F.sum("n")).first()[0] or 0) // group_rows))
+    dealt = each_copy(rows, "n", "row").drop("n").withColumn(
+        "pack_group", F.pmod(F.xxhash64(*content, "row"), F.lit(groups)).cast("int"))
 
     schema = ("doc_id long, piece long, first_word long, n_words long, source string, cluster long, "
               "pack_group int, bin long, bin_offset long")
@@ -87,7 +99,9 @@ def best_fit_packing(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     def packed(rows: pa.Table) -> pa.Table:
         r = rows.to_pydict()
-        order = sorted(range(rows.num_rows), key=lambda i: (r["n_words"][i], r["cluster"][i], r["row"][i]))
+        order = sorted(range(rows.num_rows), key=lambda i: (
+            r["n_words"][i], r["cluster"][i], r["check"][i], r["doc_id"][i] is None, r["doc_id"][i] or 0,
+            r["source"][i] is None, r["source"][i] or "", r["row"][i]))
         full = {i: max((r["n_words"][i] - 1) // capacity, 0) for i in order}          # pieces that fill a bin alone
         rest = [i for i in order if r["n_words"][i]]
         bins = pack([r["n_words"][i] - full[i] * capacity for i in rest], [r["source"][i] for i in rest],
