@@ -13,13 +13,13 @@ table gives no rows; other columns of the pages are ignored.  Labels other than
 
 Everything is a grouped aggregation with partial sums: a host that holds a third of all pages arrives as one row a
 template and task.  The template tree is joined back by (host, template), which Spark may split when it is skewed.  Each level
-of the tree is stored, two passes a level; levels that no two paths of one host reach need none.
+of the tree is stored, two passes a level; a level at which no host has enough different segments for siblings needs none, so
+endless paths of repeating segments cost no jobs.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from scorewright.llm.common import store
@@ -64,11 +64,13 @@ def template_of(path: Column) -> Column:
     return F.array_join(F.transform(F.split(path, "/"), one), "/")
 
 
-def _depth(urls: DataFrame, column: str, least: int) -> int:
-    """Most segments that ``least`` rows of one host have; deeper levels have no siblings."""
-    sizes = urls.groupBy("host", F.size(column).alias("size")).agg(F.count(F.lit(1)).alias("rows"))
-    deeper = F.sum("rows").over(Window.partitionBy("host").orderBy(F.desc("size")))
-    return sizes.select("size", deeper.alias("deeper")).where(F.col("deeper") >= least).agg(F.max("size")).first()[0] or 0
+def _levels(urls: DataFrame, least: int, *by: Column) -> list[int]:
+    """Levels at which some host (and ``by``) has ``least`` different segments: no others can have that many siblings.  At most
+    one integer a level comes to the driver."""
+    cells = urls.select("host", *[c.alias(f"by{i}") for i, c in enumerate(by)], F.posexplode("segs").alias("level", "seg"))
+    kinds = cells.where("level > 0").groupBy(*cells.columns).agg(F.lit(1).alias("one"))
+    wide = kinds.groupBy([c for c in cells.columns if c != "seg"]).agg(F.count("one").alias("kinds")).where(F.col("kinds") >= least)
+    return sorted(r["level"] for r in wide.select("level").distinct().collect())
 
 
 def _replace(column: str, k: int, value: Column) -> Column:
@@ -77,7 +79,7 @@ def _replace(column: str, k: int, value: Column) -> Column:
 
 def host_wildcards(urls: DataFrame) -> DataFrame:
     """``segs`` of each template with the sparse children of many-branched parents as wildcards, from the top down."""
-    for k in range(1, _depth(urls, "segs", MANY_CHILDREN)):
+    for k in _levels(urls, MANY_CHILDREN):
         seg = F.get("segs", F.lit(k))
         urls = urls.withColumns({"prefix": F.slice("segs", 1, k), "seg": seg})
         kids = urls.where("seg <> '' AND seg NOT LIKE '*%'").groupBy("host", "prefix", "seg").agg(F.sum("pages").alias("of_seg"))
@@ -94,7 +96,7 @@ def host_wildcards(urls: DataFrame) -> DataFrame:
 def merged_branches(nodes: DataFrame) -> DataFrame:
     """``host, segs, branch`` from ``host, segs, good, n``: alike siblings merged, from the leaves up."""
     nodes = nodes.withColumn("branch", F.col("segs"))
-    for k in range(_depth(nodes, "segs", 2) - 1, 0, -1):
+    for k in reversed(_levels(nodes, 2, F.size("segs"))):        # siblings have equally many segments
         cells = nodes.groupBy("host", "branch").agg(F.sum("good").alias("good"), F.sum("n").alias("n"))
         families = cells.where(F.size("branch") > k).withColumn("parent", _replace("branch", k, F.lit("*")))
         pooled = (families.groupBy("host", "parent").agg(F.sum("good").alias("pg"), F.sum("n").alias("pn"), F.count(F.lit(1)).alias("siblings"))
