@@ -103,7 +103,7 @@ def fit_text(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> TextModel:
     return TextModel([*langs, OTHER], np.log(counts / counts.sum(1, keepdims=True)))
 
 
-def text_evidence(docs: DataFrame, model: TextModel, weight: float = TEXT_WEIGHT) -> DataFrame:
+def text_evidence(docs: DataFrame, model: TextModel, weight: float = TEXT_WEIGHT, carry: tuple[str, ...] = ()) -> DataFrame:
     """All columns but the text, and ``evidence``: tempered log-likelihoods (null for texts without letters)."""
     logp = docs.sparkSession.sparkContext.broadcast(model.logp.T.copy())     # languages x BUCKETS doubles
 
@@ -121,10 +121,11 @@ def text_evidence(docs: DataFrame, model: TextModel, weight: float = TEXT_WEIGHT
                     out.append((ll - ll.max()).tolist())
                 else:
                     out.append(None)
-            return {**{c: r[c] for c in ("doc_id", "declared", "host", "suffix")}, "evidence": out}
+            return {**{c: r[c] for c in ("doc_id", "declared", "host", "suffix", *carry)}, "evidence": out}
         return run
 
-    return map_batches(docs, "doc_id long, declared string, host string, suffix string, evidence array<double>", start)
+    extra = "".join(f"`{c}` string, " for c in carry)
+    return map_batches(docs, f"{extra}doc_id long, declared string, host string, suffix string, evidence array<double>", start)
 
 
 def suffix_of(host) -> F.Column:
@@ -149,18 +150,19 @@ def tag_of(language, named: list[str]) -> F.Column:
 
 
 def identify(docs: DataFrame, confidence: float = CONFIDENCE, sample_docs: int = SAMPLE_DOCS,
-             evidence: DataFrame | None = None) -> DataFrame:
+             evidence: DataFrame | None = None, carry: tuple[str, ...] = ()) -> DataFrame:
     """``doc_id, lang, confidence, text_lang, kept``.  ``docs`` has ``doc_id, text, declared, host``; ``evidence`` (``doc_id,
     page_declared, page_host``, any number of rows a document) takes the place of host and declaration of the documents it
-    names: every declaration counts (log likelihoods add up), the prior is the mean of the pages' log host priors."""
+    names: every declaration counts (log likelihoods add up), the prior is the mean of the pages' log host priors.  ``carry`` names string
+    columns of ``docs`` that come back with their row."""
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"), declared(F.col("declared")).alias("declared"),
-                      F.col("host").cast("string").alias("host"))
+                      F.col("host").cast("string").alias("host"), *carry)
     spark = docs.sparkSession
     model = fit_text(src, sample_docs)
     n = len(model.languages)
-    scored = text_evidence(src.withColumn("suffix", F.lit(None).cast("string")), model)
+    scored = text_evidence(src.withColumn("suffix", F.lit(None).cast("string")), model, carry=carry)
     if not n:
-        return scored.select("doc_id", F.lit("und").alias("lang"), F.lit(0.0).alias("confidence"),
+        return scored.select(*carry, "doc_id", F.lit("und").alias("lang"), F.lit(0.0).alias("confidence"),
                              F.lit("und").alias("text_lang"), F.lit(False).alias("kept"))
     named = model.languages[:-1]
     langs = F.array(*[F.lit(x) for x in model.languages])
@@ -173,7 +175,7 @@ def identify(docs: DataFrame, confidence: float = CONFIDENCE, sample_docs: int =
     total = F.aggregate("weights", F.lit(0.0), lambda a, x: a + x)
     rows = store(scored.join(paged, F.col("doc_id") == F.col("page_doc"), "left")
                  .withColumns({"own_declared": F.col("declared"), "declared": F.coalesce("page_declared", "declared")})
-                 .select("doc_id", "page_doc", "declared", tag_of(F.col("own_declared"), named).alias("own_tag"),
+                 .select(*carry, "doc_id", "page_doc", "declared", tag_of(F.col("own_declared"), named).alias("own_tag"),
                          F.col("page_declared").isNotNull().alias("pages_declare"), F.coalesce("host", F.lit("")).alias("host"),
                          suffix_of(F.col("host")).alias("suffix"), "evidence", weights.alias("weights"))
                  .withColumn("p", F.transform("weights", lambda x: x / total)).drop("weights"), "languages")
@@ -211,19 +213,19 @@ def identify(docs: DataFrame, confidence: float = CONFIDENCE, sample_docs: int =
     alone = rows.where("page_doc IS NULL").join(hosts, ["suffix", "host"], "left").join(small.withColumnRenamed("tag", "own_tag"), "own_tag", "left")
     paged_rows = (rows.where("page_doc IS NOT NULL").join(of_pages, "page_doc").join(small.withColumnRenamed("tag", "own_tag"), "own_tag", "left")
                   .withColumns({"prior": F.col("page_prior"), "says": F.when(F.col("pages_declare"), F.col("page_says")).otherwise(F.col("says"))}))
-    cols = ["doc_id", "declared", "evidence", "prior", "says"]
+    cols = [*carry, "doc_id", "declared", "evidence", "prior", "says"]
     both = F.zip_with("evidence", "prior", lambda e, p: e + p)
     fused = alone.select(*cols).unionByName(paged_rows.select(*cols)).select(
-        "doc_id", "declared", tag_of(F.col("declared"), named).alias("tag"), "evidence", F.zip_with(both, "says", lambda e, d: e + d).alias("f"))
+        *carry, "doc_id", "declared", tag_of(F.col("declared"), named).alias("tag"), "evidence", F.zip_with(both, "says", lambda e, d: e + d).alias("f"))
     top = F.array_max("f")
     norm = F.aggregate(F.transform("f", lambda x: F.exp(x - top)), F.lit(0.0), lambda a, x: a + x)
     lettered_now = F.col("evidence").isNotNull()
     best = F.when(lettered_now, F.element_at(langs, F.array_position("f", top).cast("int"))).otherwise(F.lit("und"))
     sure = F.when(lettered_now, 1 / norm).otherwise(F.lit(0.0))
     text_best = F.when(lettered_now, F.element_at(langs, F.array_position("evidence", F.array_max("evidence")).cast("int"))).otherwise(F.lit("und"))
-    judged = fused.select("doc_id", "declared", "tag", best.alias("lang"), sure.alias("sure"), text_best.alias("text_lang"))
+    judged = fused.select(*carry, "doc_id", "declared", "tag", best.alias("lang"), sure.alias("sure"), text_best.alias("text_lang"))
     rest = F.col("lang") == OTHER
     own = rest & (F.col("tag") == "*")
-    return judged.select("doc_id", F.when(own, F.col("declared")).otherwise(F.col("lang")).alias("lang"),
+    return judged.select(*carry, "doc_id", F.when(own, F.col("declared")).otherwise(F.col("lang")).alias("lang"),
                          F.round("sure", 9).alias("confidence"), "text_lang",
                          ((F.col("sure") >= confidence) & (own | ~rest)).alias("kept"))

@@ -5,6 +5,9 @@ of being good.  Grouped aggregations over all documents give every host and ever
 documents; sparse paths are shrunk to their host, sparse hosts to the whole, with strengths estimated from the spread
 between sites (method of moments).  The site's share replaces the global prior in the document's odds.
 
+A document lies on the sites that ``sites`` names (its pages' hosts and path templates), else on its own host and path.  With
+several pages it counts on each of their sites by its share of pages, and its prior's log odds are the pages' mean.
+
 A document counts as good when its label has quality 1 and it is not toxic.  Defined results: null and empty texts are
 rejected with probability 0; a null host or path is a site of its own; labels that are null or repeated: the worst of
 an id counts; without any labels every non-empty document has probability 0.5 and is kept; repeated rows get equal
@@ -104,8 +107,8 @@ def train(docs: DataFrame, known: DataFrame, train_docs: int = TRAIN_DOCS) -> tu
     return lexicon, fit_logistic(np.array([g["x"] for g in got]), np.array([g["doc_id"] for g in got], float))
 
 
-def feature_rows(docs: DataFrame, lexicon: dict[int, float], weights: np.ndarray | None) -> DataFrame:
-    """``doc_id, host, path, x, p``: features (in training) or the probability of a good document."""
+def feature_rows(docs: DataFrame, lexicon: dict[int, float], weights: np.ndarray | None, carry: tuple[str, ...] = ()) -> DataFrame:
+    """``carry, doc_id, host, path, x, p``: features (in training) or the probability of a good document."""
     shared = docs.sparkSession.sparkContext.broadcast((lexicon, weights))      # at most LEXICON_WORDS entries
 
     def start():
@@ -113,15 +116,17 @@ def feature_rows(docs: DataFrame, lexicon: dict[int, float], weights: np.ndarray
         hashed = WordHash()
 
         def run(r: dict) -> dict:
+            carried = {c: r[c] for c in ("doc_id", "host", "path", *carry)}
             xs = [features((t or "").encode("utf-8", "replace"), lex, hashed) for t in r["text"]]
             p = [None] * len(xs)
             if w is not None:
                 z = 1 / (1 + np.exp(-np.clip(np.array(xs) @ w, -30, 30)))
                 p = [float(v) if t and t.strip() else 0.0 for v, t in zip(z, r["text"], strict=True)]
-            return {"doc_id": r["doc_id"], "host": r["host"], "path": r["path"], "x": xs if w is None else [None] * len(xs), "p": p}
+            return {**carried, "x": xs if w is None else [None] * len(xs), "p": p}
         return run
 
-    return map_batches(docs.select("doc_id", "host", "path", "text"), "doc_id long, host string, path string, x array<double>, p double", start)
+    schema = "".join(f"`{c}` string, " for c in carry) + "doc_id long, host string, path string, x array<double>, p double"
+    return map_batches(docs.select("doc_id", "host", "path", "text", *carry), schema, start)
 
 
 def strength(sites: DataFrame, share) -> float:
@@ -132,32 +137,63 @@ def strength(sites: DataFrame, share) -> float:
     return float(sites.agg(F.least(F.greatest(k, F.lit(1.0)), F.lit(1000.0)).alias("k")).first()["k"] or 1.0)
 
 
-def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, train_docs: int = TRAIN_DOCS) -> DataFrame:
-    """``doc_id, p_text, host_share, path_share, p_good, kept``; ``docs`` has ``doc_id, text, host, path``."""
-    src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.coalesce(F.col("host").cast("string"), F.lit("")).alias("host"),
-                      F.coalesce(F.col("path").cast("string"), F.lit("")).alias("path"))
-    known = known_labels(labels)
-    model = train(src, known, train_docs)
-    lexicon, weights = model if model else ({}, np.zeros(11))
-    scored = store(feature_rows(src, lexicon, weights).select("doc_id", "host", "path", "p"), "quality")
-    seen = scored.join(known.select("doc_id", "good"), "doc_id", "left")
-    paths = store(seen.groupBy("host", "path").agg(F.sum(F.coalesce(F.col("good").cast("double"), F.col("p"))).alias("s"),
-                                                   F.count(F.lit(1)).alias("n")), "paths")
+def site_shares(sites: DataFrame) -> DataFrame:
+    """``page_doc, host, path, share``: the distinct sites of each document and their shares of its pages."""
+    said = (sites.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("page_doc"), F.coalesce(F.col("host").cast("string"), F.lit("")).alias("host"),
+                                                     F.coalesce(F.col("path").cast("string"), F.lit("")).alias("path"))
+            .groupBy("page_doc", "host", "path").agg(F.count(F.lit(1)).alias("n")))
+    whole = said.groupBy("page_doc").agg(F.sum("n").alias("pages"))
+    return said.join(whole, "page_doc").select("page_doc", "host", "path", (F.col("n") / F.col("pages")).alias("share"))
+
+
+def posteriors(paths: DataFrame) -> tuple[DataFrame, float]:
+    """``host, path, host_share, path_share`` from ``host, path, s, n`` (``s`` good of ``n``), and the share of the whole."""
     hosts = paths.groupBy("host").agg(F.sum("s").alias("s"), F.sum("n").alias("n"))
     whole = paths.agg(F.sum("s").alias("s"), F.sum("n").alias("n")).first()
     base = float(((whole["s"] or 0.0) + 1) / ((whole["n"] or 0) + 2))
     of_hosts = strength(hosts, F.lit(base))
     host_share = hosts.select("host", ((F.col("s") + of_hosts * base) / (F.col("n") + of_hosts)).alias("host_share"))
-    of_paths = strength(paths.join(host_share, "host"), F.col("host_share"))
-    site = paths.join(host_share, "host").select(
-        "host", "path", "host_share", ((F.col("s") + of_paths * F.col("host_share")) / (F.col("n") + of_paths)).alias("path_share"))
-
-    def logit(c):
-        c = F.greatest(F.least(c, F.lit(1 - 1e-9)), F.lit(1e-9))
-        return F.log(c / (1 - c))
-    site_odds = logit(F.col("path_share")) - logit(F.lit(base)) if model else F.lit(0.0)      # without labels, no evidence
-    odds = logit(F.col("p")) + site_odds
-    good = F.when(F.col("p") <= 0, F.lit(0.0)).otherwise(1 / (1 + F.exp(-odds)))
-    return (scored.join(site, ["host", "path"])
-            .select("doc_id", F.round("p", 9).alias("p_text"), F.round("host_share", 9).alias("host_share"),
-                    F.round("path_share", 9).alias("path_share"), F.round(good, 9).alias("p_good"), (good >= threshold).alias("kept")))
+    joined = paths.join(host_share, "host")
+    of_paths = strength(joined, F.col("host_share"))
+    return joined.select("host", "path", "host_share",
+                         ((F.col("s") + of_paths * F.col("host_share")) / (F.col("n") + of_paths)).alias("path_share")), base
+
+
+def logit(c) -> F.Column:
+    c = F.greatest(F.least(c, F.lit(1 - 1e-9)), F.lit(1e-9))
+    return F.log(c / (1 - c))
+
+
+def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, train_docs: int = TRAIN_DOCS,
+             sites: DataFrame | None = None, carry: tuple[str, ...] = ()) -> DataFrame:
+    """``doc_id, p_text, host_share, path_share, p_good, kept``; ``docs`` has ``doc_id, text, host, path``.  ``sites`` (``doc_id,
+    host, path``, any number of rows a document) takes the place of host and path of the documents it names; ``carry`` names
+    string columns of ``docs`` that come back with their row.  A document with several sites reports their mean shares."""
+    src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.coalesce(F.col("host").cast("string"), F.lit("")).alias("host"),
+                      F.coalesce(F.col("path").cast("string"), F.lit("")).alias("path"), *carry)
+    if sites is None:
+        sites = docs.sparkSession.createDataFrame([], "doc_id long, host string, path string")
+    known = known_labels(labels)
+    model = train(src, known, train_docs)
+    lexicon, weights = model if model else ({}, np.zeros(11))
+    scored = store(feature_rows(src, lexicon, weights, carry).select(*carry, "doc_id", "host", "path", "p"), "quality")
+    pages = store(site_shares(sites), "sites")
+    seen = scored.join(known.select("doc_id", "good"), "doc_id", "left").select(
+        "doc_id", "host", "path", F.coalesce(F.col("good").cast("double"), F.col("p")).alias("value"))
+    on_pages = pages.withColumnsRenamed({"host": "page_host", "path": "page_path"})
+    witnesses = seen.join(on_pages, F.col("doc_id") == F.col("page_doc"), "left").select(
+        F.coalesce("page_host", "host").alias("host"), F.coalesce("page_path", "path").alias("path"),
+        F.coalesce("share", F.lit(1.0)).alias("share"), "value")
+    paths = store(witnesses.groupBy("host", "path").agg(F.sum(F.col("share") * F.col("value")).alias("s"), F.sum("share").alias("n")), "paths")
+    site, base = posteriors(paths)
+    of_pages = pages.join(site, ["host", "path"]).groupBy("page_doc").agg(
+        *[F.sum(F.col("share") * v).alias(c) for c, v in (("host_share", F.col("host_share")), ("path_share", F.col("path_share")),
+                                                          ("prior", logit(F.col("path_share"))))])
+    own = (scored.join(pages.select("page_doc").distinct(), F.col("doc_id") == F.col("page_doc"), "left_anti")
+           .join(site, ["host", "path"]).withColumn("prior", logit(F.col("path_share"))))
+    cols = [*carry, "doc_id", "p", "host_share", "path_share", "prior"]
+    both = own.select(*cols).unionByName(scored.join(of_pages, F.col("doc_id") == F.col("page_doc")).select(*cols))
+    site_odds = F.col("prior") - logit(F.lit(base)) if model else F.lit(0.0)      # without labels, no evidence
+    good = F.when(F.col("p") <= 0, F.lit(0.0)).otherwise(1 / (1 + F.exp(-(logit(F.col("p")) + site_odds))))
+    return both.select(*carry, "doc_id", F.round("p", 9).alias("p_text"), F.round("host_share", 9).alias("host_share"),
+                       F.round("path_share", 9).alias("path_share"), F.round(good, 9).alias("p_good"), (good >= threshold).alias("kept"))

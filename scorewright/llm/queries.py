@@ -13,9 +13,13 @@ from scorewright.llm.common import table
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
 
-def with_sites(docs: DataFrame) -> DataFrame:
-    """Stand-ins for a site: the source is the host, the declared language the path below it (page addresses are not used)."""
-    return docs.select("doc_id", "text", F.col("source").alias("host"), F.col("lang").alias("path"))
+def judge_quality(spark: SparkSession, docs: DataFrame, sf_dir: str, carry: tuple[str, ...] = ()) -> DataFrame:
+    """Sites are the hosts and path templates of the documents' pages; a document without pages has its source and language."""
+    src = docs.select("doc_id", "text", F.concat(F.lit("source:"), "source").alias("host"), F.col("lang").alias("path"), *carry)
+    pages = page_numbers(table(spark, sf_dir, "pages"))
+    sites = pages.select("doc_id", url_templates.host_of(F.col("url")).alias("host"),
+                         url_templates.template_of(url_templates.path_of(F.col("url"))).alias("path"))
+    return quality_bayes.classify(src, table(spark, sf_dir, "labels"), sites=sites, carry=carry)
 
 
 def page_numbers(pages: DataFrame) -> DataFrame:
@@ -31,7 +35,7 @@ def page_evidence(pages: DataFrame) -> DataFrame:
 
 
 def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_bayes.classify(with_sites(table(spark, sf_dir, "documents")), table(spark, sf_dir, "labels"))
+    return judge_quality(spark, table(spark, sf_dir, "documents"), sf_dir)
 
 
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,9 +65,9 @@ def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.jaccard_components(table(spark, sf_dir, "documents"), n=4, share=85)
 
 
-def identify_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    src = docs.select("doc_id", "text", F.col("lang").alias("declared"), F.col("source").alias("host"))
-    return language_id.identify(src, evidence=page_evidence(table(spark, sf_dir, "pages")))
+def identify_documents(spark: SparkSession, docs: DataFrame, sf_dir: str, carry: tuple[str, ...] = ()) -> DataFrame:
+    src = docs.select("doc_id", "text", F.col("lang").alias("declared"), F.col("source").alias("host"), *carry)
+    return language_id.identify(src, evidence=page_evidence(table(spark, sf_dir, "pages")), carry=carry)
 
 
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -421,7 +421,7 @@ def test_language_id_of_rare_languages(spark):
 def test_quality_classifier(spark, odd, empty):
     sf = "/root/testdata/sf0.1"
     labels = spark.read.parquet(f"{sf}/labels.parquet")
-    docs = Q.with_sites(spark.read.parquet(f"{sf}/documents.parquet"))
+    docs = spark.read.parquet(f"{sf}/documents.parquet").selectExpr("doc_id", "text", "source AS host", "lang AS path")
     got = quality_bayes.classify(docs, labels.where("doc_id % 2 = 0")).join(labels.where("doc_id % 2 = 1"), "doc_id")
     r = got.agg(F.avg(F.when((F.col("quality") == 1) & (F.col("toxic") == 0), F.col("kept").cast("int"))).alias("good"),
                 F.avg(F.when(F.col("quality") == 0, F.col("kept").cast("int"))).alias("bad"),
