@@ -1,8 +1,9 @@
 """The corpus pipeline: documents to packed training bins in five stages.
 
 Each stage takes ``(spark, docs, sf_dir)`` and returns the documents it keeps (the last one: the packed pieces), is
-written as Parquet and read again as the next one's documents.  Rows are dropped by anti-joins on the id, so a row
-with a null id is never dropped by another row's verdict.
+written as Parquet and read again as the next one's documents.  Verdicts hold for rows, not ids: the filters name a row
+by its content (128 bits of all columns), the near-duplicate stage by a number of its own.  A row with a null id is judged
+like any other, and a clean row stays whatever becomes of other rows under its id.
 """
 
 from __future__ import annotations
@@ -10,9 +11,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scorewright.llm import packing, phrase_automata, prefix_trie, quality_bayes
-from scorewright.llm.common import store, table
-from scorewright.llm.queries import identify_documents, with_sites
+from scorewright.llm import packing, phrase_automata, prefix_trie
+from scorewright.llm.common import row_key, store, table
+from scorewright.llm.queries import identify_documents, judge_quality
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -22,32 +23,36 @@ def _own(docs: DataFrame) -> DataFrame:
     return docs.select(*COLUMNS)
 
 
-def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    return docs.join(ids.where("doc_id IS NOT NULL").select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+KEY = "__row"
+
+
+def _kept(spark: SparkSession, docs: DataFrame, sf_dir: str, judge) -> DataFrame:
+    """``docs`` without the rows that ``judge`` rejects; equal rows share a verdict."""
+    keyed = _own(docs).withColumn(KEY, row_key(*COLUMNS))
+    gone = judge(spark, keyed, sf_dir, (KEY,)).where("NOT kept").select(KEY).distinct()
+    return keyed.join(gone, KEY, "left_anti").select(*COLUMNS)
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a language, or with an uncertain one, go."""
-    docs = _own(docs)
-    return _without(docs, identify_documents(spark, docs, sf_dir).where("NOT kept"))
+    return _kept(spark, docs, sf_dir, identify_documents)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are probably of low quality or toxic go."""
-    docs = _own(docs)
-    return _without(docs, quality_bayes.classify(with_sites(docs), table(spark, sf_dir, "labels")).where("NOT kept"))
+    return _kept(spark, docs, sf_dir, judge_quality)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (five-word shingles, 0.8) stays: the least id.  Rows that repeat an id
-    count as copies: the one with the least text hash stays."""
-    docs = _own(docs)
-    groups = store(prefix_trie.jaccard_components(docs, n=5, share=80), "groups")
-    single = _without(docs, groups.where("component_id < doc_id"))
-    again = groups.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1 AND doc_id IS NOT NULL")
-    ranked = F.struct(F.xxhash64("text").alias("h"), *docs.columns)
-    one = single.join(again, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(ranked).alias("r")).select("r.*").drop("h")
-    return _without(single, again).unionByName(one.select(*docs.columns))
+    """One row of each group of near copies (five-word shingles, 0.8) stays: the least id (a null one last), of equal ids
+    the least text hash.  Rows without words are copies of nothing.  Rows under one id are copies only if their texts are."""
+    # the numbers are written with the rows, so that every later read sees the same ones
+    rows = store(_own(docs).withColumn(KEY, F.monotonically_increasing_id()), "numbered")
+    groups = prefix_trie.jaccard_components(rows, n=5, share=80, id_col=KEY).select(F.col("doc_id").alias(KEY), "component_id")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h", KEY)
+    first = (rows.select(KEY, "doc_id", F.xxhash64("text").alias("h")).join(groups, KEY)
+             .groupBy("component_id").agg(F.min(order)[KEY].alias(KEY)))
+    return rows.join(first.select(KEY), KEY, "left_semi").select(*COLUMNS)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
