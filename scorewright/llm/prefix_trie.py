@@ -34,6 +34,7 @@ from scorewright.llm.components import components
 
 HEAVY, HEAVY_CHUNK, HEAVY_SEEN = 65_536, 1_000_000, 4
 BLOCK, SHARD_ROWS, PATH, MAX_BITS, LEAF = 1024, 20_000, 16, 1024, 12
+CELL_SHINGLES = 1 << 20         # of one block of sets: 8 MB
 SECOND = np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -265,26 +266,28 @@ def sets_of(docs: DataFrame, n: int, shards: str = "array<int>") -> DataFrame:
     return map_batches(docs.select("doc_id", "shards", "text"), f"doc_id long, shards {shards}, shingles binary", start)
 
 
-def linked(pairs: DataFrame, docs: DataFrame, sizes: DataFrame, n: int, share: int, block: int = 512, shard_rows: int = 2000) -> DataFrame:
-    """The pairs ``a, b`` whose sets are similar enough, counted exactly.  ``sizes`` has ``doc_id, own`` (size class).
+def linked(pairs: DataFrame, docs: DataFrame, sizes: DataFrame, n: int, share: int, budget: int = CELL_SHINGLES) -> DataFrame:
+    """The pairs ``a, b`` whose sets are similar enough, counted exactly.  ``sizes`` has ``doc_id, own, n`` (size class,
+    shingles).
 
     Sets are moved to the pairs by cell, not by pair: the documents of a connected group of pairs are dealt to size
     classes (a pair belongs to its larger one) and blocks, and a pair of blocks that has pairs is a cell, which gets
-    every set it needs once."""
+    every set it needs once.  Blocks hold about ``budget`` shingles, however long their texts are, and tasks
+    follow the shingles to be moved."""
     pairs = store(pairs, "pairs")
-    group = components(pairs).join(sizes.select(F.col("doc_id").alias("id"), "own"), "id")
-    parts = F.ceil(F.col("size") / block).cast("int")
-    many = group.groupBy("component", "own").agg(F.count(F.lit(1)).alias("size")).select("component", "own", parts.alias("parts"))
+    group = components(pairs).join(sizes.select(F.col("doc_id").alias("id"), "own", "n"), "id")
+    parts = F.ceil(F.col("size") / budget).cast("int")
+    many = group.groupBy("component", "own").agg(F.sum("n").alias("size")).select("component", "own", parts.alias("parts"))
     place = store(group.join(many, ["component", "own"]).select(
-        "id", "component", "own", F.pmod(F.xxhash64("id", F.lit(29)), F.col("parts")).cast("int").alias("block")), "blocks")
-    of_a = place.select(F.col("id").alias("a"), F.col("component"), F.struct("own", "block").alias("x"))
-    of_b = place.select(F.col("id").alias("b"), F.struct("own", "block").alias("y"))
-    cells = store(pairs.join(of_a, "a").join(of_b, "b").select("component", F.least("x", "y").alias("i"), F.greatest("x", "y").alias("j"), "a", "b"), "pair-cells")
+        "id", "component", "own", "n", F.pmod(F.xxhash64("id", F.lit(29)), F.col("parts")).cast("int").alias("block")), "blocks")
+    of_a = place.select(F.col("id").alias("a"), F.col("component"), F.struct("own", "block").alias("x"), F.col("n").alias("na"))
+    of_b = place.select(F.col("id").alias("b"), F.struct("own", "block").alias("y"), F.col("n").alias("nb"))
+    cells = store(pairs.join(of_a, "a").join(of_b, "b").select("component", F.least("x", "y").alias("i"), F.greatest("x", "y").alias("j"),
+                                                                      "a", "b", "na", "nb"), "pair-cells")
     key = ["component", "i", "j"]
-    need = cells.select(*key, F.col("a").alias("doc_id")).union(cells.select(*key, "b")).distinct()
-    need = store(need, "needed")
-    shards = max(1, -(-need.count() // shard_rows) * 4)
-    shard = F.pmod(F.xxhash64(*key), F.lit(shards)).cast("int").alias("shard")
+    need = store(cells.select(*key, F.col("a").alias("doc_id"), F.col("na").alias("n")).union(cells.select(*key, "b", "nb")).distinct(), "needed")
+    tasks = 4 * max(1, math.ceil((need.agg(F.sum("n")).first()[0] or 0) / (2 * budget)))
+    shard = F.pmod(F.xxhash64(*key), F.lit(4 * tasks)).cast("int").alias("shard")
     of_doc = need.groupBy("doc_id").agg(F.collect_set(shard).alias("shards"))      # at most the blocks of its group
     sets = sets_of(docs.join(of_doc.hint("merge"), "doc_id"), n).select("doc_id", "shingles", F.explode("shards").alias("shard"))
     schema = arrow_schema("a long, b long")
@@ -299,10 +302,11 @@ def linked(pairs: DataFrame, docs: DataFrame, sizes: DataFrame, n: int, share: i
                 out.append((a, b))
         return pa.Table.from_arrays([pa.array([p[k] for p in out], pa.int64()) for k in (0, 1)], schema=schema)
 
-    return (cells.withColumn("shard", shard).groupBy("shard").cogroup(sets.groupBy("shard")).applyInArrow(count, "a long, b long").distinct())
+    of_pairs, of_sets = (rows.repartition(tasks, "shard").groupBy("shard") for rows in (cells.select("a", "b", shard), sets))
+    return of_pairs.cogroup(of_sets).applyInArrow(count, "a long, b long").distinct()
 
 
-def nearest_links(roots: DataFrame, docs: DataFrame, n: int, share: int, block: int = BLOCK, shard_rows: int = 4000) -> DataFrame:
+def nearest_links(roots: DataFrame, docs: DataFrame, n: int, share: int, block: int = BLOCK, shard_rows: int = 2000) -> DataFrame:
     """Links ``a, b`` that span each subtree of ``token, head`` rows, nearest pairs first, counted exactly.  Subtrees of
     several blocks span each block and join it to the first: what that misses is found among all shingles."""
     parts = F.ceil(F.col("size") / block).cast("int")
@@ -310,8 +314,8 @@ def nearest_links(roots: DataFrame, docs: DataFrame, n: int, share: int, block:
     own = F.pmod(F.xxhash64("head", F.lit(31)), F.col("parts")).cast("int")
     cells = F.when(F.col("own") > 0, F.array("own")).otherwise(F.sequence(F.lit(0), F.col("parts") - 1))
     dealt = store(roots.join(sizes, "token").withColumn("own", own).select("token", "head", F.explode(cells).alias("i")), "roots")
-    shards = max(1, -(-dealt.count() // shard_rows) * 4)
-    cell = F.struct("token", "i", F.pmod(F.xxhash64("token", "i"), F.lit(shards)).cast("int").alias("shard"))
+    tasks = max(1, -(-dealt.count() // shard_rows) * 4)     # they follow the rows, and are several times the full blocks
+    cell = F.struct("token", "i", F.pmod(F.xxhash64("token", "i"), F.lit(4 * tasks)).cast("int").alias("shard"))
     of_doc = dealt.groupBy(F.col("head").alias("doc_id")).agg(F.collect_list(cell).alias("shards"))
     sets = sets_of(docs.join(of_doc.hint("merge"), "doc_id"), n, "array<struct<token:bigint,i:int,shard:int>>")
     rows = sets.select("doc_id", "shingles", F.inline("shards"))
@@ -325,7 +329,7 @@ def nearest_links(roots: DataFrame, docs: DataFrame, n: int, share: int, block:
         out = {pair for held in by.values() if len(held) > 1 for pair in spanning(sorted(held), held, share)}
         return pa.Table.from_arrays([pa.array([p[k] for p in sorted(out)], pa.int64()) for k in (0, 1)], schema=schema)
 
-    return rows.groupBy("shard").applyInArrow(span, "a long, b long").distinct()
+    return rows.repartition(tasks, "shard").groupBy("shard").applyInArrow(span, "a long, b long").distinct()
 
 
 def spanning(ids: list[int], sets: dict[int, np.ndarray], share: int) -> list[tuple[int, int]]:
@@ -444,7 +448,7 @@ def jaccard_components(df: DataFrame, n: int = 4, share: int = 85, id_col: str =
                 .where((F.col("size") > 2) | (F.col("rest") * (100 + share) >= F.col("n") * share)).select("token", "class"))
     open_rows = store(met.join(crossing, ["token", "class"], "left_semi")
                       .select("token", "class", "guest", "doc_id", "component").distinct(), "open")
-    more = linked(trie_pairs(open_rows, named, n, share, order), named, vertices.groupBy("doc_id").agg(F.min("own").alias("own")), n, share)
+    more = linked(trie_pairs(open_rows, named, n, share, order), named, vertices.groupBy("doc_id").agg(F.min("own").alias("own"), F.max("n").alias("n")), n, share)
     ids = components(edges.unionByName(more)).withColumnRenamed("id", "doc_id")
     return (signed_docs.select("doc_id", "n_shingles").join(ids, "doc_id", "left")
             .select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")))
