@@ -325,7 +325,7 @@ def test_jaccard_components(spark, monkeypatch, n, share, block, edits):
     monkeypatch.setattr(prefix_trie.trie_pairs, "__defaults__", (block, 50))
     if block < 1024:        # many cells and blocks in every step that moves whole sets
         monkeypatch.setattr(prefix_trie.nearest_links, "__defaults__", (block, 40))
-        monkeypatch.setattr(prefix_trie.linked, "__defaults__", (90 * block,))
+        monkeypatch.setattr(prefix_trie.linked, "__defaults__", (block, 40))
     monkeypatch.setattr(prefix_trie, "HEAVY_SEEN", 2)
     want, _ = true_components(rows, n, share)
     got = prefix_trie.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), n, share).collect()
