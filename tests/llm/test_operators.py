@@ -364,7 +364,7 @@ def dedup(df, **kw):
     return sorted(map(tuple, rows), key=str)
 
 
-def test_substring_dedup(spark, odd, empty):
+def test_substring_dedup(spark, odd, empty, monkeypatch):
     rng = random.Random(1)
     passages = [[f"p{rng.randint(0, 30)}" for _ in range(30)] for _ in range(6)]
     rows = []
@@ -378,6 +378,9 @@ def test_substring_dedup(spark, odd, empty):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     assert dedup(df, size=6, anchor=3) == true_dedup(rows, 6)
     assert dedup(df) == true_dedup(rows, 20)
+    with monkeypatch.context() as m:        # anchors in many cells
+        m.setattr(phrase_automata.repeated, "__defaults__", (*phrase_automata.repeated.__defaults__[:-2], 5, 200))
+        assert dedup(df, size=6, anchor=3) == true_dedup(rows, 6)
     plain = odd.select("doc_id", "text").collect()
     assert dedup(odd, size=2, anchor=2) == true_dedup([tuple(r) for r in plain], 2)
     assert dedup(empty) == []
