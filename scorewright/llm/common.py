@@ -136,15 +136,18 @@ def arrow_schema(ddl: str) -> pa.Schema:
 
 
 def store(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared scratch folder and read it back: cuts lineage and survives lost executors.
-
-    Spark deletes the shuffle files of finished jobs when the driver collects its garbage, which a driver that plans
-    little may not do for hours; asking for it here keeps the disks of the executors free of them."""
+    """Write ``df`` to the shared scratch folder and read it back: cuts lineage and survives lost executors."""
     rows = store_at(df, scratch_path(df.sparkSession, f"llm-{name}"))
-    df.sparkSession.sparkContext._jvm.System.gc()
+    free_shuffles(df.sparkSession)
     return rows
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Spark deletes the shuffle files of finished jobs when the driver collects its garbage, which a driver that plans
+    little may not do for hours; asking for it here keeps the disks of the executors free of them."""
+    spark.sparkContext._jvm.System.gc()
+
+
 def store_at(df: DataFrame, path: str) -> DataFrame:
     """Write ``df`` to a scratch folder that the caller removes (``remove_folder``) when nothing reads it any more."""
     df.write.parquet(path)

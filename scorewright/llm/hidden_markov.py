@@ -5,9 +5,8 @@ probability ``q(w) = (c + 0.5) / (N + 0.5 (V + 1))``, unknown words being one mo
 words are dealt to ``2**BUCKET_BITS`` emission buckets by a hash, and ``p(w | state) = q(w) * p(bucket | state) / q(bucket)``,
 which sums to one over all outcomes.  Baum-Welch trains the states: each iteration sums the expected transitions and
 emissions of every training document (forward and backward in tasks, sums across partitions) and sets the parameters
-from them; the first iterations run over a bounded sample (``START_DOCS`` distinct training documents, chosen by a hash)
-to find a start, the last ``ROUNDS`` over all training documents.  The score is the scaled forward recursion's log10
-likelihood, which for one state is the base score.
+from them.  Every iteration runs over all training documents, from the same fixed start.  The score is the scaled forward
+recursion's log10 likelihood, which for one state is the base score.
 
 Long texts are cut into segments whose transfer matrices are found first; every segment then starts from its true prior, so
 likelihoods and expectations are those of the uncut text.
@@ -32,13 +31,16 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scorewright.llm.common import arrow_schema, store, text_bytes, word_hashes
+from scorewright.llm.common import arrow_schema, free_shuffles, store, text_bytes, word_hashes
 
-STATES, BUCKET_BITS, START_DOCS, START_ROUNDS, ROUNDS = 8, 15, 2000, 10, 2
+STATES, BUCKET_BITS, START_ROUNDS, ROUNDS = 8, 15, 10, 2
 KAPPA = 2.0                     # tokens' worth of shrinking of a bucket's states towards all states
-SEGMENT = 1024                  # tokens walked one after the other
+SEGMENT = 2048                  # tokens walked one after the other
 BLOCK_TOKENS, BLOCK_DOCS = 1 << 21, 1 << 16
-AT_ONCE = 1 << 18               # tokens whose state shares are held at once
+AT_ONCE = 1 << 20               # tokens whose state shares are held at once
+MATRICES = 512                  # segments whose transfer matrices are walked at once
+TASKS = 2                       # tasks of an iteration for each core
+RESCALE = 8                     # steps between two scalings of a transfer matrix
 END = np.uint64(0x5BF0_3635_DCE7_F1A9)          # stands for the end token among the word hashes
 ENCODED = ("block long, doc_id long, train boolean, n int, buckets binary, nth binary, word_hash long, word int, bucket int, seen long")
 
@@ -63,7 +65,9 @@ def encode(docs: DataFrame) -> DataFrame:
 
     def out(block: int, held: list[tuple]) -> Iterator[pa.RecordBatch]:
         size = np.array([len(h) for _, _, h in held])
-        vocabulary, word, count = np.unique(np.concatenate([h for _, _, h in held]), return_inverse=True, return_counts=True)
+        coded = pa.array(np.concatenate([h for _, _, h in held])).dictionary_encode()
+        vocabulary, word = coded.dictionary.to_numpy(), coded.indices.to_numpy()
+        count = np.bincount(word)
         bucket = (vocabulary & mask).astype(np.int32)
         order = np.lexsort((-count, bucket))                    # by bucket, frequent words first
         place = np.empty(len(order), np.int64)
@@ -138,41 +142,75 @@ class Segments:
 
 def transfer(model: Model, seg: Segments, chosen: np.ndarray) -> np.ndarray:
     """Transfer matrix of each chosen segment (state before to state after, by rows), up to scale."""
-    m = np.broadcast_to(np.eye(len(model.start)), (len(chosen), len(model.start), len(model.start))).copy()
+    m = np.repeat(np.eye(len(model.start))[:, None], len(chosen), 1)         # state before, segment, state after
+    step, at = np.empty_like(m), seg.at[chosen]
     for t, n in enumerate(seg.running(chosen)):
-        step = (m[:n] * model.ratio[seg.flat[seg.at[chosen[:n]] + t]][:, None, :]) @ model.move
-        m[:n] = step / step.max((1, 2))[:, None, None]
-    return m
+        np.multiply(m[:, :n], model.ratio[seg.flat[at[:n] + t]], out=step[:, :n])
+        np.matmul(step[:, :n], model.move, out=m[:, :n])
+        if t % RESCALE == RESCALE - 1:
+            m[:, :n] /= m[:, :n].max((0, 2))[:, None]
+    return (m / m.max((0, 2))[:, None]).transpose(1, 0, 2)
 
 
-def entries(model: Model, seg: Segments) -> tuple[np.ndarray, np.ndarray]:
-    """Of every segment: the prior of its first state, and the weights of its exit states (what follows, up to scale)."""
+def carried(model: Model, seg: Segments, chosen: np.ndarray) -> np.ndarray:
+    """Prior of the state after each chosen segment, which opens its text."""
+    p, at = np.tile(model.start, (len(chosen), 1)), seg.at[chosen]
+    for t, n in enumerate(seg.running(chosen)):
+        p[:n] = (p[:n] * model.ratio[seg.flat[at[:n] + t]]) @ model.move
+        if t % RESCALE == RESCALE - 1:
+            p[:n] /= p[:n].sum(1, keepdims=True)
+    return p / p.sum(1, keepdims=True)
+
+
+def awaited(model: Model, seg: Segments, chosen: np.ndarray) -> np.ndarray:
+    """Weights of the state before each chosen segment, which ends its text, up to scale."""
+    w, at, back = np.ones((len(chosen), len(model.start))), seg.at[chosen], np.ascontiguousarray(model.move.T)
+    for t, n in reversed(list(enumerate(seg.running(chosen)))):
+        w[:n] = model.ratio[seg.flat[at[:n] + t]] * (w[:n] @ back)
+        if t % RESCALE == 0:
+            w[:n] /= w[:n].sum(1, keepdims=True)
+    return w
+
+
+def entries(model: Model, seg: Segments, backward: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """Of every segment: the prior of its first state, and (``backward``) the weights of its exit states (what follows, up to
+    scale).  Only segments with others on both sides need their matrices."""
     k, s = len(seg.doc), len(model.start)
     prior, after = np.tile(model.start, (k, 1)), np.ones((k, s))
-    several = np.flatnonzero(~(seg.last & (seg.nth == 0)))
-    if len(several):
-        chosen = several[np.argsort(-seg.size[several], kind="stable")]
-        matrix = np.empty((k, s, s))
-        matrix[chosen] = transfer(model, seg, chosen)
-        by_depth = [several[seg.nth[several] == d] for d in range(seg.depth)]
-        for now in by_depth[1:]:                                 # the segment before is the row before
-            p = np.einsum("ki,kij->kj", prior[now - 1], matrix[now - 1])
-            prior[now] = p / p.sum(1, keepdims=True)
-        for now in reversed(by_depth[1:]):
-            w = np.einsum("kij,kj->ki", matrix[now], after[now])
-            after[now - 1] = w / w.sum(1, keepdims=True)
+    longest = np.argsort(-seg.size, kind="stable")
+    ends = longest[(seg.last & (seg.nth > 0))[longest]]
+    if len(ends):
+        opens, inner = np.flatnonzero(~seg.last & (seg.nth == 0)), longest[(~seg.last & (seg.nth > 0))[longest]]
+        matrix = np.empty((k, s, s)) if len(inner) else None
+        for lo in range(0, len(inner), MATRICES):
+            matrix[inner[lo:lo + MATRICES]] = transfer(model, seg, inner[lo:lo + MATRICES])
+        by_depth = [inner[seg.nth[inner] == d] for d in range(1, seg.depth)]
+        prior[opens + 1] = carried(model, seg, opens)            # the next segment is the next row
+        for now in by_depth:
+            if len(now):
+                p = np.einsum("ki,kij->kj", prior[now], matrix[now])
+                prior[now + 1] = p / p.sum(1, keepdims=True)
+        if backward:
+            after[ends - 1] = awaited(model, seg, ends)
+            for now in reversed(by_depth):
+                if len(now):
+                    w = np.einsum("kij,kj->ki", matrix[now], after[now])
+                    after[now - 1] = w / w.sum(1, keepdims=True)
     return prior, after
 
 
 def log_likelihood(model: Model, flat: np.ndarray, size: np.ndarray, segment: int = SEGMENT) -> np.ndarray:
     """Natural logarithm of the states' factor of every sequence (0 for one state): scaled forward recursion."""
     seg = Segments(flat, size, segment)
-    p, log, one = entries(model, seg)[0][seg.order], np.zeros(len(seg.order)), np.ones(len(model.start))
+    p, log, at = entries(model, seg, backward=False)[0][seg.order], np.zeros(len(seg.order)), seg.at[seg.order]
+    ones, sums = np.ones((len(model.start),) * 2), np.empty_like(p)            # times ones: the sum in every column
     for t, n in enumerate(seg.running(seg.order)):
-        a = p[:n] * model.ratio[seg.flat[seg.at[seg.order[:n]] + t]]
-        c = a @ one
-        log[:n] += np.log(c)
-        np.matmul(a / c[:, None], model.move, out=p[:n])
+        a = model.ratio[seg.flat[at[:n] + t]]
+        a *= p[:n]
+        c = np.matmul(a, ones, out=sums[:n])
+        log[:n] += np.log(c[:, 0])
+        a /= c
+        np.matmul(a, model.move, out=p[:n])
     return np.bincount(seg.doc[seg.order], log, minlength=len(size))
 
 
@@ -182,7 +220,8 @@ def expect(model: Model, flat: np.ndarray, size: np.ndarray, total: np.ndarray,
     seg, s = Segments(flat, size, segment), len(model.start)
     buckets = len(total) - s - 1
     prior, after = entries(model, seg)
-    ratio, move, one = np.maximum(model.ratio, 1e-30).astype(kind), model.move.astype(kind), np.ones(s, kind)
+    ratio, move, ones = np.maximum(model.ratio, 1e-30).astype(kind), model.move.astype(kind), np.ones((s, s), kind)
+    back = np.ascontiguousarray(move.T)
     moves = np.zeros((s, s))
     tokens = np.cumsum(seg.size[seg.order])
     cuts = np.flatnonzero(np.diff(tokens // AT_ONCE, prepend=-1))         # segments are independent now: a few at a time
@@ -192,27 +231,29 @@ def expect(model: Model, flat: np.ndarray, size: np.ndarray, total: np.ndarray,
         row = np.concatenate([[0], np.cumsum(running)])                        # the tokens of a step lie together
         share, bucket = np.empty((row[-1], s), kind), np.empty(row[-1], np.int64)
         p, at = prior[chosen].astype(kind), seg.at[chosen]
+        sums, betas, joint = np.empty_like(p), np.empty_like(p), np.empty_like(p)
         for t, n in enumerate(running):
             a, now = share[row[t]:row[t + 1]], bucket[row[t]:row[t + 1]]
             now[:] = flat[at[:n] + t]
-            np.take(ratio, now, axis=0, out=a)
+            np.take(ratio, now, axis=0, out=a, mode="clip")                        # clip: written without a buffer
             a *= p[:n]
-            a /= (a @ one)[:, None]
+            a /= np.matmul(a, ones, out=sums[:n])                                  # times ones: the sum in every column
             np.matmul(a, move, out=p[:n])
         ahead = after[chosen].astype(kind)                                     # weights of the state after the token
         go_on, end = (~seg.last[chosen]).astype(kind), 0
         for t, n in reversed(list(enumerate(running))):
             a, now = share[row[t]:row[t + 1]], bucket[row[t]:row[t + 1]]
-            beta = ahead[:n] @ move.T
-            g = a * beta
-            inverse = 1 / (g @ one)
-            a *= inverse[:, None]
-            a[end:] *= go_on[end:n, None]                                      # a text's last token goes nowhere
+            beta = np.matmul(ahead[:n], back, out=betas[:n])
+            g = np.multiply(a, beta, out=joint[:n])
+            c = np.matmul(g, ones, out=sums[:n])
+            a /= c
+            if end < n:
+                a[end:] *= go_on[end:n, None]                                  # a text's last token goes nowhere
             moves += a.T @ ahead[:n]
-            np.multiply(g, inverse[:, None], out=a)                            # from here on the share given the whole text
-            w = ratio[now]
+            np.divide(g, c, out=a)                                             # from here on the share given the whole text
+            w = np.take(ratio, now, axis=0, out=g, mode="clip")
             w *= beta
-            np.divide(w, (w @ one)[:, None], out=ahead[:n])
+            np.divide(w, np.matmul(w, ones, out=c), out=ahead[:n])
             end = n
         total[-1] += share[:len(chosen)][seg.nth[chosen] == 0].sum(0, dtype=float)
         for i in range(s):
@@ -252,25 +293,21 @@ def maximise(first: np.ndarray, moves: np.ndarray, emitted: np.ndarray, weight:
     return Model(start / start.sum(), move / move.sum(1, keepdims=True), np.maximum(of_bucket / (np.append(weight, unknown) @ of_bucket), 1e-300))
 
 
-def train(encoded: DataFrame, weight: np.ndarray, unknown: float, states: int = STATES, start_docs: int = START_DOCS,
-          start_rounds: int = START_ROUNDS, rounds: int = ROUNDS) -> Model:
-    """``start_rounds`` iterations over a sample of about ``start_docs`` documents, then ``rounds`` over all."""
-    rows = encoded.where("train").select("doc_id", "n", "buckets")
-    n = rows.count()
-    digest = F.xxhash64("doc_id", "n", "buckets")
-    few = (rows.withColumn("h", digest).where(F.pmod("h", F.lit(1 << 30)) < int(min(1.0, start_docs / max(1, n)) * (1 << 30)))
-           .groupBy("h").agg(F.first("n").alias("n"), F.first("buckets").alias("buckets")))       # repeated rows once
-    sample = store(few, "sample")
+def train(encoded: DataFrame, weight: np.ndarray, unknown: float, states: int = STATES, rounds: int = START_ROUNDS + ROUNDS) -> Model:
+    """``rounds`` iterations, each over all training documents."""
+    tasks = TASKS * encoded.sparkSession.sparkContext.defaultParallelism          # each sends all buckets' sums: no more of them than are kept busy
+    rows = encoded.where("train").coalesce(tasks)
     model = first_model(states, len(weight))
-    for part, times in ((sample, start_rounds), (rows, rounds)):
-        for _ in range(times):
-            model = maximise(*baum_welch(part, model), weight, unknown)
+    for _ in range(rounds):
+        model = maximise(*baum_welch(rows, model), weight, unknown)
+        free_shuffles(rows.sparkSession)
     return model
 
 
-def lm_scores(docs: DataFrame, states: int = STATES, start_docs: int = START_DOCS, start_rounds: int = START_ROUNDS,
+def lm_scores(docs: DataFrame, states: int = STATES, start_docs: int | None = None, start_rounds: int = START_ROUNDS,
               rounds: int = ROUNDS, bucket_bits: int = BUCKET_BITS) -> DataFrame:
-    """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` of every row of ``docs``."""
+    """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` of every row of ``docs``.  ``start_docs``, once a
+    bound on the documents of the first ``start_rounds`` iterations, is accepted and bounds nothing."""
     if bucket_bits != BUCKET_BITS:
         raise ValueError(f"texts are encoded for {BUCKET_BITS} bits")
     encoded = encode(docs)
@@ -282,7 +319,7 @@ def lm_scores(docs: DataFrame, states: int = STATES, start_docs: int = START_DOC
     weight = np.zeros(1 << BUCKET_BITS)
     for r in per_bucket:
         weight[r["bucket"]] = (r["c"] + 0.5 * r["v"]) / whole
-    model = train(encoded, weight, 0.5 / whole, states, start_docs, start_rounds, rounds)
+    model = train(encoded, weight, 0.5 / whole, states, start_rounds + rounds)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     target = arrow_schema(schema)

@@ -121,6 +121,30 @@ def test_training_and_scores_equal_a_plain_baum_welch(spark):
         assert got[i]["score"] == pytest.approx(want, abs=1e-4)
 
 
+def test_every_round_learns_from_all_training_documents(spark):
+    """Whatever bound on the first rounds' documents is named, and with repeated rows, against plain iterations over all."""
+    rng = random.Random(3)
+    rows = [(i, " ".join(rng.choices(["a", "b", "c"] if i % 2 else ["x", "y", "z", "a"], k=rng.randrange(1, 9)))) for i in range(80)]
+    rows += rows[:20] * 3
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = hidden_markov.lm_scores(df, states=2, start_docs=4, start_rounds=3, rounds=1).collect()
+    held, words, count, n, base = base_scores(rows)
+    whole, buckets = n + 0.5 * (len(count) + 1), 1 << hidden_markov.BUCKET_BITS
+    code = {w: int(hidden_markov.END if w is None else hidden_markov.word_hashes(w.encode())[0]) % buckets for w in count}
+    weight = np.zeros(buckets)
+    for w, c in count.items():
+        weight[code[w]] = (c + 0.5) / whole
+    model = hidden_markov.first_model(2, buckets)
+    for _ in range(4):
+        total = np.zeros((buckets + 3, 2))
+        for h, ws in zip(held, words, strict=True):
+            if not h:
+                total += plain_forward_backward(model, [code[w] for w in ws])[1]
+        model = hidden_markov.maximise(total[-1], total[-3:-1], total[:buckets], weight, 0.5 / whole)
+    want = [b + plain_forward_backward(model, [code.get(w, buckets) for w in ws])[0] / math.log(10) for ws, b in zip(words, base, strict=True)]
+    assert np.allclose(sorted(r["score"] for r in got), sorted(want), atol=1e-4)
+
+
 def test_model_is_a_distribution_and_better_on_held_out_text(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     r = hidden_markov.lm_scores(docs).where("held_out").agg(F.sum("score").alias("s"), F.sum("base_score").alias("b")).first()
