@@ -1,7 +1,8 @@
 """Operator 8: byte-level BPE encoding and decoding.
 
 A pre-token is held as a doubly linked list of symbols; a priority queue gives the lowest-ranked pair next, and
-entries whose symbols changed meanwhile are skipped as stale.  Decoding concatenates vocabulary strings.
+entries whose symbols changed meanwhile are skipped as stale.  An entry is one number, the pair's rank and its place, and
+is stale when the pair at that place has another rank now (a place never has the same pair twice).  Decoding concatenates vocabulary strings.
 
 Defined results: a null or empty text has no tokens and decodes to an empty string; special tokens of the
 vocabulary file that stand in a text are encoded as one id; repeated rows and null ids are encoded like any row.
@@ -11,9 +12,11 @@ No row needs another one, so there is no shuffle, and a lost task is simply run
 from __future__ import annotations
 
 import hashlib
-import heapq
 import json
 import re
+from collections.abc import Callable
+from heapq import heapify, heappop, heappush
+from struct import pack
 
 import numpy as np
 import regex
@@ -40,6 +43,22 @@ def byte_alphabet() -> dict[int, str]:
     return out
 
 
+class Remembered(dict):
+    """text -> ``find(text)``; bounded, and long texts are not kept."""
+
+    def __init__(self, find: Callable[[str], bytes]):
+        super().__init__()
+        self.find = find
+
+    def __missing__(self, text: str) -> bytes:
+        out = self.find(text)
+        if len(text) <= 64:
+            if len(self) >= CACHE_ENTRIES:
+                self.clear()
+            self[text] = out
+        return out
+
+
 class Codec:
     """Encoder and decoder for one vocabulary file (its parsed JSON)."""
 
@@ -58,57 +77,71 @@ class Codec:
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         for token, i in self.special.items():
             self.strings[i] = token.encode()
-        self.merges = {}
+        self.ranks: list[dict[int, int]] = [{} for _ in self.strings]       # first id -> second id -> rank
+        self.made: list[int] = []                                           # rank -> id made
         for rank, pair in enumerate(spec["model"]["merges"]):
             a, b = pair if isinstance(pair, list) else pair.split(" ")
-            self.merges[vocab[a], vocab[b]] = (rank, vocab[a + b])
+            self.ranks[vocab[a]][vocab[b]] = rank
+            self.made.append(vocab[a + b])
         self.split = regex.compile(PATTERN).findall
         self.cut = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") \
             if self.special else None
-        self.pieces: dict[str, bytes] = {}
+        self.tokens = Remembered(self._token)
+        self.pieces = Remembered(self._piece)
+        self.spaced = Remembered(lambda p: self._piece(" " + p))            # pieces by what stands behind their space
 
     def merge(self, data: bytes) -> list[int]:
         """Ids of one pre-token."""
         ids: list[int] = [self.first[b] for b in data]
-        n = len(ids)
+        n, ranks, made = len(ids), self.ranks, self.made
+        shift = max(14, n.bit_length())             # small numbers for all but huge pre-tokens
+        place = (1 << shift) - 1
+        rank = [ranks[a].get(b, -1) for a, b in zip(ids, ids[1:])]          # of the pair that begins at a place, -1: none
+        heap = [r << shift | i for i, r in enumerate(rank) if r >= 0]
+        if not heap:
+            return ids
+        rank.append(-1)
+        heapify(heap)
         nxt, prev = list(range(1, n + 1)), list(range(-1, n - 1))
-        alive = [True] * n
-        heap = []
-        for i in range(n - 1):
-            if found := self.merges.get((ids[i], ids[i + 1])):
-                heap.append((found[0], i, ids[i], ids[i + 1], found[1]))
-        heapq.heapify(heap)
         while heap:
-            _, i, a, b, made = heapq.heappop(heap)
-            if not alive[i] or ids[i] != a or (j := nxt[i]) >= n or ids[j] != b:
-                continue                        # stale: a neighbour was merged meanwhile
-            ids[i], alive[j], nxt[i] = made, False, nxt[j]
-            if nxt[j] < n:
-                prev[nxt[j]] = i
-                if found := self.merges.get((made, ids[nxt[j]])):
-                    heapq.heappush(heap, (found[0], i, made, ids[nxt[j]], found[1]))
-            if (p := prev[i]) >= 0 and (found := self.merges.get((ids[p], made))):
-                heapq.heappush(heap, (found[0], p, ids[p], made, found[1]))
-        return [ids[i] for i in range(n) if alive[i]]
+            entry = heappop(heap)
+            i = entry & place
+            r = entry >> shift
+            if rank[i] != r:
+                continue                            # stale: a neighbour was merged meanwhile
+            j = nxt[i]
+            nxt[i] = k = nxt[j]
+            ids[i] = new = made[r]
+            ids[j] = rank[j] = -1
+            if k < n:
+                prev[k] = i
+                rank[i] = r = ranks[new].get(ids[k], -1)
+                if r >= 0:
+                    heappush(heap, r << shift | i)
+            else:
+                rank[i] = -1
+            p = prev[i]
+            if p >= 0:
+                rank[p] = r = ranks[ids[p]].get(new, -1)
+                if r >= 0:
+                    heappush(heap, r << shift | p)
+        return [i for i in ids if i >= 0]
+
+    def _token(self, token: str) -> bytes:
+        """Little-endian ids of one pre-token."""
+        ids = self.merge(token.encode("utf-8", "surrogatepass"))
+        return pack(f"<{len(ids)}I", *ids)
 
     def _piece(self, piece: str) -> bytes:
         """Little-endian ids of a piece of text whose pre-tokens do not depend on what stands around it."""
-        out = self.pieces.get(piece)
-        if out is None:
-            if len(self.pieces) >= CACHE_ENTRIES:
-                self.pieces.clear()
-            out = np.array([i for t in self.split(piece) for i in self.merge(t.encode("utf-8", "surrogatepass"))],
-                           "<u4").tobytes()
-            if len(piece) <= 64:
-                self.pieces[piece] = out
-        return out
+        return b"".join([self.tokens[t] for t in self.split(piece)])
 
     def _plain(self, text: str) -> bytes:
         if _IN_RUN(text):                       # runs of white space: a pre-token may span the cuts
-            return b"".join(map(self._piece, self.split(text)))
+            return b"".join([self.tokens[t] for t in self.split(text)])
         parts = text.split(" ")
         head = [parts[0]] if parts[0] else []
-        return b"".join(map(self._piece, head + [" " + p for p in parts[1:]]))
+        return b"".join([self.pieces[p] for p in head] + [self.spaced[p] for p in parts[1:]])
 
     def encode(self, text: str | None) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
@@ -129,6 +162,16 @@ def read_vocabulary(path: str) -> dict:
         return json.load(f)
 
 
+_ready: list = []               # the vocabulary that this process used last, and its codec
+
+
+def ready_codec(spec: dict) -> Codec:
+    """The codec of ``spec``, which tasks that run in one process one after the other share, with what it remembers."""
+    if not _ready or _ready[0] is not spec:
+        _ready[:] = [spec, Codec(spec)]
+    return _ready[1]
+
+
 def tokenize(df: DataFrame, vocabulary: dict, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, ids array<int>, decoded string`` for every row."""
     return _run(df, vocabulary, id_col, text_col, digest=False)
@@ -144,7 +187,7 @@ def _run(df: DataFrame, vocabulary: dict, id_col: str, text_col: str, digest: bo
     spec = df.sparkSession.sparkContext.broadcast(vocabulary)        # one vocabulary file, a few MB
 
     def start():
-        codec = Codec(spec.value)
+        codec = ready_codec(spec.value)
 
         def run(rows: dict) -> dict:
             packed = [codec.encode(t) for t in rows["text"]]

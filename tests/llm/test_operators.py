@@ -124,6 +124,18 @@ def test_bpe_keeps_mixed_white_space_runs_whole():
         assert np.frombuffer(codec.encode(x), "<u4").tolist() == t.encode(x, add_special_tokens=False).ids, repr(x)
 
 
+def test_bpe_merges_each_pre_token_once():
+    """Words that differ in what follows them share their merges, and tasks of one process share a codec."""
+    vocabulary = bpe.read_vocabulary(Q.VOCABULARY)
+    codec = bpe.ready_codec(vocabulary)
+    assert bpe.ready_codec(vocabulary) is codec
+    merged, merge = [], codec.merge
+    codec.merge = lambda data: merged.append(data) or merge(data)
+    text = "qozzle qozzle. qozzle, qozzle\nqozzle; (qozzle)"
+    assert codec.decode(np.frombuffer(codec.encode(text), "<u4")) == text
+    assert len(merged) == len(set(merged))
+
+
 # ------------------------------------------------------------------ 5 quality rules
 
 def base(text):
